@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after its row count has been measured against a
+bound; above the bound the plain join is returned and Spark shuffles both
+sides on the key (AQE may still demote it to a broadcast at run time using
+real shuffle statistics).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables under this many rows are broadcast (a few MB at most).
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast-hinted ``df`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The count reads at most ``max_rows + 1`` rows, so checking a table that is
+    unexpectedly huge stays cheap.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
