@@ -108,9 +108,7 @@ messages AS (
   UNION ALL SELECT * FROM rest_perf
 )"""
 
-ROUTED = """
-routed AS (
-  SELECT *,
+ROUTE_CASE = """
     CASE
       WHEN topic = 'telecom-alarms' THEN 'alarms'
       WHEN topic = 'tickets' THEN 'tickets'
@@ -132,11 +130,22 @@ routed AS (
         OR contains(lower(coalesce(source, '')), 'perf')
         OR contains(lower(coalesce(event_type, '')), 'metric') THEN 'performance'
       ELSE 'unrouted'
-    END AS category
+    END"""
+
+ROUTED = f"""
+routed AS (
+  SELECT *, {ROUTE_CASE} AS category
   FROM messages
   WHERE source IS NOT NULL AND node_id IS NOT NULL
 )"""
 
+ROUTED_ALL = f"""
+routed_all AS (
+  SELECT *, {ROUTE_CASE} AS category,
+         (source IS NOT NULL AND node_id IS NOT NULL) AS accepted
+  FROM messages
+)"""
+
 BASE = ",".join([PRODUCER, REST_TICKETS, PERF_RECORDS, REST_PERF, MESSAGES, ROUTED])
 
 

@@ -147,7 +147,7 @@ def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Uploaded files (documents)
 # ---------------------------------------------------------------------------
 def _created_at(doc_id: Column) -> Column:
-    return F.timestampadd("MINUTE", doc_id, F.lit(UPLOAD_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MINUTE", doc_id, F.lit(UPLOAD_EPOCH).cast("timestamp_ntz"))
 
 
 def uploaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
