@@ -16,8 +16,13 @@ def _col(c) -> Column:
 
 
 def truthy(c) -> Column:
-    """NULL when the value is NULL or the empty string, else the value as string."""
-    return F.nullif(_col(c).cast("string"), F.lit(""))
+    """NULL when the value is NULL or the empty string, else the value as string.
+
+    Written as a CASE (not ``nullif``) so Catalyst can still collapse the
+    projections around it and keep a fallback branch lazily evaluated.
+    """
+    s = _col(c).cast("string")
+    return F.when(s != F.lit(""), s)
 
 
 def first_truthy(*cols, default=None) -> Column:

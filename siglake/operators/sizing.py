@@ -15,11 +15,23 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hinted ``df`` if it has at most ``max_rows`` rows, else ``df``.
+# (plan semantic hash, bound) -> measured "fits" decision, per driver process.
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
 
     The count reads at most ``max_rows + 1`` rows, so checking a table that is
-    unexpectedly huge stays cheap.
+    unexpectedly huge stays cheap; the answer is remembered per plan so a
+    dimension used by many queries is measured once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast-hinted ``df`` if it has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from siglake.functions.routing import category_route
 from siglake.operators.aggregates import count_by, hourly_counts, recent, time_slice, total_count
+from siglake.functions.common import truthy
+from siglake.functions.payload import payload_field
 from siglake.operators.dedup import dedup_latest
 from siglake.operators.normalize import clean_events, to_canonical
 from siglake.operators.validate import accepted
-from siglake.schemas import CATEGORY_TABLES
+from siglake.schemas import CATEGORY_TABLES, PAYLOAD_BINDINGS
 from siglake.sources import driver
 
 TABLE_CATEGORIES = {t: c for c, t in CATEGORY_TABLES.items()}
@@ -72,6 +74,7 @@ def routed_messages(messages: DataFrame) -> DataFrame:
 
 
 DEDUP_KEYS = ["event_id", "ticket_id"]
+_KEY = "__row_key"
 
 
 def build_table(routed: DataFrame, category: str, columns: list[str] | None = None) -> DataFrame:
@@ -85,11 +88,15 @@ def build_table(routed: DataFrame, category: str, columns: list[str] | None = No
     slice_ = routed.where(F.col("category") == F.lit(category))
     ingest = F.col("channel") if "channel" in slice_.columns else None
     canon = to_canonical(clean_events(slice_), category=F.lit(category), ingest_file=ingest)
-    if columns is not None:
-        keep = [c for c in canon.columns if c in set(columns) | set(DEDUP_KEYS) | {"event_timestamp"}]
-        canon = canon.select(*keep)
-    out = dedup_latest(canon, id_candidates=DEDUP_KEYS)
-    return out.select(*columns) if columns is not None else out
+    # Per-row key (F3): event_id, else ticket_id from the payload. The
+    # payload lookup is one self-contained expression in the second slot of
+    # a coalesce, so it is only evaluated for rows whose event_id is empty.
+    key = F.coalesce(truthy(F.col("event_id")), truthy(payload_field(canon, PAYLOAD_BINDINGS["ticket_id"])))
+    keyed = canon.withColumn(_KEY, key)
+    keep = canon.columns if columns is None else \
+        [c for c in canon.columns if c in set(columns) | {"event_timestamp"}]
+    out = dedup_latest(keyed.select(*keep, _KEY), key=_KEY)
+    return out.select(*(columns if columns is not None else canon.columns))
 
 
 def serving_table(spark: SparkSession, sf_dir: str, table: str,
