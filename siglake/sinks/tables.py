@@ -44,6 +44,18 @@ def write_batch_idempotent(df: DataFrame, path: str, batch_id: int,
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def read_serving(spark: SparkSession, path: str, with_batch_id: bool = False) -> DataFrame:
+    """Read a serving table written by ``write_partitioned`` /
+    ``write_batch_idempotent`` with the canonical schema, so ``event_date``
+    stays a ``yyyy-MM-dd`` string instead of an inferred DATE partition.
+    Filters on ``event_date`` prune partition directories."""
+    from pyspark.sql import types as T
+    fields = list(CANONICAL_EVENT.fields)
+    if with_batch_id:
+        fields.append(T.StructField("batch_id", T.IntegerType()))
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     """``CREATE NAMESPACE IF NOT EXISTS``."""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
