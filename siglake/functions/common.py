@@ -18,8 +18,8 @@ def _col(c) -> Column:
 def truthy(c) -> Column:
     """NULL when the value is NULL or the empty string, else the value as string.
 
-    Written as a CASE (not ``nullif``) so Catalyst can still collapse the
-    projections around it and keep a fallback branch lazily evaluated.
+    A plain CASE keeps the expression inside whole-stage codegen. (For an
+    expensive input that must stay lazy, see ``first_non_empty``.)
     """
     s = _col(c).cast("string")
     return F.when(s != F.lit(""), s)
@@ -33,6 +33,17 @@ def first_truthy(*cols, default=None) -> Column:
     return F.coalesce(*parts) if len(parts) > 1 else parts[0]
 
 
+def first_non_empty(primary, fallback: Column) -> Column:
+    """``primary`` when non-empty, else ``fallback`` - evaluated lazily.
+
+    The fallback sits in the ELSE branch of a CASE, which generated code only
+    enters for rows that need it, so an expensive fallback (a payload lookup)
+    costs nothing for rows whose primary value is present.
+    """
+    p = _col(primary).cast("string")
+    return F.when(p != F.lit(""), p).otherwise(fallback)
+
+
 def present(df_columns, candidates) -> list[str]:
     """Candidates that exist in the frame, in candidate order."""
     cols = set(df_columns)

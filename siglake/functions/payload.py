@@ -32,17 +32,21 @@ def _leaf_as_string(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
-def _map_lookup(m: Column, candidates: list[str]) -> Column:
+def _map_lookup(m: Column, candidates: list[str], non_empty: bool = False) -> Column:
     exprs = [F.try_element_at(m, F.lit(c)) for c in candidates]
+    if non_empty:
+        exprs = [F.when(e != F.lit(""), e) for e in exprs]
     return F.coalesce(*exprs) if len(exprs) > 1 else exprs[0]
 
 
-def payload_field(df: DataFrame, candidates: list[str], payload_col: str = "payload") -> Column:
-    """Expression for the first non-NULL candidate key inside the payload.
+def payload_field(df: DataFrame, candidates: list[str], payload_col: str = "payload",
+                  non_empty: bool = False) -> Column:
+    """Expression for the first non-NULL candidate key inside the payload
+    (first non-empty with ``non_empty``).
 
     The expression references the payload column exactly once, so Catalyst
     can inline it into a consumer and evaluate it only where it is needed
-    (e.g. in the fallback branch of a ``coalesce``).
+    (e.g. in the ELSE branch of a CASE).
     """
     if payload_col not in df.columns:
         return F.lit(None).cast("string")
@@ -50,7 +54,7 @@ def payload_field(df: DataFrame, candidates: list[str], payload_col: str = "payl
     p = F.col(payload_col)
     if isinstance(dtype, T.StringType):
         parsed = F.array(F.from_json(p, JSON_MAP))
-        return F.element_at(F.transform(parsed, lambda m: _map_lookup(m, candidates)), 1)
+        return F.element_at(F.transform(parsed, lambda m: _map_lookup(m, candidates, non_empty)), 1)
     if isinstance(dtype, T.StructType):
         fields = {f.name: f.dataType for f in dtype.fields}
         exprs = [_leaf_as_string(p.getField(c), fields[c]) for c in candidates if c in fields]
@@ -61,6 +65,8 @@ def payload_field(df: DataFrame, candidates: list[str], payload_col: str = "payl
         return F.lit(None).cast("string")
     if not exprs:
         return F.lit(None).cast("string")
+    if non_empty:
+        exprs = [F.when(e != F.lit(""), e) for e in exprs]
     return (F.coalesce(*exprs) if len(exprs) > 1 else exprs[0]).cast("string")
 
 

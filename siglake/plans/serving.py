@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from siglake.functions.routing import category_route
 from siglake.operators.aggregates import count_by, hourly_counts, recent, time_slice, total_count
-from siglake.functions.common import truthy
+from siglake.functions.common import first_non_empty
 from siglake.functions.payload import payload_field
 from siglake.operators.dedup import dedup_latest
 from siglake.operators.normalize import clean_events, to_canonical
@@ -89,9 +89,10 @@ def build_table(routed: DataFrame, category: str, columns: list[str] | None = No
     ingest = F.col("channel") if "channel" in slice_.columns else None
     canon = to_canonical(clean_events(slice_), category=F.lit(category), ingest_file=ingest)
     # Per-row key (F3): event_id, else ticket_id from the payload. The
-    # payload lookup is one self-contained expression in the second slot of
-    # a coalesce, so it is only evaluated for rows whose event_id is empty.
-    key = F.coalesce(truthy(F.col("event_id")), truthy(payload_field(canon, PAYLOAD_BINDINGS["ticket_id"])))
+    # payload lookup is one self-contained expression in the ELSE branch, so
+    # it is only evaluated for rows whose event_id is empty.
+    key = first_non_empty("event_id",
+                          payload_field(canon, PAYLOAD_BINDINGS["ticket_id"], non_empty=True))
     keyed = canon.withColumn(_KEY, key)
     keep = canon.columns if columns is None else \
         [c for c in canon.columns if c in set(columns) | {"event_timestamp"}]
@@ -99,11 +100,16 @@ def build_table(routed: DataFrame, category: str, columns: list[str] | None = No
     return out.select(*(columns if columns is not None else canon.columns))
 
 
+@driver.per_app
+def routed_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted, routed Kafka messages built from the driver inputs."""
+    return routed_messages(driver.kafka_messages(spark, sf_dir))
+
+
 def serving_table(spark: SparkSession, sf_dir: str, table: str,
                   columns: list[str] | None = None) -> DataFrame:
     """One of the five serving tables, built from the driver inputs."""
-    routed = routed_messages(driver.kafka_messages(spark, sf_dir))
-    return build_table(routed, TABLE_CATEGORIES[table], columns)
+    return build_table(routed_inputs(spark, sf_dir), TABLE_CATEGORIES[table], columns)
 
 
 def materialize(spark: SparkSession, sf_dir: str, out_dir: str,
