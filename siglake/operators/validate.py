@@ -24,39 +24,45 @@ def _str(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def violations(df: DataFrame) -> Column:
-    """Array of contract violations for each row (empty when strict)."""
-    checks = []
-    for name in REQUIRED:
-        checks.append(F.when(_str(df, name).isNull(), F.lit(f"missing {name}")))
+def _checks(df: DataFrame) -> list[tuple[Column, str]]:
+    """(failure condition, reason) pairs, cheapest first."""
+    checks = [(_str(df, name).isNull(), f"missing {name}") for name in REQUIRED]
     src = _str(df, "source")
-    checks.append(F.when(src.isNotNull() & ~src.isin(*SOURCE_DOMAIN), F.lit("source not in domain")))
+    checks.append((src.isNotNull() & ~src.isin(*SOURCE_DOMAIN), "source not in domain"))
     sev = _str(df, "severity")
-    checks.append(F.when(sev.isNotNull() & ~sev.isin(*SEVERITY_LEVELS), F.lit("severity not in domain")))
-    if "timestamp" in df.columns:
-        dt = df.schema["timestamp"].dataType
-        if isinstance(dt, T.StringType):
-            ts = F.col("timestamp")
-            checks.append(F.when(ts.isNotNull() & F.try_to_timestamp(ts).isNull(),
-                                 F.lit("unparseable timestamp")))
+    checks.append((sev.isNotNull() & ~sev.isin(*SEVERITY_LEVELS), "severity not in domain"))
+    if "timestamp" in df.columns and isinstance(df.schema["timestamp"].dataType, T.StringType):
+        ts = F.col("timestamp")
+        checks.append((ts.isNotNull() & F.try_to_timestamp(ts).isNull(), "unparseable timestamp"))
     if "payload" in df.columns and isinstance(df.schema["payload"].dataType, T.StringType):
         p = F.col("payload")
-        checks.append(F.when(p.isNotNull() & F.json_object_keys(p).isNull(),
-                             F.lit("payload not an object")))
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+        checks.append((p.isNotNull() & F.json_object_keys(p).isNull(), "payload not an object"))
+    return checks
+
+
+def violations(df: DataFrame) -> Column:
+    """Array of contract violations for each row (empty when strict)."""
+    return F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in _checks(df)]), lambda x: x.isNotNull())
 
 
 def validate_events(df: DataFrame) -> DataFrame:
-    """Add ``violations``, ``is_strict``, ``is_lenient``, ``accepted``, ``reject_reason``."""
-    v = violations(df)
-    out = df.withColumn("violations", v)
-    strict = F.size("violations") == 0
+    """Add ``is_strict``, ``is_lenient``, ``accepted`` and ``reject_reason``.
+
+    ``is_strict`` is a conjunction evaluated left to right with the cheap
+    null/domain tests first, so the JSON check on the payload only runs for
+    rows that passed everything else; the reason list is built only for
+    rejected rows.
+    """
+    strict = None
+    for cond, _ in _checks(df):
+        ok = F.coalesce(~cond, F.lit(False))
+        strict = ok if strict is None else (strict & ok)
     lenient = _str(df, "source").isNotNull() & _str(df, "node_id").isNotNull()
-    out = out.withColumns({"is_strict": strict, "is_lenient": lenient})
-    out = out.withColumn("accepted", F.col("is_strict") | F.col("is_lenient"))
+    out = df.withColumns({"is_strict": strict, "is_lenient": lenient})
+    out = out.withColumn("accepted", F.col("is_lenient") | F.col("is_strict"))
     return out.withColumn(
         "reject_reason",
-        F.when(~F.col("accepted"), F.array_join("violations", "; ")))
+        F.when(~F.col("accepted"), F.array_join(violations(df), "; ")))
 
 
 def accepted(df: DataFrame) -> DataFrame:
