@@ -59,11 +59,34 @@ def panel_queries() -> dict[str, QueryFn]:
     return out
 
 
+def in_utc(fn: QueryFn) -> QueryFn:
+    """Declare the query with the session zone pinned to UTC.
+
+    Time-zone-aware expressions (casts between TIMESTAMP and TIMESTAMP_NTZ,
+    hour truncation, date formatting) bind the session zone when the plan is
+    analysed, so a plan declared here gives UTC results even when the
+    caller's session uses another zone; the caller's setting is restored.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = "spark.sql.session.timeZone"
+        prev = spark.conf.get(key)
+        spark.conf.set(key, "UTC")
+        try:
+            df = fn(spark, sf_dir)
+            df._jdf.queryExecution().analyzed()
+            return df
+        finally:
+            spark.conf.set(key, prev)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
 def all_queries() -> dict[str, QueryFn]:
     from siglake.plans import queries as q
     out = panel_queries()
     out.update(q.operator_queries())
-    return out
+    return {k: in_utc(v) for k, v in out.items()}
 
 
 def all_oracles() -> dict[str, str]:

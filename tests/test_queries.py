@@ -34,3 +34,18 @@ def test_queries_match_oracle(spark):
     report = compare(spark, SF_DIR, verbose=False)
     bad = {k: v for k, v in report.items() if not v["ok"]}
     assert not bad, bad
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    """A caller's session in a zone with midnight DST switches gets UTC results."""
+    from siglake.plans.verify import compare
+    key = "spark.sql.session.timeZone"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "America/Sao_Paulo")
+    try:
+        names = ["tickets_hourly", "performance_metrics_hourly", "event_time_resolve",
+                 "connector_normalize", "recent_alarms"]
+        report = compare(spark, SF_DIR, names, verbose=False)
+    finally:
+        spark.conf.set(key, prev)
+    assert all(v["ok"] for v in report.values()), report
