@@ -140,3 +140,18 @@ def job_summary(runs: DataFrame) -> DataFrame:
         F.round(F.avg(dur), 2).alias("avg_duration_seconds"),
         wall_clock(F.max("completed_at")).alias("last_completed_at"),
     )
+
+
+def service_counters(messages: DataFrame, uploads: DataFrame) -> DataFrame:
+    """E13 (re-aimed): ``(counter, value)`` - events processed, REST records
+    collected, files uploaded - from the message and upload tables instead
+    of process-global counters. One scan of each input: every message row
+    emits the counters it contributes to, then one grouped count.
+    """
+    ok = F.col("source").isNotNull() & F.col("node_id").isNotNull()
+    tags = F.array_compact(F.array(
+        F.when(ok, F.lit("events_processed")),
+        F.when(ok & (F.col("channel") == "rest"), F.lit("rest_records_collected"))))
+    m = messages.select(F.explode(tags).alias("counter"))
+    u = uploads.where(F.col("status") == "SUCCESS").select(F.lit("files_uploaded").alias("counter"))
+    return fan_in([m, u]).groupBy("counter").agg(F.count(F.lit(1)).alias("value"))

@@ -82,21 +82,34 @@ def quarantine(df: DataFrame) -> DataFrame:
             .drop("is_strict", "is_lenient", "accepted"))
 
 
+DEFAULT_CAP_SALTS = 256
+
+
 def cap_per_group(df: DataFrame, group_cols: list[str], order_col: str, k: int,
-                  dense_index: bool = False) -> DataFrame:
-    """At most ``k`` rows per group, in ``order_col`` order.
+                  dense_index: bool = False, salts: int = DEFAULT_CAP_SALTS) -> DataFrame:
+    """At most ``k`` rows per group, the first ``k`` in ``order_col`` order.
 
     When ``order_col`` is already a dense 0-based position inside the group
     (``posexplode`` output, a parsed row number) the cap is a plain filter:
-    no shuffle, no sort, and a huge group costs nothing extra. Otherwise a
-    ``row_number`` window ranks the rows, with the group key and order column
-    as the total order.
+    no shuffle, no sort, and a huge group costs nothing extra.
+
+    Otherwise a two-phase top-k keeps a hot group off a single task: rows
+    are first ranked inside ``(group, salt)`` sub-groups, where the salt is a
+    hash of the row, and only each sub-group's first ``k`` survive; the final
+    rank then runs over at most ``k * salts`` candidates per group. Ties in
+    ``order_col`` are broken by the row hash so the result is deterministic.
     """
     if dense_index:
         return df.where(F.col(order_col) < F.lit(k))
-    w = Window.partitionBy(*group_cols).orderBy(F.col(order_col).asc_nulls_last())
-    return (df.withColumn("__rn", F.row_number().over(w))
-            .where(F.col("__rn") <= F.lit(k)).drop("__rn"))
+    cols = df.columns
+    h = F.xxhash64(*[F.col(c) for c in cols])
+    staged = df.withColumns({"__h": h, "__salt": F.pmod(h, F.lit(salts))})
+    order = [F.col(order_col).asc_nulls_last(), F.col("__h").asc()]
+    w1 = Window.partitionBy(*group_cols, "__salt").orderBy(*order)
+    cand = staged.withColumn("__rn", F.row_number().over(w1)).where(F.col("__rn") <= F.lit(k))
+    w2 = Window.partitionBy(*group_cols).orderBy(*order)
+    return (cand.withColumn("__rn", F.row_number().over(w2))
+            .where(F.col("__rn") <= F.lit(k)).select(*cols))
 
 
 def lookup_by_id(df: DataFrame, id_col: str, value) -> DataFrame:

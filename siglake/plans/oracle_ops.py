@@ -210,6 +210,14 @@ SELECT COUNT(*) AS total_runs,
          AS avg_duration_seconds,
        max(finished) AS last_completed_at
 FROM runs""",
+        "service_counters": _w(MSG, FILES, HISTORY) + """
+SELECT 'events_processed' AS counter, COUNT(*) AS value FROM messages
+  WHERE source IS NOT NULL AND node_id IS NOT NULL
+UNION ALL
+SELECT 'rest_records_collected', COUNT(*) FROM messages
+  WHERE source IS NOT NULL AND node_id IS NOT NULL AND channel = 'rest'
+UNION ALL
+SELECT 'files_uploaded', COUNT(*) FROM hist WHERE status = 'SUCCESS'""",
         "top_regions": _w(PERF_RECORDS) + (
             f"SELECT region, round(avg(h), 2) AS avg_health_score FROM "
             f"(SELECT region, {HEALTH} AS h FROM perf_records) GROUP BY region "

@@ -191,6 +191,12 @@ def q_job_summary(spark, sf_dir):
     return summaries.job_summary(summaries.run_log(m))
 
 
+def q_service_counters(spark, sf_dir):
+    """Service counters from the message and upload tables."""
+    return summaries.service_counters(driver.kafka_messages(spark, sf_dir),
+                                      driver.upload_history(spark, sf_dir))
+
+
 def q_top_regions(spark, sf_dir):
     return summaries.top_regions(driver.performance_records(spark, sf_dir))
 
@@ -277,6 +283,7 @@ def operator_queries():
         "ingestion_summary": q_ingestion_summary,
         "profile": q_profile,
         "job_summary": q_job_summary,
+        "service_counters": q_service_counters,
         "top_regions": q_top_regions,
         "dedup_latest": q_dedup_latest,
         "dedup_null_safe": q_dedup_null_safe,

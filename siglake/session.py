@@ -44,11 +44,13 @@ def get_session(master: str | None = None, app: str = "siglake",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object-store)
-    folder; we read it from the session and never replace it. Tests and local
-    runs have none, so a fresh scratch folder is created and registered.
+    folder; it is read from the session and never replaced, and a cluster
+    session without it is an error (a machine-local folder would vanish with
+    the executor that wrote it). Only a ``local[...]`` session (tests, local
+    runs) gets a fresh scratch folder registered when none is set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster session")
     local = tempfile.mkdtemp(prefix="siglake-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

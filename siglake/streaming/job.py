@@ -105,8 +105,12 @@ def start_source(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig,
 
 
 def start_all(spark: SparkSession, specs, cfg: StreamConfig, schemas: dict | None = None) -> list[StreamingQuery]:
-    """Start every registry source; a source that cannot start raises."""
-    spark.conf.set("spark.scheduler.mode", "FAIR")
+    """Start every registry source; a source that cannot start raises.
+
+    Each query's batches run in the scheduler pool named after its category;
+    build the session with ``spark.scheduler.mode=FAIR`` (a static setting)
+    for the pools to share the cluster fairly.
+    """
     return [start_source(spark, s, cfg, (schemas or {}).get(s.category, UNIFIED_EVENT)) for s in specs]
 
 
@@ -131,7 +135,8 @@ def dedup_within_watermark(df: DataFrame, delay: str = "1 hour",
     """F2: drop repeats of an id seen within ``delay`` across micro-batches.
 
     State per id lives until the watermark passes its first event time plus
-    ``delay``; rows without any id are never treated as repeats.
+    ``delay``. A row without any id is keyed by its whole content, so only a
+    byte-identical copy of it counts as a repeat.
     """
     ids = [c for c in (id_candidates or ID_CANDIDATES) if c in df.columns]
     with_ts = df.withColumns({

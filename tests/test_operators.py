@@ -115,6 +115,18 @@ def test_dedup_with_map_payload_uses_max_by(spark):
 
 
 # --- caps, lookups -----------------------------------------------------------
+def test_cap_per_group_hot_group_is_salted(spark):
+    # one file holds most rows; the result is the first 500 of it by order, exactly
+    rows = [("hot", i) for i in range(5000)] + [("cold", i) for i in range(10)]
+    df = spark.createDataFrame(rows, "file string, pos int").repartition(4)
+    out = cap_per_group(df, ["file"], "pos", 500, salts=16)
+    got = {r["file"]: sorted(x["pos"] for x in out.where(F.col("file") == r["file"]).collect())
+           for r in out.select("file").distinct().collect()}
+    assert got["hot"] == list(range(500)) and got["cold"] == list(range(10))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan        # the first ranking is partitioned by (file, salt)
+
+
 def test_cap_per_group_dense_and_window_agree(spark):
     rows = [("f1", i) for i in range(700)] + [("f2", i) for i in range(3)]
     df = spark.createDataFrame(rows, "file string, row_idx int")

@@ -94,3 +94,25 @@ def test_hourly_window_counts_closed_windows(spark, scratch):
     batch = read_json(spark, os.path.join(land, "raw/kafka/alarms"), UNIFIED_EVENT)
     b = batch.groupBy(F.date_trunc("hour", F.try_to_timestamp("timestamp")).alias("h")).count()
     assert b.count() == 4
+
+
+def test_start_all_json_and_csv_sources(spark, scratch):
+    from siglake.schemas import UPLOAD_EVENT
+    land = os.path.join(scratch, "land")
+    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z")])
+    write_file(land, "raw/uploads/csv/u1.csv",
+               "event_id,source,timestamp,severity,filename,payload\n"
+               "UPLOAD-1-0,UPLOAD_CSV,2026-08-06T10:00:00Z,INFO,a.csv,\n"
+               "UPLOAD-1-1,UPLOAD_CSV,2026-08-06T11:00:00Z,INFO,a.csv,\n")
+    cfg = _cfg(scratch)
+    specs = [SOURCES[0], [s for s in SOURCES if s.category == "uploads_csv"][0]]
+    qs = job.start_all(spark, specs, cfg, schemas={"uploads_csv": UPLOAD_EVENT})
+    for q in qs:
+        q.awaitTermination(120)
+        assert q.exception() is None
+    job.stop_all(qs)
+    assert sorted(q.name for q in qs) == ["query_alarms", "query_uploads_csv"]
+    up = read_serving(spark, os.path.join(cfg.output_root, "network_events", "source=uploads_csv"))
+    assert sorted(r["event_id"] for r in up.collect()) == ["UPLOAD-1-0", "UPLOAD-1-1"]
+    assert {r["category"] for r in up.collect()} == {"uploads_csv"}
+    assert all(not q.isActive for q in qs)
