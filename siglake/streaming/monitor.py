@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -23,11 +24,16 @@ def _parse_ts(s: str | None):
 
 
 class RunLogListener(StreamingQueryListener):
-    """Collects batch progress (name, batch id, rows, duration) and failures."""
+    """Collects batch progress (name, batch id, rows, duration) and failures.
 
-    def __init__(self):
+    The driver keeps at most ``max_rows`` recent rows (one per micro-batch);
+    ``flush`` appends them to a run-log table and clears the buffer, so a
+    long-running job's history lives in storage, not in driver memory.
+    """
+
+    def __init__(self, max_rows: int = 10_000):
         self._lock = threading.Lock()
-        self.rows: list[tuple] = []
+        self.rows: deque = deque(maxlen=max_rows)
         self.failures: dict[str, str] = {}
 
     def onQueryStarted(self, event):  # noqa: N802 (Spark API name)
@@ -58,6 +64,15 @@ class RunLogListener(StreamingQueryListener):
             rows = list(self.rows)
         return spark.createDataFrame(rows, RUN_LOG)
 
+    def flush(self, spark: SparkSession, path: str) -> int:
+        """Append the buffered rows to the run-log table at ``path``; return how many."""
+        with self._lock:
+            rows = list(self.rows)
+            self.rows.clear()
+        if rows:
+            spark.createDataFrame(rows, RUN_LOG).write.mode("append").parquet(path)
+        return len(rows)
+
 
 def attach(spark: SparkSession) -> RunLogListener:
     listener = RunLogListener()

@@ -51,6 +51,9 @@ def test_stream_equals_batch(spark, scratch):
     assert set(r["batch_id"] for r in out.select("batch_id").collect()) == {0, 1}   # one file per trigger
     log = listener.run_log(spark)
     assert log.where("records_processed > 0").count() >= 2
+    n = listener.flush(spark, os.path.join(scratch, "runlog"))
+    assert n >= 2 and spark.read.parquet(os.path.join(scratch, "runlog")).count() == n
+    assert listener.run_log(spark).count() == 0
     spark.streams.removeListener(listener)
 
 
