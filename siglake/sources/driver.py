@@ -73,23 +73,24 @@ def per_app(fn):
     return wrapper
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Hash-distribute a scan over ``defaultParallelism`` partitions when it
     has fewer splits than cores and is big enough for that to pay.
 
     On a cluster reading many files the scan already has thousands of splits
     and this is a no-op; it matters for small inputs stored as one row group,
     where every per-row expression would otherwise run in a single task.
-    ``key`` should be a near-unique column (the table's own id): hashing it
-    balances the partitions and, unlike a round-robin split, needs no sort
-    to make a retried task reproduce the same rows.
+    The hash covers every selected column, so a value repeated in a third of
+    the rows (a hot id, a NULL) cannot pile those rows into one partition,
+    and unlike a round-robin split it needs no sort to make a retried task
+    reproduce the same rows.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if n < cores and int(str(size)) >= MIN_SPREAD_BYTES:
-        return df.repartition(cores, F.col(key))
+        return df.repartition(cores, F.xxhash64(*[F.col(c) for c in df.columns]))
     return df
 
 
@@ -102,9 +103,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def big_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """A fact table pruned to ``columns`` (the first is its id) and spread over
-    the cores if needed."""
-    return spread(table(spark, sf_dir, name).select(*columns), columns[0])
+    """A fact table pruned to ``columns`` and spread over the cores if needed."""
+    return spread(table(spark, sf_dir, name).select(*columns))
 
 
 def _pick(values: list, index: Column) -> Column:
