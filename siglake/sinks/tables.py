@@ -31,17 +31,13 @@ def write_batch_idempotent(df: DataFrame, path: str, batch_id: int,
 
     Output goes to ``batch_id=<n>/event_date=<d>`` with dynamic partition
     overwrite, so a retried micro-batch replaces its own files instead of
-    appending them twice.
+    appending them twice. The overwrite mode is a per-write option, not a
+    session setting, so concurrent streams sharing a session cannot race.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn("batch_id", F.lit(int(batch_id)))
-           .hint("rebalance", partition_col)
-           .write.mode("overwrite").partitionBy("batch_id", partition_col).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn("batch_id", F.lit(int(batch_id)))
+       .hint("rebalance", partition_col)
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id", partition_col).parquet(path))
 
 
 def read_serving(spark: SparkSession, path: str, with_batch_id: bool = False) -> DataFrame:

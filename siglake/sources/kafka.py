@@ -37,5 +37,6 @@ def decode_messages(df: DataFrame, schema: T.StructType = UNIFIED_EVENT) -> Data
     text = F.col("value").cast("string")
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
     cols = [parsed.getField(f.name).alias(f.name) for f in schema.fields]
-    extra = [c for c in ("partition", "offset", "timestamp") if c in df.columns and c != "timestamp"]
-    return df.select(*cols, F.col("topic"), text.alias("raw_value"), *extra)
+    # Kafka's own record metadata, renamed where it would clash with event fields.
+    meta = [F.col(c).alias(f"kafka_{c}") for c in ("partition", "offset", "timestamp") if c in df.columns]
+    return df.select(*cols, F.col("topic"), text.alias("raw_value"), *meta)

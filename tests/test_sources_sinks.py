@@ -68,10 +68,14 @@ def test_envelopes(spark, scratch):
 def test_kafka_decode_and_encode(spark):
     msgs = spark.createDataFrame([
         ("telecom-alarms", bytearray(json.dumps({"event_id": "e1", "source": "Alarm Events", "node_id": "n",
-                                                 "payload": {"vendor": "Nokia"}}).encode())),
-        ("tickets", bytearray(b"not json")),
-    ], "topic string, value binary")
+                                                 "timestamp": "2026-08-06T12:00:00Z",
+                                                 "payload": {"vendor": "Nokia"}}).encode()), 3),
+        ("tickets", bytearray(b"not json"), 4),
+    ], "topic string, value binary, offset long").withColumn(
+        "timestamp", F.lit("2026-08-07 00:00:00").cast("timestamp"))
     d = decode_messages(msgs).orderBy("topic").collect()
+    assert d[0]["timestamp"] == "2026-08-06T12:00:00Z" and d[0]["kafka_offset"] == 3
+    assert str(d[0]["kafka_timestamp"]) == "2026-08-07 00:00:00"
     assert d[0]["event_id"] == "e1" and json.loads(d[0]["payload"]) == {"vendor": "Nokia"}
     assert d[1]["event_id"] is None and d[1]["raw_value"] == "not json"
     enc = encode_messages(spark.createDataFrame([("e1", "x", "network-events")], "event_id string, a string, topic string"))
