@@ -81,9 +81,15 @@ def read_or_empty(spark: SparkSession, read_fn, path: str, schema: T.StructType)
 
 
 def stream_json(spark: SparkSession, path: str, schema: T.StructType = UNIFIED_EVENT,
-                max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """A1: streaming JSON directory (recursive, multiline, rate-limited)."""
-    r = _json_reader(spark.readStream, schema).option("maxFilesPerTrigger", max_files)
+                max_files: int = MAX_FILES_PER_TRIGGER, multiline: bool = True) -> DataFrame:
+    """A1: streaming JSON directory (recursive, rate-limited).
+
+    ``multiline=True`` reads one document per file (a pretty-printed object
+    or array); ``False`` reads JSON lines, where a line holding an array
+    still yields one row per element. Reading JSON lines in multiline mode
+    would keep only each file's first record, so the mode is per source.
+    """
+    r = _json_reader(spark.readStream, schema, multiline).option("maxFilesPerTrigger", max_files)
     return with_file_info(r.json(path))
 
 
@@ -115,28 +121,37 @@ class SourceSpec:
     category: str
     table: str
     fmt: str           # "json" | "csv"
+    multiline: bool = True   # JSON: one document per file (True) or JSON lines (False)
 
 
-# Landing directory -> category -> serving table.
+# Landing directory -> category -> serving table. Message
+# folders are the ingest writer's output (``streaming.ingest`` lands JSON
+# lines under raw/kafka/category=<c>/); REST envelopes and uploaded JSON
+# files are whole documents. A legacy layout is read with its own SourceSpec.
 SOURCES = (
-    SourceSpec("raw/kafka/alarms", "alarms", "alarms", "json"),
-    SourceSpec("raw/kafka/tickets", "tickets", "tickets", "json"),
-    SourceSpec("raw/kafka/network", "network", "network_events", "json"),
-    SourceSpec("raw/kafka/security", "security", "security_events", "json"),
-    SourceSpec("raw/kafka/performance", "performance", "performance_metrics", "json"),
-    SourceSpec("raw/rest", "rest", "network_events", "json"),
+    SourceSpec("raw/kafka/category=alarms", "alarms", "alarms", "json", False),
+    SourceSpec("raw/kafka/category=tickets", "tickets", "tickets", "json", False),
+    SourceSpec("raw/kafka/category=network", "network", "network_events", "json", False),
+    SourceSpec("raw/kafka/category=security", "security", "security_events", "json", False),
+    SourceSpec("raw/kafka/category=performance", "performance", "performance_metrics", "json", False),
+    SourceSpec("raw/rest", "rest", "network_events", "json", True),
     SourceSpec("raw/uploads/csv", "uploads_csv", "network_events", "csv"),
-    SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json"),
+    SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json", True),
 )
 
 
 def open_source(spark: SparkSession, spec: SourceSpec, root: str, schema: T.StructType,
-                streaming: bool = True, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Open one registry source. An unknown format is an error, not a warning."""
+                streaming: bool = True, max_files: int = MAX_FILES_PER_TRIGGER,
+                multiline: bool | None = None) -> DataFrame:
+    """Open one registry source. An unknown format is an error, not a warning.
+
+    ``multiline`` overrides the spec (e.g. to read legacy landings written as
+    one pretty-printed document per file)."""
     path = f"{root.rstrip('/')}/{spec.path}"
+    ml = spec.multiline if multiline is None else multiline
     if spec.fmt == "json":
-        return stream_json(spark, path, schema, max_files) if streaming else \
-            read_or_empty(spark, lambda s, p, sc: read_json(s, p, sc), path, schema)
+        return stream_json(spark, path, schema, max_files, ml) if streaming else \
+            read_or_empty(spark, lambda s, p, sc: read_json(s, p, sc, ml), path, schema)
     if spec.fmt == "csv":
         return stream_csv(spark, path, schema, max_files) if streaming else \
             read_or_empty(spark, lambda s, p, sc: read_csv(s, p, sc), path, schema)

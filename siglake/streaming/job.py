@@ -41,6 +41,7 @@ class StreamConfig:
     dedup: str = "batch"                   # "batch" | "watermark"
     watermark: str = "1 hour"
     table_prefix: str | None = None        # e.g. "noc." to also append to catalog tables
+    json_multiline: bool | None = None     # override the per-source JSON mode
 
 
 def clean_batch(df: DataFrame, category: str) -> DataFrame:
@@ -86,7 +87,7 @@ def checkpoint_location(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec
 
 def source_frame(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig, schema=UNIFIED_EVENT) -> DataFrame:
     df = open_source(spark, spec, cfg.landing_root, schema, streaming=True,
-                     max_files=cfg.max_files_per_trigger)
+                     max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
     if cfg.dedup == "watermark":
         df = dedup_within_watermark(df, cfg.watermark)
     return df

@@ -19,7 +19,7 @@ def _event(i, ts, sev="MAJOR", vendor="Nokia"):
 
 
 def _land(root, name, events):
-    write_file(root, f"raw/kafka/alarms/{name}.json", json.dumps(events))
+    write_file(root, f"raw/kafka/category=alarms/{name}.json", json.dumps(events))
 
 
 def _cfg(scratch, **kw):
@@ -29,8 +29,8 @@ def _cfg(scratch, **kw):
                             trigger_seconds=None, max_files_per_trigger=1, **kw)
 
 
-def _run(spark, cfg):
-    q = job.start_source(spark, SOURCES[0], cfg)
+def _run(spark, cfg, spec=SOURCES[0]):
+    q = job.start_source(spark, spec, cfg)
     q.awaitTermination(120)
     assert q.exception() is None
     return q
@@ -44,7 +44,8 @@ def test_stream_equals_batch(spark, scratch):
     listener = monitor.attach(spark)
     _run(spark, cfg)
     out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "source=alarms"), with_batch_id=True)
-    batch = job.clean_batch(read_json(spark, os.path.join(land, "raw/kafka/alarms"), UNIFIED_EVENT), "alarms")
+    batch = job.clean_batch(read_json(spark, os.path.join(land, "raw/kafka/category=alarms"), UNIFIED_EVENT,
+                                      multiline=False), "alarms")
     cols = ["event_id", "severity_clean", "event_date", "vendor"]
     assert sorted(map(tuple, out.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
     assert out.where("event_id = 'ALM-3'").first()["severity_clean"] == "CRITICAL"  # newest copy kept
@@ -94,7 +95,7 @@ def test_hourly_window_counts_closed_windows(spark, scratch):
     got = {str(r["window_start"]): r["events"] for r in spark.sql("SELECT * FROM hourly_test").collect()}
     assert got == {"2026-08-06 10:00:00": 3, "2026-08-06 11:00:00": 3, "2026-08-06 12:00:00": 3}
     # the 20:00 window is still open (watermark not past its end) and is not emitted
-    batch = read_json(spark, os.path.join(land, "raw/kafka/alarms"), UNIFIED_EVENT)
+    batch = read_json(spark, os.path.join(land, "raw/kafka/category=alarms"), UNIFIED_EVENT, multiline=False)
     b = batch.groupBy(F.date_trunc("hour", F.try_to_timestamp("timestamp")).alias("h")).count()
     assert b.count() == 4
 
@@ -119,3 +120,44 @@ def test_start_all_json_and_csv_sources(spark, scratch):
     assert sorted(r["event_id"] for r in up.collect()) == ["UPLOAD-1-0", "UPLOAD-1-1"]
     assert {r["category"] for r in up.collect()} == {"uploads_csv"}
     assert all(not q.isActive for q in qs)
+
+
+def test_message_ingestion_stream(spark, scratch):
+    from siglake.streaming import ingest
+    recs = [
+        {"topic": "telecom-alarms", "value": json.dumps(_event(1, "2026-08-06T10:00:00Z"))},
+        {"topic": "telecom-events", "value": json.dumps({"event_id": "x-1", "source": "Comarch OSS",
+                                                         "event_type": "CellTowerDown", "node_id": "n9"})},
+        {"topic": "telecom-events", "value": json.dumps({"event_id": "evt-9912"})},     # rejected
+        {"topic": "tickets", "value": "not json"},                                      # rejected
+    ]
+    write_file(scratch, "kafka/part-0.json", "\n".join(json.dumps(r) for r in recs))
+    land, quar = os.path.join(scratch, "land", "raw", "kafka"), os.path.join(scratch, "quarantine")
+    stream = ingest.json_record_stream(spark, os.path.join(scratch, "kafka"))
+    q = ingest.start_ingest(stream, land, quar, os.path.join(scratch, "ck"), trigger_seconds=None)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    landed = spark.read.json(land)
+    cats = {r["event_id"]: r["category"] for r in landed.select("event_id", "category").collect()}
+    assert cats == {"ALM-1": "alarms", "x-1": "network"}
+    bad = spark.read.parquet(quar).select("raw_value", "reject_reason").collect()
+    assert len(bad) == 2
+    assert any(r["raw_value"] == "not json" for r in bad)
+    assert all("missing source" in r["reject_reason"] for r in bad)
+    # the landed layout is exactly what the landing-zone job reads back
+    cfg = _cfg(scratch)
+    _run(spark, cfg)
+    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    assert [(r["event_id"], r["severity_clean"]) for r in out.collect()] == [("ALM-1", "MAJOR")]
+
+
+def test_legacy_pretty_printed_landing(spark, scratch):
+    land = os.path.join(scratch, "land")
+    for i in range(3):
+        write_file(land, f"raw/kafka/alarms/2026/08/06/{i}.json",
+                   json.dumps(_event(i, "2026-08-06T10:00:00Z"), indent=2))
+    from siglake.sources.files import SourceSpec
+    cfg = _cfg(scratch, json_multiline=True)
+    _run(spark, cfg, SourceSpec("raw/kafka/alarms", "alarms", "alarms", "json", True))
+    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    assert sorted(r["event_id"] for r in out.collect()) == ["ALM-0", "ALM-1", "ALM-2"]
