@@ -70,6 +70,8 @@ def in_utc(fn: QueryFn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = "spark.sql.session.timeZone"
         prev = spark.conf.get(key)
+        if prev == "UTC":                    # the usual case: nothing to pin
+            return fn(spark, sf_dir)
         spark.conf.set(key, "UTC")
         try:
             df = fn(spark, sf_dir)
