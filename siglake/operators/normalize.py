@@ -38,6 +38,14 @@ def clean_events(df: DataFrame, fallback_time: Column | None = None,
     return bind_payload_fields(out, PAYLOAD_BINDINGS if bindings is None else bindings)
 
 
+# Connector candidate fields, in rule order.
+CONNECTOR_ID_FIELDS = ["alarm_id", "ticket_id", "event_id", "metric_id"]
+CONNECTOR_SEVERITY_FIELDS = ["severity", "threat_level", "priority"]
+CONNECTOR_NODE_FIELDS = ["tower_id", "device_id", "target_device", "site_id"]
+CONNECTOR_TYPE_FIELDS = ["alarm_type", "category", "event_type"]
+CONNECTOR_TIME_FIELDS = ["timestamp", "created_at"]
+
+
 def _typed_time_candidates(df: DataFrame, names: list[str]) -> list[Column] | None:
     """Typed timestamp candidates, or None if any candidate is not a time type."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -62,18 +70,18 @@ def connector_normalize(df: DataFrame, category: str, now: Column | None = None)
     cols = df.columns
     payload = F.to_json(F.struct(*[F.col(c) for c in cols]))
     cat_up = category.upper()
-    ids = present(cols, ["alarm_id", "ticket_id", "event_id", "metric_id"])
+    ids = present(cols, CONNECTOR_ID_FIELDS)
     fallback_id = F.concat(F.lit(f"EXT-{cat_up}-"), F.xxhash64(payload).cast("string"))
     event_id = first_truthy(*ids, default=fallback_id)
-    sev_cols = present(cols, ["severity", "threat_level", "priority"])
+    sev_cols = present(cols, CONNECTOR_SEVERITY_FIELDS)
     severity = connector_severity(*sev_cols) if sev_cols else F.lit("INFO")
-    node_id = first_truthy(*present(cols, ["tower_id", "device_id", "target_device", "site_id"]),
+    node_id = first_truthy(*present(cols, CONNECTOR_NODE_FIELDS),
                            default=CONNECTOR_DEFAULT_NODE)
     region = first_truthy(*present(cols, ["region"]), default=CONNECTOR_DEFAULT_REGION)
-    event_type = first_truthy(*present(cols, ["alarm_type", "category", "event_type"]),
+    event_type = first_truthy(*present(cols, CONNECTOR_TYPE_FIELDS),
                               default=f"REST_{category}")
     now_col = now if now is not None else F.current_timestamp()
-    ts_names = present(cols, ["timestamp", "created_at"])
+    ts_names = present(cols, CONNECTOR_TIME_FIELDS)
     typed = _typed_time_candidates(df, ts_names) if ts_names else None
     if typed is not None:
         timestamp = F.coalesce(*typed, now_col)
@@ -93,6 +101,39 @@ def connector_normalize(df: DataFrame, category: str, now: Column | None = None)
     )
 
 
+def connector_normalize_json(df: DataFrame, record_col: str, category: Column,
+                             fallback_time: Column | None = None) -> DataFrame:
+    """C10-C12 on records held as JSON text (exploded REST envelopes).
+
+    The record is parsed once into ``map<string,string>``; each unified key
+    is the first non-empty candidate field, with the connector's defaults.
+    ``category`` is a column (e.g. the envelope's target system).
+    """
+    from siglake.functions.payload import JSON_MAP
+
+    rec = F.col(record_col)
+    m = F.col("__rec_map")
+
+    def look(names):
+        return F.coalesce(*[F.when(F.try_element_at(m, F.lit(n)) != F.lit(""),
+                                   F.try_element_at(m, F.lit(n))) for n in names])
+
+    cat_up = F.upper(category)
+    fallback_id = F.concat(F.lit("EXT-"), cat_up, F.lit("-"), F.xxhash64(rec).cast("string"))
+    sev = connector_severity(*[F.try_element_at(m, F.lit(n)) for n in CONNECTOR_SEVERITY_FIELDS])
+    when = fallback_time if fallback_time is not None else F.current_timestamp()
+    return df.withColumn("__rec_map", F.from_json(rec, JSON_MAP)).select(
+        F.coalesce(look(CONNECTOR_ID_FIELDS), fallback_id).alias("event_id"),
+        F.concat(F.lit("REST_"), cat_up).alias("source"),
+        F.coalesce(look(CONNECTOR_TYPE_FIELDS), F.concat(F.lit("REST_"), category)).alias("event_type"),
+        F.coalesce(look(CONNECTOR_TIME_FIELDS), when.cast("string")).alias("timestamp"),
+        sev.alias("severity"),
+        F.coalesce(look(CONNECTOR_NODE_FIELDS), F.lit(CONNECTOR_DEFAULT_NODE)).alias("node_id"),
+        F.coalesce(look(["region"]), F.lit(CONNECTOR_DEFAULT_REGION)).alias("region"),
+        rec.alias("payload"),
+    )
+
+
 def upload_events(records: DataFrame, file_type: Column, sha256: Column, uploaded_at: Column,
                   filename: Column, row_idx: Column, record_cols: list[str]) -> DataFrame:
     """C14: one upload event per parsed record.

@@ -122,6 +122,7 @@ class SourceSpec:
     table: str
     fmt: str           # "json" | "csv"
     multiline: bool = True   # JSON: one document per file (True) or JSON lines (False)
+    kind: str = "events"     # "events" (unified rows) | "envelopes" (REST collector files)
 
 
 # Landing directory -> category -> serving table. Message
@@ -134,7 +135,7 @@ SOURCES = (
     SourceSpec("raw/kafka/category=network", "network", "network_events", "json", False),
     SourceSpec("raw/kafka/category=security", "security", "security_events", "json", False),
     SourceSpec("raw/kafka/category=performance", "performance", "performance_metrics", "json", False),
-    SourceSpec("raw/rest", "rest", "network_events", "json", True),
+    SourceSpec("raw/rest", "rest", "network_events", "json", True, "envelopes"),
     SourceSpec("raw/uploads/csv", "uploads_csv", "network_events", "csv"),
     SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json", True),
 )

@@ -85,9 +85,35 @@ def checkpoint_location(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec
     return shared_path(spark, "streams", spec.category)
 
 
+def envelope_events(env: DataFrame) -> DataFrame:
+    """A8 + F6 + C10-C12: REST envelopes -> one unified event per record.
+
+    The platform streamed envelopes unexploded, so a whole collection became
+    one row. Here each record is exploded (empty ``data`` gives no rows) and
+    normalised by the connector rules, with the envelope's target system as
+    the category and its collection time as the fallback event time.
+    """
+    from siglake.operators.normalize import connector_normalize_json
+    from siglake.operators.reshape import explode_envelope
+
+    rows = explode_envelope(env, keep=["target_system", "collected_at_utc", "ingest_file",
+                                       "file_modified_at"])
+    category = F.regexp_replace(F.lower(F.coalesce("target_system", F.lit("rest"))), " ", "_")
+    out = connector_normalize_json(rows.withColumn("__cat", category), "record", F.col("__cat"),
+                                   fallback_time=F.coalesce(F.try_to_timestamp("collected_at_utc"),
+                                                            F.col("file_modified_at")))
+    return out
+
+
 def source_frame(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig, schema=UNIFIED_EVENT) -> DataFrame:
-    df = open_source(spark, spec, cfg.landing_root, schema, streaming=True,
-                     max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
+    if spec.kind == "envelopes":
+        from siglake.schemas import REST_ENVELOPE
+        env = open_source(spark, spec, cfg.landing_root, REST_ENVELOPE, streaming=True,
+                          max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
+        df = envelope_events(env)
+    else:
+        df = open_source(spark, spec, cfg.landing_root, schema, streaming=True,
+                         max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
     if cfg.dedup == "watermark":
         df = dedup_within_watermark(df, cfg.watermark)
     return df

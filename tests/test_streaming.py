@@ -161,3 +161,26 @@ def test_legacy_pretty_printed_landing(spark, scratch):
     _run(spark, cfg, SourceSpec("raw/kafka/alarms", "alarms", "alarms", "json", True))
     out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "source=alarms"))
     assert sorted(r["event_id"] for r in out.collect()) == ["ALM-0", "ALM-1", "ALM-2"]
+
+
+def test_rest_envelopes_are_exploded_and_normalised(spark, scratch):
+    land = os.path.join(scratch, "land")
+    env = {"target_system": "ServiceNow", "url": "http://x/api", "pages_fetched": 1, "total_records": 3,
+           "collected_at_utc": "2026-08-06T12:00:00Z",
+           "data": [{"ticket_id": "INC-1", "priority": "P1", "site_id": "S-9", "created_at": "2026-08-06T08:00:00Z"},
+                    {"ticket_id": "INC-2", "priority": "3 - Medium"},
+                    {"status": "ACTIVE"}]}
+    write_file(land, "raw/rest/2026/08/06/env1.json", json.dumps(env, indent=2))
+    write_file(land, "raw/rest/2026/08/06/env2.json", json.dumps({"target_system": "X", "data": []}))
+    cfg = _cfg(scratch)
+    spec = [s for s in SOURCES if s.category == "rest"][0]
+    _run(spark, cfg, spec)
+    out = read_serving(spark, os.path.join(cfg.output_root, "network_events", "source=rest"))
+    rows = {r["event_id"]: r for r in out.collect()}
+    assert len(rows) == 3
+    assert rows["INC-1"]["severity_clean"] == "CRITICAL" and rows["INC-1"]["node_id"] == "S-9"
+    assert rows["INC-1"]["source"] == "REST_SERVICENOW" and rows["INC-1"]["ticket_id"] == "INC-1"
+    assert str(rows["INC-1"]["event_timestamp"]) == "2026-08-06 08:00:00"
+    assert rows["INC-2"]["severity_clean"] == "MINOR" and rows["INC-2"]["region"] == "SA-RIYADH"
+    ext = [k for k in rows if k.startswith("EXT-SERVICENOW-")]
+    assert len(ext) == 1 and str(rows[ext[0]]["event_timestamp"]) == "2026-08-06 12:00:00"
