@@ -58,7 +58,7 @@ def main() -> None:
         extra["serving_build_sec"] = round(time.perf_counter() - t0, 3)
         t0 = time.perf_counter()
         for table, spec in serving.PANELS.items():
-            t = read_serving(spark, paths[table])
+            t = read_serving(spark, paths[table], base=out)
             serving.panel_total(t, spec).count()
             serving.panel_by_severity(t, spec).count()
             for dim in spec.dims:

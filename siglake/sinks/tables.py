@@ -40,16 +40,22 @@ def write_batch_idempotent(df: DataFrame, path: str, batch_id: int,
        .partitionBy("batch_id", partition_col).parquet(path))
 
 
-def read_serving(spark: SparkSession, path: str, with_batch_id: bool = False) -> DataFrame:
+def read_serving(spark: SparkSession, path: str, with_batch_id: bool = False,
+                 base: str | None = None) -> DataFrame:
     """Read a serving table written by ``write_partitioned`` /
-    ``write_batch_idempotent`` with the canonical schema, so ``event_date``
-    stays a ``yyyy-MM-dd`` string instead of an inferred DATE partition.
-    Filters on ``event_date`` prune partition directories."""
+    ``write_batch_idempotent`` / ``materialize`` with the canonical schema, so
+    ``event_date`` stays a ``yyyy-MM-dd`` string instead of an inferred DATE
+    partition. ``base`` is the dataset root when ``path`` is one of its
+    partition folders (``.../category=alarms``), so the partition value is
+    kept. Filters on ``event_date`` prune partition directories."""
     from pyspark.sql import types as T
     fields = list(CANONICAL_EVENT.fields)
     if with_batch_id:
         fields.append(T.StructField("batch_id", T.IntegerType()))
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    r = spark.read.schema(T.StructType(fields))
+    if base:
+        r = r.option("basePath", base)
+    return r.parquet(path)
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:

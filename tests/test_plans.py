@@ -71,12 +71,16 @@ def test_upload_parse_is_single_pass(spark, scratch):
 def test_materialized_tables_prune_partitions(spark, scratch):
     from siglake.operators.aggregates import time_slice
     from siglake.sinks.tables import read_serving
-    paths = serving.materialize(spark, SMOKE_SF, os.path.join(scratch, "serving"), tables=["alarms"])
-    t = read_serving(spark, paths["alarms"])
+    base = os.path.join(scratch, "serving")
+    paths = serving.materialize(spark, SMOKE_SF, base, tables=["alarms", "security_events"])
+    for name in paths:
+        t = read_serving(spark, paths[name], base=base)
+        built = serving.serving_table(spark, SMOKE_SF, name)
+        assert t.count() == built.count(), name
+        assert sorted(map(tuple, t.groupBy("severity_clean", "category").count().collect())) == \
+            sorted(map(tuple, built.groupBy("severity_clean", "category").count().collect())), name
+    t = read_serving(spark, paths["alarms"], base=base)
     built = serving.serving_table(spark, SMOKE_SF, "alarms")
-    assert t.count() == built.count()
-    assert sorted(map(tuple, t.groupBy("severity_clean").count().collect())) == \
-        sorted(map(tuple, built.groupBy("severity_clean").count().collect()))
     one_day = time_slice(t, since="2024-01-02 00:00:00", until="2024-01-03 00:00:00")
     p = plan(one_day.groupBy("severity_clean").count())
     assert "PartitionFilters: [isnotnull(event_date" in p and "2024-01-02" in p
