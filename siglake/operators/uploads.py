@@ -22,6 +22,16 @@ from siglake.operators.validate import cap_per_group
 from siglake.schemas import MAX_RECORDS_PER_UPLOAD
 
 _NL = r"\r?\n"
+# A comma outside double quotes (an even number of quotes follows it).
+_CSV_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _csv_fields(line) -> F.Column:
+    """Split one CSV line on unquoted commas; strip quotes, unescape ``""``."""
+    def unquote(v):
+        inner = F.regexp_replace(F.regexp_replace(v, r'^\s*"|"\s*$', ""), '""', '"')
+        return F.when(v.startswith('"') | F.trim(v).startswith('"'), inner).otherwise(v)
+    return F.transform(F.split(line, _CSV_SEP, -1), unquote)
 
 
 def _inspection(files: DataFrame) -> dict[str, F.Column]:
@@ -76,8 +86,9 @@ def parse_records(files: DataFrame) -> DataFrame:
     """accepted CSV / JSON files -> one row per record (JSON text).
 
     CSV: header line names the fields; each later non-empty line becomes a
-    JSON object of those fields (values kept as text, empty -> NULL). JSON:
-    an array yields its elements, an object yields itself. One pass over the
+    JSON object of those fields (values kept as text, empty -> NULL; commas
+    inside double quotes do not split, ``""`` is an escaped quote). JSON: an
+    array yields its elements, an object yields itself. One pass over the
     file bytes: inspection and record split happen in the same projection.
     """
     cols = _inspection(files)
@@ -85,10 +96,10 @@ def parse_records(files: DataFrame) -> DataFrame:
     meta = meta.where((F.col("status") == "ACCEPTED") & F.col("file_type").isin("csv", "json"))
     text = F.col("content").cast("string")
     lines = F.filter(F.split(text, _NL), lambda x: F.length(x) > 0)
-    header = F.split(F.element_at(lines, 1), ",")
+    header = _csv_fields(F.element_at(lines, 1))
     body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
     csv_records = F.transform(body, lambda ln: F.to_json(F.map_from_arrays(
-        header, F.transform(F.split(ln, ",", -1), lambda v: F.when(v != "", v)))))
+        header, F.transform(_csv_fields(ln), lambda v: F.when(v != "", v)))))
     json_records = (F.when(F.col("structure") == "array", F.from_json(text, T.ArrayType(T.StringType())))
                     .otherwise(F.array(text)))
     records = F.when(F.col("file_type") == "csv", csv_records).otherwise(json_records)

@@ -114,6 +114,20 @@ def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> Data
     return r.load(path)
 
 
+def stream_binary(spark: SparkSession, path: str, glob: str | None = None,
+                  max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Uploaded files as a stream of (path, modificationTime, length, content)."""
+    from pyspark.sql import types as T2
+    schema = T2.StructType([
+        T2.StructField("path", T2.StringType()), T2.StructField("modificationTime", T2.TimestampType()),
+        T2.StructField("length", T2.LongType()), T2.StructField("content", T2.BinaryType())])
+    r = (spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True)
+         .option("maxFilesPerTrigger", max_files))
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path)
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """A3: one landing directory feeding one serving table."""
@@ -123,6 +137,7 @@ class SourceSpec:
     fmt: str           # "json" | "csv"
     multiline: bool = True   # JSON: one document per file (True) or JSON lines (False)
     kind: str = "events"     # "events" (unified rows) | "envelopes" (REST collector files)
+                             # | "uploads" (uploaded files, any columns)
 
 
 # Landing directory -> category -> serving table. Message
@@ -136,8 +151,8 @@ SOURCES = (
     SourceSpec("raw/kafka/category=security", "security", "security_events", "json", False),
     SourceSpec("raw/kafka/category=performance", "performance", "performance_metrics", "json", False),
     SourceSpec("raw/rest", "rest", "network_events", "json", True, "envelopes"),
-    SourceSpec("raw/uploads/csv", "uploads_csv", "network_events", "csv"),
-    SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json", True),
+    SourceSpec("raw/uploads/csv", "uploads_csv", "network_events", "csv", True, "uploads"),
+    SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json", True, "uploads"),
 )
 
 

@@ -105,8 +105,21 @@ def envelope_events(env: DataFrame) -> DataFrame:
     return out
 
 
+def upload_file_events(files: DataFrame) -> DataFrame:
+    """Uploaded files -> upload events (D4 inspection, F5 records, D5 cap,
+    C14 ids), whatever columns each file has: CSV rows are matched to their
+    own file's header, never by position."""
+    from siglake.operators.uploads import publish_upload_events
+    return publish_upload_events(files).withColumn(
+        "file_modified_at", F.try_to_timestamp(F.col("timestamp")))
+
+
 def source_frame(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig, schema=UNIFIED_EVENT) -> DataFrame:
-    if spec.kind == "envelopes":
+    if spec.kind == "uploads":
+        from siglake.sources.files import stream_binary
+        path = f"{cfg.landing_root.rstrip('/')}/{spec.path}"
+        df = upload_file_events(stream_binary(spark, path, f"*.{spec.fmt}", cfg.max_files_per_trigger))
+    elif spec.kind == "envelopes":
         from siglake.schemas import REST_ENVELOPE
         env = open_source(spark, spec, cfg.landing_root, REST_ENVELOPE, streaming=True,
                           max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)

@@ -137,7 +137,8 @@ def test_source_registry(spark, scratch):
 
 
 def test_upload_inspection(spark, scratch):
-    write_file(scratch, "up/status.csv", "node_id,status,latency_ms\nN1,UP,12\nN2,DOWN,\n")
+    write_file(scratch, "up/status.csv", 'node_id,status,latency_ms\nN1,UP,12\nN2,DOWN,\n')
+    write_file(scratch, "up/quoted.csv", 'id,"say, what",q\n1,"x, y","he said ""hi"""\n')
     write_file(scratch, "up/alarms.json", json.dumps([{"alarm_id": "A1", "severity": "MAJOR"},
                                                       {"alarm_id": "A2", "severity": "MINOR"}]))
     write_file(scratch, "up/one.json", json.dumps({"alarm_id": "A3", "vendor": "Nokia"}))
@@ -157,11 +158,13 @@ def test_upload_inspection(spark, scratch):
     assert len(meta["status.csv"]["sha256_hash"]) == 64
     recs = {r["filename"]: r for r in parse_records(files).where("filename = 'status.csv' AND row_idx = 1").collect()}
     assert json.loads(recs["status.csv"]["record"]) == {"node_id": "N2", "status": "DOWN", "latency_ms": None}
-    assert parse_records(files).count() == 5          # 2 csv + 2 array + 1 object
+    q = parse_records(files).where("filename = 'quoted.csv'").first()
+    assert json.loads(q["record"]) == {"id": "1", "say, what": "x, y", "q": 'he said "hi"'}
+    assert parse_records(files).count() == 6          # 2 + 1 csv, 2 array + 1 object
     ev = publish_upload_events(files)
-    assert ev.count() == 5
+    assert ev.count() == 6
     ids = [r["event_id"] for r in ev.collect()]
-    assert len(set(ids)) == 5 and all(i.startswith("UPLOAD-") for i in ids)
+    assert len(set(ids)) == 6 and all(i.startswith("UPLOAD-") for i in ids)
     hist = {r["filename"]: r for r in upload_history_rows(files).collect()}
     assert hist["status.csv"]["records_count"] == 2 and hist["status.csv"]["kafka_topic"] == "network-events"
     assert hist["script.sh"]["status"] == "FAILED"

@@ -104,21 +104,22 @@ def test_start_all_json_and_csv_sources(spark, scratch):
     from siglake.schemas import UPLOAD_EVENT
     land = os.path.join(scratch, "land")
     _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z")])
-    write_file(land, "raw/uploads/csv/u1.csv",
-               "event_id,source,timestamp,severity,filename,payload\n"
-               "UPLOAD-1-0,UPLOAD_CSV,2026-08-06T10:00:00Z,INFO,a.csv,\n"
-               "UPLOAD-1-1,UPLOAD_CSV,2026-08-06T11:00:00Z,INFO,a.csv,\n")
+    write_file(land, "raw/uploads/csv/test_alarms.csv",
+               'event_id,severity,vendor,note\nALM-1,CRITICAL,Huawei,"a, quoted"\nALM-2,MAJOR,Nokia,\n')
     cfg = _cfg(scratch)
     specs = [SOURCES[0], [s for s in SOURCES if s.category == "uploads_csv"][0]]
-    qs = job.start_all(spark, specs, cfg, schemas={"uploads_csv": UPLOAD_EVENT})
+    qs = job.start_all(spark, specs, cfg)
     for q in qs:
         q.awaitTermination(120)
         assert q.exception() is None
     job.stop_all(qs)
     assert sorted(q.name for q in qs) == ["query_alarms", "query_uploads_csv"]
     up = read_serving(spark, os.path.join(cfg.output_root, "network_events", "source=uploads_csv"))
-    assert sorted(r["event_id"] for r in up.collect()) == ["UPLOAD-1-0", "UPLOAD-1-1"]
-    assert {r["category"] for r in up.collect()} == {"uploads_csv"}
+    rows = sorted(up.collect(), key=lambda r: r["event_id"])
+    assert [r["event_id"][-2:] for r in rows] == ["-0", "-1"] and rows[0]["event_id"].startswith("UPLOAD-")
+    assert [r["vendor"] for r in rows] == ["Huawei", "Nokia"]           # bound from each record
+    assert json.loads(rows[0]["payload"])["note"] == "a, quoted"         # header-matched, quote-aware
+    assert {r["category"] for r in rows} == {"uploads_csv"} and {r["source"] for r in rows} == {"UPLOAD_CSV"}
     assert all(not q.isActive for q in qs)
 
 
