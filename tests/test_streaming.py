@@ -185,3 +185,15 @@ def test_rest_envelopes_are_exploded_and_normalised(spark, scratch):
     assert rows["INC-2"]["severity_clean"] == "MINOR" and rows["INC-2"]["region"] == "SA-RIYADH"
     ext = [k for k in rows if k.startswith("EXT-SERVICENOW-")]
     assert len(ext) == 1 and str(rows[ext[0]]["event_timestamp"]) == "2026-08-06 12:00:00"
+
+
+def test_command_line_stream_once(spark, scratch):
+    from siglake.__main__ import main
+    land = os.path.join(scratch, "land")
+    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(2, "2026-08-06T11:00:00Z")])
+    out = os.path.join(scratch, "out")
+    rc = main(["stream", "--landing", land, "--output", out, "--checkpoints", os.path.join(scratch, "ck"),
+               "--sources", "alarms", "--once", "--monitor-seconds", "0.5",
+               "--run-log", os.path.join(scratch, "runlog")])
+    assert rc == 0
+    assert read_serving(spark, os.path.join(out, "alarms", "source=alarms")).count() == 2
