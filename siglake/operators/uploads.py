@@ -22,6 +22,11 @@ from siglake.operators.validate import cap_per_group
 from siglake.schemas import MAX_RECORDS_PER_UPLOAD
 
 _NL = r"\r?\n"
+# Tokens read as missing in uploaded CSV cells (the default NA
+# strings of the pandas CSV reader the platform parsed uploads with).
+NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+             "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
 # A comma outside double quotes (an even number of quotes follows it).
 _CSV_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -55,6 +60,7 @@ def _inspection(files: DataFrame) -> dict[str, F.Column]:
               .when(ftype.isNull(), F.lit("unsupported extension"))
               .when((ftype == "json") & structure.isNull(), F.lit("invalid JSON"))
               .when((ftype == "csv") & (F.size(lines) == 0), F.lit("no CSV header")))
+    csv_columns = F.when(ftype == "csv", _csv_fields(F.element_at(lines, 1)))
     return {
         "path": F.col("path"),
         "filename": name,
@@ -66,6 +72,7 @@ def _inspection(files: DataFrame) -> dict[str, F.Column]:
         "row_count": row_count,
         "structure": structure,
         "json_keys": F.when(structure == "object", keys),
+        "columns": csv_columns,
         "status": F.when(reason.isNull(), F.lit("ACCEPTED")).otherwise(F.lit("REJECTED")),
         "reason": reason,
     }
@@ -75,7 +82,8 @@ def inspect_files(files: DataFrame) -> DataFrame:
     """E12 + D4: one metadata row per file.
 
     Columns: filename, file_type, content_type, file_size_bytes, sha256_hash,
-    row_count, structure (array/object for JSON), json_keys, status, reason.
+    row_count, structure (array/object for JSON), json_keys, columns (CSV
+    header), status, reason.
     A file is REJECTED when it is empty, has an unsupported extension, or is
     a CSV/JSON body that does not parse.
     """
@@ -86,7 +94,7 @@ def parse_records(files: DataFrame) -> DataFrame:
     """accepted CSV / JSON files -> one row per record (JSON text).
 
     CSV: header line names the fields; each later non-empty line becomes a
-    JSON object of those fields (values kept as text, empty -> NULL; commas
+    JSON object of those fields (values kept as text, NA tokens -> NULL; commas
     inside double quotes do not split, ``""`` is an escaped quote). JSON: an
     array yields its elements, an object yields itself. One pass over the
     file bytes: inspection and record split happen in the same projection.
@@ -99,7 +107,7 @@ def parse_records(files: DataFrame) -> DataFrame:
     header = _csv_fields(F.element_at(lines, 1))
     body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
     csv_records = F.transform(body, lambda ln: F.to_json(F.map_from_arrays(
-        header, F.transform(_csv_fields(ln), lambda v: F.when(v != "", v)))))
+        header, F.transform(_csv_fields(ln), lambda v: F.when(~v.isin(*NA_TOKENS), v)))))
     json_records = (F.when(F.col("structure") == "array", F.from_json(text, T.ArrayType(T.StringType())))
                     .otherwise(F.array(text)))
     records = F.when(F.col("file_type") == "csv", csv_records).otherwise(json_records)

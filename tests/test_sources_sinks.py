@@ -137,7 +137,7 @@ def test_source_registry(spark, scratch):
 
 
 def test_upload_inspection(spark, scratch):
-    write_file(scratch, "up/status.csv", 'node_id,status,latency_ms\nN1,UP,12\nN2,DOWN,\n')
+    write_file(scratch, "up/status.csv", 'node_id,status,latency_ms\nN1,UP,12\nN2,DOWN,NaN\n')
     write_file(scratch, "up/quoted.csv", 'id,"say, what",q\n1,"x, y","he said ""hi"""\n')
     write_file(scratch, "up/alarms.json", json.dumps([{"alarm_id": "A1", "severity": "MAJOR"},
                                                       {"alarm_id": "A2", "severity": "MINOR"}]))
@@ -149,6 +149,7 @@ def test_upload_inspection(spark, scratch):
     files = read_binary(spark, os.path.join(scratch, "up"))
     meta = {r["filename"]: r for r in inspect_files(files).collect()}
     assert meta["status.csv"]["row_count"] == 2 and meta["status.csv"]["status"] == "ACCEPTED"
+    assert meta["status.csv"]["columns"] == ["node_id", "status", "latency_ms"]
     assert meta["alarms.json"]["row_count"] == 2 and meta["alarms.json"]["structure"] == "array"
     assert meta["one.json"]["structure"] == "object" and meta["one.json"]["json_keys"] == ["alarm_id", "vendor"]
     assert meta["bad.json"]["reason"] == "invalid JSON"
