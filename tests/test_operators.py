@@ -279,3 +279,17 @@ def test_bounded_broadcast(spark):
     assert fits(small, 10) and not fits(spark.range(50), 10)
     big = spark.range(50)
     assert bounded_broadcast(big, 10) is big
+
+
+def test_dedup_hot_key_third_of_rows(spark):
+    # one id holds a third of all rows; the newest of them wins, every other id is untouched
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("E"), F.col("id").cast("string")))
+        .alias("event_id"),
+        F.timestamp_seconds(F.col("id")).alias("event_timestamp"),
+        F.col("id").alias("seq")).repartition(8)
+    out = dedup_latest(df)
+    assert out.count() == 1 + (n - n // 3)
+    hot = out.where("event_id = 'HOT'").first()
+    assert hot["seq"] == max(i for i in range(n) if i % 3 == 0)

@@ -197,3 +197,16 @@ def test_command_line_stream_once(spark, scratch):
                "--run-log", os.path.join(scratch, "runlog")])
     assert rc == 0
     assert read_serving(spark, os.path.join(out, "alarms", "source=alarms")).count() == 2
+
+
+def test_watermark_drops_late_repeats(spark, scratch):
+    land = os.path.join(scratch, "land")
+    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(9, "2026-08-06T20:00:00Z")])
+    _land(land, "f2", [_event(1, "2026-08-06T10:00:30Z"), _event(5, "2026-08-06T19:30:00Z")])
+    cfg = _cfg(scratch, dedup="watermark", watermark="1 hour")
+    _run(spark, cfg)
+    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    ids = sorted(r["event_id"] for r in out.collect())
+    # after batch 0 the watermark is 19:00: the 10:00:30 repeat is late and dropped (bounded state),
+    # the 19:30 event is on time and kept
+    assert ids == ["ALM-1", "ALM-5", "ALM-9"]
