@@ -4,8 +4,10 @@ Input is a ``binaryFile`` frame (path, modificationTime, length, content).
 Every step is a projection over whole files plus one explode for the
 records; nothing is collected, and one file's records stay in its task.
 
-Excel and PDF bodies are typed, sized and hashed but not parsed (no codec
-library is available); their record count is NULL. Spark's ``binaryFile``
+Workbooks (.xlsx) are read by a small standard-library helper in an
+Arrow-batched pandas UDF, for those files only; PDFs get a page count from
+built-in expressions on their bytes; legacy .xls workbooks are typed, sized
+and hashed but not read. Spark's ``binaryFile``
 reader produces no row for a 0-byte file, so "empty file" rejections only
 appear for inputs built another way (the check is kept for those).
 """
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siglake.functions.files import content_type_of, file_type_of, sha256_hex
+from siglake.functions.xlsx import XLSX_RESULT, xlsx_first_sheet
 from siglake.operators.normalize import upload_events
 from siglake.operators.validate import cap_per_group
 from siglake.schemas import MAX_RECORDS_PER_UPLOAD
@@ -39,8 +42,38 @@ def _csv_fields(line) -> F.Column:
     return F.transform(F.split(line, _CSV_SEP, -1), unquote)
 
 
+def pdf_page_count(content) -> F.Column:
+    """Pages of a PDF from its bytes: the page tree's largest ``/Count``, or
+    the number of ``/Type /Page`` objects when that is larger. (Pages held in
+    compressed object streams are not visible this way.)"""
+    latin = F.decode(content, "ISO-8859-1")
+    counts = F.regexp_extract_all(latin, F.lit(r"/Count\s+(\d+)"), 1)
+    tree = F.coalesce(F.array_max(F.transform(counts, lambda x: x.cast("int"))), F.lit(0))
+    objs = F.size(F.regexp_extract_all(latin, F.lit(r"/Type\s*/Page(?![A-Za-z])"), 0))
+    return F.greatest(tree, objs)
+
+
+def _is_xlsx(path: str = "path") -> F.Column:
+    """Plain ``endswith`` tests (no ``lower``) so the filter is pushed into the
+    binaryFile scan, which then skips the other files without reading them."""
+    p = F.col(path)
+    return p.endswith(".xlsx") | p.endswith(".XLSX")
+
+
+def _with_workbooks(files: DataFrame) -> DataFrame:
+    """Add ``__xl`` (sheet names, header, records) for .xlsx files only.
+
+    Only the workbooks go through the pandas UDF; every other file keeps a
+    NULL struct and never leaves the JVM (a UDF inside a CASE would still be
+    evaluated for every row, so the split is an explicit filter + union).
+    """
+    xl = files.where(_is_xlsx()).withColumn("__xl", xlsx_first_sheet(F.col("content")))
+    rest = files.where(~_is_xlsx()).withColumn("__xl", F.lit(None).cast(XLSX_RESULT))
+    return rest.unionByName(xl)
+
+
 def _inspection(files: DataFrame) -> dict[str, F.Column]:
-    """Inspection expressions over (path, modificationTime, length, content)."""
+    """Inspection expressions over (path, modificationTime, length, content, __xl)."""
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     text = F.col("content").cast("string")
     ftype = file_type_of(name)
@@ -52,15 +85,23 @@ def _inspection(files: DataFrame) -> dict[str, F.Column]:
     lines = F.filter(F.split(text, _NL), lambda x: F.length(x) > 0)
     csv_rows = F.greatest(F.size(lines) - F.lit(1), F.lit(0))
     json_rows = F.when(is_arr, arr_len).when(is_obj & keys.isNotNull(), F.lit(1))
+    xl = F.col("__xl")
+    xlsx = _is_xlsx()
     row_count = (F.when(ftype == "csv", csv_rows)
-                 .when(ftype == "json", json_rows)).cast("long")
+                 .when(ftype == "json", json_rows)
+                 .when((ftype == "excel") & xlsx, F.size(xl.getField("records")))).cast("long")
+    page_count = F.when(ftype == "pdf", pdf_page_count(F.col("content")))
     structure = F.when(ftype == "json", F.when(is_arr & arr_len.isNotNull(), F.lit("array"))
                        .when(is_obj & keys.isNotNull(), F.lit("object")))
     reason = (F.when(F.col("length") == 0, F.lit("empty file"))
               .when(ftype.isNull(), F.lit("unsupported extension"))
               .when((ftype == "json") & structure.isNull(), F.lit("invalid JSON"))
-              .when((ftype == "csv") & (F.size(lines) == 0), F.lit("no CSV header")))
-    csv_columns = F.when(ftype == "csv", _csv_fields(F.element_at(lines, 1)))
+              .when((ftype == "csv") & (F.size(lines) == 0), F.lit("no CSV header"))
+              .when((ftype == "excel") & xlsx & xl.getField("records").isNull(), F.lit("unreadable workbook"))
+              .when((ftype == "pdf") & ~F.decode(F.col("content"), "ISO-8859-1").startswith("%PDF"),
+                    F.lit("not a PDF")))
+    csv_columns = (F.when(ftype == "csv", _csv_fields(F.element_at(lines, 1)))
+                   .when(ftype == "excel", xl.getField("columns")))
     return {
         "path": F.col("path"),
         "filename": name,
@@ -70,6 +111,9 @@ def _inspection(files: DataFrame) -> dict[str, F.Column]:
         "sha256_hash": sha256_hex(F.col("content")),
         "uploaded_at": F.col("modificationTime"),
         "row_count": row_count,
+        "page_count": page_count.cast("long"),
+        "sheet_names": xl.getField("sheet_names"),
+        "encrypted": F.when(ftype == "pdf", F.decode(F.col("content"), "ISO-8859-1").contains("/Encrypt")),
         "structure": structure,
         "json_keys": F.when(structure == "object", keys),
         "columns": csv_columns,
@@ -87,7 +131,8 @@ def inspect_files(files: DataFrame) -> DataFrame:
     A file is REJECTED when it is empty, has an unsupported extension, or is
     a CSV/JSON body that does not parse.
     """
-    return files.select(*[c.alias(n) for n, c in _inspection(files).items()])
+    wb = _with_workbooks(files)
+    return wb.select(*[c.alias(n) for n, c in _inspection(wb).items()])
 
 
 def parse_records(files: DataFrame) -> DataFrame:
@@ -99,9 +144,10 @@ def parse_records(files: DataFrame) -> DataFrame:
     array yields its elements, an object yields itself. One pass over the
     file bytes: inspection and record split happen in the same projection.
     """
-    cols = _inspection(files)
-    meta = files.select(*[c.alias(n) for n, c in cols.items()], F.col("content"))
-    meta = meta.where((F.col("status") == "ACCEPTED") & F.col("file_type").isin("csv", "json"))
+    wb = _with_workbooks(files)
+    cols = _inspection(wb)
+    meta = wb.select(*[c.alias(n) for n, c in cols.items()], F.col("content"), F.col("__xl"))
+    meta = meta.where((F.col("status") == "ACCEPTED") & F.col("file_type").isin("csv", "json", "excel"))
     text = F.col("content").cast("string")
     lines = F.filter(F.split(text, _NL), lambda x: F.length(x) > 0)
     header = _csv_fields(F.element_at(lines, 1))
@@ -110,7 +156,10 @@ def parse_records(files: DataFrame) -> DataFrame:
         header, F.transform(_csv_fields(ln), lambda v: F.when(~v.isin(*NA_TOKENS), v)))))
     json_records = (F.when(F.col("structure") == "array", F.from_json(text, T.ArrayType(T.StringType())))
                     .otherwise(F.array(text)))
-    records = F.when(F.col("file_type") == "csv", csv_records).otherwise(json_records)
+    records = (F.when(F.col("file_type") == "csv", csv_records)
+               .when(F.col("file_type") == "excel", F.coalesce(F.col("__xl").getField("records"),
+                                                             F.array().cast("array<string>")))
+               .otherwise(json_records))
     return meta.select("path", "filename", "file_type", "sha256_hash", "uploaded_at",
                        F.posexplode(records).alias("row_idx", "record"))
 
@@ -140,9 +189,11 @@ def upload_history_rows(files: DataFrame, topic: str = "network-events") -> Data
         F.col("path").alias("minio_path"),
         F.when((F.col("status") == "ACCEPTED") & parsed & (F.coalesce("row_count", F.lit(0)) > 0),
                F.lit(topic)).alias("kafka_topic"),
-        F.coalesce("row_count", F.lit(0)).cast("long").alias("records_count"),
+        F.coalesce("row_count", F.when(F.col("file_type") == "pdf", F.lit(1)), F.lit(0))
+        .cast("long").alias("records_count"),
         F.when(F.col("status") == "ACCEPTED", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
         F.col("reason").alias("error_message"),
-        F.to_json(F.struct("sha256_hash", "structure", "json_keys", "content_type")).alias("metadata_json"),
+        F.to_json(F.struct("sha256_hash", "structure", "json_keys", "columns", "sheet_names",
+                       "page_count", "encrypted", "content_type")).alias("metadata_json"),
         F.col("uploaded_at").cast("timestamp_ntz").alias("created_at"),
     )

@@ -136,6 +136,49 @@ def test_source_registry(spark, scratch):
         open_source(spark, SourceSpec("x", "x", "x", "xml"), scratch, UNIFIED_EVENT)
 
 
+def make_xlsx(rows, sheet="Tickets") -> bytes:
+    """A minimal .xlsx workbook (first row = header) built with zipfile."""
+    import io
+    import zipfile
+    shared = []
+
+    def sidx(v):
+        if v not in shared:
+            shared.append(v)
+        return shared.index(v)
+
+    xml_rows = []
+    for r_i, row in enumerate(rows, start=1):
+        cells = []
+        for c_i, v in enumerate(row):
+            ref = f"{chr(65 + c_i)}{r_i}"
+            cells.append(f'<c r="{ref}" t="s"><v>{sidx(v)}</v></c>' if isinstance(v, str)
+                         else f'<c r="{ref}"><v>{v}</v></c>')
+        xml_rows.append(f'<row r="{r_i}">{"".join(cells)}</row>')
+    ns = ('xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+          'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"')
+    wb = f'<workbook {ns}><sheets><sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>'
+    rels = ('<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
+            'relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+    body = f'<worksheet {ns}><sheetData>{"".join(xml_rows)}</sheetData></worksheet>'
+    sst = ('<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+           + "".join(f"<si><t>{x}</t></si>" for x in shared) + "</sst>")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", wb)
+        z.writestr("xl/_rels/workbook.xml.rels", rels)
+        z.writestr("xl/worksheets/sheet1.xml", body)
+        z.writestr("xl/sharedStrings.xml", sst)
+    return buf.getvalue()
+
+
+ONE_PAGE_PDF = (b"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n"
+                b"2 0 obj << /Type /Pages /Kids [3 0 R] /Count 1 >> endobj\n"
+                b"3 0 obj << /Type /Page /Parent 2 0 R /MediaBox [0 0 612 792] >> endobj\n"
+                b"trailer << /Root 1 0 R >>\n%%EOF\n")
+
+
 def test_upload_inspection(spark, scratch):
     write_file(scratch, "up/status.csv", 'node_id,status,latency_ms\nN1,UP,12\nN2,DOWN,NaN\n')
     write_file(scratch, "up/quoted.csv", 'id,"say, what",q\n1,"x, y","he said ""hi"""\n')
@@ -145,7 +188,9 @@ def test_upload_inspection(spark, scratch):
     write_file(scratch, "up/bad.json", "{oops")
     write_file(scratch, "up/script.sh", "echo hi")
     write_file(scratch, "up/empty.csv", b"")
-    write_file(scratch, "up/doc.pdf", b"%PDF-1.4 fake")
+    write_file(scratch, "up/doc.pdf", ONE_PAGE_PDF)
+    write_file(scratch, "up/tickets.xlsx", make_xlsx([["TicketID", "Priority"], ["INC-1", 1], ["INC-2", 2]]))
+    write_file(scratch, "up/broken.xlsx", b"PK not really a zip")
     files = read_binary(spark, os.path.join(scratch, "up"))
     meta = {r["filename"]: r for r in inspect_files(files).collect()}
     assert meta["status.csv"]["row_count"] == 2 and meta["status.csv"]["status"] == "ACCEPTED"
@@ -155,17 +200,26 @@ def test_upload_inspection(spark, scratch):
     assert meta["bad.json"]["reason"] == "invalid JSON"
     assert meta["script.sh"]["reason"] == "unsupported extension"
     assert "empty.csv" not in meta      # binaryFile yields no split for a 0-byte file
-    assert meta["doc.pdf"]["status"] == "ACCEPTED" and meta["doc.pdf"]["row_count"] is None
+    assert meta["doc.pdf"]["status"] == "ACCEPTED" and meta["doc.pdf"]["page_count"] == 1
+    assert meta["doc.pdf"]["encrypted"] is False
+    xl = meta["tickets.xlsx"]
+    assert (xl["file_type"], xl["row_count"], xl["columns"], xl["sheet_names"]) == \
+        ("excel", 2, ["TicketID", "Priority"], ["Tickets"])
+    assert meta["broken.xlsx"]["reason"] == "unreadable workbook"
     assert len(meta["status.csv"]["sha256_hash"]) == 64
     recs = {r["filename"]: r for r in parse_records(files).where("filename = 'status.csv' AND row_idx = 1").collect()}
     assert json.loads(recs["status.csv"]["record"]) == {"node_id": "N2", "status": "DOWN", "latency_ms": None}
     q = parse_records(files).where("filename = 'quoted.csv'").first()
     assert json.loads(q["record"]) == {"id": "1", "say, what": "x, y", "q": 'he said "hi"'}
-    assert parse_records(files).count() == 6          # 2 + 1 csv, 2 array + 1 object
+    xrec = [json.loads(r["record"]) for r in
+            parse_records(files).where("filename = 'tickets.xlsx'").orderBy("row_idx").collect()]
+    assert xrec == [{"TicketID": "INC-1", "Priority": 1}, {"TicketID": "INC-2", "Priority": 2}]
+    assert parse_records(files).count() == 8          # 2 + 1 csv, 2 array + 1 object, 2 workbook
     ev = publish_upload_events(files)
-    assert ev.count() == 6
+    assert ev.count() == 8
     ids = [r["event_id"] for r in ev.collect()]
-    assert len(set(ids)) == 6 and all(i.startswith("UPLOAD-") for i in ids)
+    assert len(set(ids)) == 8 and all(i.startswith("UPLOAD-") for i in ids)
     hist = {r["filename"]: r for r in upload_history_rows(files).collect()}
     assert hist["status.csv"]["records_count"] == 2 and hist["status.csv"]["kafka_topic"] == "network-events"
     assert hist["script.sh"]["status"] == "FAILED"
+    assert hist["tickets.xlsx"]["records_count"] == 2 and hist["doc.pdf"]["records_count"] == 1
