@@ -54,7 +54,7 @@ UPLOAD_EPOCH = "2024-01-01 00:00:00"  # created_at = epoch + doc_id minutes
 # too few splits (a single-row-group file is one task however big it is).
 MIN_SPREAD_BYTES = 1024 * 1024
 _TABLES: dict[tuple[str, str], DataFrame] = {}
-_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+_PLANS: dict[tuple[str, str, str, str], DataFrame] = {}
 
 
 def per_app(fn):
@@ -62,9 +62,12 @@ def per_app(fn):
 
     A DataFrame is an immutable plan, so handing the same object to several
     queries only saves re-declaring (and re-analysing) it; no data is cached.
+    The session time zone is part of the key because zone-aware expressions
+    bind it when the plan is analysed.
     """
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fn.__name__)
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fn.__name__,
+               spark.conf.get("spark.sql.session.timeZone"))
         if key not in _PLANS:
             _PLANS[key] = fn(spark, sf_dir)
         return _PLANS[key]
