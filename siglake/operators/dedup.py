@@ -1,20 +1,28 @@
 """De-duplication (F1, F3; the streaming form F2 lives in ``siglake.streaming``).
 
-Batch rule: per key keep the newest row (largest event time), ties broken by
+Batch rule: per id keep the newest row (largest event time), ties broken by
 the remaining columns so the result never depends on task order.
 
-Plan shape: ``groupBy(key).agg(max(struct(order..., rest...)))``. The max is
-computed partially in every map task before the shuffle, so a hot key that
+Plan shape: ``groupBy(id).agg(max(struct(order..., rest...)))``. The max is
+computed partially in every map task before the shuffle, so an id that
 holds a third of all rows is reduced to one row per task instead of being
 sorted in one reducer (a ``row_number`` window would do the latter).
 
-The key is chosen per row (F3): the first non-empty value among the id
-columns present. A row with no id is kept as is - the platform's
-``dropDuplicates`` collapsed all such rows into one.
+The id is chosen per row (F3): the first non-empty of the id columns
+present (an explicit ``key`` expression may replace the candidates, e.g. to
+keep an expensive fallback lazy). Rows with no id at all are kept as they
+are - the platform's ``dropDuplicates`` collapsed all of them into one row -
+through a second, filtered pass over the input.
+
+(A variant grouping each id column in its own branch was measured: it
+avoids scanning a payload-held fallback id, but every branch re-runs the
+upstream plan, and the production builds need the payload anyway.)
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +35,7 @@ _WIN = "__dedup_winner"
 
 
 def dedup_key(df: DataFrame, candidates: list[str] | None = None) -> Column:
+    """The per-row id: first non-empty of the candidate columns present."""
     cols = present(df.columns, ID_CANDIDATES if candidates is None else candidates)
     if not cols:
         return F.lit(None).cast("string")
@@ -43,29 +52,44 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
+def _newest(df: DataFrame, keys: list[Column], cols: list[str], order: list[str]) -> DataFrame:
+    """Newest row per key: partial + final max over (order..., rest...)."""
+    rest = [c for c in cols if c not in order]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if all(_orderable(types[c]) for c in cols):
+        agg = F.max(F.struct(*[F.col(c) for c in order + rest]))
+    else:
+        ordered = [c for c in order + rest if _orderable(types[c])]
+        agg = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in ordered]))
+    named = [k.alias(f"__k{i}") for i, k in enumerate(keys)]
+    return (df.groupBy(*named).agg(agg.alias(_WIN))
+            .select(*[F.col(f"{_WIN}.{c}").alias(c) for c in cols]))
+
+
 def dedup_latest(df: DataFrame, key: Column | str | None = None,
                  order_by: list[str] | tuple[str, ...] = ("event_timestamp",),
                  id_candidates: list[str] | None = None,
-                 keep_null_keys: bool = True) -> DataFrame:
-    """Keep the newest row per key; rows without a key are kept."""
-    cols = df.columns
+                 keep_null_keys: bool = True,
+                 columns: list[str] | None = None,
+                 within: list[str] | None = None) -> DataFrame:
+    """Keep the newest row per id; rows without any id are kept.
+
+    ``key``: an explicit key column/expression (one branch) instead of the
+    id candidates. ``columns``: the output columns (default: all) - only
+    these travel through the shuffle and break ties. ``within``: extra
+    grouping columns (e.g. ``category`` when several tables are built in one
+    pass).
+    """
+    cols = columns or df.columns
+    order = [c for c in order_by if c in cols]
+    extra = [F.col(c) for c in (within or [])]
     if key is None:
         k = dedup_key(df, id_candidates)
     else:
         k = F.col(key) if isinstance(key, str) else key
     keyed = df.withColumn(_KEY, k)
-    order = [c for c in order_by if c in cols]
-    rest = [c for c in cols if c not in order]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if all(_orderable(types[c]) for c in cols):
-        agg = F.max(F.struct(*[F.col(c) for c in order + rest]))
-    else:
-        ordered = [c for c in order + rest if _orderable(types[c])]
-        agg = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in ordered]))
-    winners = (keyed.where(F.col(_KEY).isNotNull())
-               .groupBy(_KEY).agg(agg.alias(_WIN))
-               .select(*[F.col(f"{_WIN}.{c}").alias(c) for c in cols]))
-    if not keep_null_keys:
-        return winners
-    loose = keyed.where(F.col(_KEY).isNull()).select(*cols)
-    return winners.unionByName(loose)
+    parts = [_newest(keyed.where(F.col(_KEY).isNotNull()), extra + [F.col(_KEY)], cols, order)]
+    loose = keyed.where(F.col(_KEY).isNull())
+    if keep_null_keys:
+        parts.append(loose.select(*cols))
+    return reduce(lambda a, b: a.unionByName(b), parts)

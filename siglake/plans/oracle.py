@@ -161,7 +161,8 @@ def table_cte(name: str, category: str) -> str:
            vendor, site_name, device_name, ticket_id
     FROM routed WHERE category = '{category}'
   )
-  QUALIFY row_number() OVER (
+  QUALIFY coalesce(nullif(event_id, ''), nullif(ticket_id, '')) IS NULL   -- no id: kept
+    OR row_number() OVER (
     PARTITION BY coalesce(nullif(event_id, ''), nullif(ticket_id, ''))
     ORDER BY event_timestamp DESC NULLS LAST, event_id DESC NULLS LAST, source DESC NULLS LAST,
              event_type DESC NULLS LAST, severity DESC NULLS LAST, node_id DESC NULLS LAST,

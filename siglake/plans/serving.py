@@ -77,26 +77,31 @@ DEDUP_KEYS = ["event_id", "ticket_id"]
 _KEY = "__row_key"
 
 
+def row_key(canon: DataFrame):
+    """F3 key of a canonical row: event_id, else the payload's ticket id.
+
+    The payload lookup is one self-contained expression in the ELSE branch
+    of a CASE, so it is only evaluated for rows whose event_id is empty.
+    """
+    return first_non_empty("event_id",
+                           payload_field(canon, PAYLOAD_BINDINGS["ticket_id"], non_empty=True))
+
+
 def build_table(routed: DataFrame, category: str, columns: list[str] | None = None) -> DataFrame:
     """Clean + canonicalise + de-duplicate one category slice.
 
     ``columns`` restricts the result (and therefore what the de-duplication
     shuffle carries) to what a caller reads: the newest row per id wins and
     equal-time rows are ordered by the retained columns in canonical order.
-    A materialised table keeps every canonical column.
+    A materialised table keeps every canonical column. The id is event_id,
+    else the payload's ticket id (F3; see ``row_key``).
     """
     slice_ = routed.where(F.col("category") == F.lit(category))
     ingest = F.col("channel") if "channel" in slice_.columns else None
     canon = to_canonical(clean_events(slice_), category=F.lit(category), ingest_file=ingest)
-    # Per-row key (F3): event_id, else ticket_id from the payload. The
-    # payload lookup is one self-contained expression in the ELSE branch, so
-    # it is only evaluated for rows whose event_id is empty.
-    key = first_non_empty("event_id",
-                          payload_field(canon, PAYLOAD_BINDINGS["ticket_id"], non_empty=True))
-    keyed = canon.withColumn(_KEY, key)
     keep = canon.columns if columns is None else \
         [c for c in canon.columns if c in set(columns) | {"event_timestamp"}]
-    out = dedup_latest(keyed.select(*keep, _KEY), key=_KEY)
+    out = dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY, columns=keep)
     return out.select(*(columns if columns is not None else canon.columns))
 
 
@@ -120,13 +125,8 @@ def build_all(routed: DataFrame, tables: list[str] | None = None) -> DataFrame:
     cats = [TABLE_CATEGORIES[t] for t in (tables or list(TABLE_CATEGORIES))]
     served = routed.where(F.col("category").isin(*cats))
     canon = to_canonical(clean_events(served), category=F.col("category"), ingest_file=ingest)
-    key = first_non_empty("event_id",
-                          payload_field(canon, PAYLOAD_BINDINGS["ticket_id"], non_empty=True))
-    keyed = canon.withColumn(_KEY, F.concat_ws("\u0001", F.col("category"), key))
-    # a NULL id keeps the row (F3): concat_ws skips NULLs, so test the id itself
-    keyed = keyed.withColumn(_KEY, F.when(key.isNotNull(), F.col(_KEY)))
-    out = dedup_latest(keyed, key=_KEY)
-    return out.select(*canon.columns)
+    return dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY,
+                        columns=canon.columns, within=["category"])
 
 
 def materialize(spark: SparkSession, sf_dir: str, out_dir: str,

@@ -53,6 +53,10 @@ UPLOAD_EPOCH = "2024-01-01 00:00:00"  # created_at = epoch + doc_id minutes
 # Scans at least this large are spread over all cores when the files give
 # too few splits (a single-row-group file is one task however big it is).
 MIN_SPREAD_BYTES = 1024 * 1024
+# A spread input at most this large (on disk) is also cached: every query and
+# every de-duplication branch then reads one in-memory copy instead of
+# re-scanning and re-shuffling it. Larger inputs are never cached.
+MAX_CACHE_BYTES = 64 * 1024 * 1024
 _TABLES: dict[tuple[str, str], DataFrame] = {}
 _PLANS: dict[tuple[str, str, str, str], DataFrame] = {}
 
@@ -76,24 +80,27 @@ def per_app(fn):
     return wrapper
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-distribute a scan over ``defaultParallelism`` partitions when it
     has fewer splits than cores and is big enough for that to pay.
 
     On a cluster reading many files the scan already has thousands of splits
     and this is a no-op; it matters for small inputs stored as one row group,
     where every per-row expression would otherwise run in a single task.
-    The hash covers every selected column, so a value repeated in a third of
-    the rows (a hot id, a NULL) cannot pile those rows into one partition,
-    and unlike a round-robin split it needs no sort to make a retried task
-    reproduce the same rows.
+    Only the table's own id column is hashed: partitioning on more columns
+    would force every query to read them (Catalyst cannot prune a column a
+    repartition expression uses), and unlike a round-robin split a hash needs
+    no sort to make a retried task reproduce the same rows. A spread input
+    under ``MAX_CACHE_BYTES`` is cached (memory, spilling to disk; a lost
+    block is recomputed from the files).
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if n < cores and int(str(size)) >= MIN_SPREAD_BYTES:
-        return df.repartition(cores, F.xxhash64(*[F.col(c) for c in df.columns]))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if n < cores and size >= MIN_SPREAD_BYTES:
+        out = df.repartition(cores, F.col(key))
+        return out.cache() if size <= MAX_CACHE_BYTES else out
     return df
 
 
@@ -106,8 +113,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def big_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """A fact table pruned to ``columns`` and spread over the cores if needed."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """A fact table pruned to ``columns`` (the first is its id) and spread
+    over the cores if needed."""
+    return spread(table(spark, sf_dir, name).select(*columns), columns[0])
 
 
 def _pick(values: list, index: Column) -> Column:
