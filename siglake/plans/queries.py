@@ -18,7 +18,7 @@ from siglake.functions.timeparse import wall_clock
 from siglake.operators import summaries
 from siglake.operators.aggregates import count_by
 from siglake.operators.dedup import dedup_latest
-from siglake.operators.normalize import clean_events, connector_normalize, upload_events
+from siglake.operators.normalize import clean_events, upload_events
 from siglake.operators.profile import column_profile
 from siglake.operators.reshape import fan_in
 from siglake.operators.validate import cap_per_group, lookup_by_id, quarantine, validate_events

@@ -101,7 +101,6 @@ def test_hourly_window_counts_closed_windows(spark, scratch):
 
 
 def test_start_all_json_and_csv_sources(spark, scratch):
-    from siglake.schemas import UPLOAD_EVENT
     land = os.path.join(scratch, "land")
     _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z")])
     write_file(land, "raw/uploads/csv/test_alarms.csv",
