@@ -87,3 +87,26 @@ def test_materialized_tables_prune_partitions(spark, scratch):
     want = built.where((F.col("event_timestamp") >= F.lit("2024-01-02").cast("timestamp"))
                        & (F.col("event_timestamp") < F.lit("2024-01-03").cast("timestamp"))).count()
     assert one_day.count() == want
+
+
+def test_dashboard_sql_matches_dataframe_panels(spark):
+    """The dashboards' own SQL, run by spark.sql over registered serving
+    tables, answers like the DataFrame panels (recent_* compared by rows up
+    to the shared newest timestamp, as the SQL has no tie-break)."""
+    from siglake.plans import dashboards
+    tables = {t: serving.serving_table(spark, SMOKE_SF, t) for t in serving.PANELS}
+    dashboards.register_views(tables)
+    qs = all_queries()
+    for name, sql in dashboards.PANEL_SQL.items():
+        got = spark.sql(sql)
+        want = qs[name](spark, SMOKE_SF)
+        assert got.columns == want.columns, name
+        if name.startswith("recent_"):
+            g, w = got.collect(), want.collect()
+            ts = [c for c in got.columns if "Timestamp" in c][0]
+            assert len(g) == len(w) == 50, name
+            assert [r[ts] for r in g] == [r[ts] for r in w], name
+        else:
+            def norm(rows):
+                return sorted((tuple(str(v) for v in r) for r in rows))
+            assert norm(got.collect()) == norm(want.collect()), name
