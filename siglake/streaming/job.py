@@ -40,7 +40,7 @@ class StreamConfig:
     max_files_per_trigger: int = 50
     dedup: str = "batch"                   # "batch" | "watermark"
     watermark: str = "1 hour"
-    table_prefix: str | None = None        # e.g. "noc." to also append to catalog tables
+    table_prefix: str | None = None        # e.g. "ops." to also append to catalog tables
     json_multiline: bool | None = None     # override the per-source JSON mode
 
 

@@ -116,12 +116,12 @@ def test_history_delete_with_tombstones(spark, scratch):
 
 
 def test_catalog_table_create_once(spark, scratch):
-    ensure_namespace(spark, "noc_test")
-    create_table(spark, "noc_test.alarms", location=os.path.join(scratch, "wh"))
-    create_table(spark, "noc_test.alarms")            # second call is a no-op
-    assert "alarms" in catalog.list_tables(spark, "noc_test")
-    assert "noc_test" in catalog.list_namespaces(spark)
-    assert catalog.sample(spark, "noc_test.alarms").count() == 0
+    ensure_namespace(spark, "ops_test")
+    create_table(spark, "ops_test.alarms", location=os.path.join(scratch, "wh"))
+    create_table(spark, "ops_test.alarms")            # second call is a no-op
+    assert "alarms" in catalog.list_tables(spark, "ops_test")
+    assert "ops_test" in catalog.list_namespaces(spark)
+    assert catalog.sample(spark, "ops_test.alarms").count() == 0
     assert "spark_catalog" in catalog.list_catalogs(spark)
 
 
