@@ -39,3 +39,10 @@ def encode_messages(df: DataFrame, topic: str | None = None, topic_col: str | No
     key = F.col(key_col).cast("string") if key_col and key_col in df.columns else F.lit(None).cast("string")
     return df.select(key.alias("key"), t.alias("topic"),
                      F.to_json(F.struct(*[F.col(c) for c in body])).alias("value"))
+
+
+def publish(df: DataFrame, bootstrap_servers: str, topic: str | None = None,
+            topic_col: str | None = "topic") -> None:
+    """Write rows to Kafka as JSON (needs the spark-sql-kafka package)."""
+    (encode_messages(df, topic=topic, topic_col=topic_col)
+     .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).save())

@@ -81,10 +81,18 @@ def create_table(spark: SparkSession, name: str, schema=CANONICAL_EVENT,
     w.saveAsTable(name)
 
 
-def append_table(df: DataFrame, name: str) -> None:
-    """B2: append by column name into an existing table."""
+def append_table(df: DataFrame, name: str, v2: bool = False) -> None:
+    """B2: append by column name into an existing table.
+
+    ``v2=True`` uses the DataFrameWriterV2 API (``writeTo(name).append()``),
+    the path for v2 catalogs such as an Iceberg catalog; Spark refuses it for
+    v1 tables of the built-in session catalog.
+    """
     cols = df.sparkSession.table(name).columns
-    df.select(*cols).write.insertInto(name)
+    if v2:
+        df.select(*cols).writeTo(name).append()
+    else:
+        df.select(*cols).write.insertInto(name)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

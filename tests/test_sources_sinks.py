@@ -122,6 +122,15 @@ def test_catalog_table_create_once(spark, scratch):
     assert "alarms" in catalog.list_tables(spark, "ops_test")
     assert "ops_test" in catalog.list_namespaces(spark)
     assert catalog.sample(spark, "ops_test.alarms").count() == 0
+    from siglake.plans.serving import serving_table
+    from siglake.sinks.tables import append_table
+    rows = serving_table(spark, "/root/testdata/sf0.001", "security_events").limit(3)
+    append_table(rows, "ops_test.alarms")
+    assert spark.table("ops_test.alarms").count() == 3
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):          # v2 writes need a v2 catalog (e.g. Iceberg)
+        append_table(rows, "ops_test.alarms", v2=True)
     assert "spark_catalog" in catalog.list_catalogs(spark)
 
 
