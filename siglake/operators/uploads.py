@@ -34,6 +34,14 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 _CSV_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
+def _unique_names(names) -> F.Column:
+    """Repeated header names become ``name.1``, ``name.2`` ... (first kept as is)."""
+    def rename(h, i):
+        seen = F.size(F.filter(F.slice(names, 1, i), lambda x: x == h))
+        return F.when((i == 0) | (seen == 0), h).otherwise(F.concat(h, F.lit("."), seen.cast("string")))
+    return F.transform(names, rename)
+
+
 def _csv_fields(line) -> F.Column:
     """Split one CSV line on unquoted commas; strip quotes, unescape ``""``."""
     def unquote(v):
@@ -150,10 +158,17 @@ def parse_records(files: DataFrame) -> DataFrame:
     meta = meta.where((F.col("status") == "ACCEPTED") & F.col("file_type").isin("csv", "json", "excel"))
     text = F.col("content").cast("string")
     lines = F.filter(F.split(text, _NL), lambda x: F.length(x) > 0)
-    header = _csv_fields(F.element_at(lines, 1))
+    header = _unique_names(_csv_fields(F.element_at(lines, 1)))
     body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-    csv_records = F.transform(body, lambda ln: F.to_json(F.map_from_arrays(
-        header, F.transform(_csv_fields(ln), lambda v: F.when(~v.isin(*NA_TOKENS), v)))))
+
+    def record(ln):
+        vals = _csv_fields(ln)
+        # one value per header name: a short row is padded with NULLs, extra fields dropped
+        cells = F.transform(header, lambda h, i: F.try_element_at(vals, i + 1))
+        return F.to_json(F.map_from_arrays(header, F.transform(
+            cells, lambda v: F.when(~v.isin(*NA_TOKENS), v))))
+
+    csv_records = F.transform(body, record)
     json_records = (F.when(F.col("structure") == "array", F.from_json(text, T.ArrayType(T.StringType())))
                     .otherwise(F.array(text)))
     records = (F.when(F.col("file_type") == "csv", csv_records)
