@@ -102,7 +102,8 @@ def cap_per_group(df: DataFrame, group_cols: list[str], order_col: str, k: int,
     if dense_index:
         return df.where(F.col(order_col) < F.lit(k))
     cols = df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols])
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    h = F.xxhash64(*[F.col(c) for c in hashable])
     staged = df.withColumns({"__h": h, "__salt": F.pmod(h, F.lit(salts))})
     order = [F.col(order_col).asc_nulls_last(), F.col("__h").asc()]
     w1 = Window.partitionBy(*group_cols, "__salt").orderBy(*order)

@@ -127,6 +127,11 @@ def test_cap_per_group_hot_group_is_salted(spark):
     assert "__salt" in plan        # the first ranking is partitioned by (file, salt)
 
 
+def test_cap_per_group_with_map_column(spark):
+    df = spark.createDataFrame([("f", i, {"k": str(i)}) for i in range(5)], "file string, pos int, m map<string,string>")
+    assert [r["pos"] for r in cap_per_group(df, ["file"], "pos", 3).orderBy("pos").collect()] == [0, 1, 2]
+
+
 def test_cap_per_group_dense_and_window_agree(spark):
     rows = [("f1", i) for i in range(700)] + [("f2", i) for i in range(3)]
     df = spark.createDataFrame(rows, "file string, row_idx int")
