@@ -158,15 +158,15 @@ def table_cte(name: str, category: str) -> str:
            {lake_sev('severity')} AS severity_clean,
            ts AS event_timestamp,
            strftime(ts, '%Y-%m-%d') AS event_date,
-           vendor, site_name, device_name, ticket_id
+           vendor, site_name, device_name, ticket_id, channel
     FROM routed WHERE category = '{category}'
   )
   QUALIFY coalesce(nullif(event_id, ''), nullif(ticket_id, '')) IS NULL   -- no id: kept
     OR row_number() OVER (
     PARTITION BY coalesce(nullif(event_id, ''), nullif(ticket_id, ''))
-    ORDER BY event_timestamp DESC NULLS LAST, event_id DESC NULLS LAST, source DESC NULLS LAST,
-             event_type DESC NULLS LAST, severity DESC NULLS LAST, node_id DESC NULLS LAST,
-             region DESC NULLS LAST) = 1
+    ORDER BY event_timestamp DESC NULLS LAST, source DESC NULLS LAST, event_type DESC NULLS LAST,
+             severity DESC NULLS LAST, node_id DESC NULLS LAST, region DESC NULLS LAST,
+             channel DESC NULLS LAST) = 1
 )"""
 
 

@@ -87,22 +87,34 @@ def row_key(canon: DataFrame):
                            payload_field(canon, PAYLOAD_BINDINGS["ticket_id"], non_empty=True))
 
 
+# Fixed tie-break among rows with the same id and event time: these columns,
+# in this order (largest wins). Every other canonical column is either a
+# function of them or of the payload, so the winner - and every panel built
+# from it - is the same whichever columns a query keeps. The payload itself
+# joins the order only when a payload-derived column is requested.
+TIE_BREAK = ["source", "event_type", "severity", "node_id", "region", "filename", "ingest_file"]
+PAYLOAD_DERIVED = {"payload", "vendor", "site_name", "device_name", "ticket_id"}
+
+
 def build_table(routed: DataFrame, category: str, columns: list[str] | None = None) -> DataFrame:
     """Clean + canonicalise + de-duplicate one category slice.
 
     ``columns`` restricts the result (and therefore what the de-duplication
-    shuffle carries) to what a caller reads: the newest row per id wins and
-    equal-time rows are ordered by the retained columns in canonical order.
+    shuffle carries) to what a caller reads plus the fixed tie-break columns;
+    the newest row per id wins, equal times are ordered by ``TIE_BREAK``.
     A materialised table keeps every canonical column. The id is event_id,
     else the payload's ticket id (F3; see ``row_key``).
     """
     slice_ = routed.where(F.col("category") == F.lit(category))
     ingest = F.col("channel") if "channel" in slice_.columns else None
     canon = to_canonical(clean_events(slice_), category=F.lit(category), ingest_file=ingest)
-    keep = canon.columns if columns is None else \
-        [c for c in canon.columns if c in set(columns) | {"event_timestamp"}]
+    wanted = list(canon.columns) if columns is None else list(columns)
+    order = ["event_timestamp"] + TIE_BREAK
+    if PAYLOAD_DERIVED & set(wanted):
+        order.append("payload")
+    keep = order + [c for c in wanted if c not in order]
     out = dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY, columns=keep)
-    return out.select(*(columns if columns is not None else canon.columns))
+    return out.select(*wanted)
 
 
 @driver.per_app
@@ -125,8 +137,11 @@ def build_all(routed: DataFrame, tables: list[str] | None = None) -> DataFrame:
     cats = [TABLE_CATEGORIES[t] for t in (tables or list(TABLE_CATEGORIES))]
     served = routed.where(F.col("category").isin(*cats))
     canon = to_canonical(clean_events(served), category=F.col("category"), ingest_file=ingest)
-    return dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY,
-                        columns=canon.columns, within=["category"])
+    order = ["event_timestamp"] + TIE_BREAK + ["payload"]
+    keep = order + [c for c in canon.columns if c not in order]
+    out = dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY,
+                       columns=keep, within=["category"])
+    return out.select(*canon.columns)
 
 
 def materialize(spark: SparkSession, sf_dir: str, out_dir: str,
