@@ -4,8 +4,9 @@
   ingest       message ingestion: (topic, value) records -> landing + quarantine
   materialize  batch build of all serving tables from the driver tables
 
-Settings the cluster owns (``spark.checkpoint.dir``, scheduler mode, shuffle
-width) come from the session/spark-submit configuration, not from here.
+Settings the cluster owns (``spark.checkpoint.dir``, shuffle width, memory)
+come from the spark-submit configuration; the streaming commands add FAIR
+scheduling and the RocksDB state store.
 """
 
 from __future__ import annotations
@@ -17,16 +18,26 @@ import sys
 import time
 
 
-def _session(app: str, master: str | None):
+# Streaming state (watermark de-duplication, windows) lives in RocksDB, off
+# the JVM heap, so large key sets do not pressure executor memory.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.scheduler.mode": "FAIR",
+}
+
+
+def _session(app: str, master: str | None, extra: dict | None = None):
     from siglake.session import get_session
-    return get_session(master, app=app)
+    return get_session(master, app=app, extra=extra)
 
 
 def run_stream(args) -> int:
     from siglake.sources.files import SOURCES
     from siglake.streaming import job, monitor
 
-    spark = _session("siglake-stream", args.master)
+    spark = _session("siglake-stream", args.master, STREAM_CONF)
     cfg = job.StreamConfig(landing_root=args.landing, output_root=args.output,
                            checkpoint_root=args.checkpoints,
                            trigger_seconds=None if args.once else args.trigger_seconds,
@@ -60,7 +71,7 @@ def run_ingest(args) -> int:
     from siglake.streaming import ingest
     from siglake.sources.kafka import read_topics
 
-    spark = _session("siglake-ingest", args.master)
+    spark = _session("siglake-ingest", args.master, STREAM_CONF)
     if args.bootstrap:
         records = read_topics(spark, args.bootstrap)
     else:
