@@ -95,6 +95,30 @@ def append_table(df: DataFrame, name: str, v2: bool = False) -> None:
         df.select(*cols).write.insertInto(name)
 
 
+def register_external(spark: SparkSession, name: str, path: str, schema=CANONICAL_EVENT,
+                      partition_cols: tuple[str, ...] = ("feed", "batch_id", "event_date")) -> None:
+    """Expose a serving-table folder (``feed=<source>/batch_id=<n>/event_date=<d>``
+    written by ``write_batch_idempotent``) as one catalog table, created once;
+    the data stays where the idempotent writer put it."""
+    from pyspark.sql import types as T
+    if spark.catalog.tableExists(name):
+        return
+    fields = list(schema.fields)
+    if "feed" in partition_cols:
+        fields.append(T.StructField("feed", T.StringType()))
+    if "batch_id" in partition_cols:
+        fields.append(T.StructField("batch_id", T.IntegerType()))
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = ", ".join(partition_cols)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY ({parts}) LOCATION '{path}'")
+
+
+def refresh_partitions(spark: SparkSession, name: str) -> None:
+    """Pick up partitions written since the last call (metadata only, idempotent)."""
+    spark.catalog.recoverPartitions(name)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append-only history (audit log, upload history) as parquet."""
     df.write.mode("append").parquet(path)

@@ -26,7 +26,7 @@ from siglake.functions.timeparse import event_date
 from siglake.operators.dedup import dedup_latest
 from siglake.operators.normalize import clean_events, to_canonical
 from siglake.session import shared_path
-from siglake.sinks.tables import append_table, write_batch_idempotent
+from siglake.sinks.tables import refresh_partitions, register_external, write_batch_idempotent
 from siglake.sources.files import CORRUPT, SourceSpec, open_source
 from siglake.schemas import ID_CANDIDATES, UNIFIED_EVENT
 
@@ -40,7 +40,7 @@ class StreamConfig:
     max_files_per_trigger: int = 50
     dedup: str = "batch"                   # "batch" | "watermark"
     watermark: str = "1 hour"
-    table_prefix: str | None = None        # e.g. "ops." to also append to catalog tables
+    table_prefix: str | None = None        # e.g. "ops." to also expose catalog tables
     json_multiline: bool | None = None     # override the per-source JSON mode
 
 
@@ -57,8 +57,16 @@ def clean_batch(df: DataFrame, category: str) -> DataFrame:
 
 
 def make_batch_handler(spec: SourceSpec, cfg: StreamConfig):
-    """The ``foreachBatch`` callback for one source."""
-    out_path = f"{cfg.output_root.rstrip('/')}/{spec.table}/source={spec.category}"
+    """The ``foreachBatch`` callback for one source.
+
+    The "dual write" (files + catalog table) is one idempotent data write -
+    per batch id, dynamic overwrite - plus a catalog table registered once
+    over the same folder whose partitions are refreshed after each batch.
+    A retried batch therefore replaces its files and re-registers the same
+    partitions; nothing is appended twice.
+    """
+    table_path = f"{cfg.output_root.rstrip('/')}/{spec.table}"
+    out_path = f"{table_path}/feed={spec.category}"
     table = f"{cfg.table_prefix}{spec.table}" if cfg.table_prefix else None
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
@@ -70,8 +78,9 @@ def make_batch_handler(spec: SourceSpec, cfg: StreamConfig):
                 return
             cleaned = clean_batch(batch, spec.category)
             write_batch_idempotent(cleaned, out_path, batch_id)   # B1, exactly once
-            if table:
-                append_table(cleaned, table)                      # B2
+            if table:                                             # B2 over the same files
+                register_external(spark, table, table_path)
+                refresh_partitions(spark, table)
         finally:
             batch.unpersist()
 

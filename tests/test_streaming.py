@@ -43,7 +43,7 @@ def test_stream_equals_batch(spark, scratch):
     cfg = _cfg(scratch)
     listener = monitor.attach(spark)
     _run(spark, cfg)
-    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "source=alarms"), with_batch_id=True)
+    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "feed=alarms"), with_batch_id=True)
     batch = job.clean_batch(read_json(spark, os.path.join(land, "raw/kafka/category=alarms"), UNIFIED_EVENT,
                                       multiline=False), "alarms")
     cols = ["event_id", "severity_clean", "event_date", "vendor"]
@@ -65,7 +65,7 @@ def test_duplicate_in_later_batch_and_restart(spark, scratch):
     _run(spark, cfg)
     _land(land, "f2", [_event(1, "2026-08-06T10:05:00Z")])   # same id, later batch
     _run(spark, cfg)
-    out_path = os.path.join(cfg.output_root, "alarms", "source=alarms")
+    out_path = os.path.join(cfg.output_root, "alarms", "feed=alarms")
     # per-batch scope (platform behaviour): the repeat is stored again
     assert spark.read.parquet(out_path).where("event_id = 'ALM-1'").count() == 2
     _run(spark, cfg)   # restart with nothing new: no new output
@@ -78,7 +78,7 @@ def test_watermark_dedup_across_batches(spark, scratch):
     _land(land, "f2", [_event(1, "2026-08-06T10:05:00Z"), _event(4, "2026-08-06T10:06:00Z")])
     cfg = _cfg(scratch, dedup="watermark", watermark="1 hour")
     _run(spark, cfg)
-    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "feed=alarms"))
     ids = sorted(r["event_id"] for r in out.collect())
     assert ids == ["ALM-1", "ALM-2", "ALM-4"]          # the repeat in batch 1 was dropped
 
@@ -113,7 +113,7 @@ def test_start_all_json_and_csv_sources(spark, scratch):
         assert q.exception() is None
     job.stop_all(qs)
     assert sorted(q.name for q in qs) == ["query_alarms", "query_uploads_csv"]
-    up = read_serving(spark, os.path.join(cfg.output_root, "network_events", "source=uploads_csv"))
+    up = read_serving(spark, os.path.join(cfg.output_root, "network_events", "feed=uploads_csv"))
     rows = sorted(up.collect(), key=lambda r: r["event_id"])
     assert [r["event_id"][-2:] for r in rows] == ["-0", "-1"] and rows[0]["event_id"].startswith("UPLOAD-")
     assert [r["vendor"] for r in rows] == ["Huawei", "Nokia"]           # bound from each record
@@ -147,7 +147,7 @@ def test_message_ingestion_stream(spark, scratch):
     # the landed layout is exactly what the landing-zone job reads back
     cfg = _cfg(scratch)
     _run(spark, cfg)
-    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "feed=alarms"))
     assert [(r["event_id"], r["severity_clean"]) for r in out.collect()] == [("ALM-1", "MAJOR")]
 
 
@@ -159,7 +159,7 @@ def test_legacy_pretty_printed_landing(spark, scratch):
     from siglake.sources.files import SourceSpec
     cfg = _cfg(scratch, json_multiline=True)
     _run(spark, cfg, SourceSpec("raw/kafka/alarms", "alarms", "alarms", "json", True))
-    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "feed=alarms"))
     assert sorted(r["event_id"] for r in out.collect()) == ["ALM-0", "ALM-1", "ALM-2"]
 
 
@@ -175,7 +175,7 @@ def test_rest_envelopes_are_exploded_and_normalised(spark, scratch):
     cfg = _cfg(scratch)
     spec = [s for s in SOURCES if s.category == "rest"][0]
     _run(spark, cfg, spec)
-    out = read_serving(spark, os.path.join(cfg.output_root, "network_events", "source=rest"))
+    out = read_serving(spark, os.path.join(cfg.output_root, "network_events", "feed=rest"))
     rows = {r["event_id"]: r for r in out.collect()}
     assert len(rows) == 3
     assert rows["INC-1"]["severity_clean"] == "CRITICAL" and rows["INC-1"]["node_id"] == "S-9"
@@ -195,7 +195,7 @@ def test_command_line_stream_once(spark, scratch):
                "--sources", "alarms", "--once", "--monitor-seconds", "0.5",
                "--run-log", os.path.join(scratch, "runlog")])
     assert rc == 0
-    assert read_serving(spark, os.path.join(out, "alarms", "source=alarms")).count() == 2
+    assert read_serving(spark, os.path.join(out, "alarms", "feed=alarms")).count() == 2
 
 
 def test_watermark_drops_late_repeats(spark, scratch):
@@ -204,8 +204,24 @@ def test_watermark_drops_late_repeats(spark, scratch):
     _land(land, "f2", [_event(1, "2026-08-06T10:00:30Z"), _event(5, "2026-08-06T19:30:00Z")])
     cfg = _cfg(scratch, dedup="watermark", watermark="1 hour")
     _run(spark, cfg)
-    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "source=alarms"))
+    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "feed=alarms"))
     ids = sorted(r["event_id"] for r in out.collect())
     # after batch 0 the watermark is 19:00: the 10:00:30 repeat is late and dropped (bounded state),
     # the 19:30 event is on time and kept
     assert ids == ["ALM-1", "ALM-5", "ALM-9"]
+
+
+def test_catalog_table_over_idempotent_output(spark, scratch):
+    from siglake.sources.files import read_json
+    land = os.path.join(scratch, "land")
+    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(2, "2026-08-07T10:00:00Z")])
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS ops_stream")
+    cfg = _cfg(scratch, table_prefix="ops_stream.")
+    _run(spark, cfg)
+    assert spark.table("ops_stream.alarms").count() == 2
+    # replaying the same batch id (a retry) must not duplicate rows in the table
+    handler = job.make_batch_handler(SOURCES[0], cfg)
+    batch = read_json(spark, os.path.join(land, "raw/kafka/category=alarms"), UNIFIED_EVENT, multiline=False)
+    handler(batch, 0)
+    assert spark.table("ops_stream.alarms").count() == 2
+    assert spark.table("ops_stream.alarms").where("event_date = '2026-08-07'").count() == 1
