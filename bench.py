@@ -30,7 +30,7 @@ def main() -> None:
     from siglake.session import get_session
 
     spark = get_session(f"local[{cpus}]", app="siglake-bench",
-                        shuffle_partitions=int(cpus) * 2,
+                        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     qs = all_queries()

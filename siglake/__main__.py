@@ -3,6 +3,7 @@
   stream       landing-zone job: one query per registry source -> serving tables
   ingest       message ingestion: (topic, value) records -> landing + quarantine
   materialize  batch build of all serving tables from the driver tables
+  panel        run a dashboard statement (or any SQL) over materialised tables
 
 Settings the cluster owns (``spark.checkpoint.dir``, shuffle width, memory)
 come from the spark-submit configuration; the streaming commands add FAIR
@@ -91,6 +92,19 @@ def run_materialize(args) -> int:
     return 0
 
 
+def run_panel(args) -> int:
+    from siglake.plans import dashboards
+    from siglake.plans.serving import TABLE_CATEGORIES
+
+    spark = _session("siglake-panel", args.master)
+    base = args.serving.rstrip("/")
+    paths = {t: f"{base}/category={c}" for t, c in TABLE_CATEGORIES.items()}
+    dashboards.register_materialized(spark, paths, base)
+    df = spark.sql(args.sql) if args.sql else dashboards.run_panel(spark, args.name)
+    df.show(args.rows, truncate=False)          # bounded output
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="siglake")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
@@ -126,6 +140,13 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--tables", nargs="*", default=None)
     m.set_defaults(fn=run_materialize)
 
+    q = sub.add_parser("panel", help="dashboard SQL over materialised serving tables")
+    q.add_argument("--serving", required=True, help="folder written by `materialize`")
+    q.add_argument("--name", default="total_alarms", help="panel name (see plans/dashboards.py)")
+    q.add_argument("--sql", default=None, help="any SQL over alarms, tickets, network_events, ...")
+    q.add_argument("--rows", type=int, default=50)
+    q.set_defaults(fn=run_panel)
+
     args = p.parse_args(argv)
     return args.fn(args)
 

@@ -49,10 +49,20 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def register_materialized(spark: SparkSession, paths: dict[str, str], base: str) -> None:
-    """Register the folders written by ``serving.materialize`` as views."""
+def register_materialized(spark: SparkSession, paths: dict[str, str], base: str) -> list[str]:
+    """Register the folders written by ``serving.materialize`` as views;
+    a table whose folder does not exist is skipped. Returns the registered names."""
+    from pyspark.errors import AnalysisException
     from siglake.sinks.tables import read_serving
-    register_views({t: read_serving(spark, p, base=base) for t, p in paths.items()})
+    found = {}
+    for t, p in paths.items():
+        try:
+            found[t] = read_serving(spark, p, base=base)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+    register_views(found)
+    return sorted(found)
 
 
 def run_panel(spark: SparkSession, name: str) -> DataFrame:

@@ -87,6 +87,11 @@ def test_materialized_tables_prune_partitions(spark, scratch):
     want = built.where((F.col("event_timestamp") >= F.lit("2024-01-02").cast("timestamp"))
                        & (F.col("event_timestamp") < F.lit("2024-01-03").cast("timestamp"))).count()
     assert one_day.count() == want
+    # the dashboards' own SQL over the written tables, from the command line
+    from siglake.__main__ import main
+    assert main(["panel", "--serving", base, "--name", "alarms_by_severity"]) == 0
+    assert spark.sql("SELECT SUM(count) AS n FROM (" + __import__("siglake.plans.dashboards", fromlist=["x"])
+                     .PANEL_SQL["alarms_by_severity"] + ")").first()["n"] == built.count()
 
 
 def test_dashboard_sql_matches_dataframe_panels(spark):
