@@ -89,9 +89,10 @@ def test_materialized_tables_prune_partitions(spark, scratch):
     assert one_day.count() == want
     # the dashboards' own SQL over the written tables, from the command line
     from siglake.__main__ import main
+    from siglake.plans.dashboards import PANEL_SQL
     assert main(["panel", "--serving", base, "--name", "alarms_by_severity"]) == 0
-    assert spark.sql("SELECT SUM(count) AS n FROM (" + __import__("siglake.plans.dashboards", fromlist=["x"])
-                     .PANEL_SQL["alarms_by_severity"] + ")").first()["n"] == built.count()
+    total = spark.sql(f"SELECT SUM(count) AS n FROM ({PANEL_SQL['alarms_by_severity']})").first()["n"]
+    assert total == built.count()
 
 
 def test_dashboard_sql_matches_dataframe_panels(spark):
