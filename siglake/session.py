@@ -7,7 +7,6 @@ only when that is unset (tests, local runs) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,9 +80,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def ensure_dir(path: str) -> str:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)
-    return path

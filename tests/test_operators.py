@@ -298,3 +298,13 @@ def test_dedup_hot_key_third_of_rows(spark):
     assert out.count() == 1 + (n - n // 3)
     hot = out.where("event_id = 'HOT'").first()
     assert hot["seq"] == max(i for i in range(n) if i % 3 == 0)
+
+
+def test_cut_lineage_uses_reliable_checkpoint(spark):
+    from siglake.session import checkpoint_dir, cut_lineage
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    cut = cut_lineage(df)
+    assert cut.count() == 100
+    plan = cut._jdf.queryExecution().analyzed().toString()
+    assert "LogicalRDD" in plan and "Range" not in plan          # lineage replaced by the checkpoint
+    assert checkpoint_dir(spark)                                  # files live in the shared folder
