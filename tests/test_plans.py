@@ -131,3 +131,15 @@ def test_dedup_winner_independent_of_kept_columns(spark):
         got = serving.build_table(routed, "alarms", columns=cols).first()
         assert all(got[c] == full[c] for c in cols), (cols, got, full)
     assert full["node_id"] == "DEV-9"            # largest tie-break value wins
+
+
+def test_panel_work_stays_in_whole_stage_codegen(spark):
+    """The per-row pipeline (decode, validate, route, clean, key) is fused
+    into whole-stage codegen spans; no Python evaluation node appears."""
+    df = all_queries()["alarms_by_severity"](spark, SMOKE_SF)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    df.collect()                               # runs this plan; AQE then holds the final one
+    final = df._jdf.queryExecution().executedPlan().toString()
+    fused = [ln for ln in final.splitlines() if "*(" in ln and ("Project" in ln or "Filter" in ln)]
+    assert fused, final
