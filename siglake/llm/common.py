@@ -7,6 +7,7 @@ Python string per word is ever built. The white-space bytes are
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -33,7 +34,18 @@ _PIECE = 1 << 18
 
 # ----------------------------------------------------------------- tables
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (as ``--py-files`` would)."""
+    import siglake
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(siglake.__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

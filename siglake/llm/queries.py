@@ -85,7 +85,7 @@ ORACLES = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         s AS (
           SELECT doc_id, text, regexp_extract_all(text, '{_WORD}') AS words,
-                 list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{_WORD}')) AS lines,
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines,
                  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
                  length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_n,
                  length(regexp_replace(text, '[^a-z]', '', 'g')) AS lower_n,
@@ -135,11 +135,11 @@ ORACLES = {
           FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
         n AS (SELECT doc_id, count(*) AS n_shingles FROM g GROUP BY doc_id),
         p AS (
-          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
           FROM g a JOIN g b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
         l AS (
           SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
-          WHERE 100 * both >= 75 * (x.n_shingles + y.n_shingles - both)),
+          WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)),
         reach AS (
           SELECT doc_id AS a, doc_id AS b FROM documents
           UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
