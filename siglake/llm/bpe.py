@@ -10,8 +10,7 @@ edges are compatible with what lies beside them. Decoding concatenates up the
 same kind of tree.
 
 Text is first split by the vocabulary's pattern; each match is a string of its
-own. Long texts are halved at places where every split has a border (a white
-space after a character that is none), so that no window is needed there.
+own, and matches seen before keep their tokens.
 
 Defined cases: a null or empty text has no tokens; texts of any length and
 pieces of any length work (a long piece costs O(n log^2 n)); other columns are
@@ -23,19 +22,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked
-from siglake.llm.tokens import PieceCache, splitter
+from siglake.llm.common import chunked, string_buffers
+from siglake.llm.tokens import BatchEncoder
 
 LEAF_BYTES = 16          # strings up to this length are merged directly
-LEAF_CHARS = 1 << 16     # texts up to this length are split by the pattern directly
+LEAF_IDS = 1 << 18       # id sequences up to this length are decoded directly
 
 
 class TreeBpe:
@@ -44,9 +43,13 @@ class TreeBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.find = splitter(pattern)
         self.fits: dict[tuple[int, int], bool] = {}
-        self.cache = PieceCache(lambda piece: array("I", self.encode_bytes(piece.encode())).tobytes())
+        self.batch = BatchEncoder(pattern, self.encode_bytes)
+        # bytes of all tokens, for decoding
+        size = np.zeros(max(self.tokens, default=0) + 1, np.int64)
+        size[list(self.tokens)] = [len(t) for t in self.tokens.values()]
+        self.size, self.at = size, np.cumsum(size) - size
+        self.bytes = np.frombuffer(b"".join(self.tokens[i] for i in sorted(self.tokens)), np.uint8)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> "TreeBpe":
@@ -129,27 +132,25 @@ class TreeBpe:
         return self.join(self.encode_bytes(text[:half]), self.encode_bytes(text[half:]))
 
     # -- texts ------------------------------------------------------------
-    @staticmethod
-    def _border(text: str) -> int:
-        """A place near the middle with white space after a character that is none; 0 if there is none."""
-        half = len(text) // 2
-        m = regex.compile(r"(?<=\P{White_Space})\p{White_Space}").search(text, half)
-        if not m:
-            m = regex.compile(r"(?r)(?<=\P{White_Space})\p{White_Space}").search(text, 0, half)
-        return m.start() if m else 0
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as unsigned 32-bit integers."""
-        if len(text) > LEAF_CHARS and (cut := self._border(text)):
-            return self.encode(text[:cut]) + self.encode(text[cut:])
-        return b"".join(map(self.cache.__getitem__, self.find(text)))
-
-    def decode(self, ids: bytes) -> bytes:
-        n = len(ids) // 4
-        if n > LEAF_CHARS:
-            half = n // 2 * 4
+    def encode(self, text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return self.batch(raw, np.array([0, len(raw)]))[0]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of a sequence of ids: its halves' bytes one after the other."""
+        if len(ids) > LEAF_IDS:
+            half = len(ids) // 2
             return self.decode(ids[:half]) + self.decode(ids[half:])
-        return b"".join(map(self.tokens.__getitem__, array("I", ids)))
+        if not len(ids):
+            return b""
+        n = self.size[ids]
+        ends = np.cumsum(n)
+        return self.bytes[np.repeat(self.at[ids] - (ends - n), n) + np.arange(int(ends[-1]))].tobytes()
+
+
+@lru_cache(maxsize=2)
+def tree_encoder(path: str, pattern: str) -> TreeBpe:
+    return TreeBpe.load(path, pattern)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -160,16 +161,17 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
               "decoded_sha256 string" + ", ids binary" * keep_ids)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = TreeBpe.load(path, pattern)
-        for b in chunked(batches, 2 << 20):
-            n, sha, back, kept = [], [], [], []
-            for text in b.column(1).to_pylist():
-                ids = bpe.encode(text or "")
-                n.append(len(ids) // 4)
-                sha.append(hashlib.sha256(ids).hexdigest())
-                back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+        bpe = tree_encoder(path, pattern)
+        for b in chunked(batches, 1 << 20):
+            ids, row = bpe.batch(*string_buffers(b.column(1)))
+            n, sha, back, kept = np.diff(row), [], [], []
+            for lo, hi in zip(row.tolist(), row[1:].tolist()):
+                own = ids[lo:hi]
+                raw = own.astype("<u4").tobytes()
+                sha.append(hashlib.sha256(raw).hexdigest())
+                back.append(hashlib.sha256(bpe.decode(own)).hexdigest())
                 if keep_ids:
-                    kept.append(ids)
+                    kept.append(raw)
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, staged
-from siglake.llm.tokens import END, PieceTokenizer
+from siglake.llm.common import chunked, staged, string_buffers
+from siglake.llm.tokens import END, library_encoder
 
 CAPACITY = 2048
 BUCKET_ROWS = 1_000_000    # pieces of one length ranked by one task, on average
@@ -177,11 +177,13 @@ def pieces_of(docs: DataFrame, tokenizer: str, pattern: str, id_col: str = "doc_
               "ids_crc32 bigint" + ", ids binary" * keep_ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = PieceTokenizer(tokenizer, pattern)
-        for b in chunked(batches, 2 << 20):
+        encoder = library_encoder(tokenizer, pattern)
+        for b in chunked(batches, 1 << 20):
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = tok.encode(text or "") + END
+            every, row = encoder(*string_buffers(b.column(1)))
+            every = every.astype("<u4")
+            for doc, lo, hi in zip(b.column(0).to_pylist(), row.tolist(), row[1:].tolist()):
+                ids = every[lo:hi].tobytes() + END
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 ends = [first, *range(first + capacity, n + 1, capacity)]

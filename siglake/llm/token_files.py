@@ -36,8 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked
-from siglake.llm.tokens import END, PieceTokenizer
+from siglake.llm.common import chunked, string_buffers
+from siglake.llm.tokens import END, library_encoder
 from siglake.session import shared_path
 
 MAGIC = b"PFR1"
@@ -165,7 +165,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, pattern: str, id_col
     dealt = rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = PieceTokenizer(tokenizer, pattern)
+        encoder = library_encoder(tokenizer, pattern)
         part = TaskContext.get().partitionId()
         names: list[int | None] = []
         held: list[bytes] = []
@@ -179,11 +179,12 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, pattern: str, id_col
                 names=["part", "segment", "n_docs", "first_id", "n_ids", "payload"])
 
         for b in chunked(batches, 1 << 20):
-            for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                one = tok.encode(text or "")
+            ids, row = encoder(*string_buffers(b.column(1)))
+            ids = ids.astype("<u4")
+            for name, lo, hi in zip(b.column(0).to_pylist(), row.tolist(), row[1:].tolist()):
                 names.append(name)
-                held.append(one + END)
-                count += len(one) // 4 + 1
+                held.append(ids[lo:hi].tobytes() + END)
+                count += hi - lo + 1
                 if count >= SEGMENT_IDS:
                     yield segment()
                     names, held, count, seq, first = [], [], 0, seq + 1, first + count
