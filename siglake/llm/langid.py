@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, has_letter, string_buffers
+from siglake.llm.common import chunked, has_letter, small, staged, string_buffers
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16            # per width
@@ -239,3 +239,23 @@ def label_languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score; trained on the rows that are not held out and have a language."""
     net = train(docs.where(~held_out() & F.col("lang").isNotNull()))
     return predict(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+#: Least score of a document that the filter keeps.
+LEAST_SCORE = 0.5
+
+
+def drop_unknown(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """``docs`` without those of no known language (no letter, or a score below ``least``); all columns stay.
+
+    Learns from the documents given that have a language and are not held out; if
+    there are none, nothing is known and only texts without a letter go.
+    """
+    net = train(docs.where(~held_out() & F.col("lang").isNotNull()))
+    if not net.labels:
+        return docs.where(has_letter(F.col("text")))
+    verdict = predict(docs, net)
+    gone = staged(verdict.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct(),
+                  "unknown")
+    kept = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    return kept.where(F.col("doc_id").isNotNull() | has_letter(F.col("text")))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, quotes, rules, token_files
+from siglake.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, quotes, rules, substring, token_files
 from siglake.llm.common import documents
 from siglake.session import shared_path
 
@@ -38,6 +38,10 @@ def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotations(documents(spark, sf_dir, "conversations"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     # n_rules depends on measured costs; the verdict does not
     return rules.cascade(documents(spark, sf_dir)).drop("n_rules")
@@ -64,8 +68,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_exact_dedup, op3_quality_classifier, op4_quotation_linking, op6_quality_rules,
-    op7_minhash_near_dedup, op8_best_fit_packing, op9_token_files, op10_byte_bpe)}
+    op1_language_id, op2_exact_dedup, op3_quality_classifier, op4_quotation_linking, op5_substring_dedup,
+    op6_quality_rules, op7_minhash_near_dedup, op8_best_fit_packing, op9_token_files, op10_byte_bpe)}
 
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
