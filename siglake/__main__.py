@@ -3,7 +3,8 @@
   stream       landing-zone job: one query per registry source -> serving tables
   ingest       message ingestion: (topic, value) records -> landing + quarantine
   materialize  batch build of all serving tables from the driver tables
-  panel        run a dashboard statement (or any SQL) over materialised tables
+  compact      fold the stored batches of serving tables into one
+  panel        run a dashboard statement (or any SQL) over serving tables
 
 Settings the cluster owns (``spark.checkpoint.dir``, shuffle width, memory)
 come from the spark-submit configuration; the streaming commands add FAIR
@@ -19,14 +20,15 @@ import sys
 import time
 
 
-# Streaming state (watermark de-duplication, windows) lives in RocksDB, off
-# the JVM heap, so large key sets do not pressure executor memory.
+# Streaming state (windows) lives in RocksDB, off the JVM heap, so large key
+# sets do not pressure executor memory.
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.scheduler.mode": "FAIR",
 }
+FLUSH_ROWS = 200      # run-log rows written together while a job runs
 
 
 def _session(app: str, master: str | None, extra: dict | None = None):
@@ -35,6 +37,7 @@ def _session(app: str, master: str | None, extra: dict | None = None):
 
 
 def run_stream(args) -> int:
+    from siglake.sinks.landing import publish
     from siglake.sources.files import SOURCES
     from siglake.streaming import job, monitor
 
@@ -42,11 +45,12 @@ def run_stream(args) -> int:
     cfg = job.StreamConfig(landing_root=args.landing, output_root=args.output,
                            checkpoint_root=args.checkpoints,
                            trigger_seconds=None if args.once else args.trigger_seconds,
-                           max_files_per_trigger=args.max_files, dedup=args.dedup,
-                           watermark=args.watermark)
-    specs = [s for s in SOURCES if not args.sources or s.category in args.sources]
+                           max_files_per_trigger=args.max_files, table_prefix=args.table_prefix,
+                           publish=(lambda df: publish(df, args.bootstrap)) if args.bootstrap else None)
+    waiting = [s for s in SOURCES if not args.sources or s.category in args.sources]
+    log_path = args.run_log or f"{args.output.rstrip('/')}/run_log"
     listener = monitor.attach(spark)
-    queries = job.start_all(spark, specs, cfg)
+    queries: list = []
     stopping = {"flag": False}
 
     def stop(*_):
@@ -55,15 +59,20 @@ def run_stream(args) -> int:
     signal.signal(signal.SIGTERM, stop)
     signal.signal(signal.SIGINT, stop)
     try:
-        while any(q.isActive for q in queries) and not stopping["flag"]:
+        while not stopping["flag"]:
+            started, waiting = job.start_all(spark, waiting, cfg)
+            queries += started
+            print(json.dumps({"queries": monitor.query_status(queries),
+                              "waiting": [s.category for s in waiting]}), flush=True)      # I5
+            listener.flush(spark, log_path, FLUSH_ROWS)
+            if not any(q.isActive for q in queries) and (args.once or queries):
+                break
             time.sleep(args.monitor_seconds)
-            print(json.dumps(monitor.query_status(queries)), flush=True)      # I5
-            if args.run_log:
-                listener.flush(spark, args.run_log)
     finally:
         job.stop_all(queries)                                                   # I6
-        if args.run_log:
-            listener.flush(spark, args.run_log)
+        time.sleep(min(args.monitor_seconds, 2.0))       # the last progress events arrive
+        listener.flush(spark, log_path)
+        spark.streams.removeListener(listener)
     failed = [q.name for q in queries if q.exception() is not None]
     return 1 if failed else 0
 
@@ -87,21 +96,31 @@ def run_materialize(args) -> int:
     from siglake.plans import serving
 
     spark = _session("siglake-materialize", args.master)
-    paths = serving.materialize(spark, args.inputs, args.output, args.tables or None)
-    print(json.dumps(paths))
+    print(json.dumps(serving.materialize(spark, args.inputs, args.output, args.tables or None)))
+    return 0
+
+
+def run_compact(args) -> int:
+    from siglake.plans.serving import PANELS
+    from siglake.sinks.tables import compact
+
+    spark = _session("siglake-compact", args.master)
+    print(json.dumps({t: compact(spark, args.serving, t) for t in args.tables or PANELS}))
     return 0
 
 
 def run_panel(args) -> int:
     from siglake.plans import dashboards
-    from siglake.plans.serving import TABLE_CATEGORIES
 
     spark = _session("siglake-panel", args.master)
-    base = args.serving.rstrip("/")
-    paths = {t: f"{base}/category={c}" for t, c in TABLE_CATEGORIES.items()}
-    dashboards.register_materialized(spark, paths, base)
+    dashboards.register_serving(spark, args.serving)
     df = spark.sql(args.sql) if args.sql else dashboards.run_panel(spark, args.name)
-    df.show(args.rows, truncate=False)          # bounded output
+    if args.output:
+        df.write.mode("overwrite").format(args.format).save(args.output)
+    else:
+        print("\t".join(df.columns))
+        for row in df.toLocalIterator():             # all rows, a partition at a time
+            print("\t".join("" if v is None else str(v) for v in row))
     return 0
 
 
@@ -113,14 +132,14 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("stream", help="landing zone -> serving tables")
     s.add_argument("--landing", required=True)
     s.add_argument("--output", required=True)
-    s.add_argument("--checkpoints", default=None, help="default: under spark.checkpoint.dir")
+    s.add_argument("--checkpoints", default=None, help="default: streams under spark.checkpoint.dir")
     s.add_argument("--sources", nargs="*", default=None, help="registry categories to run")
     s.add_argument("--trigger-seconds", type=int, default=15)
     s.add_argument("--max-files", type=int, default=50)
-    s.add_argument("--dedup", choices=["batch", "watermark"], default="batch")
-    s.add_argument("--watermark", default="1 hour")
+    s.add_argument("--table-prefix", default=None, help="also register catalog tables, e.g. ops.")
+    s.add_argument("--bootstrap", default=None, help="publish upload and REST events to these Kafka servers")
     s.add_argument("--monitor-seconds", type=float, default=30.0)
-    s.add_argument("--run-log", default=None, help="parquet folder for the run log")
+    s.add_argument("--run-log", default=None, help="default: run_log under the output")
     s.add_argument("--once", action="store_true", help="drain what is there and stop")
     s.set_defaults(fn=run_stream)
 
@@ -140,11 +159,17 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--tables", nargs="*", default=None)
     m.set_defaults(fn=run_materialize)
 
-    q = sub.add_parser("panel", help="dashboard SQL over materialised serving tables")
-    q.add_argument("--serving", required=True, help="folder written by `materialize`")
+    c = sub.add_parser("compact", help="fold the stored batches of serving tables into one each")
+    c.add_argument("--serving", required=True)
+    c.add_argument("--tables", nargs="*", default=None)
+    c.set_defaults(fn=run_compact)
+
+    q = sub.add_parser("panel", help="dashboard SQL over serving tables")
+    q.add_argument("--serving", required=True, help="folder written by `materialize` or `stream`")
     q.add_argument("--name", default="total_alarms", help="panel name (see plans/dashboards.py)")
     q.add_argument("--sql", default=None, help="any SQL over alarms, tickets, network_events, ...")
-    q.add_argument("--rows", type=int, default=50)
+    q.add_argument("--output", default=None, help="write the rows here instead of printing them")
+    q.add_argument("--format", default="parquet", choices=["parquet", "json", "csv"])
     q.set_defaults(fn=run_panel)
 
     args = p.parse_args(argv)

@@ -25,6 +25,11 @@ def truthy(c) -> Column:
     return F.when(s != F.lit(""), s)
 
 
+def truthy_number(c) -> Column:
+    """The number as a string, NULL for 0 (``0 or b`` is ``b``)."""
+    return F.when(_col(c) != 0, _col(c).cast("string"))
+
+
 def first_truthy(*cols, default=None) -> Column:
     """First non-NULL, non-empty value among ``cols``; ``default`` otherwise."""
     parts = [truthy(c) for c in cols]

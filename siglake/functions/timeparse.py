@@ -1,12 +1,12 @@
 """Event time resolution (C3), event date (C4) and hour buckets.
 
-The timestamp column is chosen once per frame at plan time - the first of
-``timestamp, created_at, event_time, time`` that exists in the schema - and
-parsed per row. Strings are parsed with ``try_to_timestamp`` so an
+The event time is chosen per row: the first of ``timestamp, created_at,
+event_time, time`` that exists in the schema and is not NULL. Strings are parsed with ``try_to_timestamp`` so an
 unparseable value becomes NULL instead of failing the batch under ANSI mode.
-When no candidate exists the caller supplies a fallback (the file's
-modification time or the ingest time); ``current_timestamp()`` is used only
-as the last resort because a replay would otherwise restamp old events.
+A row without any takes the caller's fallback (the file's modification time or
+the ingest time). ``current_timestamp()`` is used only if the frame has no
+candidate column and the caller gives no fallback, because a replay would
+otherwise restamp old events.
 """
 
 from __future__ import annotations
@@ -32,10 +32,15 @@ def parse_event_time(col: Column, dtype: T.DataType) -> Column:
 def resolve_event_time(df: DataFrame, fallback: Column | None = None) -> Column:
     """event_timestamp expression for ``df``."""
     names = {f.name: f.dataType for f in df.schema.fields}
-    for cand in TIMESTAMP_CANDIDATES:
-        if cand in names:
-            return parse_event_time(F.col(cand), names[cand])
-    return fallback if fallback is not None else F.current_timestamp()
+    found = [(F.col(c), parse_event_time(F.col(c), names[c])) for c in TIMESTAMP_CANDIDATES if c in names]
+    if not found:
+        return fallback if fallback is not None else F.current_timestamp()
+    if len(found) == 1 and fallback is None:
+        return found[0][1]
+    out = None
+    for raw, parsed in found:
+        out = F.when(raw.isNotNull(), parsed) if out is None else out.when(raw.isNotNull(), parsed)
+    return out if fallback is None else out.otherwise(fallback)
 
 
 def event_date(ts) -> Column:

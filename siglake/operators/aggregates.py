@@ -66,29 +66,6 @@ def recent(df: DataFrame, columns: dict[str, str], n: int = 50,
     return ordered.select(*sel)
 
 
-def levels_frame(spark: SparkSession, levels: list[str], name: str) -> DataFrame:
-    """A literal one-column frame of a fixed domain (size bounded by the domain)."""
-    return spark.createDataFrame([(x,) for x in levels], f"{name} string")
-
-
-def zero_filled_counts(df: DataFrame, col: str, levels: list[str], alias: str,
-                       count_alias: str = "count") -> DataFrame:
-    """Counts for every level of a fixed domain, 0 where absent.
-
-    Rows are filtered to the domain and grouped first, so at most
-    ``len(levels)`` rows survive - a proven bound for the broadcast - and
-    that tiny result is joined to the domain literal, never the other way
-    round. Values outside the domain are dropped, as the domain defines the
-    panel.
-    """
-    spark = df.sparkSession
-    counts = (df.where(F.col(col).isin(*levels))
-              .groupBy(F.col(col).alias(alias)).agg(F.count(F.lit(1)).alias("__n")))
-    dom = levels_frame(spark, levels, alias)
-    return (dom.join(F.broadcast(counts), alias, "left")
-            .select(alias, F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_alias)))
-
-
 def long_form_counts(df: DataFrame, dims: list[str], total_label: str = "total") -> DataFrame:
     """``(dimension, value, n)`` for several dimensions in one pass.
 

@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siglake.functions.common import first_truthy, present, truthy
+from siglake.functions.common import first_truthy, present, truthy, truthy_number
 from siglake.functions.payload import bind_payload_fields
 from siglake.functions.severity import connector_severity, lake_severity
 from siglake.functions.timeparse import event_date, parse_event_time, resolve_event_time
-from siglake.schemas import (CANONICAL_EVENT, CONNECTOR_DEFAULT_NODE, CONNECTOR_DEFAULT_REGION,
-                             PAYLOAD_BINDINGS)
+from siglake.schemas import (CANONICAL_EVENT, CONNECTOR_DEFAULT_NODE, CONNECTOR_DEFAULT_REGION, ID_CANDIDATES,
+                             PAYLOAD_BINDINGS, TIMESTAMP_CANDIDATES)
 
 
 def clean_events(df: DataFrame, fallback_time: Column | None = None,
@@ -61,17 +61,18 @@ def _typed_time_candidates(df: DataFrame, names: list[str]) -> list[Column] | No
 def connector_normalize(df: DataFrame, category: str, now: Column | None = None) -> DataFrame:
     """REST record of any shape -> the 8 unified keys plus ``topic``.
 
-    ``payload`` is the whole raw record as JSON text. The id fallback is
-    ``EXT-<CAT>-<xxhash64(payload)>`` rather than a wall-clock stamp, so a
-    replayed poll yields the same id and de-duplicates.
+    ``payload`` is the whole raw record as JSON text, keys without a value
+    included. The id fallback is ``EXT-<CAT>-<sha256(payload)>`` rather than a
+    wall-clock stamp, so a replayed poll yields the same id and de-duplicates.
     """
     from siglake.schemas import CONNECTOR_TOPICS
 
     cols = df.columns
-    payload = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    payload = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
     cat_up = category.upper()
-    ids = present(cols, CONNECTOR_ID_FIELDS)
-    fallback_id = F.concat(F.lit(f"EXT-{cat_up}-"), F.xxhash64(payload).cast("string"))
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    ids = [truthy_number(c) if c in numeric else c for c in present(cols, CONNECTOR_ID_FIELDS)]
+    fallback_id = F.concat(F.lit(f"EXT-{cat_up}-"), F.sha2(payload, 256))
     event_id = first_truthy(*ids, default=fallback_id)
     sev_cols = present(cols, CONNECTOR_SEVERITY_FIELDS)
     severity = connector_severity(*sev_cols) if sev_cols else F.lit("INFO")
@@ -119,7 +120,7 @@ def connector_normalize_json(df: DataFrame, record_col: str, category: Column,
                                    F.try_element_at(m, F.lit(n))) for n in names])
 
     cat_up = F.upper(category)
-    fallback_id = F.concat(F.lit("EXT-"), cat_up, F.lit("-"), F.xxhash64(rec).cast("string"))
+    fallback_id = F.concat(F.lit("EXT-"), cat_up, F.lit("-"), F.sha2(rec, 256))
     sev = connector_severity(*[F.try_element_at(m, F.lit(n)) for n in CONNECTOR_SEVERITY_FIELDS])
     when = fallback_time if fallback_time is not None else F.current_timestamp()
     return df.withColumn("__rec_map", F.from_json(rec, JSON_MAP)).select(
@@ -135,15 +136,17 @@ def connector_normalize_json(df: DataFrame, record_col: str, category: Column,
 
 
 def upload_events(records: DataFrame, file_type: Column, sha256: Column, uploaded_at: Column,
-                  filename: Column, row_idx: Column, record_cols: list[str]) -> DataFrame:
+                  filename: Column, row_idx: Column, record_cols: list[str],
+                  path: Column | None = None) -> DataFrame:
     """C14: one upload event per parsed record.
 
-    The id carries the record index (``UPLOAD-<sha8>-<idx>``) so the rows of
-    one file stay distinct through de-duplication.
+    The id is ``UPLOAD-<digest>-<idx>``: the digest of the file's content and
+    path, whole, and the record's index, so two uploads with equal bytes keep
+    the records of both. ``path`` defaults to the file name.
     """
+    whole = F.sha2(F.concat_ws("\n", sha256, filename if path is None else path), 256)
     return records.select(
-        F.concat(F.lit("UPLOAD-"), F.substring(sha256, 1, 8), F.lit("-"),
-                 row_idx.cast("string")).alias("event_id"),
+        F.concat(F.lit("UPLOAD-"), whole, F.lit("-"), row_idx.cast("string")).alias("event_id"),
         F.concat(F.lit("UPLOAD_"), F.upper(file_type)).alias("source"),
         uploaded_at.alias("timestamp"),
         F.lit("INFO").alias("severity"),
@@ -179,6 +182,31 @@ def to_canonical(df: DataFrame, category: Column | str | None = None,
     return df.select(*cols)
 
 
+def resolve_lenient(df: DataFrame) -> DataFrame:
+    """Fields outside the unified eight (map column ``extra``) take their place.
+
+    Per row: the id is the first non-empty of event, alarm, ticket and metric
+    id; the time the first of the time fields that is there; the fields
+    themselves join the payload object, whose own keys win.
+    """
+    extra = F.col("extra")
+    ids = [F.try_element_at(extra, F.lit(c)) for c in ID_CANDIDATES if c != "event_id"]
+    times = [F.try_element_at(extra, F.lit(c)) for c in TIMESTAMP_CANDIDATES if c != "timestamp"]
+    own = F.coalesce(F.json_object_keys("payload"), F.array().cast("array<string>"))
+    more = F.map_filter(extra, lambda k, v: ~F.array_contains(own, k))
+    inside = F.regexp_replace(F.to_json(more), r"\}$", "")
+    rest = F.regexp_replace("payload", r"^\s*\{", "")
+    empty = F.col("payload").isNull() | F.col("payload").rlike(r"^\s*(\{\s*\}\s*)?$")
+    merged = (F.when(empty, F.to_json(more))
+              .when(F.json_object_keys("payload").isNotNull(), F.concat(inside, F.lit(","), rest))
+              .otherwise(F.col("payload")))
+    return df.withColumns({
+        "event_id": first_truthy("event_id", *ids),
+        "timestamp": F.coalesce("timestamp", *times),
+        "payload": F.when(F.coalesce(F.size(more), F.lit(0)) > 0, merged).otherwise(F.col("payload")),
+    }).drop("extra")
+
+
 def apply_event_defaults(df: DataFrame, now: Column | None = None) -> DataFrame:
     """Severity INFO, timestamp now, payload {} when absent; region stays NULL."""
     now_col = now if now is not None else F.current_timestamp()

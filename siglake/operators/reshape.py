@@ -1,4 +1,4 @@
-"""Flattening and fan-in."""
+"""Flattening and fan-in."""
 
 from __future__ import annotations
 
@@ -23,13 +23,13 @@ def page_records(page_json) -> F.Column:
     """
     p = F.col(page_json) if isinstance(page_json, str) else page_json
     as_list = F.from_json(p, T.ArrayType(T.StringType()))
-    is_array = F.trim(p).startswith("[")
+    is_array = p.rlike(r"^\s*\[")
 
     def field_records(name):
         raw = F.get_json_object(p, f"$.{name}")
         arr = F.from_json(raw, T.ArrayType(T.StringType()))
-        is_arr = F.trim(raw).startswith("[")
-        is_obj = F.trim(raw).startswith("{")
+        is_arr = raw.rlike(r"^\s*\[")
+        is_obj = raw.rlike(r"^\s*\{")
         records = F.when(is_arr, arr).when(is_obj, F.array(raw))
         return F.when(F.size(records) > 0, records)
 
@@ -49,14 +49,3 @@ def explode_envelope(df: DataFrame, data_col: str = "data", keep: list[str] | No
     keep = [c for c in (keep if keep is not None else df.columns) if c != data_col]
     return df.select(*keep, F.posexplode(data_col).alias("record_idx", "record"))
 
-
-def json_text_records(df: DataFrame, text_col: str = "content", keep: list[str] | None = None) -> DataFrame:
-    """a JSON file's text -> records. Array = its elements, object = one record, else none."""
-    keep = [c for c in (keep if keep is not None else df.columns) if c != text_col]
-    t = F.trim(F.col(text_col))
-    arr = F.from_json(F.col(text_col), T.ArrayType(T.StringType()))
-    records = (F.when(t.startswith("["), arr)
-               .when(t.startswith("{") & F.json_object_keys(F.col(text_col)).isNotNull(),
-                     F.array(F.col(text_col)))
-               .otherwise(F.array().cast("array<string>")))
-    return df.select(*keep, F.posexplode(records).alias("record_idx", "record"))

@@ -24,8 +24,16 @@ def audit_counts(audit: DataFrame) -> DataFrame:
 
 
 def recent_rows(df: DataFrame, n: int, order_ts: str = "created_at", tie: str = "id",
-                offset: int = 0, columns: list[str] | None = None) -> DataFrame:
-    """Newest first, id descending as tie-break, optional page offset."""
+                offset: int = 0, columns: list[str] | None = None, before: tuple | None = None) -> DataFrame:
+    """Newest first, id descending as tie-break, optional page offset.
+
+    An offset keeps ``offset + n`` rows in the last task; for deep pages pass
+    ``before``, the (time, id) of the last row of the page before, instead.
+    """
+    if before is not None:
+        when, last = F.lit(before[0]), F.lit(before[1])
+        df = df.where((F.col(order_ts) < when) | ((F.col(order_ts) == when) & (F.col(tie) < last))
+                      | F.col(order_ts).isNull())
     out = df.orderBy(F.col(order_ts).desc_nulls_last(), F.col(tie).desc_nulls_last())
     if offset:
         out = out.offset(offset)
@@ -58,15 +66,13 @@ def ticket_breakdown(tickets: DataFrame) -> DataFrame:
     return long_form_counts(tickets, ["priority", "state"])
 
 
-def uploads_rollup(history: DataFrame, newest: int = 100) -> DataFrame:
-    """Totals over the newest ``newest`` uploads, counts zero-filled per type.
+def uploads_rollup(history: DataFrame) -> DataFrame:
+    """Totals over the whole upload history, counts zero-filled per type.
 
-    The newest rows come from a top-k (per-task top-``newest`` then merge);
-    the per-type counts are conditional counts in the same ``agg``, so every
-    type column exists even when zero.
+    The per-type counts are conditional counts in the same ``agg``, so every
+    type column exists even when zero. For the platform's newest-100 form, pass
+    ``recent_rows(history, 100)``.
     """
-    top = history.orderBy(F.col("created_at").desc_nulls_last(), F.col("id").desc_nulls_last()) \
-        .limit(newest)
     aggs = [
         F.count(F.lit(1)).alias("total_uploaded_files"),
         F.coalesce(F.sum(F.coalesce("file_size_bytes", F.lit(0))), F.lit(0)).cast("long")
@@ -75,7 +81,7 @@ def uploads_rollup(history: DataFrame, newest: int = 100) -> DataFrame:
         .alias("total_records_parsed"),
     ]
     aggs += [F.count(F.when(F.lower("file_type") == t, 1)).alias(f"uploads_{t}") for t in UPLOAD_TYPES]
-    return top.agg(*aggs)
+    return history.agg(*aggs)
 
 
 def performance_averages(perf: DataFrame) -> DataFrame:
@@ -129,19 +135,45 @@ def run_log(messages: DataFrame, job_name: str = "landing-clean") -> DataFrame:
     )
 
 
-def job_summary(runs: DataFrame) -> DataFrame:
-    """Run counts by status, records processed, average duration, last run."""
+def job_summary(runs: DataFrame, as_of=None) -> DataFrame:
+    """Runs by status, active runs, the last 24 hours, records, average duration, last run.
+
+    A run without an end is active. ``as_of`` (default: the newest end in the
+    log) closes the 24-hour range.
+    """
     dur = (F.unix_micros("completed_at") - F.unix_micros("started_at")) / F.lit(1_000_000.0)
+    end = F.lit(as_of) if as_of is not None else runs.agg(F.max("completed_at")).scalar()
+    runs = runs.withColumn("__day", F.col("completed_at") > end - F.expr("INTERVAL 24 HOURS"))
+
+    def count(cond):
+        return F.count(F.when(cond, 1))
+
     return runs.agg(
         F.count(F.lit(1)).alias("total_runs"),
-        F.count(F.when(F.col("status") == "COMPLETED", 1)).alias("completed_runs"),
-        F.count(F.when(F.col("status") == "FAILED", 1)).alias("failed_runs"),
+        count(F.col("status") == "COMPLETED").alias("completed_runs"),
+        count(F.col("status") == "FAILED").alias("failed_runs"),
         F.coalesce(F.sum("records_processed"), F.lit(0)).cast("long").alias("records_processed"),
         F.round(F.avg(dur), 2).alias("avg_duration_seconds"),
         wall_clock(F.max("completed_at")).alias("last_completed_at"),
+        count(F.col("completed_at").isNull()).alias("active_runs"),
+        count(F.col("__day") & (F.col("status") == "COMPLETED")).alias("completed_24h"),
+        count(F.col("__day") & (F.col("status") == "FAILED")).alias("failed_24h"),
+        F.max_by("status", F.when(F.col("completed_at").isNotNull(), F.struct("completed_at", "run_id")))
+        .alias("last_status"),
     )
 
 
+def with_sample(summary: DataFrame, rows: DataFrame, n: int = 10, order_ts: str = "event_timestamp",
+                tie: str = "event_id", columns: list[str] | None = None) -> DataFrame:
+    """A one-row summary with ``sample``, its ``n`` newest rows as an array of structs.
+
+    The sample is a top-k, so only ``n`` rows meet in one task.
+    """
+    top = recent_rows(rows, n, order_ts=order_ts, tie=tie, columns=columns)
+    sample = top.agg(F.collect_list(F.struct(*top.columns)).alias("sample"))
+    return summary.withColumn("sample", sample.scalar())
+
+
 def service_counters(messages: DataFrame, uploads: DataFrame) -> DataFrame:
     """E13 (re-aimed): ``(counter, value)`` - events processed, REST records
     collected, files uploaded - from the message and upload tables instead

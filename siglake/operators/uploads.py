@@ -1,214 +1,163 @@
 """Uploaded-file inspection and ingestion.
 
-Input is a ``binaryFile`` frame (path, modificationTime, length, content).
-Every step is a projection over whole files plus one explode for the
-records; nothing is collected, and one file's records stay in its task.
-
-Workbooks (.xlsx) are read by a small standard-library helper in an
-Arrow-batched pandas UDF, for those files only; PDFs get a page count from
-built-in expressions on their bytes; legacy .xls workbooks are typed, sized
-and hashed but not read. Spark's ``binaryFile``
-reader produces no row for a 0-byte file, so "empty file" rejections only
-appear for inputs built another way (the check is kept for those).
+Uploads are read with Spark's own readers: ``binaryFile`` for size and hash,
+the CSV reader (quoted fields and line breaks, one pass for all files of equal
+header) and JSON functions. A file that does not parse is reported with a
+reason and gives no records; it never fails the job. Workbooks and PDFs are
+typed, sized and hashed, not read. Spark's ``binaryFile`` reader gives no row for
+a 0-byte file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import csv
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siglake.functions.files import content_type_of, file_type_of, sha256_hex
-from siglake.functions.xlsx import XLSX_RESULT, xlsx_first_sheet
 from siglake.operators.normalize import upload_events
-from siglake.operators.validate import cap_per_group
-from siglake.schemas import MAX_RECORDS_PER_UPLOAD
 
-_NL = r"\r?\n"
+UPLOAD_TOPIC = "network-events"
 # Tokens read as missing in uploaded CSV cells (the default NA
 # strings of the pandas CSV reader the platform parsed uploads with).
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
-# A comma outside double quotes (an even number of quotes follows it).
-_CSV_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _unique_names(names) -> F.Column:
-    """Repeated header names become ``name.1``, ``name.2`` ... (first kept as is)."""
-    def rename(h, i):
-        seen = F.size(F.filter(F.slice(names, 1, i), lambda x: x == h))
-        return F.when((i == 0) | (seen == 0), h).otherwise(F.concat(h, F.lit("."), seen.cast("string")))
-    return F.transform(names, rename)
-
-
-def _csv_fields(line) -> F.Column:
-    """Split one CSV line on unquoted commas; strip quotes, unescape ``""``."""
-    def unquote(v):
-        inner = F.regexp_replace(F.regexp_replace(v, r'^\s*"|"\s*$', ""), '""', '"')
-        return F.when(v.startswith('"') | F.trim(v).startswith('"'), inner).otherwise(v)
-    return F.transform(F.split(line, _CSV_SEP, -1), unquote)
-
-
-def pdf_page_count(content) -> F.Column:
-    """Pages of a PDF from its bytes: the page tree's largest ``/Count``, or
-    the number of ``/Type /Page`` objects when that is larger. (Pages held in
-    compressed object streams are not visible this way.)"""
-    latin = F.decode(content, "ISO-8859-1")
-    counts = F.regexp_extract_all(latin, F.lit(r"/Count\s+(\d+)"), 1)
-    tree = F.coalesce(F.array_max(F.transform(counts, lambda x: x.cast("int"))), F.lit(0))
-    objs = F.size(F.regexp_extract_all(latin, F.lit(r"/Type\s*/Page(?![A-Za-z])"), 0))
-    return F.greatest(tree, objs)
-
-
-def _is_xlsx(path: str = "path") -> F.Column:
-    """Plain ``endswith`` tests (no ``lower``) so the filter is pushed into the
-    binaryFile scan, which then skips the other files without reading them."""
-    p = F.col(path)
-    return p.endswith(".xlsx") | p.endswith(".XLSX")
-
-
-def _with_workbooks(files: DataFrame) -> DataFrame:
-    """Add ``__xl`` (sheet names, header, records) for .xlsx files only.
-
-    Only the workbooks go through the pandas UDF; every other file keeps a
-    NULL struct and never leaves the JVM (a UDF inside a CASE would still be
-    evaluated for every row, so the split is an explicit filter + union).
-    """
-    xl = files.where(_is_xlsx()).withColumn("__xl", xlsx_first_sheet(F.col("content")))
-    rest = files.where(~_is_xlsx()).withColumn("__xl", F.lit(None).cast(XLSX_RESULT))
-    return rest.unionByName(xl)
-
-
-def _inspection(files: DataFrame) -> dict[str, F.Column]:
-    """Inspection expressions over (path, modificationTime, length, content, __xl)."""
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    text = F.col("content").cast("string")
-    ftype = file_type_of(name)
-    trimmed = F.trim(text)
-    is_arr = trimmed.startswith("[")
-    is_obj = trimmed.startswith("{")
-    arr_len = F.json_array_length(text)
-    keys = F.json_object_keys(text)
-    lines = F.filter(F.split(text, _NL), lambda x: F.length(x) > 0)
-    csv_rows = F.greatest(F.size(lines) - F.lit(1), F.lit(0))
-    json_rows = F.when(is_arr, arr_len).when(is_obj & keys.isNotNull(), F.lit(1))
-    xl = F.col("__xl")
-    xlsx = _is_xlsx()
-    row_count = (F.when(ftype == "csv", csv_rows)
-                 .when(ftype == "json", json_rows)
-                 .when((ftype == "excel") & xlsx, F.size(xl.getField("records")))).cast("long")
-    page_count = F.when(ftype == "pdf", pdf_page_count(F.col("content")))
-    structure = F.when(ftype == "json", F.when(is_arr & arr_len.isNotNull(), F.lit("array"))
-                       .when(is_obj & keys.isNotNull(), F.lit("object")))
-    reason = (F.when(F.col("length") == 0, F.lit("empty file"))
-              .when(ftype.isNull(), F.lit("unsupported extension"))
-              .when((ftype == "json") & structure.isNull(), F.lit("invalid JSON"))
-              .when((ftype == "csv") & (F.size(lines) == 0), F.lit("no CSV header"))
-              .when((ftype == "excel") & xlsx & xl.getField("records").isNull(), F.lit("unreadable workbook"))
-              .when((ftype == "pdf") & ~F.decode(F.col("content"), "ISO-8859-1").startswith("%PDF"),
-                    F.lit("not a PDF")))
-    csv_columns = (F.when(ftype == "csv", _csv_fields(F.element_at(lines, 1)))
-                   .when(ftype == "excel", xl.getField("columns")))
-    return {
-        "path": F.col("path"),
-        "filename": name,
-        "file_type": ftype,
-        "content_type": content_type_of(ftype),
-        "file_size_bytes": F.col("length"),
-        "sha256_hash": sha256_hex(F.col("content")),
-        "uploaded_at": F.col("modificationTime"),
-        "row_count": row_count,
-        "page_count": page_count.cast("long"),
-        "sheet_names": xl.getField("sheet_names"),
-        "encrypted": F.when(ftype == "pdf", F.decode(F.col("content"), "ISO-8859-1").contains("/Encrypt")),
-        "structure": structure,
-        "json_keys": F.when(structure == "object", keys),
-        "columns": csv_columns,
-        "status": F.when(reason.isNull(), F.lit("ACCEPTED")).otherwise(F.lit("REJECTED")),
-        "reason": reason,
-    }
-
-
-def inspect_files(files: DataFrame) -> DataFrame:
-    """E12 + D4: one metadata row per file.
-
-    Columns: filename, file_type, content_type, file_size_bytes, sha256_hash,
-    row_count, structure (array/object for JSON), json_keys, columns (CSV
-    header), status, reason.
-    A file is REJECTED when it is empty, has an unsupported extension, or is
-    a CSV/JSON body that does not parse.
-    """
-    wb = _with_workbooks(files)
-    return wb.select(*[c.alias(n) for n, c in _inspection(wb).items()])
-
-
-def parse_records(files: DataFrame) -> DataFrame:
-    """accepted CSV / JSON files -> one row per record (JSON text).
-
-    CSV: header line names the fields; each later non-empty line becomes a
-    JSON object of those fields (values kept as text, NA tokens -> NULL; commas
-    inside double quotes do not split, ``""`` is an escaped quote). JSON: an
-    array yields its elements, an object yields itself. One pass over the
-    file bytes: inspection and record split happen in the same projection.
-    """
-    wb = _with_workbooks(files)
-    cols = _inspection(wb)
-    meta = wb.select(*[c.alias(n) for n, c in cols.items()], F.col("content"), F.col("__xl"))
-    meta = meta.where((F.col("status") == "ACCEPTED") & F.col("file_type").isin("csv", "json", "excel"))
-    text = F.col("content").cast("string")
-    lines = F.filter(F.split(text, _NL), lambda x: F.length(x) > 0)
-    header = _unique_names(_csv_fields(F.element_at(lines, 1)))
-    body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-
-    def record(ln):
-        vals = _csv_fields(ln)
-        # one value per header name: a short row is padded with NULLs, extra fields dropped
-        cells = F.transform(header, lambda h, i: F.try_element_at(vals, i + 1))
-        return F.to_json(F.map_from_arrays(header, F.transform(
-            cells, lambda v: F.when(~v.isin(*NA_TOKENS), v))))
-
-    csv_records = F.transform(body, record)
-    json_records = (F.when(F.col("structure") == "array", F.from_json(text, T.ArrayType(T.StringType())))
-                    .otherwise(F.array(text)))
-    records = (F.when(F.col("file_type") == "csv", csv_records)
-               .when(F.col("file_type") == "excel", F.coalesce(F.col("__xl").getField("records"),
-                                                             F.array().cast("array<string>")))
-               .otherwise(json_records))
-    return meta.select("path", "filename", "file_type", "sha256_hash", "uploaded_at",
-                       F.posexplode(records).alias("row_idx", "record"))
-
-
-def publish_upload_events(files: DataFrame, cap: int = MAX_RECORDS_PER_UPLOAD) -> DataFrame:
-    """C14 + D5: the first ``cap`` records of each file as upload events."""
-    recs = cap_per_group(parse_records(files), ["path"], "row_idx", cap, dense_index=True)
-    return upload_events(recs, F.col("file_type"), F.col("sha256_hash"),
-                         F.col("uploaded_at").cast("string"), F.col("filename"),
-                         F.col("row_idx"), ["record"]) \
-        .withColumn("payload", F.get_json_object(F.col("payload"), "$.record"))
-
-
-def upload_history_rows(files: DataFrame, topic: str = "network-events") -> DataFrame:
-    """One history row per uploaded file (records parsed, status).
-
-    ``id`` is a stable hash of the path (the platform used a database
-    sequence, which a distributed writer cannot share).
-    """
-    m = inspect_files(files)
-    parsed = m["file_type"].isin("csv", "json", "excel")
-    return m.select(
-        F.xxhash64("path").alias("id"),
-        "filename",
-        F.coalesce("file_type", F.lit("unsupported")).alias("file_type"),
-        "file_size_bytes",
-        F.col("path").alias("minio_path"),
-        F.when((F.col("status") == "ACCEPTED") & parsed & (F.coalesce("row_count", F.lit(0)) > 0),
-               F.lit(topic)).alias("kafka_topic"),
-        F.coalesce("row_count", F.when(F.col("file_type") == "pdf", F.lit(1)), F.lit(0))
-        .cast("long").alias("records_count"),
-        F.when(F.col("status") == "ACCEPTED", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
-        F.col("reason").alias("error_message"),
-        F.to_json(F.struct("sha256_hash", "structure", "json_keys", "columns", "sheet_names",
-                       "page_count", "encrypted", "content_type")).alias("metadata_json"),
-        F.col("uploaded_at").cast("timestamp_ntz").alias("created_at"),
-    )
+RECORDS = T.StructType([T.StructField("path", T.StringType()), T.StructField("row_idx", T.LongType()),
+                        T.StructField("record", T.StringType())])
+_HEADERS = "path string, columns array<string>"
+
+
+def _path(col) -> F.Column:
+    """File readers write the same path as ``file:/x`` or ``file:///x``."""
+    return F.regexp_replace(col, r"^([A-Za-z0-9]+):/+(?=[^/])(?![^/]*@)", "$1:/") if not isinstance(col, str) \
+        else _path(F.col(col))
+
+
+def unique_names(names: list[str]) -> list[str]:
+    """Column names made distinct: a repeat gets the first free ``.1``, ``.2`` ...; case does not tell them apart."""
+    out, taken = [], {n.lower() for n in names}
+    seen: set[str] = set()
+    for n in names:
+        name, i = n, 0
+        while name.lower() in seen or (i and name.lower() in taken):
+            i += 1
+            name = f"{n}.{i}"
+        seen.add(name.lower())
+        out.append(name)
+    return out
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: the first line of each, read in one job."""
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select(_path(F.col("_metadata.file_path")).alias("path"), "value",
+                                          F.monotonically_increasing_id().alias("at"))
+    first = lines.where(F.length(F.trim("value")) > 0).groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.collect():                              # a row per uploaded file of the batch
+        names = next(csv.reader([r["line"].lstrip("﻿")]), [])
+        out.setdefault(tuple(unique_names([n.strip() or "column" for n in names])), []).append(r["path"])
+    return out
+
+
+def csv_records(spark: SparkSession, headers: dict[tuple[str, ...], list[str]]) -> DataFrame:
+    """(path, row_idx, record) of CSV files, each row a JSON object under its own file's header."""
+    parts = []
+    for names, paths in headers.items():
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        rows = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+                .option("mode", "PERMISSIVE").csv(paths))
+        cells = [F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")).alias(n) for i, n in enumerate(names)]
+        parts.append(rows.select(_path(F.col("_metadata.file_path")).alias("path"),
+                                 F.monotonically_increasing_id().alias("at"),
+                                 F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias("record")))
+    if not parts:
+        return spark.createDataFrame([], RECORDS)
+    rows = reduce(DataFrame.unionAll, parts)
+    # a file is read by one task, in order; the numbers within it are the record's places
+    place = F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1
+    return rows.select("path", place.cast("bigint").alias("row_idx"), "record")
+
+
+def _json(text: F.Column) -> tuple[F.Column, F.Column]:
+    """(structure, records) of a JSON text: its elements, itself, or NULL."""
+    array, obj = text.rlike(r"^\s*\["), text.rlike(r"^\s*\{")
+    n, keys = F.json_array_length(text), F.json_object_keys(text)
+    structure = F.when(array & n.isNotNull(), "array").when(obj & keys.isNotNull(), "object")
+    elements = F.from_json(text, T.ArrayType(T.StringType()))
+    return structure, F.when(structure == "array", elements).when(structure == "object", F.array(text))
+
+
+class Uploads:
+    """The files of one upload batch (a static ``binaryFile`` frame): metadata, records, events, history."""
+
+    def __init__(self, files: DataFrame):
+        self.spark = files.sparkSession
+        self.files = files.withColumn("path", _path("path"))
+        typed = self.files.select("path", file_type_of(F.element_at(F.split("path", "/"), -1)).alias("t"))
+        csvs = [r["path"] for r in typed.where("t = 'csv'").collect()]      # bounded by the files of a batch
+        self.headers = csv_headers(self.spark, csvs)
+
+    def records(self) -> DataFrame:
+        """(path, row_idx, record) of every parsed file, the record as JSON text."""
+        text = F.col("content").cast("string")
+        kind = file_type_of(F.element_at(F.split("path", "/"), -1))
+        parsed = self.files.where(kind == "json").select("path", F.posexplode(_json(text)[1]).alias("row_idx", "record"))
+        return csv_records(self.spark, self.headers).unionByName(
+            parsed.select("path", F.col("row_idx").cast("bigint").alias("row_idx"), "record"))
+
+    def metadata(self) -> DataFrame:
+        """E12 + D4: one row per file: type, size, hash, row count, columns or JSON structure, status, reason."""
+        name = F.element_at(F.split("path", "/"), -1)
+        text, kind = F.col("content").cast("string"), file_type_of(name)
+        structure, _ = _json(text)
+        counts = self.records().groupBy("path").agg(F.count("*").alias("row_count"))
+        headers = self.spark.createDataFrame(
+            [(p, list(names)) for names, paths in self.headers.items() for p in paths], _HEADERS)
+        facts = self.files.select(
+            "path", name.alias("filename"), kind.alias("file_type"), content_type_of(kind).alias("content_type"),
+            F.col("length").alias("file_size_bytes"), sha256_hex("content").alias("sha256_hash"),
+            F.col("modificationTime").alias("uploaded_at"),
+            F.when(kind == "json", structure).alias("structure"),
+            F.when((kind == "json") & (structure == "object"), F.json_object_keys(text)).alias("json_keys"))
+        out = facts.join(counts, "path", "left").join(headers, "path", "left")
+        reason = (F.when(F.col("file_size_bytes") == 0, "empty file")
+                  .when(F.col("file_type").isNull(), "unsupported extension")
+                  .when((F.col("file_type") == "json") & F.col("structure").isNull(), "invalid JSON")
+                  .when((F.col("file_type") == "csv") & F.col("columns").isNull(), "no CSV header"))
+        parsed = F.col("file_type").isin("csv", "json")
+        return out.withColumns({
+            "row_count": F.when(parsed, F.coalesce("row_count", F.lit(0).cast("bigint"))),
+            "reason": reason, "status": F.when(reason.isNull(), "ACCEPTED").otherwise("REJECTED")})
+
+    def events(self, cap: int | None = None) -> DataFrame:
+        """C14: an upload event for every record (D5: the first ``cap`` of each file, if a cap is given)."""
+        meta = self.files.select("path", sha256_hex("content").alias("sha256_hash"),
+                                 F.col("modificationTime").alias("uploaded_at"))
+        name = F.element_at(F.split("path", "/"), -1)
+        recs = self.records() if cap is None else self.records().where(F.col("row_idx") < cap)
+        recs = recs.join(meta, "path").withColumns({"filename": name, "file_type": file_type_of(name)})
+        out = upload_events(recs, F.col("file_type"), F.col("sha256_hash"), F.col("uploaded_at").cast("string"),
+                            F.col("filename"), F.col("row_idx"), ["record"], path=F.col("path"))
+        return out.withColumn("payload", F.get_json_object("payload", "$.record"))
+
+    def history(self, topic: str = UPLOAD_TOPIC) -> DataFrame:
+        """One history row per file. ``id`` is the digest of the path (the platform used a database
+        sequence, which a distributed writer cannot share)."""
+        m = self.metadata()
+        ok = F.col("status") == "ACCEPTED"
+        return m.select(
+            F.sha2("path", 256).alias("id"), "filename",
+            F.coalesce("file_type", F.lit("unsupported")).alias("file_type"), "file_size_bytes",
+            F.col("path").alias("minio_path"),
+            F.when(ok & (F.coalesce("row_count", F.lit(0)) > 0), F.lit(topic)).alias("kafka_topic"),
+            F.coalesce("row_count", F.lit(0)).cast("long").alias("records_count"),
+            F.when(ok, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
+            F.col("reason").alias("error_message"),
+            F.to_json(F.struct("sha256_hash", "structure", "json_keys", "columns", "content_type")).alias("metadata_json"),
+            F.col("uploaded_at").cast("timestamp_ntz").alias("created_at"))

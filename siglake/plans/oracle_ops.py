@@ -170,7 +170,6 @@ SELECT 'vendor', vendor, COUNT(*) FROM t GROUP BY vendor""",
             "UNION ALL SELECT 'state', o_orderstatus, COUNT(*) FROM orders GROUP BY 2 "
             "UNION ALL SELECT 'total', NULL, COUNT(*) FROM orders"),
         "uploads_rollup": _w(FILES, HISTORY) + """
-, top AS (SELECT * FROM hist ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST LIMIT 100)
 SELECT COUNT(*) AS total_uploaded_files,
        CAST(coalesce(sum(coalesce(file_size_bytes, 0)), 0) AS BIGINT) AS total_bytes_processed,
        CAST(coalesce(sum(coalesce(records_count, 0)), 0) AS BIGINT) AS total_records_parsed,
@@ -178,7 +177,7 @@ SELECT COUNT(*) AS total_uploaded_files,
        count_if(lower(file_type) = 'excel') AS uploads_excel,
        count_if(lower(file_type) = 'json') AS uploads_json,
        count_if(lower(file_type) = 'pdf') AS uploads_pdf
-FROM top""",
+FROM hist""",
         "performance_avgs": _w(PERF_RECORDS) + (
             "SELECT COUNT(*) AS monitored_nodes_count, "
             "round(avg(latency_ms), 2) AS average_latency_ms, "
@@ -208,7 +207,12 @@ SELECT COUNT(*) AS total_runs,
        CAST(coalesce(sum(recs), 0) AS BIGINT) AS records_processed,
        round(avg(CAST(epoch_us(finished) - epoch_us(started) AS DOUBLE) / 1000000.0), 2)
          AS avg_duration_seconds,
-       max(finished) AS last_completed_at
+       max(finished) AS last_completed_at,
+       0 AS active_runs,
+       count_if(failed = 0 AND finished > (SELECT max(finished) FROM runs) - INTERVAL 24 HOURS) AS completed_24h,
+       count_if(failed = 1 AND finished > (SELECT max(finished) FROM runs) - INTERVAL 24 HOURS) AS failed_24h,
+       arg_max(CASE WHEN failed = 1 THEN 'FAILED' ELSE 'COMPLETED' END,
+               (finished, 'landing-clean-' || category || '-' || batch_date)) AS last_status
 FROM runs""",
         "service_counters": _w(MSG, FILES, HISTORY) + """
 SELECT 'events_processed' AS counter, COUNT(*) AS value FROM messages
@@ -235,12 +239,23 @@ SELECT 'files_uploaded', COUNT(*) FROM hist WHERE status = 'SUCCESS'""",
    severity_clean DESC NULLS LAST) = 1)
 UNION ALL
 (SELECT alarm_id, ticket_id, node_id, severity_clean, event_timestamp FROM keyed WHERE k IS NULL)""",
+        "upload_events": _w(FILES, LINES) + """
+SELECT 'UPLOAD-' || sha256(sha256 || chr(10) || filename) || '-' || CAST(row_idx AS VARCHAR) AS event_id,
+       'UPLOAD_' || upper(file_type) AS source, 'INFO' AS severity, filename,
+       json_object('line', record)::VARCHAR AS payload
+FROM lines""",
+        "lenient_messages": _w(PRODUCER) + f"""
+SELECT CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'ALM-' || event_id ELSE event_id END AS event_id,
+       source, node_id, vendor,
+       CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'INFO' ELSE {lake_sev('severity')} END AS severity_clean,
+       ts AS event_timestamp
+FROM producer WHERE source IS NOT NULL AND node_id IS NOT NULL""",
         "fan_in_union": _w(PRODUCER, FILES, LINES) + """
 , u AS (
   SELECT source, event_type, topic FROM producer
   UNION ALL
   SELECT 'UPLOAD_' || upper(file_type), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
-  FROM lines WHERE row_idx < 500
+  FROM lines
 )
 SELECT source, event_type, topic, COUNT(*) AS n FROM u GROUP BY 1, 2, 3""",
         "recent_audit": _w(AUDIT) + (

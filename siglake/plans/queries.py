@@ -18,15 +18,16 @@ from siglake.functions.timeparse import wall_clock
 from siglake.operators import summaries
 from siglake.operators.aggregates import count_by
 from siglake.operators.dedup import dedup_latest
-from siglake.operators.normalize import clean_events, upload_events
+from siglake.operators.normalize import apply_event_defaults, clean_events, resolve_lenient, upload_events
 from siglake.operators.profile import column_profile
 from siglake.operators.reshape import fan_in
-from siglake.operators.validate import cap_per_group, lookup_by_id, quarantine, validate_events
+from siglake.operators.validate import accepted, cap_per_group, lookup_by_id, quarantine, validate_events
 from siglake.plans import serving
-from siglake.schemas import MAX_RECORDS_PER_UPLOAD
 from siglake.sources import driver
+from siglake.sources.kafka import decode_messages
 
 LOOKUP_ID = 42
+CAP_EXAMPLE = 500      # the platform's own bound on records per upload; no job applies one by itself
 UPLOADS_PAGE_OFFSET = 50
 UPLOADS_PAGE_SIZE = 50
 RECENT_AUDIT_ROWS = 50
@@ -137,7 +138,7 @@ def q_quarantine_events(spark, sf_dir):
 def q_cap_per_group(spark, sf_dir):
     """At most 500 published records per uploaded file (dense index -> filter)."""
     recs = driver.upload_records(spark, sf_dir)
-    capped = cap_per_group(recs, ["id"], "row_idx", MAX_RECORDS_PER_UPLOAD, dense_index=True)
+    capped = cap_per_group(recs, ["id"], "row_idx", CAP_EXAMPLE, dense_index=True)
     return capped.select("id", "row_idx", "record")
 
 
@@ -231,14 +232,27 @@ def q_dedup_null_safe(spark, sf_dir):
 
 
 def upload_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C14 + D5: upload events for the first 500 records of every parsed file."""
-    recs = cap_per_group(driver.upload_records(spark, sf_dir), ["id"], "row_idx",
-                         MAX_RECORDS_PER_UPLOAD, dense_index=True)
+    """C14: upload events for every record of every parsed file."""
+    recs = driver.upload_records(spark, sf_dir)
     recs = recs.withColumn("line", F.col("record"))
     return upload_events(recs, F.col("file_type"), F.col("sha256"), F.col("created_at"),
                          F.col("filename"), F.col("row_idx"), ["line"])
 
 
+def q_upload_events(spark, sf_dir):
+    """C14: the id, source and file of every upload event."""
+    return upload_event_feed(spark, sf_dir).select("event_id", "source", "severity", "filename", "payload")
+
+
+def q_lenient_messages(spark, sf_dir):
+    """A7 + C3 + C9 + C23: messages with fields outside the unified eight keep id, time and vendor."""
+    raw = driver.lenient_records(spark, sf_dir)
+    ok = resolve_lenient(accepted(decode_messages(raw)))
+    c = clean_events(apply_event_defaults(ok, now=F.lit("1970-01-01T00:00:00Z").cast("timestamp")))
+    return c.select("event_id", "source", "node_id", "vendor", "severity_clean",
+                    wall_clock("event_timestamp").alias("event_timestamp"))
+
+
 def q_fan_in_union(spark, sf_dir):
     """producer messages and upload events unioned by name (missing -> NULL)."""
     u = fan_in([driver.producer_events(spark, sf_dir), upload_event_feed(spark, sf_dir)])
@@ -248,14 +262,15 @@ def q_fan_in_union(spark, sf_dir):
 def q_recent_audit(spark, sf_dir):
     cols = ["id", "source_type", "source_name", "status", "payload_size_bytes", "records_count",
             "created_at"]
-    return summaries.recent_rows(driver.audit_log(spark, sf_dir), RECENT_AUDIT_ROWS, columns=cols)
+    docs = driver.newest_documents(spark, sf_dir, RECENT_AUDIT_ROWS)
+    return driver.audit_log(spark, sf_dir, docs).select(*cols)
 
 
 def q_uploads_page(spark, sf_dir):
     cols = ["id", "filename", "file_type", "file_size_bytes", "minio_path", "kafka_topic",
             "records_count", "status", "created_at"]
-    return summaries.recent_rows(driver.upload_history(spark, sf_dir), UPLOADS_PAGE_SIZE,
-                                 offset=UPLOADS_PAGE_OFFSET, columns=cols)
+    docs = driver.newest_documents(spark, sf_dir, UPLOADS_PAGE_SIZE, UPLOADS_PAGE_OFFSET)
+    return driver.upload_history(spark, sf_dir, docs).select(*cols)
 
 
 def operator_queries():
@@ -287,6 +302,8 @@ def operator_queries():
         "top_regions": q_top_regions,
         "dedup_latest": q_dedup_latest,
         "dedup_null_safe": q_dedup_null_safe,
+        "upload_events": q_upload_events,
+        "lenient_messages": q_lenient_messages,
         "fan_in_union": q_fan_in_union,
         "recent_audit": q_recent_audit,
         "uploads_page": q_uploads_page,

@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 
 from siglake.functions.routing import category_route
 from siglake.operators.aggregates import count_by, hourly_counts, recent, time_slice, total_count
-from siglake.functions.common import first_non_empty
-from siglake.functions.payload import payload_field
-from siglake.operators.dedup import dedup_latest
+from siglake.operators.dedup import newest_events
 from siglake.operators.normalize import clean_events, to_canonical
 from siglake.operators.validate import accepted
-from siglake.schemas import CATEGORY_TABLES, PAYLOAD_BINDINGS
+from siglake.schemas import CATEGORY_TABLES
+from siglake.sinks.tables import BASE
 from siglake.sources import driver
 
 TABLE_CATEGORIES = {t: c for c, t in CATEGORY_TABLES.items()}
@@ -73,51 +72,18 @@ def routed_messages(messages: DataFrame) -> DataFrame:
     return ok.withColumn("category", category_route(topic=topic))
 
 
-DEDUP_KEYS = ["event_id", "ticket_id"]
-_KEY = "__row_key"
-
-
-def row_key(canon: DataFrame):
-    """F3 key of a canonical row: event_id, else the payload's ticket id.
-
-    The payload lookup is one self-contained expression in the ELSE branch
-    of a CASE, so it is only evaluated for rows whose event_id is empty.
-    """
-    return first_non_empty("event_id",
-                           payload_field(canon, PAYLOAD_BINDINGS["ticket_id"], non_empty=True))
-
-
-# Fixed tie-break among rows with the same id and event time: these columns,
-# in this order (largest wins). Every other canonical column is either a
-# function of them or of the payload, so the winner - and every panel built
-# from it - is the same whichever columns a query keeps. The payload itself
-# joins the order only when a payload-derived column is requested.
-TIE_BREAK = ["source", "event_type", "severity", "node_id", "region", "filename", "ingest_file"]
-PAYLOAD_DERIVED = {"payload", "vendor", "site_name", "device_name", "ticket_id"}
-
-
 def build_table(routed: DataFrame, category: str, columns: list[str] | None = None) -> DataFrame:
     """Clean + canonicalise + de-duplicate one category slice.
 
-    ``columns`` restricts the result (and therefore what the de-duplication
-    shuffle carries) to what a caller reads plus the fixed tie-break columns;
-    the newest row per id wins, equal times are ordered by ``TIE_BREAK``.
-    A materialised table keeps every canonical column. The id is event_id,
-    else the payload's ticket id (F3; see ``row_key``).
+    ``columns`` restricts the result to what a caller reads; the newest row per
+    id wins (see ``operators.dedup.newest_events``).
     """
     slice_ = routed.where(F.col("category") == F.lit(category))
     ingest = F.col("channel") if "channel" in slice_.columns else None
     canon = to_canonical(clean_events(slice_), category=F.lit(category), ingest_file=ingest)
-    wanted = list(canon.columns) if columns is None else list(columns)
-    order = ["event_timestamp"] + TIE_BREAK
-    if PAYLOAD_DERIVED & set(wanted):
-        order.append("payload")
-    keep = order + [c for c in wanted if c not in order]
-    out = dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY, columns=keep)
-    return out.select(*wanted)
+    return newest_events(canon, columns)
 
 
-@driver.per_app
 def routed_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted, routed Kafka messages built from the driver inputs."""
     return routed_messages(driver.kafka_messages(spark, sf_dir))
@@ -137,30 +103,25 @@ def build_all(routed: DataFrame, tables: list[str] | None = None) -> DataFrame:
     cats = [TABLE_CATEGORIES[t] for t in (tables or list(TABLE_CATEGORIES))]
     served = routed.where(F.col("category").isin(*cats))
     canon = to_canonical(clean_events(served), category=F.col("category"), ingest_file=ingest)
-    order = ["event_timestamp"] + TIE_BREAK + ["payload"]
-    keep = order + [c for c in canon.columns if c not in order]
-    out = dedup_latest(canon.withColumn(_KEY, row_key(canon)), key=_KEY,
-                       columns=keep, within=["category"])
-    return out.select(*canon.columns)
+    return newest_events(canon, within=["category"])
 
 
 def materialize(spark: SparkSession, sf_dir: str, out_dir: str,
-                tables: list[str] | None = None) -> dict[str, str]:
-    """Write all serving tables as one dataset partitioned by ``category`` and
-    ``event_date``; return ``table -> folder``.
-
-    One clean/de-duplicate pass and one write job (REBALANCE by the
-    partition columns, so a hot day is split across tasks). The job reads the
-    inputs once; a lost executor recomputes only its own tasks from the
-    inputs and shuffle files. Read a table back with
-    ``sinks.tables.read_serving(spark, path, base=out_dir)``.
+                tables: list[str] | None = None) -> list[str]:
+    """Write the serving tables in the layout of ``sinks.tables``; return their names.
+
+    One clean/de-duplicate pass and one write job (REBALANCE by the partition
+    columns, so a hot day is split across tasks). The job reads the inputs
+    once; a lost executor recomputes only its own tasks from the inputs and
+    shuffle files. The batch ``base`` of each table is replaced.
     """
-    base = out_dir.rstrip("/")
-    names = tables or list(TABLE_CATEGORIES)
-    table = build_all(routed_inputs(spark, sf_dir), names)
-    (table.hint("rebalance", "category", "event_date")
-     .write.mode("overwrite").partitionBy("category", "event_date").parquet(base))
-    return {t: f"{base}/category={TABLE_CATEGORIES[t]}" for t in names}
+    names = list(tables or TABLE_CATEGORIES)
+    table = F.element_at(F.create_map(*[F.lit(x) for t in names for x in (TABLE_CATEGORIES[t], t)]), F.col("category"))
+    rows = build_all(routed_inputs(spark, sf_dir), names).withColumns({"table": table, "batch": F.lit(BASE)})
+    (rows.hint("rebalance", "table", "event_date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("table", "batch", "event_date").parquet(out_dir.rstrip("/")))
+    return names
 
 
 # ---------------------------------------------------------------------------

@@ -54,7 +54,6 @@ CONNECTOR_TOPICS = {
     "performance": "performance",
 }
 UNROUTED_CATEGORY = "unrouted"
-MAX_RECORDS_PER_UPLOAD = 500
 CONNECTOR_DEFAULT_REGION = "SA-RIYADH"
 CONNECTOR_DEFAULT_NODE = "NODE-GENERIC"
 
@@ -74,15 +73,6 @@ UNIFIED_EVENT = T.StructType([
     T.StructField("payload", S),  # raw JSON text: the reader keeps nested objects as text
 ])
 
-UPLOAD_EVENT = T.StructType([
-    T.StructField("event_id", S),
-    T.StructField("source", S),
-    T.StructField("timestamp", S),
-    T.StructField("severity", S),
-    T.StructField("filename", S),
-    T.StructField("payload", S),
-])
-
 REST_ENVELOPE = T.StructType([
     T.StructField("target_system", S),
     T.StructField("url", S),
@@ -92,11 +82,6 @@ REST_ENVELOPE = T.StructType([
     T.StructField("data", T.ArrayType(S)),
 ])
 
-KAFKA_RECORD = T.StructType([
-    T.StructField("topic", S),
-    T.StructField("value", T.BinaryType()),
-])
-
 CANONICAL_EVENT = T.StructType([
     T.StructField("event_id", S),
     T.StructField("source", S),
@@ -117,34 +102,6 @@ CANONICAL_EVENT = T.StructType([
     T.StructField("ingest_file", S),
 ])
 
-AUDIT_LOG = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("source_type", S),
-    T.StructField("source_name", S),
-    T.StructField("status", S),
-    T.StructField("minio_path", S),
-    T.StructField("payload_size_bytes", T.LongType()),
-    T.StructField("records_count", T.LongType()),
-    T.StructField("processing_time_ms", T.DoubleType()),
-    T.StructField("error_message", S),
-    T.StructField("metadata_json", S),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
-UPLOAD_HISTORY = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("filename", S),
-    T.StructField("file_type", S),
-    T.StructField("file_size_bytes", T.LongType()),
-    T.StructField("minio_path", S),
-    T.StructField("kafka_topic", S),
-    T.StructField("records_count", T.LongType()),
-    T.StructField("status", S),
-    T.StructField("error_message", S),
-    T.StructField("metadata_json", S),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
 RUN_LOG = T.StructType([
     T.StructField("run_id", S),
     T.StructField("job_name", S),
@@ -155,29 +112,6 @@ RUN_LOG = T.StructType([
     T.StructField("error", S),
 ])
 
-# Mock-API record shapes (FIXTURES.md) used by tests and the landing readers.
-ALARM_RECORD = T.StructType([
-    T.StructField(n, S) for n in [
-        "alarm_id", "ticket_id", "tower_id", "site_name", "region", "vendor",
-        "severity", "alarm_type", "device_name", "status", "timestamp"]
-] + [T.StructField("metrics", T.StructType([
-    T.StructField("vswr_ratio", T.DoubleType()),
-    T.StructField("power_dbm", T.DoubleType()),
-    T.StructField("temperature_c", T.IntegerType()),
-]))])
-
-PERFORMANCE_RECORD = T.StructType([
-    T.StructField("metric_id", S),
-    T.StructField("device_id", S),
-    T.StructField("region", S),
-    T.StructField("timestamp", S),
-    T.StructField("cpu_utilization_pct", T.DoubleType()),
-    T.StructField("memory_utilization_pct", T.DoubleType()),
-    T.StructField("latency_ms", T.DoubleType()),
-    T.StructField("packet_loss_pct", T.DoubleType()),
-    T.StructField("throughput_mbps", T.DoubleType()),
-])
-
 
 def canonical_columns() -> list[str]:
     return [f.name for f in CANONICAL_EVENT.fields]

@@ -59,13 +59,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster session")
     local = tempfile.mkdtemp(prefix="siglake-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
+def stable_checkpoint_root(spark: SparkSession) -> str | None:
+    """The folder that ``spark.checkpoint.dir`` names, the same in every application.
+
+    ``getCheckpointDir`` is a new sub-folder in each application: right for
+    staged tables, wrong for a stream that must find its checkpoint again.
+    """
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for stream state, staged tables)."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -14,15 +14,6 @@ from siglake.functions.files import source_slug
 from siglake.functions.timeparse import event_date
 
 
-def write_landing(df: DataFrame, root: str, category_col: str = "category",
-                  ingest_ts: str | None = None, mode: str = "append") -> None:
-    """JSON lines under ``root/category=<c>/ingest_date=<d>/``."""
-    ts = F.col(ingest_ts) if ingest_ts else F.current_timestamp()
-    out = df.withColumn("ingest_date", event_date(ts))
-    (out.hint("rebalance", category_col, "ingest_date")
-        .write.mode(mode).partitionBy(category_col, "ingest_date").json(root))
-
-
 def file_prefix(source, event_id) -> F.Column:
     """``kafka_<source slug>_<event id>`` (the platform's object prefix)."""
     return F.concat_ws("_", F.lit("kafka"), source_slug(source), F.col(event_id) if isinstance(event_id, str) else event_id)

@@ -1,15 +1,37 @@
 """Table sinks.
 
+Serving tables have one layout, whoever writes them:
+
+    <output>/table=<table>/batch=<batch>/event_date=<yyyy-MM-dd>/part-*.parquet
+
+``materialize`` writes the batch ``base``; a stream writes one batch per
+micro-batch, named by its source, its query's id and the batch id, so a retry
+replaces its own folder and a new query never writes into an old one's.
+``read_serving`` gives a table with the newest row of each id over all batches;
+``compact`` folds all batches into one.
+
 Writes raise on failure (the platform logged and swallowed them, which lost
 rows while the stream checkpoint advanced).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from siglake.operators.dedup import newest_events
 from siglake.schemas import CANONICAL_EVENT
+from siglake.sinks import fs
+
+BASE = "base"            # the batch that ``materialize`` and ``compact`` write
+_STORED = T.StructType([*CANONICAL_EVENT.fields, T.StructField("batch", T.StringType())])
+
+
+def table_path(output: str, table: str) -> str:
+    return f"{output.rstrip('/')}/table={table}"
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "append",
@@ -25,37 +47,56 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "append",
        .write.mode(mode).partitionBy(partition_col).parquet(path))
 
 
-def write_batch_idempotent(df: DataFrame, path: str, batch_id: int,
-                           partition_col: str = "event_date") -> None:
-    """Exactly-once form of B1 for ``foreachBatch``.
+def write_batch(df: DataFrame, output: str, table: str, batch: str) -> str:
+    """Exactly-once form of B1: the folder of ``batch`` holds ``df`` and nothing else. Returns it."""
+    path = f"{table_path(output, table)}/batch={batch}"
+    write_partitioned(df, path, mode="overwrite")
+    return path
+
+
+def read_stored(spark: SparkSession, output: str, table: str) -> DataFrame:
+    """All stored rows of a table with their ``batch``, repeats of later batches included.
+
+    The canonical schema is given, so ``event_date`` stays a ``yyyy-MM-dd``
+    string; filters on it prune folders.
+    """
+    path = table_path(output, table)
+    return spark.read.schema(_STORED).option("basePath", path).parquet(path)
+
+
+def read_serving(spark: SparkSession, output: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    """A serving table: the newest row of each id over all batches, by the same rule as in batch.
 
-    Output goes to ``batch_id=<n>/event_date=<d>`` with dynamic partition
-    overwrite, so a retried micro-batch replaces its own files instead of
-    appending them twice. The overwrite mode is a per-write option, not a
-    session setting, so concurrent streams sharing a session cannot race.
+    A table of a single batch is read as it is, since a batch holds each id once.
     """
-    (df.withColumn("batch_id", F.lit(int(batch_id)))
-       .hint("rebalance", partition_col)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id", partition_col).parquet(path))
-
-
-def read_serving(spark: SparkSession, path: str, with_batch_id: bool = False,
-                 base: str | None = None) -> DataFrame:
-    """Read a serving table written by ``write_partitioned`` /
-    ``write_batch_idempotent`` / ``materialize`` with the canonical schema, so
-    ``event_date`` stays a ``yyyy-MM-dd`` string instead of an inferred DATE
-    partition. ``base`` is the dataset root when ``path`` is one of its
-    partition folders (``.../category=alarms``), so the partition value is
-    kept. Filters on ``event_date`` prune partition directories."""
-    from pyspark.sql import types as T
-    fields = list(CANONICAL_EVENT.fields)
-    if with_batch_id:
-        fields.append(T.StructField("batch_id", T.IntegerType()))
-    r = spark.read.schema(T.StructType(fields))
-    if base:
-        r = r.option("basePath", base)
-    return r.parquet(path)
+    stored = read_stored(spark, output, table).drop("batch")
+    wanted = CANONICAL_EVENT.fieldNames() if columns is None else columns
+    if len(fs.folders(spark, table_path(output, table))) == 1:
+        return stored.select(*wanted)
+    return newest_events(stored, wanted)
+
+
+def has_table(spark: SparkSession, output: str, table: str) -> bool:
+    return bool(fs.folders(spark, table_path(output, table)))
+
+
+def compact(spark: SparkSession, output: str, table: str) -> int:
+    """Fold all batches of a table into one; returns how many there were.
+
+    Run it while no stream writes the table. The new batch is staged, then
+    published, then the old ones go, so a reader in between sees repeats (which
+    ``read_serving`` folds) and never misses rows; a rerun finishes the work.
+    """
+    path = table_path(output, table)
+    old = fs.folders(spark, path)
+    if len(old) < 2:
+        return len(old)
+    staging = f"{output.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    write_partitioned(read_serving(spark, output, table), staging, mode="overwrite")
+    fs.publish(spark, staging, f"{path}/batch={BASE}-{uuid.uuid4().hex}")
+    for name in old:
+        fs.delete(spark, f"{path}/{name}")
+    return len(old)
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
@@ -95,36 +136,35 @@ def append_table(df: DataFrame, name: str, v2: bool = False) -> None:
         df.select(*cols).write.insertInto(name)
 
 
-def register_external(spark: SparkSession, name: str, path: str, schema=CANONICAL_EVENT,
-                      partition_cols: tuple[str, ...] = ("feed", "batch_id", "event_date")) -> None:
-    """Expose a serving-table folder (``feed=<source>/batch_id=<n>/event_date=<d>``
-    written by ``write_batch_idempotent``) as one catalog table, created once;
-    the data stays where the idempotent writer put it."""
-    from pyspark.sql import types as T
-    if spark.catalog.tableExists(name):
-        return
-    fields = list(schema.fields)
-    if "feed" in partition_cols:
-        fields.append(T.StructField("feed", T.StringType()))
-    if "batch_id" in partition_cols:
-        fields.append(T.StructField("batch_id", T.IntegerType()))
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    parts = ", ".join(partition_cols)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"PARTITIONED BY ({parts}) LOCATION '{path}'")
+def register_batch(spark: SparkSession, name: str, output: str, table: str, batch: str) -> None:
+    """B2: the catalog table over a serving folder, created once, with the partitions of one batch added.
 
+    The rows stay where ``write_batch`` put them (repeats of later batches
+    included). Only the written batch's folder is listed, so the cost of a batch
+    does not grow with the table's age, and a retry adds nothing twice.
+    """
+    path = table_path(output, table)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _STORED.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY (batch, event_date) LOCATION '{path}'")
+    dates = [d.split("=", 1)[1] for d in fs.folders(spark, f"{path}/batch={batch}") if d.startswith("event_date=")]
+    if dates:
+        spec = " ".join(f"PARTITION (batch='{batch}', event_date='{d}')" for d in dates)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec}")
 
-def refresh_partitions(spark: SparkSession, name: str) -> None:
-    """Pick up partitions written since the last call (metadata only, idempotent)."""
-    spark.catalog.recoverPartitions(name)
 
+def append_rows(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """History rows (audit log, upload history) as parquet.
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append-only history (audit log, upload history) as parquet."""
-    df.write.mode("append").parquet(path)
+    With ``batch`` they go to a folder of their own, which a retry replaces.
+    """
+    if batch is None:
+        df.write.mode("append").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
-def delete_by_id(spark: SparkSession, path: str, tombstone_path: str, ids: list[int],
+def delete_by_id(spark: SparkSession, path: str, tombstone_path: str, ids: list,
                  id_col: str = "id") -> int:
     """Delete history rows by id on plain parquet.
 
@@ -143,10 +183,6 @@ def delete_by_id(spark: SparkSession, path: str, tombstone_path: str, ids: list[
 def read_live(spark: SparkSession, path: str, tombstone_path: str, id_col: str = "id") -> DataFrame:
     """History rows minus tombstoned ids (the anti-join side is id-only)."""
     hist = spark.read.parquet(path)
-    try:
-        tomb = spark.read.parquet(tombstone_path).select(id_col)
-    except Exception as e:  # no tombstones yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return hist
-        raise
-    return hist.join(tomb, id_col, "left_anti")
+    if not fs.exists(spark, tombstone_path):
+        return hist
+    return hist.join(spark.read.parquet(tombstone_path).select(id_col), id_col, "left_anti")

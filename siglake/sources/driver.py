@@ -21,10 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglake.functions.files import file_type_of, sha256_hex
-from siglake.functions.timeparse import wall_clock
 from siglake.operators.normalize import connector_normalize
-from siglake.operators.sizing import bounded_broadcast
 from siglake.operators.reshape import fan_in
+from siglake.operators.summaries import recent_rows
 
 # ---------------------------------------------------------------------------
 # Fixed values (fixture mapping)
@@ -50,72 +49,9 @@ UNKNOWN_EXTENSION = ".txt"
 UPLOAD_EPOCH = "2024-01-01 00:00:00"  # created_at = epoch + doc_id minutes
 
 
-# Scans at least this large are spread over all cores when the files give
-# too few splits (a single-row-group file is one task however big it is).
-MIN_SPREAD_BYTES = 1024 * 1024
-# A spread input at most this large (on disk) is also cached: every query and
-# every de-duplication branch then reads one in-memory copy instead of
-# re-scanning and re-shuffling it. Larger inputs are never cached.
-MAX_CACHE_BYTES = 64 * 1024 * 1024
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-_PLANS: dict[tuple[str, str, str, str], DataFrame] = {}
-
-
-def per_app(fn):
-    """Memoise a plan-building function per (Spark application, input folder).
-
-    A DataFrame is an immutable plan, so handing the same object to several
-    queries only saves re-declaring (and re-analysing) it; no data is cached.
-    The session time zone is part of the key because zone-aware expressions
-    bind it when the plan is analysed.
-    """
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fn.__name__,
-               spark.conf.get("spark.sql.session.timeZone"))
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, sf_dir)
-        return _PLANS[key]
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a scan over ``defaultParallelism`` partitions when it
-    has fewer splits than cores and is big enough for that to pay.
-
-    On a cluster reading many files the scan already has thousands of splits
-    and this is a no-op; it matters for small inputs stored as one row group,
-    where every per-row expression would otherwise run in a single task.
-    Only the table's own id column is hashed: partitioning on more columns
-    would force every query to read them (Catalyst cannot prune a column a
-    repartition expression uses), and unlike a round-robin split a hash needs
-    no sort to make a retried task reproduce the same rows. A spread input
-    under ``MAX_CACHE_BYTES`` is cached (memory, spilling to disk; a lost
-    block is recomputed from the files).
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if n < cores and size >= MIN_SPREAD_BYTES:
-        out = df.repartition(cores, F.col(key))
-        return out.cache() if size <= MAX_CACHE_BYTES else out
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (memoised per session: one file listing / footer read)."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(key[1])
-    return _TABLES[key]
-
-
-def big_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """A fact table pruned to ``columns`` (the first is its id) and spread
-    over the cores if needed."""
-    return spread(table(spark, sf_dir, name).select(*columns), columns[0])
+    """A driver table, listed anew on each call, so files added in between are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -125,8 +61,8 @@ def _pick(values: list, index: Column) -> Column:
 
 
 def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(r_regionkey, r_name)``, broadcast after its size is checked."""
-    return bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    """``(r_regionkey, r_name)``; Spark broadcasts it by its size in bytes."""
+    return table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
 
 def _with_region(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -134,10 +70,9 @@ def _with_region(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> D
     return df.join(reg, F.pmod(F.col(key), F.lit(REGION_COUNT)) == reg["r_regionkey"], "left")
 
 
-@per_app
 def producer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka producer messages: unified event columns plus ``topic`` and ``channel``."""
-    ev = big_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     ev = _with_region(ev, spark, sf_dir, "user_id")
     k = F.get_json_object("props", "$.k").try_cast("long")
     payload = F.to_json(F.struct(
@@ -163,10 +98,23 @@ def producer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_app
+def lenient_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(topic, value)`` records, every third one with other fields than the unified eight
+    (``alarm_id``, ``vendor``, ``created_at`` at top level, no event id, severity or payload)."""
+    p = producer_events(spark, sf_dir)
+    when = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    other = F.to_json(F.struct(
+        "source", "node_id", F.concat(F.lit("ALM-"), "event_id").alias("alarm_id"),
+        F.get_json_object("payload", "$.vendorName").alias("vendor"), when.alias("created_at")))
+    unified = F.to_json(F.struct("event_id", "source", "event_type", when.alias("timestamp"), "severity", "node_id",
+                                 "region", "payload"))
+    lenient = F.pmod(F.col("event_id").cast("long"), F.lit(3)) == 0
+    return p.select("topic", F.when(lenient, other).otherwise(unified).cast("binary").alias("value"))
+
+
 def ticket_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REST ticket records (ticket_id, priority, state, created_at)."""
-    o = big_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"])
+    o = table(spark, sf_dir, "orders")
     return o.select(
         F.concat(F.lit("INC"), F.col("o_orderkey").cast("string")).alias("ticket_id"),
         F.col("o_orderpriority").alias("priority"),
@@ -175,16 +123,14 @@ def ticket_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_app
 def performance_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REST performance metric records.
 
     ``metric_id`` is ``MET-<orderkey>-<linenumber>``; that pair is not unique
     in the driver table, so the metric feed carries genuine repeats.
     """
-    li = big_table(spark, sf_dir, "lineitem", [
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount",
-        "l_extendedprice", "l_shipdate"])
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate")
     li = _with_region(li, spark, sf_dir, "l_suppkey")
     return li.select(
         F.concat(F.lit("MET-"), F.col("l_orderkey").cast("string"), F.lit("-"),
@@ -198,7 +144,6 @@ def performance_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_app
 def connector_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REST records normalised by the connector and published to their topics."""
     tickets = connector_normalize(ticket_records(spark, sf_dir), "ticket")
@@ -206,7 +151,6 @@ def connector_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fan_in([tickets, perf]).withColumn("channel", F.lit("rest"))
 
 
-@per_app
 def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that arrives on the Kafka topics: producers plus the connector."""
     return fan_in([producer_events(spark, sf_dir), connector_messages(spark, sf_dir)])
@@ -219,10 +163,16 @@ def _created_at(doc_id: Column) -> Column:
     return F.timestamp_add("MINUTE", doc_id, F.lit(UPLOAD_EPOCH).cast("timestamp_ntz"))
 
 
-@per_app
-def uploaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per uploaded file: id, filename, file_type, size, content, created_at."""
+def newest_documents(spark: SparkSession, sf_dir: str, n: int, offset: int = 0) -> DataFrame:
+    """The documents of one page, newest upload first: a top-k on the thin keys, before any work on texts."""
     d = table(spark, sf_dir, "documents")
+    return recent_rows(d.withColumn("created_at", _created_at(F.col("doc_id"))), n, tie="doc_id",
+                       offset=offset).drop("created_at")
+
+
+def uploaded_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """One row per uploaded file: id, filename, file_type, size, content, created_at."""
+    d = table(spark, sf_dir, "documents") if docs is None else docs
     ext_map = F.create_map(*[F.lit(x) for kv in LANG_EXTENSIONS.items() for x in kv])
     ext = F.coalesce(F.try_element_at(ext_map, F.col("lang")), F.lit(UNKNOWN_EXTENSION))
     filename = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), ext)
@@ -242,10 +192,9 @@ def _line_count(text: Column) -> Column:
     return F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0))
 
 
-@per_app
-def upload_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upload history rows (B8 output) for every uploaded document."""
-    f = uploaded_files(spark, sf_dir)
+def upload_history(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """Upload history rows (B8 output) for every uploaded document, or for ``docs``."""
+    f = uploaded_files(spark, sf_dir, docs)
     parsed = F.col("file_type").isin("csv", "json", "excel")
     records = (F.when(parsed, _line_count(F.col("content")))
                .when(F.col("file_type") == "pdf", F.lit(1))
@@ -267,10 +216,9 @@ def upload_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_app
-def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingestion audit rows: one per uploaded document, typed by its source system."""
-    d = table(spark, sf_dir, "documents")
+def audit_log(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """Ingestion audit rows: one per uploaded document (or of ``docs``), typed by its source system."""
+    d = table(spark, sf_dir, "documents") if docs is None else docs
     ok = F.col("n_chars") > 0
     return d.select(
         F.col("doc_id").alias("id"),
@@ -287,7 +235,6 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_app
 def upload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed records of every uploaded file: one row per line, with its index."""
     f = uploaded_files(spark, sf_dir).where(F.col("file_type").isin("csv", "json", "excel"))
@@ -297,6 +244,3 @@ def upload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(F.split(F.col("content"), "\n", -1)).alias("row_idx", "record"),
     )
 
-
-def ts_wall(c: str) -> Column:
-    return wall_clock(F.col(c))

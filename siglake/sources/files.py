@@ -95,7 +95,10 @@ def stream_json(spark: SparkSession, path: str, schema: T.StructType = UNIFIED_E
 
 def stream_csv(spark: SparkSession, path: str, schema: T.StructType,
                max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """A2: streaming CSV directory with header (explicit schema: all typed)."""
+    """A2: streaming CSV directory with header.
+
+    The columns are those of ``schema``, in its order; files of other headers go to the upload folders.
+    """
     r = (spark.readStream.schema(schema).option("header", True)
          .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files))
     return with_file_info(r.csv(path))
@@ -153,6 +156,7 @@ SOURCES = (
     SourceSpec("raw/rest", "rest", "network_events", "json", True, "envelopes"),
     SourceSpec("raw/uploads/csv", "uploads_csv", "network_events", "csv", True, "uploads"),
     SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json", True, "uploads"),
+    SourceSpec("raw/csv", "events_csv", "network_events", "csv"),
 )
 
 

@@ -29,7 +29,10 @@ def read_topics(spark: SparkSession, bootstrap_servers: str, topics: list[str] |
 
 
 def decode_messages(df: DataFrame, schema: T.StructType = UNIFIED_EVENT) -> DataFrame:
-    """``value`` (UTF-8 JSON) -> the event columns plus ``topic`` and ``raw_value``.
+    """``value`` (UTF-8 JSON) -> the event columns, ``extra``, ``topic`` and ``raw_value``.
+
+    ``extra`` maps every other top-level field to its text (see
+    ``operators.normalize.resolve_lenient``), so no part of a message is lost.
 
     A value that is not a JSON object gives NULL event columns and keeps its
     text in ``raw_value``, so validation routes it to quarantine.
@@ -37,6 +40,9 @@ def decode_messages(df: DataFrame, schema: T.StructType = UNIFIED_EVENT) -> Data
     text = F.col("value").cast("string")
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
     cols = [parsed.getField(f.name).alias(f.name) for f in schema.fields]
+    every = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    names = [f.name for f in schema.fields]
+    extra = F.map_filter(every, lambda k, v: v.isNotNull() & ~k.isin(*names))
     # Kafka's own record metadata, renamed where it would clash with event fields.
     meta = [F.col(c).alias(f"kafka_{c}") for c in ("partition", "offset", "timestamp") if c in df.columns]
-    return df.select(*cols, F.col("topic"), text.alias("raw_value"), *meta)
+    return df.select(*cols, extra.alias("extra"), F.col("topic"), text.alias("raw_value"), *meta)

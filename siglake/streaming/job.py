@@ -1,99 +1,149 @@
-"""The landing-zone streaming job.
+"""The landing-zone streaming job.
 
 One Structured Streaming query per registry source (A3). Each micro-batch is
-cleaned with exactly the batch transforms (``clean_events`` ->
-``to_canonical`` -> ``dedup_latest``) and written idempotently by batch id,
-so a retried batch replaces its own output instead of duplicating it, and a
-failure fails the query (it is not logged and swallowed).
-
-Two de-duplication scopes are offered:
-  * ``dedup="batch"``     - within one micro-batch (the platform's behaviour);
-  * ``dedup="watermark"`` - across batches with bounded state
-    (``dropDuplicatesWithinWatermark``): the watermark delay is the repeat
-    horizon, and state older than it is dropped.
+cleaned with the batch transforms and written to a folder of its own, named by
+source, query id and batch id, so a retry replaces its own output. The query's
+id lives in its checkpoint, whose place is the same in every application; a
+query that would start anew beside the output of an older one is refused.
+
+Repeats in later batches (F2) are stored and folded on reading, by the same
+newest-wins rule as in batch (``sinks.tables.read_serving``), so no late row is
+lost and no state grows; ``compact`` folds them for good.
 """
 
 from __future__ import annotations
 
+import json
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siglake.functions.common import first_truthy
-from siglake.functions.timeparse import event_date
-from siglake.operators.dedup import dedup_latest
-from siglake.operators.normalize import clean_events, to_canonical
-from siglake.session import shared_path
-from siglake.sinks.tables import refresh_partitions, register_external, write_batch_idempotent
-from siglake.sources.files import CORRUPT, SourceSpec, open_source
-from siglake.schemas import ID_CANDIDATES, UNIFIED_EVENT
+from siglake.functions.timeparse import resolve_event_time
+from siglake.operators.dedup import newest_events
+from siglake.operators.normalize import clean_events, connector_normalize_json, to_canonical
+from siglake.operators.reshape import explode_envelope
+from siglake.operators.uploads import UPLOAD_TOPIC, Uploads
+from siglake.schemas import REST_ENVELOPE, UNIFIED_EVENT
+from siglake.session import stable_checkpoint_root
+from siglake.sinks import fs
+from siglake.sinks.tables import append_rows, register_batch, table_path, write_batch
+from siglake.sources.files import CORRUPT, SourceSpec, open_source, stream_binary
 
 
 @dataclass
 class StreamConfig:
     landing_root: str
     output_root: str
-    checkpoint_root: str | None = None     # default: under spark.checkpoint.dir
+    checkpoint_root: str | None = None     # default: "streams" under spark.checkpoint.dir
     trigger_seconds: int | None = 15       # None -> availableNow (drain and stop)
     max_files_per_trigger: int = 50
-    dedup: str = "batch"                   # "batch" | "watermark"
-    watermark: str = "1 hour"
     table_prefix: str | None = None        # e.g. "ops." to also expose catalog tables
     json_multiline: bool | None = None     # override the per-source JSON mode
+    publish: Callable[[DataFrame], None] | None = None   # gets upload and REST events with their topic (B6)
 
 
 def clean_batch(df: DataFrame, category: str) -> DataFrame:
     """The per-batch transform: clean, canonical columns, newest row per id.
 
-    With no timestamp column the file's modification time is the event time,
-    so a replay reproduces the same stamps (instead of ``now``).
+    A row without a time of its own takes its file's modification time, so a
+    replay reproduces the same stamps (instead of ``now``).
     """
     fallback = F.col("file_modified_at") if "file_modified_at" in df.columns else None
     body = df.drop(CORRUPT) if CORRUPT in df.columns else df
-    canon = to_canonical(clean_events(body, fallback_time=fallback), category=F.lit(category))
-    return dedup_latest(canon)
+    return newest_events(to_canonical(clean_events(body, fallback_time=fallback), category=F.lit(category)))
 
 
-def make_batch_handler(spec: SourceSpec, cfg: StreamConfig):
+def checkpoint_location(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec) -> str:
+    """One checkpoint per source, at the same place in every application."""
+    root = cfg.checkpoint_root
+    if root is None:
+        shared = stable_checkpoint_root(spark)
+        if not shared:
+            raise ValueError("name a checkpoint folder, or set spark.checkpoint.dir to a shared one")
+        root = f"{shared.rstrip('/')}/streams"
+    return f"{root.rstrip('/')}/{spec.category}"
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint for good."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def refuse_second_start(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec) -> None:
+    """A new checkpoint beside stored batches of the source would read and store all input again."""
+    if fs.exists(spark, f"{checkpoint_location(spark, cfg, spec)}/metadata"):
+        return
+    stored = [b for b in fs.folders(spark, table_path(cfg.output_root, spec.table))
+              if b.startswith(f"batch={spec.category}--")]
+    if stored:
+        raise RuntimeError(f"{spec.category}: the output holds {len(stored)} batches but the checkpoint is new; "
+                           "name the checkpoint they were written with, or another output")
+
+
+def audit_row(spark: SparkSession, spec: SourceSpec, batch: str, path: str, files: DataFrame, began: float) -> DataFrame:
+    """One row for a written batch; the counts come from the files just written."""
+    return files.agg(F.count("*").alias("records_count"),
+                     F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("payload_size_bytes")).select(
+        F.lit(batch).alias("id"), F.lit(spec.category).alias("source_type"),
+        F.lit(f"query_{spec.category}").alias("source_name"), F.lit("SUCCESS").alias("status"),
+        F.lit(path).alias("minio_path"), F.col("payload_size_bytes").cast("bigint"), "records_count",
+        F.lit((time.time() - began) * 1000).alias("processing_time_ms"), F.lit(None).cast("string").alias("error_message"),
+        F.to_json(F.struct(F.lit(spec.table).alias("table"))).alias("metadata_json"),
+        F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
+
+
+def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
     """The ``foreachBatch`` callback for one source.
 
-    The "dual write" (files + catalog table) is one idempotent data write -
-    per batch id, dynamic overwrite - plus a catalog table registered once
-    over the same folder whose partitions are refreshed after each batch.
-    A retried batch therefore replaces its files and re-registers the same
-    partitions; nothing is appended twice.
+    Writes the batch's serving rows, its catalog partitions, its audit row and,
+    for uploads, the files' metadata and history rows, each in a folder of the
+    batch, so a retry replaces them all.
     """
-    table_path = f"{cfg.output_root.rstrip('/')}/{spec.table}"
-    out_path = f"{table_path}/feed={spec.category}"
-    table = f"{cfg.table_prefix}{spec.table}" if cfg.table_prefix else None
+    out = cfg.output_root.rstrip("/")
+
+    def store(spark: SparkSession, events: DataFrame, batch: str) -> None:
+        began = time.time()
+        path = write_batch(clean_batch(events, spec.category), out, spec.table, batch)      # B1, exactly once
+        if cfg.table_prefix:                                                             # B2 over the same files
+            register_batch(spark, f"{cfg.table_prefix}{spec.table}", out, spec.table, batch)
+        written = spark.read.schema("payload string").parquet(path)
+        append_rows(audit_row(spark, spec, batch, path, written, began), f"{out}/audit_log", batch)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.category)  # I4
-        batch = batch_df.persist()          # read the source once, not four times
+        batch = f"{spec.category}--{query_id(spark, checkpoint)}--{batch_id}"
+        rows = batch_df.persist()           # read the source once, not four times
         try:
-            if batch.isEmpty():             # D3: idle trigger
+            if rows.isEmpty():              # D3: idle trigger
                 return
-            cleaned = clean_batch(batch, spec.category)
-            write_batch_idempotent(cleaned, out_path, batch_id)   # B1, exactly once
-            if table:                                             # B2 over the same files
-                register_external(spark, table, table_path)
-                refresh_partitions(spark, table)
+            if spec.kind == "uploads":
+                files = Uploads(spark.read.format("binaryFile").load([r["path"] for r in rows.select("path").collect()]))
+                events = files.events().persist()
+                try:
+                    store(spark, events.withColumn("file_modified_at", F.try_to_timestamp("timestamp")), batch)
+                    append_rows(files.metadata(), f"{out}/upload_files", batch)
+                    append_rows(files.history(), f"{out}/upload_history", batch)
+                    if cfg.publish:
+                        cfg.publish(events.withColumn("topic", F.lit(UPLOAD_TOPIC)))
+                finally:
+                    events.unpersist()
+            else:
+                events = envelope_events(rows) if spec.kind == "envelopes" else rows
+                store(spark, events, batch)
+                if cfg.publish and spec.kind == "envelopes":
+                    cfg.publish(events.drop("file_modified_at", "ingest_file"))
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return handle
 
 
-def checkpoint_location(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec) -> str:
-    """One checkpoint per source, under the shared checkpoint folder."""
-    if cfg.checkpoint_root:
-        return f"{cfg.checkpoint_root.rstrip('/')}/{spec.category}"
-    return shared_path(spark, "streams", spec.category)
-
-
 def envelope_events(env: DataFrame) -> DataFrame:
     """A8 + F6 + C10-C12: REST envelopes -> one unified event per record.
 
@@ -102,65 +152,60 @@ def envelope_events(env: DataFrame) -> DataFrame:
     normalised by the connector rules, with the envelope's target system as
     the category and its collection time as the fallback event time.
     """
-    from siglake.operators.normalize import connector_normalize_json
-    from siglake.operators.reshape import explode_envelope
-
     rows = explode_envelope(env, keep=["target_system", "collected_at_utc", "ingest_file",
                                        "file_modified_at"])
     category = F.regexp_replace(F.lower(F.coalesce("target_system", F.lit("rest"))), " ", "_")
     out = connector_normalize_json(rows.withColumn("__cat", category), "record", F.col("__cat"),
                                    fallback_time=F.coalesce(F.try_to_timestamp("collected_at_utc"),
                                                             F.col("file_modified_at")))
-    return out
-
-
-def upload_file_events(files: DataFrame) -> DataFrame:
-    """Uploaded files -> upload events (D4 inspection, F5 records, D5 cap,
-    C14 ids), whatever columns each file has: CSV rows are matched to their
-    own file's header, never by position."""
-    from siglake.operators.uploads import publish_upload_events
-    return publish_upload_events(files).withColumn(
-        "file_modified_at", F.try_to_timestamp(F.col("timestamp")))
+    return out.withColumn("topic", F.lit(UPLOAD_TOPIC))
 
 
 def source_frame(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig, schema=UNIFIED_EVENT) -> DataFrame:
+    """The stream of one source: events, REST envelopes, or the files of an upload folder (without their content)."""
+    path = f"{cfg.landing_root.rstrip('/')}/{spec.path}"
     if spec.kind == "uploads":
-        from siglake.sources.files import stream_binary
-        path = f"{cfg.landing_root.rstrip('/')}/{spec.path}"
-        df = upload_file_events(stream_binary(spark, path, f"*.{spec.fmt}", cfg.max_files_per_trigger))
-    elif spec.kind == "envelopes":
-        from siglake.schemas import REST_ENVELOPE
-        env = open_source(spark, spec, cfg.landing_root, REST_ENVELOPE, streaming=True,
-                          max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
-        df = envelope_events(env)
-    else:
-        df = open_source(spark, spec, cfg.landing_root, schema, streaming=True,
-                         max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
-    if cfg.dedup == "watermark":
-        df = dedup_within_watermark(df, cfg.watermark)
-    return df
+        return stream_binary(spark, path, f"*.{spec.fmt}", cfg.max_files_per_trigger).drop("content")
+    schema = REST_ENVELOPE if spec.kind == "envelopes" else schema
+    return open_source(spark, spec, cfg.landing_root, schema, streaming=True,
+                       max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)
 
 
 def start_source(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig,
                  schema=UNIFIED_EVENT) -> StreamingQuery:
     """A1/A2 + I1-I4: start one named query with its checkpoint and trigger."""
+    checkpoint = checkpoint_location(spark, cfg, spec)
+    refuse_second_start(spark, cfg, spec)
     w = (source_frame(spark, spec, cfg, schema).writeStream
          .queryName(f"query_{spec.category}")
-         .foreachBatch(make_batch_handler(spec, cfg))
-         .option("checkpointLocation", checkpoint_location(spark, cfg, spec)))
+         .foreachBatch(make_batch_handler(spec, cfg, checkpoint))
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if cfg.trigger_seconds is None \
         else w.trigger(processingTime=f"{cfg.trigger_seconds} seconds")
     return w.start()
 
 
-def start_all(spark: SparkSession, specs, cfg: StreamConfig, schemas: dict | None = None) -> list[StreamingQuery]:
-    """Start every registry source; a source that cannot start raises.
+def start_all(spark: SparkSession, specs, cfg: StreamConfig, schemas: dict | None = None
+              ) -> tuple[list[StreamingQuery], list[SourceSpec]]:
+    """Start every source whose folder is there: (queries, sources that wait for theirs).
 
-    Each query's batches run in the scheduler pool named after its category;
-    build the session with ``spark.scheduler.mode=FAIR`` (a static setting)
-    for the pools to share the cluster fairly.
+    Any other failure raises. Call it again with the waiting sources later. Each
+    query's batches run in the scheduler pool named after its category; build
+    the session with ``spark.scheduler.mode=FAIR`` (a static setting) for the
+    pools to share the cluster fairly.
     """
-    return [start_source(spark, s, cfg, (schemas or {}).get(s.category, UNIFIED_EVENT)) for s in specs]
+    started, waiting = [], []
+    for s in specs:
+        if not fs.exists(spark, f"{cfg.landing_root.rstrip('/')}/{s.path}"):
+            waiting.append(s)
+            continue
+        try:
+            started.append(start_source(spark, s, cfg, (schemas or {}).get(s.category, UNIFIED_EVENT)))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):     # the folder went in between
+                raise
+            waiting.append(s)
+    return started, waiting
 
 
 def stop_all(queries: list[StreamingQuery]) -> None:
@@ -171,35 +216,13 @@ def stop_all(queries: list[StreamingQuery]) -> None:
 
 
 # ---------------------------------------------------------------------------
-# Stateful operators
+# Windows (I7)
 # ---------------------------------------------------------------------------
 def event_time_column(df: DataFrame) -> Column:
     """TIMESTAMP event time for a stream (TIMESTAMP_NTZ is cast; strings parsed)."""
-    from siglake.functions.timeparse import resolve_event_time
     return resolve_event_time(df, F.col("file_modified_at") if "file_modified_at" in df.columns else None)
 
 
-def dedup_within_watermark(df: DataFrame, delay: str = "1 hour",
-                           id_candidates: list[str] | None = None) -> DataFrame:
-    """F2: drop repeats of an id seen within ``delay`` across micro-batches.
-
-    State per id lives until the watermark passes its first event time plus
-    ``delay``. A row without any id is keyed by its whole content, so only a
-    byte-identical copy of it counts as a repeat.
-    """
-    ids = [c for c in (id_candidates or ID_CANDIDATES) if c in df.columns]
-    with_ts = df.withColumns({
-        "__event_ts": event_time_column(df),
-        "__dedup_id": first_truthy(*ids) if ids else F.lit(None).cast("string"),
-    })
-    # A NULL id must not collapse: give such rows a key no real id can equal.
-    keyed = with_ts.withColumn("__dedup_id", F.coalesce(
-        F.col("__dedup_id"), F.concat(F.lit("\u0000"), F.to_json(F.struct(*[F.col(c) for c in df.columns])))))
-    return (keyed.withWatermark("__event_ts", delay)
-            .dropDuplicatesWithinWatermark(["__dedup_id"])
-            .drop("__dedup_id", "__event_ts"))
-
-
 def hourly_window_counts(df: DataFrame, delay: str = "1 hour", by: list[str] | None = None) -> DataFrame:
     """I7 / E4 as a stream: tumbling 1-hour windows with a watermark.
 
@@ -211,7 +234,3 @@ def hourly_window_counts(df: DataFrame, delay: str = "1 hour", by: list[str] | N
          .groupBy(F.window("__event_ts", "1 hour").alias("w"), *(by or [])))
     return g.agg(F.count(F.lit(1)).alias("events")).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *(by or []), "events")
-
-
-def with_event_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", event_date(event_time_column(df)))

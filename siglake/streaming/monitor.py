@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
-from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -26,14 +25,14 @@ def _parse_ts(s: str | None):
 class RunLogListener(StreamingQueryListener):
     """Collects batch progress (name, batch id, rows, duration) and failures.
 
-    The driver keeps at most ``max_rows`` recent rows (one per micro-batch);
-    ``flush`` appends them to a run-log table and clears the buffer, so a
-    long-running job's history lives in storage, not in driver memory.
+    The driver keeps the rows (one per micro-batch) that ``flush`` has not yet
+    appended to a run-log table, so a long-running job's history lives in
+    storage, not in driver memory. A row leaves the driver only once written.
     """
 
-    def __init__(self, max_rows: int = 10_000):
+    def __init__(self):
         self._lock = threading.Lock()
-        self.rows: deque = deque(maxlen=max_rows)
+        self.rows: list = []
         self.failures: dict[str, str] = {}
 
     def onQueryStarted(self, event):  # noqa: N802 (Spark API name)
@@ -55,22 +54,27 @@ class RunLogListener(StreamingQueryListener):
         if event.exception:
             with self._lock:
                 self.failures[str(event.id)] = event.exception
-                now = dt.datetime.utcnow()
+                now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
                 self.rows.append((f"{event.id}-failed", str(event.id), "FAILED", now, now, 0,
-                                  event.exception[:500]))
+                                  event.exception))
 
     def run_log(self, spark: SparkSession) -> DataFrame:
         with self._lock:
             rows = list(self.rows)
         return spark.createDataFrame(rows, RUN_LOG)
 
-    def flush(self, spark: SparkSession, path: str) -> int:
-        """Append the buffered rows to the run-log table at ``path``; return how many."""
+    def flush(self, spark: SparkSession, path: str, at_least: int = 1) -> int:
+        """Append the buffered rows to the run-log table at ``path`` if there are enough; return how many.
+
+        ``at_least`` keeps a job with short triggers from writing a file for every few rows.
+        """
         with self._lock:
             rows = list(self.rows)
-            self.rows.clear()
-        if rows:
-            spark.createDataFrame(rows, RUN_LOG).write.mode("append").parquet(path)
+        if not rows or len(rows) < at_least:
+            return 0
+        spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(path)
+        with self._lock:
+            del self.rows[:len(rows)]
         return len(rows)
 
 

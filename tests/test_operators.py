@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from siglake.operators import summaries
 from siglake.operators.aggregates import (count_by, hourly_counts, long_form_counts, recent,
-                                          time_slice, total_count, zero_filled_counts)
+                                          time_slice, total_count)
 from siglake.operators.dedup import dedup_latest
 from siglake.operators.normalize import (apply_event_defaults, clean_events, connector_normalize,
                                          to_canonical)
 from siglake.operators.profile import column_profile, profile
-from siglake.operators.reshape import explode_envelope, fan_in, json_text_records, page_records
-from siglake.operators.sizing import bounded_broadcast, fits
+from siglake.operators.reshape import explode_envelope, fan_in, page_records
 from siglake.operators.validate import (accepted, cap_per_group, lookup_by_id, quarantine,
                                         validate_events)
 from siglake.schemas import UNIFIED_EVENT, canonical_columns
@@ -174,13 +173,6 @@ def test_envelope_explode(spark):
     assert [(r["target_system"], r["record_idx"]) for r in out] == [("ServiceNow", 0), ("ServiceNow", 1)]
 
 
-def test_json_text_records(spark):
-    df = spark.createDataFrame([("a", '[{"alarm_id":"1"},{"alarm_id":"2"}]'), ("b", '{"x":1}'),
-                                ("c", "42"), ("d", "{broken")], "f string, content string")
-    counts = {r["f"]: r["n"] for r in json_text_records(df).groupBy("f").agg(F.count("*").alias("n")).collect()}
-    assert counts == {"a": 2, "b": 1}
-
-
 # --- aggregates and summaries -------------------------------------------------
 @pytest.fixture
 def events(spark):
@@ -207,25 +199,24 @@ def test_panels(events):
     assert [r["event_id"] for r in sliced.collect()] == ["3"]
 
 
-def test_zero_fill_and_breakdowns(spark, events):
-    z = {r["severity"]: r["count"] for r in
-         zero_filled_counts(events, "severity_clean", ["CRITICAL", "MAJOR", "MINOR", "WARNING", "INFO"], "severity").collect()}
-    assert z == {"CRITICAL": 2, "MAJOR": 0, "MINOR": 1, "WARNING": 0, "INFO": 1}
+def test_breakdowns(spark, events):
     b = {(r["dimension"], r["value"]): r["n"] for r in summaries.severity_breakdown(events).collect()}
     assert b[("total", None)] == 4 and b[("severity", "MAJOR")] == 0 and b[("vendor", None)] == 1
     lf = {(r["dimension"], r["value"]): r["n"] for r in long_form_counts(events, ["vendor"]).collect()}
     assert lf == {("vendor", "Nokia"): 2, ("vendor", None): 1, ("vendor", "Huawei"): 1, ("total", None): 4}
 
 
-def test_uploads_rollup_newest_only(spark):
+def test_uploads_rollup_sums_all_history(spark):
     rows = [(i, "csv" if i % 2 else "pdf", 10, None if i == 3 else 2,
              dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(150)]
     hist = spark.createDataFrame(rows, "id long, file_type string, file_size_bytes long, records_count long, created_at timestamp_ntz")
     r = summaries.uploads_rollup(hist).first()
-    assert r["total_uploaded_files"] == 100
-    assert r["total_bytes_processed"] == 1000
-    assert r["total_records_parsed"] == 200          # newest 100 are ids 50..149
-    assert (r["uploads_csv"], r["uploads_pdf"], r["uploads_excel"], r["uploads_json"]) == (50, 50, 0, 0)
+    assert r["total_uploaded_files"] == 150
+    assert r["total_bytes_processed"] == 1500
+    assert r["total_records_parsed"] == 298
+    assert (r["uploads_csv"], r["uploads_pdf"], r["uploads_excel"], r["uploads_json"]) == (75, 75, 0, 0)
+    newest = summaries.uploads_rollup(summaries.recent_rows(hist, 100)).first()
+    assert newest["total_uploaded_files"] == 100 and newest["total_records_parsed"] == 200      # ids 50..149
 
 
 def test_performance_and_top_regions(spark):
@@ -253,6 +244,20 @@ def test_ingestion_summary_and_job_summary(spark):
     assert (js["total_runs"], js["completed_runs"], js["failed_runs"], js["records_processed"]) == (3, 2, 1, 3)
     assert js["avg_duration_seconds"] == round(10 / 3, 2)
     assert str(js["last_completed_at"]) == "2026-01-02 10:00:00"
+    assert (js["active_runs"], js["completed_24h"], js["failed_24h"], js["last_status"]) == (0, 1, 1, "FAILED")
+    log = summaries.run_log(m)
+    running = log.unionByName(log.limit(1).withColumns({"status": F.lit("RUNNING"), "run_id": F.lit("r"),
+                                                        "completed_at": F.lit(None).cast("timestamp")}))
+    js = summaries.job_summary(running, as_of=t("2026-01-01 20:00:00")).first()
+    assert (js["active_runs"], js["completed_24h"], js["last_status"]) == (1, 2, "FAILED")
+
+
+def test_summary_with_sample(spark, events):
+    total = total_count(events, "total")
+    got = summaries.with_sample(total, events, n=2, columns=["event_id", "vendor"]).first()
+    assert got["total"] == 4 and [r["event_id"] for r in got["sample"]] == ["4", "3"]
+    none = summaries.with_sample(total_count(events.limit(0), "total"), events.limit(0), columns=["event_id"]).first()
+    assert none["total"] == 0 and none["sample"] == []
 
 
 def test_recent_rows_page(spark):
@@ -260,6 +265,8 @@ def test_recent_rows_page(spark):
                                  "id long, created_at timestamp_ntz")
     page = [r["id"] for r in summaries.recent_rows(hist, 3, offset=2).collect()]
     assert page == [7, 6, 5]
+    after = summaries.recent_rows(hist, 3, before=(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=4), 8)).collect()
+    assert [r["id"] for r in after] == page          # the same page by the last key of the page before
 
 
 def test_profile_one_pass(spark):
@@ -279,13 +286,6 @@ def test_canonical_projection(spark):
     assert to_canonical(sp).first()["payload"] == '{"vendor":"N"}'
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(5)
-    assert fits(small, 10) and not fits(spark.range(50), 10)
-    big = spark.range(50)
-    assert bounded_broadcast(big, 10) is big
-
-
 def test_dedup_hot_key_third_of_rows(spark):
     # one id holds a third of all rows; the newest of them wins, every other id is untouched
     n = 30_000

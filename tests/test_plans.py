@@ -10,7 +10,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMOKE_SF, write_file
+from conftest import SMOKE_SF
 from siglake.plans import serving
 from siglake.plans.catalog import all_queries
 
@@ -60,26 +60,48 @@ def test_profile_is_one_aggregation(spark):
     assert p.count("HashAggregate") == 2     # one partial + one final, for all columns
 
 
-def test_upload_parse_is_single_pass(spark, scratch):
-    from siglake.operators.uploads import parse_records
-    from siglake.sources.files import read_binary
-    write_file(scratch, "u/a.csv", "a,b\n1,2\n")
-    p = plan(parse_records(read_binary(spark, os.path.join(scratch, "u"))))
-    assert "Join" not in p
+def test_dedup_reads_its_input_once(spark):
+    for name in ("alarms_by_severity", "dedup_null_safe", "severity_zero_filled"):
+        p = plan(all_queries()[name](spark, SMOKE_SF))
+        inputs = [ln for ln in p.splitlines() if "FileScan" in ln and "events.parquet" in ln]
+        assert len(inputs) == 1, (name, p)
+
+
+def test_hourly_panels_hash_aggregate(spark):
+    p = plan(all_queries()["alarms_hourly"](spark, SMOKE_SF))
+    assert "SortAggregate" not in p and "HashAggregate" in p
+
+
+def test_pages_are_cut_before_texts_are_split(spark):
+    for name in ("recent_audit", "uploads_page"):
+        df = all_queries()[name](spark, SMOKE_SF)
+        p = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        top = next(ln for ln in p.splitlines() if "TakeOrderedAndProject" in ln)
+        below = p[p.index(top) + len(top):]
+        assert "split(" not in below, p            # texts are split for the rows of the page alone
+
+
+def test_files_added_later_are_seen(spark, scratch):
+    docs = spark.read.parquet(f"{SMOKE_SF}/documents.parquet")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    q = all_queries()["audit_counts"]
+    first = q(spark, scratch).agg(F.sum("count")).first()[0]
+    docs.write.mode("append").parquet(f"{scratch}/documents.parquet")
+    assert q(spark, scratch).agg(F.sum("count")).first()[0] == 2 * first
 
 
 def test_materialized_tables_prune_partitions(spark, scratch):
     from siglake.operators.aggregates import time_slice
     from siglake.sinks.tables import read_serving
     base = os.path.join(scratch, "serving")
-    paths = serving.materialize(spark, SMOKE_SF, base, tables=["alarms", "security_events"])
-    for name in paths:
-        t = read_serving(spark, paths[name], base=base)
+    names = serving.materialize(spark, SMOKE_SF, base, tables=["alarms", "security_events"])
+    for name in names:
+        t = read_serving(spark, base, name)
         built = serving.serving_table(spark, SMOKE_SF, name)
         assert t.count() == built.count(), name
         assert sorted(map(tuple, t.groupBy("severity_clean", "category").count().collect())) == \
             sorted(map(tuple, built.groupBy("severity_clean", "category").count().collect())), name
-    t = read_serving(spark, paths["alarms"], base=base)
+    t = read_serving(spark, base, "alarms")
     built = serving.serving_table(spark, SMOKE_SF, "alarms")
     one_day = time_slice(t, since="2024-01-02 00:00:00", until="2024-01-03 00:00:00")
     p = plan(one_day.groupBy("severity_clean").count())
@@ -91,6 +113,9 @@ def test_materialized_tables_prune_partitions(spark, scratch):
     from siglake.__main__ import main
     from siglake.plans.dashboards import PANEL_SQL
     assert main(["panel", "--serving", base, "--name", "alarms_by_severity"]) == 0
+    out = os.path.join(scratch, "panel")
+    assert main(["panel", "--serving", base, "--name", "alarms_hourly", "--output", out]) == 0
+    assert spark.read.parquet(out).count() == all_queries()["alarms_hourly"](spark, SMOKE_SF).count()
     total = spark.sql(f"SELECT SUM(count) AS n FROM ({PANEL_SQL['alarms_by_severity']})").first()["n"]
     assert total == built.count()
 

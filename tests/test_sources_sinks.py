@@ -6,11 +6,11 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import write_file
-from siglake.operators.uploads import inspect_files, parse_records, publish_upload_events, upload_history_rows
+from siglake.operators.uploads import Uploads
 from siglake.schemas import UNIFIED_EVENT
-from siglake.sinks.landing import encode_messages, file_prefix, write_landing
+from siglake.sinks.landing import encode_messages, file_prefix
 from siglake.sinks.tables import (append_rows, create_table, delete_by_id, ensure_namespace, read_live,
-                                  write_batch_idempotent, write_partitioned)
+                                  table_path, write_batch, write_partitioned)
 from siglake.sources import catalog
 from siglake.sources.files import (SOURCES, open_source, read_binary, read_csv, read_envelopes, read_json,
                                    read_or_empty)
@@ -94,17 +94,10 @@ def test_partitioned_and_idempotent_writes(spark, scratch):
     assert spark.read.parquet(out).count() == 2
     assert spark.read.parquet(out).where("event_date = '2026-01-02'").count() == 1   # partition pruning
     b = os.path.join(scratch, "b")
-    write_batch_idempotent(df, b, 7)
-    write_batch_idempotent(df, b, 7)       # a retried batch replaces itself
-    write_batch_idempotent(df.limit(1), b, 8)
-    assert spark.read.parquet(b).count() == 3
-
-
-def test_landing_zone(spark, scratch):
-    df = spark.createDataFrame([("1", "alarms"), ("2", "network")], "event_id string, category string") \
-        .withColumn("ts", F.lit("2026-08-07 10:00:00").cast("timestamp"))
-    write_landing(df, os.path.join(scratch, "raw"), ingest_ts="ts")
-    assert os.path.isdir(os.path.join(scratch, "raw", "category=alarms", "ingest_date=2026-08-07"))
+    write_batch(df, b, "alarms", "q--7")
+    write_batch(df, b, "alarms", "q--7")       # a retried batch replaces itself
+    write_batch(df.limit(1), b, "alarms", "q--8")
+    assert spark.read.parquet(table_path(b, "alarms")).count() == 3
 
 
 def test_history_delete_with_tombstones(spark, scratch):
@@ -135,7 +128,7 @@ def test_catalog_table_create_once(spark, scratch):
 
 
 def test_source_registry(spark, scratch):
-    assert len(SOURCES) == 8 and {s.table for s in SOURCES} == {
+    assert len(SOURCES) == 9 and {s.table for s in SOURCES} == {
         "alarms", "tickets", "network_events", "security_events", "performance_metrics"}
     df = open_source(spark, SOURCES[0], scratch, UNIFIED_EVENT, streaming=False)
     assert df.count() == 0
@@ -145,49 +138,6 @@ def test_source_registry(spark, scratch):
         open_source(spark, SourceSpec("x", "x", "x", "xml"), scratch, UNIFIED_EVENT)
 
 
-def make_xlsx(rows, sheet="Tickets") -> bytes:
-    """A minimal .xlsx workbook (first row = header) built with zipfile."""
-    import io
-    import zipfile
-    shared = []
-
-    def sidx(v):
-        if v not in shared:
-            shared.append(v)
-        return shared.index(v)
-
-    xml_rows = []
-    for r_i, row in enumerate(rows, start=1):
-        cells = []
-        for c_i, v in enumerate(row):
-            ref = f"{chr(65 + c_i)}{r_i}"
-            cells.append(f'<c r="{ref}" t="s"><v>{sidx(v)}</v></c>' if isinstance(v, str)
-                         else f'<c r="{ref}"><v>{v}</v></c>')
-        xml_rows.append(f'<row r="{r_i}">{"".join(cells)}</row>')
-    ns = ('xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-          'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"')
-    wb = f'<workbook {ns}><sheets><sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>'
-    rels = ('<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
-            'relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-    body = f'<worksheet {ns}><sheetData>{"".join(xml_rows)}</sheetData></worksheet>'
-    sst = ('<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-           + "".join(f"<si><t>{x}</t></si>" for x in shared) + "</sst>")
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("xl/workbook.xml", wb)
-        z.writestr("xl/_rels/workbook.xml.rels", rels)
-        z.writestr("xl/worksheets/sheet1.xml", body)
-        z.writestr("xl/sharedStrings.xml", sst)
-    return buf.getvalue()
-
-
-ONE_PAGE_PDF = (b"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n"
-                b"2 0 obj << /Type /Pages /Kids [3 0 R] /Count 1 >> endobj\n"
-                b"3 0 obj << /Type /Page /Parent 2 0 R /MediaBox [0 0 612 792] >> endobj\n"
-                b"trailer << /Root 1 0 R >>\n%%EOF\n")
-
-
 def test_upload_inspection(spark, scratch):
     write_file(scratch, "up/status.csv", 'node_id,status,latency_ms\nN1,UP,12\nN2,DOWN,NaN\n')
     write_file(scratch, "up/quoted.csv", 'id,"say, what",q\n1,"x, y","he said ""hi"""\n')
@@ -197,11 +147,12 @@ def test_upload_inspection(spark, scratch):
     write_file(scratch, "up/bad.json", "{oops")
     write_file(scratch, "up/script.sh", "echo hi")
     write_file(scratch, "up/empty.csv", b"")
-    write_file(scratch, "up/doc.pdf", ONE_PAGE_PDF)
-    write_file(scratch, "up/tickets.xlsx", make_xlsx([["TicketID", "Priority"], ["INC-1", 1], ["INC-2", 2]]))
-    write_file(scratch, "up/broken.xlsx", b"PK not really a zip")
-    files = read_binary(spark, os.path.join(scratch, "up"))
-    meta = {r["filename"]: r for r in inspect_files(files).collect()}
+    write_file(scratch, "up/doc.pdf", b"%PDF-1.4 ...")
+    write_file(scratch, "up/tickets.xlsx", b"PK ...")
+    write_file(scratch, "up/spaced.json", '\n\t [{"alarm_id": "A4"}]')
+    write_file(scratch, "up/blank.csv", "\n\n")
+    up = Uploads(read_binary(spark, os.path.join(scratch, "up")))
+    meta = {r["filename"]: r for r in up.metadata().collect()}
     assert meta["status.csv"]["row_count"] == 2 and meta["status.csv"]["status"] == "ACCEPTED"
     assert meta["status.csv"]["columns"] == ["node_id", "status", "latency_ms"]
     assert meta["alarms.json"]["row_count"] == 2 and meta["alarms.json"]["structure"] == "array"
@@ -209,26 +160,40 @@ def test_upload_inspection(spark, scratch):
     assert meta["bad.json"]["reason"] == "invalid JSON"
     assert meta["script.sh"]["reason"] == "unsupported extension"
     assert "empty.csv" not in meta      # binaryFile yields no split for a 0-byte file
-    assert meta["doc.pdf"]["status"] == "ACCEPTED" and meta["doc.pdf"]["page_count"] == 1
-    assert meta["doc.pdf"]["encrypted"] is False
-    xl = meta["tickets.xlsx"]
-    assert (xl["file_type"], xl["row_count"], xl["columns"], xl["sheet_names"]) == \
-        ("excel", 2, ["TicketID", "Priority"], ["Tickets"])
-    assert meta["broken.xlsx"]["reason"] == "unreadable workbook"
+    assert (meta["doc.pdf"]["status"], meta["doc.pdf"]["file_type"], meta["doc.pdf"]["row_count"]) == ("ACCEPTED", "pdf", None)
+    assert (meta["tickets.xlsx"]["file_type"], meta["tickets.xlsx"]["status"]) == ("excel", "ACCEPTED")
+    assert meta["spaced.json"]["structure"] == "array" and meta["spaced.json"]["status"] == "ACCEPTED"
+    assert meta["blank.csv"]["reason"] == "no CSV header"
     assert len(meta["status.csv"]["sha256_hash"]) == 64
-    recs = {r["filename"]: r for r in parse_records(files).where("filename = 'status.csv' AND row_idx = 1").collect()}
-    assert json.loads(recs["status.csv"]["record"]) == {"node_id": "N2", "status": "DOWN", "latency_ms": None}
-    q = parse_records(files).where("filename = 'quoted.csv'").first()
-    assert json.loads(q["record"]) == {"id": "1", "say, what": "x, y", "q": 'he said "hi"'}
-    xrec = [json.loads(r["record"]) for r in
-            parse_records(files).where("filename = 'tickets.xlsx'").orderBy("row_idx").collect()]
-    assert xrec == [{"TicketID": "INC-1", "Priority": 1}, {"TicketID": "INC-2", "Priority": 2}]
-    assert parse_records(files).count() == 8          # 2 + 1 csv, 2 array + 1 object, 2 workbook
-    ev = publish_upload_events(files)
-    assert ev.count() == 8
-    ids = [r["event_id"] for r in ev.collect()]
-    assert len(set(ids)) == 8 and all(i.startswith("UPLOAD-") for i in ids)
-    hist = {r["filename"]: r for r in upload_history_rows(files).collect()}
+    recs = {(r["path"].rsplit("/", 1)[1], r["row_idx"]): json.loads(r["record"]) for r in up.records().collect()}
+    assert recs["status.csv", 1] == {"node_id": "N2", "status": "DOWN", "latency_ms": None}
+    assert recs["quoted.csv", 0] == {"id": "1", "say, what": "x, y", "q": 'he said "hi"'}
+    assert recs["spaced.json", 0] == {"alarm_id": "A4"} and len(recs) == 7    # 2 + 1 csv, 2 + 1 array, 1 object
+    ids = [r["event_id"] for r in up.events().collect()]
+    assert len(set(ids)) == 7 and all(i.startswith("UPLOAD-") and len(i) > 64 for i in ids)
+    assert up.events(cap=1).count() == 5
+    hist = {r["filename"]: r for r in up.history().collect()}
     assert hist["status.csv"]["records_count"] == 2 and hist["status.csv"]["kafka_topic"] == "network-events"
-    assert hist["script.sh"]["status"] == "FAILED"
-    assert hist["tickets.xlsx"]["records_count"] == 2 and hist["doc.pdf"]["records_count"] == 1
+    assert hist["script.sh"]["status"] == "FAILED" and hist["bad.json"]["error_message"] == "invalid JSON"
+    assert len({r["id"] for r in hist.values()}) == len(hist)
+
+
+def test_every_record_of_an_upload_counts(spark, scratch):
+    body = "event_id,v\n" + "".join(f"E{i},{i}\n" for i in range(1200))
+    write_file(scratch, "up/a.csv", body)
+    write_file(scratch, "up/b.csv", body)                   # equal bytes, another file
+    up = Uploads(read_binary(spark, os.path.join(scratch, "up")))
+    assert up.events().select("event_id").distinct().count() == 2400
+    assert {r["records_count"] for r in up.history().collect()} == {1200}
+
+
+def test_no_upload_content_breaks_the_batch(spark, scratch):
+    for i, content in enumerate([b"\x00\x01\xff", b'"open quote,b\n1,2', b"a" * 50_000, b"[[[[", b"{}", b"[]", b"null",
+                                 b"\xef\xbb\xbfx,y\n1,2\n", b",,,\n1,2,3,4\n", b'{"a":1,"a":2}']):
+        write_file(scratch, f"up/f{i}.csv", content)
+        write_file(scratch, f"up/f{i}.json", content)
+    up = Uploads(read_binary(spark, os.path.join(scratch, "up")))
+    meta = {r["filename"]: r for r in up.metadata().collect()}
+    assert len(meta) == 20 and up.history().count() == 20
+    assert up.events().count() == up.records().count()
+    assert meta["f7.csv"]["columns"] == ["x", "y"] and meta["f3.json"]["status"] == "REJECTED"

@@ -1,14 +1,18 @@
-"""Structured Streaming: stream == batch, dedup scope, restart, windows."""
+"""Structured Streaming: stream == batch == panels, repeats, restart and retry, windows, uploads."""
 
 import json
 import os
+import random
+import subprocess
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_file
+from conftest import ROOT, write_file
 from siglake.sources.files import SOURCES, read_json
 from siglake.schemas import UNIFIED_EVENT
-from siglake.sinks.tables import read_serving
+from siglake.sinks.tables import compact, read_serving, read_stored
 from siglake.streaming import job, monitor
 
 
@@ -36,6 +40,10 @@ def _run(spark, cfg, spec=SOURCES[0]):
     return q
 
 
+def _stored(spark, cfg, table="alarms"):
+    return read_stored(spark, cfg.output_root, table)
+
+
 def test_stream_equals_batch(spark, scratch):
     land = os.path.join(scratch, "land")
     _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(2, "2026-08-06T11:30:00Z")])
@@ -43,44 +51,99 @@ def test_stream_equals_batch(spark, scratch):
     cfg = _cfg(scratch)
     listener = monitor.attach(spark)
     _run(spark, cfg)
-    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "feed=alarms"), with_batch_id=True)
+    out = _stored(spark, cfg)
     batch = job.clean_batch(read_json(spark, os.path.join(land, "raw/kafka/category=alarms"), UNIFIED_EVENT,
                                       multiline=False), "alarms")
     cols = ["event_id", "severity_clean", "event_date", "vendor"]
     assert sorted(map(tuple, out.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
     assert out.where("event_id = 'ALM-3'").first()["severity_clean"] == "CRITICAL"  # newest copy kept
-    assert set(r["batch_id"] for r in out.select("batch_id").collect()) == {0, 1}   # one file per trigger
+    assert len({r["batch"] for r in out.select("batch").collect()}) == 2            # one file per trigger
     log = listener.run_log(spark)
     assert log.where("records_processed > 0").count() >= 2
+    assert listener.flush(spark, os.path.join(scratch, "runlog"), at_least=1000) == 0
     n = listener.flush(spark, os.path.join(scratch, "runlog"))
     assert n >= 2 and spark.read.parquet(os.path.join(scratch, "runlog")).count() == n
     assert listener.run_log(spark).count() == 0
     spark.streams.removeListener(listener)
+    audit = spark.read.parquet(os.path.join(cfg.output_root, "audit_log"))          # a row for each batch
+    assert audit.count() == 2 and audit.agg(F.sum("records_count")).first()[0] == 3
+    assert {r["source_type"] for r in audit.collect()} == {"alarms"}
+
+
+def test_flush_keeps_rows_that_were_not_written(spark, scratch):
+    listener = monitor.RunLogListener()
+    listener.rows.append(("r", "q", "COMPLETED", None, None, 1, "x" * 5000))
+    write_file(scratch, "file", "in the way")
+    with pytest.raises(Exception):
+        listener.flush(spark, os.path.join(scratch, "file", "log"))
+    assert len(listener.rows) == 1
+    assert listener.flush(spark, os.path.join(scratch, "log")) == 1 and listener.rows == []
+    assert len(spark.read.parquet(os.path.join(scratch, "log")).first()["error"]) == 5000
 
 
-def test_duplicate_in_later_batch_and_restart(spark, scratch):
+def test_repeats_in_later_batches_are_folded_on_reading(spark, scratch):
     land = os.path.join(scratch, "land")
-    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z")])
+    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(2, "2026-08-06T10:00:00Z")])
     cfg = _cfg(scratch)
     _run(spark, cfg)
-    _land(land, "f2", [_event(1, "2026-08-06T10:05:00Z")])   # same id, later batch
+    _land(land, "f2", [_event(1, "2026-08-06T10:05:00Z", sev="p1"), _event(9, "2020-01-01T00:00:00Z")])   # a late one too
     _run(spark, cfg)
-    out_path = os.path.join(cfg.output_root, "alarms", "feed=alarms")
-    # per-batch scope (platform behaviour): the repeat is stored again
-    assert spark.read.parquet(out_path).where("event_id = 'ALM-1'").count() == 2
+    assert _stored(spark, cfg).where("event_id = 'ALM-1'").count() == 2     # stored again, as the platform does
+    rows = {r["event_id"]: r["severity_clean"] for r in read_serving(spark, cfg.output_root, "alarms").collect()}
+    assert rows == {"ALM-1": "CRITICAL", "ALM-2": "MAJOR", "ALM-9": "MAJOR"}
     _run(spark, cfg)   # restart with nothing new: no new output
-    assert spark.read.parquet(out_path).count() == 2
+    assert _stored(spark, cfg).count() == 4
+    assert compact(spark, cfg.output_root, "alarms") == 2
+    assert _stored(spark, cfg).count() == 3
+    assert {r["event_id"]: r["severity_clean"] for r in read_serving(spark, cfg.output_root, "alarms").collect()} == rows
+    assert compact(spark, cfg.output_root, "alarms") == 1
 
 
-def test_watermark_dedup_across_batches(spark, scratch):
+def test_rows_without_an_id_stay_apart(spark, scratch):
     land = os.path.join(scratch, "land")
-    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(2, "2026-08-06T10:01:00Z")])
-    _land(land, "f2", [_event(1, "2026-08-06T10:05:00Z"), _event(4, "2026-08-06T10:06:00Z")])
-    cfg = _cfg(scratch, dedup="watermark", watermark="1 hour")
+    _land(land, "f1", [{"source": "s", "node_id": "n"}, {"source": "s", "node_id": "n"}])
+    _land(land, "f2", [{"source": "s", "node_id": "n"}])
+    cfg = _cfg(scratch)
+    _run(spark, cfg)
+    assert read_serving(spark, cfg.output_root, "alarms").count() == 3
+
+
+def test_new_checkpoint_beside_old_output_is_refused(spark, scratch):
+    _land(os.path.join(scratch, "land"), "f1", [_event(1, "2026-08-06T10:00:00Z")])
+    cfg = _cfg(scratch)
     _run(spark, cfg)
-    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "feed=alarms"))
-    ids = sorted(r["event_id"] for r in out.collect())
-    assert ids == ["ALM-1", "ALM-2", "ALM-4"]          # the repeat in batch 1 was dropped
+    cfg.checkpoint_root = os.path.join(scratch, "another")
+    with pytest.raises(RuntimeError, match="checkpoint is new"):
+        job.start_source(spark, SOURCES[0], cfg)
+    cfg.checkpoint_root = None
+    with pytest.raises((ValueError, RuntimeError)):          # no folder named, or a new one
+        job.start_source(spark, SOURCES[0], cfg)
+
+
+APPLICATION = """
+import sys
+sys.path.insert(0, {root!r})
+from siglake.session import get_session
+from siglake.sources.files import SOURCES
+from siglake.streaming import job
+spark = get_session("local[1]", shuffle_partitions=2, extra={{"spark.checkpoint.dir": {shared!r}}})
+cfg = job.StreamConfig({land!r}, {out!r}, trigger_seconds=None)
+q = job.start_source(spark, SOURCES[0], cfg)
+q.awaitTermination(200)
+assert q.exception() is None
+"""
+
+
+def test_two_applications_share_a_checkpoint(spark, scratch):
+    """A restart in another application reads only what is new."""
+    land = os.path.join(scratch, "land")
+    code = APPLICATION.format(root=ROOT, shared=os.path.join(scratch, "shared"), land=land, out=os.path.join(scratch, "out"))
+    for i in (1, 2):
+        _land(land, f"f{i}", [_event(i, "2026-08-06T10:00:00Z")])
+        subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+    stored = read_stored(spark, os.path.join(scratch, "out"), "alarms")
+    assert sorted(r["event_id"] for r in stored.collect()) == ["ALM-1", "ALM-2"]
+    assert len({r["batch"].split("--")[1] for r in stored.collect()}) == 1        # one query id
 
 
 def test_hourly_window_counts_closed_windows(spark, scratch):
@@ -103,23 +166,42 @@ def test_hourly_window_counts_closed_windows(spark, scratch):
 def test_start_all_json_and_csv_sources(spark, scratch):
     land = os.path.join(scratch, "land")
     _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z")])
-    write_file(land, "raw/uploads/csv/test_alarms.csv",
-               'event_id,severity,vendor,note\nALM-1,CRITICAL,Huawei,"a, quoted"\nALM-2,MAJOR,Nokia,\n')
-    cfg = _cfg(scratch)
-    specs = [SOURCES[0], [s for s in SOURCES if s.category == "uploads_csv"][0]]
-    qs = job.start_all(spark, specs, cfg)
+    body = 'event_id,severity,vendor,note\nALM-1,CRITICAL,Huawei,"a, quoted"\nALM-2,MAJOR,Nokia,\n'
+    write_file(land, "raw/uploads/csv/test_alarms.csv", body)
+    write_file(land, "raw/uploads/csv/again.csv", body)
+    write_file(land, "raw/uploads/csv/many.csv", "event_id,n\n" + "".join(f"E{i},{i}\n" for i in range(700)))
+    write_file(land, "raw/csv/events.csv", "event_id,source,event_type,timestamp,severity,node_id,region,payload\n"
+                                           "N-1,s,t,2026-08-06T10:00:00Z,p2,n,r,\n")
+    published = []
+    cfg = _cfg(scratch, publish=lambda df: published.append((df.columns, df.count())))
+    cfg.max_files_per_trigger = 10
+    qs, waiting = job.start_all(spark, SOURCES, cfg)
     for q in qs:
         q.awaitTermination(120)
         assert q.exception() is None
     job.stop_all(qs)
-    assert sorted(q.name for q in qs) == ["query_alarms", "query_uploads_csv"]
-    up = read_serving(spark, os.path.join(cfg.output_root, "network_events", "feed=uploads_csv"))
-    rows = sorted(up.collect(), key=lambda r: r["event_id"])
-    assert [r["event_id"][-2:] for r in rows] == ["-0", "-1"] and rows[0]["event_id"].startswith("UPLOAD-")
-    assert [r["vendor"] for r in rows] == ["Huawei", "Nokia"]           # bound from each record
-    assert json.loads(rows[0]["payload"])["note"] == "a, quoted"         # header-matched, quote-aware
-    assert {r["category"] for r in rows} == {"uploads_csv"} and {r["source"] for r in rows} == {"UPLOAD_CSV"}
-    assert all(not q.isActive for q in qs)
+    assert sorted(q.name for q in qs) == ["query_alarms", "query_events_csv", "query_uploads_csv"]
+    assert {s.category for s in waiting} == {"tickets", "network", "security", "performance", "rest", "uploads_json"}
+    up = _stored(spark, cfg, "network_events")
+    one = up.where("filename = 'test_alarms.csv'").orderBy("event_id").collect()
+    assert [r["event_id"][-2:] for r in one] == ["-0", "-1"] and one[0]["event_id"].startswith("UPLOAD-")
+    assert [r["vendor"] for r in one] == ["Huawei", "Nokia"]            # bound from each record
+    assert json.loads(one[0]["payload"])["note"] == "a, quoted"          # header-matched, quote-aware
+    assert {r["category"] for r in one} == {"uploads_csv"} and {r["source"] for r in one} == {"UPLOAD_CSV"}
+    # every record of every file counts: no cap, and equal files keep both files' rows
+    assert {r["filename"]: r["count"] for r in up.groupBy("filename").count().collect()} == {
+        "test_alarms.csv": 2, "again.csv": 2, "many.csv": 700, None: 1}
+    assert read_serving(spark, cfg.output_root, "network_events").count() == 705
+    assert up.where("event_id = 'N-1'").first()["severity_clean"] == "MAJOR"
+    history = spark.read.parquet(os.path.join(cfg.output_root, "upload_history"))
+    assert {r["filename"]: r["records_count"] for r in history.collect()} == {"test_alarms.csv": 2, "again.csv": 2, "many.csv": 700}
+    assert spark.read.parquet(os.path.join(cfg.output_root, "upload_files")).count() == 3
+    assert len(published) == 1 and published[0][1] == 704 and "topic" in published[0][0]
+    # the folders that were missing start once they are there
+    write_file(land, "raw/kafka/category=tickets/t.json", json.dumps([_event(5, "2026-08-06T10:00:00Z")]))
+    more, still = job.start_all(spark, waiting, cfg)
+    assert [q.name for q in more] == ["query_tickets"] and len(still) == 5
+    more[0].awaitTermination(120)
 
 
 def test_message_ingestion_stream(spark, scratch):
@@ -137,7 +219,7 @@ def test_message_ingestion_stream(spark, scratch):
     q = ingest.start_ingest(stream, land, quar, os.path.join(scratch, "ck"), trigger_seconds=None)
     q.awaitTermination(120)
     assert q.exception() is None
-    landed = spark.read.json(land)
+    landed = spark.read.option("recursiveFileLookup", False).json(land)
     cats = {r["event_id"]: r["category"] for r in landed.select("event_id", "category").collect()}
     assert cats == {"ALM-1": "alarms", "x-1": "network"}
     bad = spark.read.parquet(quar).select("raw_value", "reject_reason").collect()
@@ -147,10 +229,89 @@ def test_message_ingestion_stream(spark, scratch):
     # the landed layout is exactly what the landing-zone job reads back
     cfg = _cfg(scratch)
     _run(spark, cfg)
-    out = read_serving(spark, os.path.join(cfg.output_root, "alarms", "feed=alarms"))
+    out = read_serving(spark, cfg.output_root, "alarms")
     assert [(r["event_id"], r["severity_clean"]) for r in out.collect()] == [("ALM-1", "MAJOR")]
 
 
+def test_ingest_retry_lands_each_message_once(spark, scratch):
+    from siglake.streaming import ingest
+    rows = [{"topic": "telecom-alarms", "value": json.dumps(_event(i, f"2026-08-0{5 + i}T10:00:00Z"))} for i in (1, 2)]
+    write_file(scratch, "kafka/part-0.json", "\n".join(json.dumps(r) for r in rows))
+    land, quar, ck = (os.path.join(scratch, x) for x in ("land/raw/kafka", "quarantine", "ck"))
+    q = ingest.start_ingest(ingest.json_record_stream(spark, os.path.join(scratch, "kafka")), land, quar, ck, None)
+    q.awaitTermination(120)
+    cfg = _cfg(scratch)
+    _run(spark, cfg)                                          # the landing job has read the files
+    batch = spark.read.schema("topic string, value string").json(os.path.join(scratch, "kafka")).withColumn(
+        "value", F.col("value").cast("binary"))
+    ingest.make_ingest_handler(land, quar, ck)(batch, 0)      # the same batch again
+    _run(spark, cfg)
+    assert _stored(spark, cfg).count() == 2
+    days = [d for d in os.listdir(os.path.join(land, "category=alarms"))]
+    assert sorted(days) == ["ingest_date=2026-08-06", "ingest_date=2026-08-07"]      # the messages' own days
+
+
+def test_message_keeps_all_its_fields(spark, scratch):
+    from siglake.streaming import ingest
+    values = [{"source": "s", "node_id": "n1", "alarm_id": "ALM-9", "vendor": "Nokia", "created_at": "2026-08-06T10:00:00Z"},
+              {"event_id": "E1", "source": "s", "node_id": "n2", "event_time": "2026-08-06T11:00:00Z",
+               "payload": {"vendor": "Own", "x": 1}, "vendor": "Top", "site_id": "S-1"},
+              {"source": "s", "node_id": "n3", "metric_id": "M-1"}]
+    write_file(scratch, "kafka/p.json", "\n".join(json.dumps({"topic": "telecom-alarms", "value": json.dumps(v)}) for v in values))
+    land = os.path.join(scratch, "land", "raw", "kafka")
+    q = ingest.start_ingest(ingest.json_record_stream(spark, os.path.join(scratch, "kafka")), land,
+                            os.path.join(scratch, "quar"), os.path.join(scratch, "ck"), None)
+    q.awaitTermination(120)
+    cfg = _cfg(scratch)
+    _run(spark, cfg)
+    rows = {r["event_id"]: r for r in read_serving(spark, cfg.output_root, "alarms").collect()}
+    assert set(rows) == {"ALM-9", "E1", "M-1"}
+    assert rows["ALM-9"]["vendor"] == "Nokia" and str(rows["ALM-9"]["event_timestamp"]) == "2026-08-06 10:00:00"
+    assert rows["ALM-9"]["severity"] == "INFO"                # the event default
+    assert rows["E1"]["vendor"] == "Own" and rows["E1"]["site_name"] == "S-1" and str(rows["E1"]["event_timestamp"]) == \
+        "2026-08-06 11:00:00"
+    assert json.loads(rows["E1"]["payload"])["x"] == 1
+    assert rows["M-1"]["event_timestamp"] is not None         # the landed file's time
+
+
+def test_stream_to_panels_equals_batch_panels(spark, scratch):
+    """ingest -> stream -> all 26 panels, with repeats in later batches, against the panels over one batch."""
+    from siglake.plans import dashboards, serving
+    from siglake.streaming import ingest
+    rng = random.Random(7)
+    topics = ["telecom-alarms", "tickets", "network-events", "security-events", "performance"]
+    records = []
+    for k in range(4):
+        part = []
+        for i in range(60):
+            e = _event(rng.randrange(90), f"2026-08-0{1 + rng.randrange(6)}T{rng.randrange(24):02d}:{rng.randrange(60):02d}:00Z",
+                       sev=rng.choice(["p1", "MAJOR", "low", "minor"]), vendor=rng.choice(["Nokia", "Huawei"]))
+            e["region"] = rng.choice(["R1", "R2", None])
+            part.append({"topic": topics[i % 5], "value": json.dumps(e)})
+        records += part
+        write_file(scratch, f"kafka/part-{k}.json", "\n".join(json.dumps(r) for r in part))
+    land = os.path.join(scratch, "land", "raw", "kafka")
+    stream = ingest.json_record_stream(spark, os.path.join(scratch, "kafka"), max_files=1)
+    ingest.start_ingest(stream, land, os.path.join(scratch, "quar"), os.path.join(scratch, "ck"), None).awaitTermination(200)
+    cfg = _cfg(scratch)
+    cfg.max_files_per_trigger = 7
+    queries, _ = job.start_all(spark, SOURCES[:5], cfg)
+    for q in queries:
+        q.awaitTermination(200)
+        assert q.exception() is None
+    from siglake.sources.kafka import decode_messages
+    from siglake.operators.normalize import resolve_lenient
+    raw = spark.createDataFrame([(r["topic"], bytearray(r["value"].encode())) for r in records], "topic string, value binary")
+    routed = serving.routed_messages(resolve_lenient(decode_messages(raw)))
+    dashboards.register_views({t: serving.build_table(routed, c) for t, c in serving.TABLE_CATEGORIES.items()})
+    want = {n: sorted(map(str, spark.sql(sql).collect())) for n, sql in dashboards.PANEL_SQL.items()}
+    assert dashboards.register_serving(spark, cfg.output_root) == sorted(serving.PANELS)
+    assert len(dashboards.PANEL_SQL) == 26
+    for name, sql in dashboards.PANEL_SQL.items():
+        assert sorted(map(str, spark.sql(sql).collect())) == want[name], name
+    assert read_stored(spark, cfg.output_root, "alarms").count() > read_serving(spark, cfg.output_root, "alarms").count()
+
+
 def test_legacy_pretty_printed_landing(spark, scratch):
     land = os.path.join(scratch, "land")
     for i in range(3):
@@ -159,7 +320,7 @@ def test_legacy_pretty_printed_landing(spark, scratch):
     from siglake.sources.files import SourceSpec
     cfg = _cfg(scratch, json_multiline=True)
     _run(spark, cfg, SourceSpec("raw/kafka/alarms", "alarms", "alarms", "json", True))
-    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "feed=alarms"))
+    out = _stored(spark, cfg)
     assert sorted(r["event_id"] for r in out.collect()) == ["ALM-0", "ALM-1", "ALM-2"]
 
 
@@ -175,7 +336,7 @@ def test_rest_envelopes_are_exploded_and_normalised(spark, scratch):
     cfg = _cfg(scratch)
     spec = [s for s in SOURCES if s.category == "rest"][0]
     _run(spark, cfg, spec)
-    out = read_serving(spark, os.path.join(cfg.output_root, "network_events", "feed=rest"))
+    out = _stored(spark, cfg, "network_events")
     rows = {r["event_id"]: r for r in out.collect()}
     assert len(rows) == 3
     assert rows["INC-1"]["severity_clean"] == "CRITICAL" and rows["INC-1"]["node_id"] == "S-9"
@@ -195,20 +356,9 @@ def test_command_line_stream_once(spark, scratch):
                "--sources", "alarms", "--once", "--monitor-seconds", "0.5",
                "--run-log", os.path.join(scratch, "runlog")])
     assert rc == 0
-    assert read_serving(spark, os.path.join(out, "alarms", "feed=alarms")).count() == 2
-
-
-def test_watermark_drops_late_repeats(spark, scratch):
-    land = os.path.join(scratch, "land")
-    _land(land, "f1", [_event(1, "2026-08-06T10:00:00Z"), _event(9, "2026-08-06T20:00:00Z")])
-    _land(land, "f2", [_event(1, "2026-08-06T10:00:30Z"), _event(5, "2026-08-06T19:30:00Z")])
-    cfg = _cfg(scratch, dedup="watermark", watermark="1 hour")
-    _run(spark, cfg)
-    out = spark.read.parquet(os.path.join(cfg.output_root, "alarms", "feed=alarms"))
-    ids = sorted(r["event_id"] for r in out.collect())
-    # after batch 0 the watermark is 19:00: the 10:00:30 repeat is late and dropped (bounded state),
-    # the 19:30 event is on time and kept
-    assert ids == ["ALM-1", "ALM-5", "ALM-9"]
+    assert read_serving(spark, out, "alarms").count() == 2
+    assert main(["panel", "--serving", out, "--name", "total_alarms"]) == 0
+    assert main(["compact", "--serving", out, "--tables", "alarms"]) == 0
 
 
 def test_catalog_table_over_idempotent_output(spark, scratch):
@@ -220,7 +370,7 @@ def test_catalog_table_over_idempotent_output(spark, scratch):
     _run(spark, cfg)
     assert spark.table("ops_stream.alarms").count() == 2
     # replaying the same batch id (a retry) must not duplicate rows in the table
-    handler = job.make_batch_handler(SOURCES[0], cfg)
+    handler = job.make_batch_handler(SOURCES[0], cfg, job.checkpoint_location(spark, cfg, SOURCES[0]))
     batch = read_json(spark, os.path.join(land, "raw/kafka/category=alarms"), UNIFIED_EVENT, multiline=False)
     handler(batch, 0)
     assert spark.table("ops_stream.alarms").count() == 2
