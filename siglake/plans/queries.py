@@ -263,14 +263,14 @@ def q_recent_audit(spark, sf_dir):
     cols = ["id", "source_type", "source_name", "status", "payload_size_bytes", "records_count",
             "created_at"]
     docs = driver.newest_documents(spark, sf_dir, RECENT_AUDIT_ROWS)
-    return driver.audit_log(spark, sf_dir, docs).select(*cols)
+    return summaries.recent_rows(driver.audit_log(spark, sf_dir, docs), RECENT_AUDIT_ROWS, columns=cols)
 
 
 def q_uploads_page(spark, sf_dir):
     cols = ["id", "filename", "file_type", "file_size_bytes", "minio_path", "kafka_topic",
             "records_count", "status", "created_at"]
     docs = driver.newest_documents(spark, sf_dir, UPLOADS_PAGE_SIZE, UPLOADS_PAGE_OFFSET)
-    return driver.upload_history(spark, sf_dir, docs).select(*cols)
+    return summaries.recent_rows(driver.upload_history(spark, sf_dir, docs), UPLOADS_PAGE_SIZE, columns=cols)
 
 
 def operator_queries():

@@ -164,10 +164,14 @@ def _created_at(doc_id: Column) -> Column:
 
 
 def newest_documents(spark: SparkSession, sf_dir: str, n: int, offset: int = 0) -> DataFrame:
-    """The documents of one page, newest upload first: a top-k on the thin keys, before any work on texts."""
+    """The documents of one page: a top-k of the ids alone, then the rows of those ids.
+
+    No text reaches the task that orders the ids, and only the page's texts are worked on.
+    """
     d = table(spark, sf_dir, "documents")
-    return recent_rows(d.withColumn("created_at", _created_at(F.col("doc_id"))), n, tie="doc_id",
-                       offset=offset).drop("created_at")
+    keys = d.select("doc_id", _created_at(F.col("doc_id")).alias("created_at"))
+    page = recent_rows(keys, n, tie="doc_id", offset=offset).select("doc_id")
+    return d.join(F.broadcast(page), "doc_id", "left_semi")      # n ids
 
 
 def uploaded_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
