@@ -237,6 +237,17 @@ def components(links: DataFrame, label: str = "cc", max_rounds: int = 60) -> Dat
     return low.union(low.select(F.col("component").alias("id"), "component").distinct())
 
 
+def hash_sample(rows: DataFrame, key: Column, bound: int) -> DataFrame:
+    """Rows whose key hash lies under a threshold, about 1.3 times ``bound`` of them, with the hash as ``h``.
+
+    The threshold comes from a count, so no task gathers more than its own
+    share; who collects the rows keeps the ``bound`` smallest hashes.
+    """
+    n = rows.count()
+    share = min(1.0, 1.3 * bound / n) if n else 1.0
+    return rows.withColumn("h", F.xxhash64(key)).where(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 

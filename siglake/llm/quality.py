@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import U, chunked, mix, span_hashes, string_buffers, words_of
+from siglake.llm.common import U, chunked, hash_sample, mix, span_hashes, string_buffers, words_of
 
 BITS = 18
 SAMPLE_ROWS = 8_000        # bound on rated texts used for training
@@ -127,23 +127,19 @@ def rated(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
     return docs.select(F.col(id_col).alias("doc_id"), F.col("text").alias("text")).join(grades, "doc_id")
 
 
-def sample(rows: DataFrame, bound: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``bound`` rated rows by the smallest hashes of their ids, over the whole table."""
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-
-
 def train(rows: DataFrame, grades: int, bound: int = SAMPLE_ROWS) -> CumulativeLink:
-    """Fit on a bounded sample of (doc_id, text, grade); features are made in the tasks."""
+    """Fit on at most ``bound`` rows of (doc_id, text, grade), chosen by a hash of the id; features are made in the tasks."""
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunked(batches, 1 << 20):
             ends, f, v = features(*string_buffers(b.column(0)))
             cut = list(zip(ends.tolist(), ends[1:].tolist()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), pa.array([f[i:j].astype("<i4").tobytes() for i, j in cut], pa.binary()),
-                 pa.array([v[i:j].astype("<f4").tobytes() for i, j in cut], pa.binary())], names=["grade", "f", "v"])
+                [b.column(1), b.column(2), pa.array([f[i:j].astype("<i4").tobytes() for i, j in cut], pa.binary()),
+                 pa.array([v[i:j].astype("<f4").tobytes() for i, j in cut], pa.binary())], names=["grade", "h", "f", "v"])
 
-    got = (rows.select("doc_id", "text", "grade").transform(lambda d: sample(d, bound)).select("text", "grade")
-           .mapInArrow(extract, "grade int, f binary, v binary").collect())
+    chosen = hash_sample(rows.select("doc_id", "text", "grade"), F.col("doc_id"), bound).select("text", "grade", "h")
+    got = chosen.mapInArrow(extract, "grade int, h bigint, f binary, v binary").collect()
+    got = sorted(got, key=lambda r: (r["h"], r["grade"], r["f"]))[:bound]
     model = CumulativeLink(np.zeros(1 << BITS), np.linspace(-1.0, 0.0, grades - 1) if grades > 1 else np.zeros(0))
     if not got:
         return model

@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, ngram_hashes, span_hashes, string_buffers, words_of
+from siglake.llm.common import chunked, hash_sample, ngram_hashes, span_hashes, string_buffers, words_of
 
 MIN_WORDS = 50
 SAMPLE_ROWS = 500        # bound on the texts that rules are measured on
+TIMED_CHARS = 20_000     # bound on the characters of each of them
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -191,10 +192,10 @@ def measure(texts: list[str], rules: dict[str, Rule] = RULES) -> list[tuple[str,
 
 
 def sample_texts(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
-    """At most ``rows`` texts, by the smallest hashes over the whole table."""
-    key = F.xxhash64(text_col)
-    picked = docs.where(F.col(text_col).isNotNull()).select(key.alias("h"), F.substring(text_col, 1, 20_000).alias("t"))
-    return [r["t"] for r in picked.orderBy("h").limit(rows).collect()]
+    """At most ``rows`` texts, chosen by a hash over the whole table; of a very long one its first part is timed."""
+    known = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"))
+    picked = hash_sample(known, F.col("t"), rows).select("h", F.substring("t", 1, TIMED_CHARS).alias("t")).collect()
+    return [r["t"] for r in sorted(picked, key=lambda r: (r["h"], r["t"]))[:rows]]
 
 
 def cascade(docs: DataFrame, rules: dict[str, Rule] = RULES, id_col: str = "doc_id", text_col: str = "text"
