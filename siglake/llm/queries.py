@@ -29,7 +29,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    rated = quality.rated(docs, documents(spark, sf_dir, "labels"), quality.label_grade())
+    rated = quality.rated(docs, documents(spark, sf_dir, "labels"), quality.label_grade(), bound=quality.SAMPLE_ROWS)
     model = quality.train(rated, quality.GRADES)
     return quality.score(docs, model, tail=quality.GRADES - 1, keep_at=KEEP_TAIL)
 
