@@ -79,6 +79,16 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def columns_of(docs: DataFrame) -> list[Column]:
+    """All columns of ``docs`` in order, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the staged table ``gone``, all columns as they were."""
+    return docs.join(small(gone), "doc_id", "left_anti").select(*columns_of(docs))
+
+
 def chunked(batches: Iterator[pa.RecordBatch], max_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Re-cut batches so that each holds about ``max_bytes`` of text (one row at least)."""
     for b in batches:

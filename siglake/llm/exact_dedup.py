@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import _SPACE, chunked, small, staged, string_buffers
+from siglake.llm.common import _SPACE, chunked, staged, string_buffers, without
 
 #: Counters of a Misra-Gries summary: the bound on the broadcast table.
 COUNTERS = 1024
@@ -113,4 +113,4 @@ def drop_copies(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns stay."""
     verdict = exact_dedup(docs.select("doc_id", "text"), k=k)
     gone = staged(verdict.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, gone)

@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import U, chunked, components, discard, mix, shingle_rows, small, staged, string_buffers, words_of
+from siglake.llm.common import (U, chunked, components, discard, mix, shingle_rows, small, staged, string_buffers,
+                                without, words_of)
 
 SHARE = 75               # percent: 100 * intersection >= SHARE * union
 TREES = 10
@@ -264,4 +265,4 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents of a component but its first; all columns stay."""
     gone = staged(near_dedup(docs).where("not kept").select("doc_id").distinct(), "dropped")
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, gone)

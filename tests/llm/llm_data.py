@@ -4,7 +4,7 @@ import random
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names the operators use inside.
-CLASHES = ["key", "node", "length", "count", "spans", "digest", "component", "tokens", "rep", "first", "grade", "n"]
+CLASHES = ["key", "node", "length", "count", "spans", "digest", "component", "tokens", "rep", "first", "grade", "n", "a.b", "kept"]
 
 
 def prose(n: int, seed: int, words: int = 400) -> str:
