@@ -7,9 +7,8 @@ Plan shape: one pass, ``groupBy(id).agg(max(struct(order..., rest...)))``. The
 max is computed partially in every map task before the shuffle, so an id that
 holds a third of all rows is reduced to one row per task. When only the order
 column itself is wanted the maximum is a plain value and Spark uses a hash
-aggregate; a struct maximum sorts (a ``row_number() = 1`` window would sort as
-well, and Spark 4.1 limits each group before its shuffle too; measured at sf0.1
-the two differ by less than the noise).
+aggregate; a struct maximum needs a sort aggregate, with a sort on either side of
+the shuffle, as a ``row_number() = 1`` window with its group limits would.
 
 The id is chosen per row (F3): the first non-empty of the id columns present (an
 explicit ``key`` expression may replace the candidates). Rows with no id at all
