@@ -18,9 +18,22 @@ from pyspark.sql import functions as F
 
 from siglake.session import cut_lineage, shared_path
 
-#: Most rows of a thin table (ids, spans) that is broadcast: a few tens of MB.
-#: Beyond it the same join runs as an ordinary shuffle join.
-BROADCAST_ROWS = 300_000
+#: Largest thin table (ids, spans) that is broadcast, as stored, and most rows of
+#: one that is not stored. Beyond them the same join runs as a shuffle join.
+BROADCAST_BYTES = 12 << 20
+BROADCAST_ROWS = 200_000
+#: Session settings for tables of long texts, changed only where they stand at Spark's default: rows and
+#: bytes that go to a Python worker at once, rows that a Parquet reader decodes at once, and plain reads
+#: instead of vectored ones, which keep a column chunk of direct memory for each reading thread.
+SESSION = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b"),
+    "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512"),
+    "parquet.hadoop.vectored.io.enabled": (None, "false"),
+}
+#: What makes a worker give freed memory back: it lives on between stages beside the executor's heap.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": "8388608",
+              "MALLOC_TRIM_THRESHOLD_": "16777216", "MALLOC_ARENA_MAX": "2"}
 
 U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -35,13 +48,19 @@ _PIECE = 1 << 18
 # ----------------------------------------------------------------- tables
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it (as ``--py-files`` would)."""
+    """Let Python workers import this package from where the driver has it (as ``--py-files`` would),
+    and hand them rows in batches that suit long texts."""
     import siglake
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(siglake.__file__)))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
+    for name, (usual, own) in SESSION.items():
+        if spark.conf.get(name, None) == usual:          # the session's own choice stands
+            spark.conf.set(name, own)
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -73,10 +92,14 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark a thin staged table for broadcast if its counted rows are few."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+def small(df: DataFrame) -> DataFrame:
+    """Mark a thin table for broadcast if it is small: a staged one by its bytes, another by its counted rows."""
+    path = getattr(df, "staged_path", None)
+    if path is None:
+        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def columns_of(docs: DataFrame) -> list[Column]:

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +31,11 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16            # per width
 POSITIONS = 512         # filter positions of a window
 WINDOW = POSITIONS + max(WIDTHS) - 1
+STEP = 16                # windows worked on at once: their responses stay in cache
 PER_LANGUAGE = 400      # bound on sampled texts of each language
 WINDOWS_PER_TEXT = 4    # bound on training windows of each sampled text
 UNKNOWN = "und"
+_LETTER = regex.compile(r"\p{L}").search
 
 
 @dataclass
@@ -122,6 +125,17 @@ class ByteConvNet:
         return p / p.sum(1, keepdims=True)
 
 
+def _lettered(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Rows that hold a letter of any script; most show an ASCII one."""
+    plain = np.zeros(256, bool)
+    plain[65:91] = plain[97:123] = True
+    seen = np.concatenate([[0], np.cumsum(plain[data])])
+    out = np.diff(seen[off]) > 0
+    for i in np.flatnonzero(~out).tolist():
+        out[i] = _LETTER(data[off[i]:off[i + 1]].tobytes().decode()) is not None
+    return out
+
+
 def _tile(off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows covering every row whole: (row, first byte, end byte of the row)."""
     size = np.diff(off)
@@ -203,21 +217,20 @@ def train(labelled: DataFrame, seed: int = 7, **sample) -> ByteConvNet:
 
 def predict(docs: DataFrame, net: ByteConvNet, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs``."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       has_letter(F.col(text_col)).alias("letters"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables()
         for b in chunked(batches, 1 << 20):
             data, off = string_buffers(b.column(1))
-            letters = np.array(b.column(2).to_numpy(zero_copy_only=False), bool)
+            letters = _lettered(data, off)
             total = np.zeros((b.num_rows, max(1, len(net.labels))))
             if net.labels:
                 row, start, end = _tile(off)
                 weight = np.minimum(end - start, WINDOW).clip(1)
-                for at in range(0, len(row), 128):
-                    s = slice(at, at + 128)
+                for at in range(0, len(row), STEP):
+                    s = slice(at, at + STEP)
                     p = net.probabilities(_cut(data, start[s], end[s]), tables)
                     np.add.at(total, row[s], p * weight[s, None])
             total /= np.maximum(total.sum(1, keepdims=True), 1e-9)

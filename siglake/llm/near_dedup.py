@@ -235,8 +235,8 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
                      .withColumn("record", F.xxhash64("members")), "records")
     discard(leaf)
     members = records.select("record", F.size("members").alias("n"), F.explode("members").alias("rep"))
-    active = staged(members.select("rep").distinct(), "active")
-    texts = docs.join(small(active.withColumnRenamed("rep", "doc_id")), "doc_id", "left_semi").select("doc_id", "text")
+    active = staged(members.select(F.col("rep").alias("doc_id")).distinct(), "active")
+    texts = docs.join(small(active), "doc_id", "left_semi").select("doc_id", "text")
     sets = texts.mapInArrow(_full_sets, "rep bigint, shingles binary").dropDuplicates(["rep"])
     full = members.join(sets, "rep").groupBy("record", "n").agg(
         F.collect_list(F.struct("rep", "shingles")).alias("members")).select("members")
