@@ -101,7 +101,8 @@ def leaves(classes: DataFrame) -> DataFrame:
     out, level = [], 0
     while True:
         sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight")).where("n > 1")
-        members = staged(members.join(sizes, "node"), "members")
+        # stored, so that the join's two sides are dealt as they are and AQE can split a hot node
+        members = staged(members.join(small(staged(sizes, "sizes")), "node"), "members")
         large = (F.col("n") > LEAF) | ((F.col("n") > 8) & (F.col("weight") > LEAF_SHINGLES))
         out.append(members.where(~large).select("node", "rep"))
         big = members.where(large)
