@@ -36,7 +36,8 @@ from siglake.llm.common import chunked, staged, string_buffers
 from siglake.llm.tokens import END, library_encoder
 
 CAPACITY = 2048
-BUCKET_ROWS = 1_000_000    # pieces of one length ranked by one task, on average
+BUCKET_ROWS = 1_000_000    # most pieces of one length ranked together, on average
+LEAST_BUCKET = 256         # and the fewest worth a bucket of their own
 
 
 class Run(NamedTuple):
@@ -153,8 +154,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     runs = plan(counts, capacity)
     table = F.broadcast(spark.createDataFrame(
         [tuple(r) for r in runs], "r_length bigint, r_rank bigint, r_n bigint, r_sequence bigint, offset bigint"))
+    # a length that many pieces have is dealt to several tasks
+    even = sum(counts.values()) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    per_bucket = min(BUCKET_ROWS, max(LEAST_BUCKET, even))
     buckets = F.broadcast(spark.createDataFrame(
-        [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()], "length bigint, r_buckets bigint"))
+        [(s, -(-n // per_bucket)) for s, n in counts.items()], "length bigint, r_buckets bigint"))
     rows = pieces.join(buckets, "length").withColumn("r_bucket", F.pmod(F.xxhash64("doc_id", "piece"), "r_buckets"))
     # ranks within (length, bucket); the buckets of a length follow each other
     sizes = rows.groupBy("length", "r_bucket").count()
