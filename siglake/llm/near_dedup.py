@@ -9,20 +9,24 @@ least 0.75, and the links are closed to components.
    representative of each goes on, and its tokens are all that is shuffled.
 2. Each of ``TREES`` independent trees branches the representatives by one
    minwise token. Nodes of one document end. Small nodes are leaves. A larger
-   node branches again by further tokens, 1.5 of them on average, so that pairs
-   at the threshold keep meeting while unlike ones part. Where the children show
-   that a node's members are alike on average (two thirds or more), branching
-   no longer parts them; it ends in random blocks of leaf size, twice.
+   node branches again by further tokens, 1 / s of them on average (at most 1.5)
+   where its members have a mean similarity s, so that pairs at the threshold
+   keep meeting while unlike ones part. s comes from all tokens of a sample of
+   the node. From the threshold on, branching no longer parts the members: the
+   node ends in random blocks of leaf size, twice, and is followed up (5).
 3. A leaf is compared exhaustively, first by tokens with a generous margin; what
    hangs together goes on as one record. Equal records of different trees meet.
 4. Records are verified on the full sets, all pairs at once, and give a spanning
    forest of their true links. Components are found over these.
+5. Of each node that ended in blocks, the members outside of its largest
+   component are compared with all members, so each pair of the node is either
+   compared or linked through others. Only groups that split into several
+   components pay for this: members outside times members.
 
 A pair of similarity s misses all trees at the root with probability
-(1 - s)^TREES, a millionth at 0.75; inside groups of thousands that are neither
-small nor alike each branching keeps it with probability over s. A document that
-a large group of near copies touches through few members only can be missed;
-the tests measure recall against brute force.
+(1 - s)^TREES, a millionth at 0.75. In a group of thousands that are neither small
+nor alike each branching keeps it at one node or more on average, at the threshold
+in one tree of three at least; the tests measure recall against brute force.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows that repeat an id are one document
@@ -34,6 +38,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +53,9 @@ TREES = 10
 COORDS = 64              # minwise tokens: the first TREES choose roots, the others branch
 LEAF = 512               # documents that a leaf compares exhaustively
 LEAF_SHINGLES = 4_000_000
-ALIKE = 2 / 3            # mean similarity from which a node is not branched further
+ALIKE = 0.75             # mean similarity from which a node is not branched further
+SAMPLE = 64              # members of a node that its mean similarity is estimated from
+LEVELS = 26              # branchings for which there are fresh tokens
 TOKEN_SHARE = 0.5        # share of equal tokens from which a pair is verified
 
 _A = (mix(np.arange(1, COORDS + 1).astype(U)) >> U(32)).astype(np.uint32) | np.uint32(1)
@@ -85,20 +92,42 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _branch(level: int):
-    """Children of a member: (child) by one token, and by a second one at half of the nodes."""
+    """Children of a member: (child) by one token, and by a second one at as many nodes as their similarity allows."""
     free = COORDS - TREES
     place = F.pmod(F.xxhash64("tree") + F.lit(2 * level), F.lit(free - 1)) + TREES
     one = F.struct(F.lit(0).alias("k"), F.element_at("tokens", (place + 1).cast("int")).alias("value"))
     two = F.struct(F.lit(1).alias("k"), F.element_at("tokens", (place + 2).cast("int")).alias("value"))
-    second = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(2)) == 0
+    second = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1000)) < 1000 * (1 / F.greatest("s", F.lit(2 / 3)) - 1)
     return F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one)))
 
 
-def leaves(classes: DataFrame) -> DataFrame:
-    """(node, rep): members of the leaves of all trees, at least two in each. ``classes`` is staged."""
+def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean share of equal tokens over all pairs of each sample (a list of token lists)."""
+    for b in batches:
+        out = []
+        for sample in b.column(1):
+            t = sample.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
+            m = len(t)
+            same = sum(int((n * (n - 1)).sum()) for n in (np.unique(c, return_counts=True)[1] for c in t.T))
+            out.append(same / (COORDS * m * (m - 1)) if m > 1 else 0.0)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], names=["node", "share"])
+
+
+def _similarity(big: DataFrame, classes: DataFrame, level: int) -> DataFrame:
+    """(node, s): mean similarity of a node's members by all tokens but those that made the node."""
+    picked = big.where(F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / SAMPLE)) == 0).select("node", "rep")
+    samples = picked.join(classes.select("rep", "tokens"), "rep").groupBy("node").agg(F.collect_list("tokens"))
+    used = level + 1
+    return samples.mapInArrow(_shares, "node bigint, share double").select(
+        "node", ((F.col("share") * COORDS - used) / (COORDS - used)).alias("s"))
+
+
+def leaves(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, rep): members of the leaves of all trees, at least two in each; and (node, rep, n, blocks) of the
+    large nodes that ended in blocks, for ``outside``. ``classes`` is staged."""
     roots = classes.select("rep", "n_shingles", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "value"))
     members = roots.select("tree", F.xxhash64("tree", "value").alias("node"), "rep", "n_shingles")
-    out, level = [], 0
+    out, whole_nodes, level = [], [], 0
     while True:
         sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight")).where("n > 1")
         # stored, so that the join's two sides are dealt as they are and AQE can split a hot node
@@ -108,27 +137,40 @@ def leaves(classes: DataFrame) -> DataFrame:
         big = members.where(large)
         if big.limit(1).count() == 0:
             break
-        kids = big.join(classes.select("rep", "tokens"), "rep").select(
-            "tree", "node", "n", "weight", "rep", "n_shingles", _branch(level).alias("c"))
-        kids = staged(kids.select("tree", "node", "n", "weight", "rep", "n_shingles", F.col("c.k").alias("k"),
-                                  F.xxhash64("node", "c.k", "c.value").alias("child")), "children")
-        # the mean similarity of a node's members shows in the sizes of its children
-        alike = (kids.groupBy("node", "k", "child").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-                 .groupBy("node", "k").agg((F.sum(F.col("c") * F.col("c")) / F.max(F.col("n") * F.col("n"))).alias("s"))
-                 .groupBy("node").agg(F.avg("s").alias("s")).where(F.col("s") >= ALIKE).select("node"))
-        alike = staged(alike, "alike")
+        alike = staged(_similarity(big, classes, level), "alike")
+        rated = big.join(small(alike), "node", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
+        ends = (F.col("s") >= ALIKE) if level < LEVELS else F.lit(True)
         blocks = F.ceil(F.greatest(F.col("n") / LEAF, F.col("weight") / LEAF_SHINGLES) / 0.75)
-        ended = big.join(small(alike), "node", "left_semi")
+        ended = staged(rated.where(ends).select("node", "rep", "n", blocks.alias("blocks")), "ended")
+        whole_nodes.append(ended)
         for turn in (1, 2):
-            block = F.pmod(F.xxhash64("rep", "node", F.lit(turn)), blocks)
+            block = F.pmod(F.xxhash64("rep", "node", F.lit(turn)), "blocks")
             out.append(ended.select(F.xxhash64("node", F.lit(turn), block).alias("node"), "rep"))
-        members = kids.join(small(alike), "node", "left_anti").select(
-            "tree", F.col("child").alias("node"), "rep", "n_shingles")
+        kids = rated.where(~ends).join(classes.select("rep", "tokens"), "rep").select(
+            "tree", "node", "rep", "n_shingles", _branch(level).alias("c"))
+        members = staged(kids.select("tree", F.xxhash64("node", "c.k", "c.value").alias("node"), "rep", "n_shingles"),
+                         "children")
         level += 1
-    whole = out[0]
-    for part in out[1:]:
-        whole = whole.union(part)
-    return whole
+    return reduce(DataFrame.union, out), whole_nodes
+
+
+def outside(ended: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaves (node, rep) that hold each member of an ended node's lesser components against all its members,
+    and (rep) those members. ``comp``: (rep, component), staged."""
+    named = staged(ended.join(small(comp), "rep", "left").select(
+        "node", "rep", "n", "blocks", F.coalesce("component", "rep").alias("component")), "outside")
+    sizes = named.groupBy("node", "component").agg(F.count("*").alias("c"))
+    most = staged(sizes.groupBy("node").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("all"))
+                  .where("m.c < all").select("node", F.col("m.component").alias("main"),
+                                             (F.col("all") - F.col("m.c")).alias("n_out")), "most")
+    held = named.join(small(most), "node").withColumn("parts", F.ceil(F.col("n_out") * F.col("blocks") / F.col("n")))
+    block = F.pmod(F.xxhash64("rep", "node", F.lit(3)), "blocks")
+    part = F.pmod(F.xxhash64("rep", "node", F.lit(4)), "parts")
+    out = held.where("component <> main")
+    every = held.select("node", "rep", block.alias("block"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"))
+    each = out.select("node", "rep", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), part.alias("part"))
+    leaf = every.union(each).select(F.xxhash64("node", F.lit(3), "block", "part").alias("node"), "rep")
+    return leaf, staged(out.select("rep").distinct(), "apart")
 
 
 def _groups(linked: np.ndarray) -> list[np.ndarray]:
@@ -227,15 +269,16 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): verified links that span the components of the representatives. Inputs: doc_id, text; staged classes."""
-    leaf = staged(leaves(classes), "leaves")
+def _links(docs: DataFrame, classes: DataFrame, leaf: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(a, b): verified links that span what the leaves hold; only of records that hold one of ``among``."""
     held = leaf.join(classes.select("rep", "tokens"), "rep")
     lists = held.groupBy("node").agg(F.collect_list(F.struct("rep", "tokens")).alias("members")).select("members")
     records = staged(lists.mapInArrow(_records, "members array<bigint>").distinct()
                      .withColumn("record", F.xxhash64("members")), "records")
-    discard(leaf)
     members = records.select("record", F.size("members").alias("n"), F.explode("members").alias("rep"))
+    if among is not None:
+        asked = staged(members.join(small(among), "rep", "left_semi").select("record").distinct(), "asked")
+        members = members.join(small(asked), "record", "left_semi")
     active = staged(members.select(F.col("rep").alias("doc_id")).distinct(), "active")
     texts = docs.join(small(active), "doc_id", "left_semi").select("doc_id", "text")
     sets = texts.mapInArrow(_full_sets, "rep bigint, shingles binary").dropDuplicates(["rep"])
@@ -244,6 +287,20 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return full.mapInArrow(_verify, "a bigint, b bigint").distinct()
 
 
+def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): verified links that span the components of the representatives. Inputs: doc_id, text; staged classes."""
+    leaf, ended = leaves(classes)
+    leaf = staged(leaf, "leaves")
+    links = staged(_links(docs, classes, leaf), "links")
+    discard(leaf)
+    if ended and any(nodes.limit(1).count() for nodes in ended):
+        comp = staged(components(links).withColumnsRenamed({"id": "rep"}), "linked")
+        again, apart = outside(reduce(DataFrame.union, ended), comp)
+        if apart.limit(1).count():
+            links = links.union(_links(docs, classes, again, apart))
+    return links
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))

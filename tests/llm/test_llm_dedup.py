@@ -168,3 +168,44 @@ def test_components(spark):
     assert got == {**{i: 1 for i in (1, 2, 3, 4)}, **{i: 10 for i in (10, 11, 12)},
                    **{50 + i: 50 for i in range(41)}, **{0: 0}, **{200 + i: 0 for i in range(30)}}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def variants(n, shared, own, pairs, both, seed):
+    """``n`` documents of one template of ``shared`` words and ``own`` words each; of the last ones, pairs share ``both``."""
+    rng = np.random.default_rng(seed)
+    head, rows = [f"t{k}" for k in range(shared)], []
+    for i in range(n):
+        words = [f"w{x}" for x in rng.integers(1 << 40, size=own)]
+        if i >= n - 2 * pairs and (n - i) % 2:
+            words[:both] = rows[-1][1].split()[shared:shared + both]
+        rows.append((i, " ".join(head + words)))
+    return rows
+
+
+def test_pairs_in_a_group_below_the_threshold_are_found(spark, monkeypatch):
+    """Variants of a template, 0.68 alike, with pairs of 0.8: no member but its pair is linked with any."""
+    monkeypatch.setattr(N, "LEAF", 24)
+    rows = variants(1500, 104, 24, 60, 12, 5)
+    sets = [shingles(t) for _, t in rows]
+    assert 0.66 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.7
+    got = {r.doc_id: r.component_id for r in N.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    expected = {i: i - (1 if i >= 1380 and i % 2 else 0) for i, _ in rows}
+    a, b = sets[1380], sets[1381]
+    assert 100 * len(a & b) >= 78 * len(a | b)
+    assert all(got[i] >= expected[i] for i in got)
+    assert sum(got[i] != expected[i] for i in got) <= 2
+
+
+def test_what_touches_a_large_alike_group_once_is_found(spark, monkeypatch):
+    monkeypatch.setattr(N, "LEAF", 16)
+    rng = np.random.default_rng(8)
+    base, rows = [f"t{k}" for k in range(160)], []
+    for i in range(600):
+        w = list(base)
+        w[rng.integers(160)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(12):
+        # at its end a member's own words; a further document keeps them and changes the beginning
+        near = base[:144] + [f"y{i}_{k}" for k in range(16)]
+        rows += [(1000 + i, " ".join(near)), (2000 + i, " ".join([f"z{i}_{k}" for k in range(18)] + near[18:]))]
+    check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows)
