@@ -107,9 +107,41 @@ def columns_of(docs: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not in the staged table ``gone``, all columns as they were."""
-    return docs.join(small(gone), "doc_id", "left_anti").select(*columns_of(docs))
+def text_hash(text: str) -> Column:
+    """What tells apart the texts of rows that repeat an id."""
+    return F.xxhash64(text)
+
+
+def without(docs: DataFrame, gone: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose id and text are not in ``gone``; all columns as they were.
+
+    ``gone`` is staged and holds ``doc_id`` and ``h`` (``text_hash``). With ``rows``, which holds
+    them for every row of ``docs``, one of those that repeat both stays.
+    """
+    own, n = "h", 0
+    while own in docs.columns:                       # a name that the documents do not have
+        own, n = f"h{n}", n + 1
+    hashed = docs.withColumn(own, text_hash("text"))
+
+    def same(other: DataFrame, names: str) -> Column:
+        return hashed["doc_id"].eqNullSafe(other[f"{names}_id"]) & (hashed[own] == other[f"{names}_h"])
+
+    out = gone.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
+    kept = hashed.join(_sized_as(out, gone), same(out, "gone"), "left_anti")
+    if rows is None:
+        return kept.select(*columns_of(docs))
+    twice = staged(rows.groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h"), "twice")
+    if twice.limit(1).count():
+        two = twice.select(F.col("doc_id").alias("two_id"), F.col("h").alias("two_h"))
+        once = kept.join(_sized_as(two, twice), same(two, "two"), "left_semi").dropDuplicates(["doc_id", own])
+        kept = kept.join(_sized_as(two, twice), same(two, "two"), "left_anti").unionByName(once)
+    return kept.select(*columns_of(docs))
+
+
+def _sized_as(df: DataFrame, stored: DataFrame) -> DataFrame:
+    """``df``, a projection of a staged table, marked for broadcast as that table would be."""
+    df.staged_path = stored.staged_path
+    return small(df)
 
 
 def chunked(batches: Iterator[pa.RecordBatch], max_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
@@ -273,12 +305,21 @@ def components(links: DataFrame, label: str = "cc", max_rounds: int = 60) -> Dat
 def hash_sample(rows: DataFrame, key: Column, bound: int) -> DataFrame:
     """Rows whose key hash lies under a threshold, about 1.3 times ``bound`` of them, with the hash as ``h``.
 
-    The threshold comes from a count, so no task gathers more than its own
-    share; who collects the rows keeps the ``bound`` smallest hashes.
+    The threshold is a place among all 64-bit hashes and comes from a count, so no
+    task gathers more than its own share at any size. Keys that repeat come whole
+    or not at all: who collects the rows bounds them with ``bounded``.
     """
-    n = rows.count()
-    share = min(1.0, 1.3 * bound / n) if n else 1.0
-    return rows.withColumn("h", F.xxhash64(key)).where(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    return rows.withColumn("h", F.xxhash64(key)).where(F.col("h") <= hash_threshold(bound, rows.count()))
+
+
+def hash_threshold(bound: int, n: int) -> int:
+    """The signed 64-bit value under which the hashes of about 1.3 times ``bound`` of ``n`` keys lie."""
+    return min((1 << 63) - 1, (13 * bound << 64) // (10 * n) - (1 << 63)) if n else (1 << 63) - 1
+
+
+def bounded(rows: DataFrame, bound: int) -> DataFrame:
+    """The ``bound`` rows of smallest ``h``: each task keeps at most that many, and so does the driver."""
+    return rows.orderBy("h").limit(bound)
 
 
 def has_letter(text: Column) -> Column:

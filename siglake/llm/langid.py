@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, has_letter, staged, string_buffers, without
+from siglake.llm.common import chunked, has_letter, hash_threshold, staged, string_buffers, text_hash, without
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16            # per width
@@ -162,10 +162,10 @@ def training_windows(labelled: DataFrame, id_col: str = "doc_id", text_col: str
     if not counts:
         return []
     # a hash threshold per label, a little above the bound so that few texts travel
-    share = F.lit(None).cast("double")
+    least = F.lit(None).cast("bigint")
     for label, n in counts.items():
-        share = F.when(F.col("label") == label, F.lit(min(1.0, 1.3 * per_label / n))).otherwise(share)
-    chosen = rows.where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
+        least = F.when(F.col("label") == label, F.lit(hash_threshold(per_label, n))).otherwise(least)
+    chosen = rows.where(F.col("h") <= least)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunked(batches, 1 << 20):
@@ -267,7 +267,8 @@ def drop_unknown(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     net = train(docs.where(~held_out() & F.col("lang").isNotNull()))
     if not net.labels:
         return docs.where(has_letter(F.col("text")))
-    verdict = predict(docs, net)
-    gone = staged(verdict.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id").distinct(),
-                  "unknown")
-    return without(docs, gone).where(F.col("doc_id").isNotNull() | has_letter(F.col("text")))
+    keyed = docs.select(F.struct("doc_id", text_hash("text").alias("h")).alias("doc_id"), "text")
+    verdict = staged(predict(keyed, net).select("doc_id.doc_id", "doc_id.h", "lang_pred", "score"), "languages")
+    gone = staged(verdict.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id", "h")
+                  .distinct(), "unknown")
+    return without(docs, gone)

@@ -8,31 +8,39 @@ least 0.75, and the links are closed to components.
    ``COORDS`` minwise tokens. Documents of equal sets form a class; one
    representative of each goes on, and its tokens are all that is shuffled.
 2. Each of ``TREES`` independent trees branches the representatives by one
-   minwise token. Nodes of one document end. Small nodes are leaves. A larger
-   node branches again by further tokens, 1 / s of them on average (at most 1.5)
-   where its members have a mean similarity s, so that pairs at the threshold
-   keep meeting while unlike ones part. s comes from all tokens of a sample of
-   the node. From the threshold on, branching no longer parts the members: the
-   node ends in random blocks of leaf size, twice, and is followed up (5).
-3. A leaf is compared exhaustively, first by tokens with a generous margin; what
+   minwise token. Nodes of one document end.
+3. Dense nodes are settled by pivots. A large node's pivot is the member that
+   shares most tokens with the commonest ones of a sample; members near it are
+   verified against it on full sets and linked. A node has further rounds, with
+   pivots from those left, while each settles a quarter of them.
+4. Only pairs of different components are still of interest. A node that lies in
+   one component ends. A small node is a leaf. In a large one with few members
+   outside of its main component these are compared with all, block by block.
+   Any other node branches again by one or two fresh tokens, 1 / sqrt(s) of them on
+   average (3/2 at most) where its members have a mean similarity s: little more
+   than what keeps the sum of the children as large as the node, since the
+   commonest token of a group that shares a template is held by sqrt(s) of it. A dense node also
+   branches, once, by all fresh tokens that a few of its members hold: pairs that
+   share more than the template meet there. No estimate ends a node. A node of up
+   to ``FIT`` members is gathered once and branches inside its task; only larger
+   ones are shuffled a level at a time.
+5. A leaf is compared exhaustively, first by tokens with a generous margin; what
    hangs together goes on as one record. Equal records of different trees meet.
-4. Records are verified on the full sets, all pairs at once, and give a spanning
-   forest of their true links. Components are found over these.
-5. Of each node that ended in blocks, the members outside of its largest
-   component are compared with all members, so each pair of the node is either
-   compared or linked through others. Only groups that split into several
-   components pay for this: members outside times members.
+6. Records are verified on the full sets, all pairs at once, and give a spanning
+   forest of their true links. Components are found over all links.
 
 A pair of similarity s misses all trees at the root with probability
-(1 - s)^TREES, a millionth at 0.75. In a group of thousands that are neither small
-nor alike each branching keeps it at one node or more on average, at the threshold
-in one tree of three at least; the tests measure recall against brute force.
+(1 - s)^TREES, a millionth at 0.75. In a group of thousands that are 0.742 alike and
+not linked, work stays in proportion to the group at the price of recall: pairs
+that share nothing but the template, 0.75 by a hair, can be missed in groups of
+many times ``LEAF``; the tests measure recall against brute force.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
-fewer than five words are one shingle; rows that repeat an id are one document
-for links, and each row is returned; a null id is returned with a null
-component, is kept and linked with nothing; an empty table gives an empty
-result; other columns are not read.
+fewer than five words are one shingle; every row is a document of its own, also
+one that repeats an id; a null id is returned with a null component, is kept and
+linked with nothing; an empty table gives an empty result; other columns are not
+read. ``drop_near_copies`` decides by id and text and keeps one of rows that
+repeat both.
 """
 
 from __future__ import annotations
@@ -42,24 +50,33 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siglake.llm.common import (U, chunked, components, discard, mix, shingle_rows, small, staged, string_buffers,
-                                without, words_of)
+                                text_hash, without, words_of)
 
 SHARE = 75               # percent: 100 * intersection >= SHARE * union
 TREES = 10
 COORDS = 64              # minwise tokens: the first TREES choose roots, the others branch
 LEAF = 512               # documents that a leaf compares exhaustively
 LEAF_SHINGLES = 4_000_000
-ALIKE = 0.75             # mean similarity from which a node is not branched further
-SAMPLE = 64              # members of a node that its mean similarity is estimated from
-LEVELS = 26              # branchings for which there are fresh tokens
+FIT = 8192               # members of a node that are gathered and branch in one task
+STRAYS = 64              # members outside of a node's main component that are compared with all others
+SAMPLE = 64              # members of a node that its commonest tokens and mean similarity come from
+LEVELS = (COORDS - TREES) // 2   # branchings for which there are fresh tokens
+DENSE = 0.5              # mean similarity from which a node also branches by all rare tokens
+GROWTH = 1.05            # growth of a dense group's members from level to level
+RARE = 64                # members that hold a rare token, at most
 TOKEN_SHARE = 0.5        # share of equal tokens from which a pair is verified
+PIVOT_SHARE = 0.6        # the same for a member and a pivot
+PIVOT_TREES = 4          # trees whose large nodes choose pivots
+SETTLED = 0.25           # share of a node's strays that a round of pivots settles, or it is the node's last
 
 _A = (mix(np.arange(1, COORDS + 1).astype(U)) >> U(32)).astype(np.uint32) | np.uint32(1)
 _B = (mix(np.arange(1001, COORDS + 1001).astype(U)) >> U(32)).astype(np.uint32)
+#: For each tree, the order in which its branchings use the tokens that chose no root.
+PLACES = np.stack([np.random.default_rng(t).permutation(COORDS - TREES) + TREES for t in range(TREES)])
 
 
 def minwise(shingles: np.ndarray) -> np.ndarray:
@@ -72,105 +89,151 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
-_SETS = "doc_id bigint, n_shingles bigint, print_a bigint, print_b bigint, tokens array<int>"
+def _prints(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """Two 64-bit prints of a set."""
+    if not len(s):
+        return U(0), U(0)
+    return mix(s).sum() + U(len(s)), np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D)))
+
+
+_SETS = "doc_id bigint, h bigint, n_shingles bigint, print_a bigint, print_b bigint, tokens array<int>"
+_PRINTS = ["print_a", "print_b"]
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in chunked(batches, 1 << 20):
-        words, _, _, per_row = words_of(*string_buffers(b.column(1)), lower=True)
-        n, pa_, pb_, tokens = [], [], [], []
-        for s in shingle_rows(words, per_row):
-            s = np.unique(s)
-            n.append(len(s))
-            pa_.append(mix(s).sum() + U(len(s)) if len(s) else U(0))
-            pb_.append(np.bitwise_xor.reduce(mix(s ^ U(0x5851F42D4C957F2D))) if len(s) else U(0))
-            tokens.append(minwise(s).view(np.int32) if len(s) else None)
+        words, _, _, per_row = words_of(*string_buffers(b.column(2)), lower=True)
+        sets = [np.unique(s) for s in shingle_rows(words, per_row)]
+        prints = np.array([_prints(s) for s in sets], U).reshape(-1, 2).view(np.int64)
+        tokens = [minwise(s).view(np.int32) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(n, pa.int64()), pa.array(np.array(pa_, U).view(np.int64)),
-             pa.array(np.array(pb_, U).view(np.int64)), pa.array(tokens, pa.list_(pa.int32()))],
-            names=["doc_id", "n_shingles", "print_a", "print_b", "tokens"])
+            [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0].copy()),
+             pa.array(prints[:, 1].copy()), pa.array(tokens, pa.list_(pa.int32()))],
+            names=["doc_id", "h", "n_shingles", *_PRINTS, "tokens"])
 
 
-def _branch(level: int):
-    """Children of a member: (child) by one token, and by a second one at as many nodes as their similarity allows."""
-    free = COORDS - TREES
-    place = F.pmod(F.xxhash64("tree") + F.lit(2 * level), F.lit(free - 1)) + TREES
-    one = F.struct(F.lit(0).alias("k"), F.element_at("tokens", (place + 1).cast("int")).alias("value"))
-    two = F.struct(F.lit(1).alias("k"), F.element_at("tokens", (place + 2).cast("int")).alias("value"))
-    second = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1000)) < 1000 * (1 / F.greatest("s", F.lit(2 / 3)) - 1)
-    return F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one)))
+# --------------------------------------------------------------------- pivots
 
-
-def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Mean share of equal tokens over all pairs of each sample (a list of token lists)."""
+def _modes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The commonest value of each token over each sample (a list of token lists)."""
     for b in batches:
         out = []
         for sample in b.column(1):
             t = sample.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
-            m = len(t)
-            same = sum(int((n * (n - 1)).sum()) for n in (np.unique(c, return_counts=True)[1] for c in t.T))
-            out.append(same / (COORDS * m * (m - 1)) if m > 1 else 0.0)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], names=["node", "share"])
-
-
-def _similarity(big: DataFrame, classes: DataFrame, level: int) -> DataFrame:
-    """(node, s): mean similarity of a node's members by all tokens but those that made the node."""
-    picked = big.where(F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / SAMPLE)) == 0).select("node", "rep")
-    samples = picked.join(classes.select("rep", "tokens"), "rep").groupBy("node").agg(F.collect_list("tokens"))
-    used = level + 1
-    return samples.mapInArrow(_shares, "node bigint, share double").select(
-        "node", ((F.col("share") * COORDS - used) / (COORDS - used)).alias("s"))
-
-
-def leaves(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """(node, rep): members of the leaves of all trees, at least two in each; and (node, rep, n, blocks) of the
-    large nodes that ended in blocks, for ``outside``. ``classes`` is staged."""
-    roots = classes.select("rep", "n_shingles", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "value"))
-    members = roots.select("tree", F.xxhash64("tree", "value").alias("node"), "rep", "n_shingles")
-    out, whole_nodes, level = [], [], 0
+            out.append([int(v[np.argmax(n)]) for v, n in (np.unique(c, return_counts=True) for c in t.T)])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["node", "modes"])
+
+
+def _equal_tokens(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+
+
+def _strays(nodes: DataFrame, comp: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(``nodes`` with the ``component`` of each member, (node, main, strays) of nodes of several components), staged."""
+    if comp is not None:
+        nodes = nodes.join(small(comp), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    else:
+        nodes = nodes.withColumn("component", F.col("rep"))
+    nodes = staged(nodes, "named")
+    sizes = nodes.groupBy("node", "component").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("node").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("n_all")).select(
+        "node", F.col("m.component").alias("main"), (F.col("n_all") - F.col("m.c")).alias("strays"))
+    return nodes, staged(main.where("strays > 0"), "main")
+
+
+def pivot_links(docs: DataFrame, classes: DataFrame, large: DataFrame) -> DataFrame | None:
+    """(a, b): verified links of members of large nodes (node, rep) with the nodes' pivots."""
+    links = before = None
     while True:
-        sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight")).where("n > 1")
-        # stored, so that the join's two sides are dealt as they are and AQE can split a hot node
-        members = staged(members.join(small(staged(sizes, "sizes")), "node"), "members")
-        large = (F.col("n") > LEAF) | ((F.col("n") > 8) & (F.col("weight") > LEAF_SHINGLES))
-        out.append(members.where(~large).select("node", "rep"))
-        big = members.where(large)
-        if big.limit(1).count() == 0:
-            break
-        alike = staged(_similarity(big, classes, level), "alike")
-        rated = big.join(small(alike), "node", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
-        ends = (F.col("s") >= ALIKE) if level < LEVELS else F.lit(True)
-        blocks = F.ceil(F.greatest(F.col("n") / LEAF, F.col("weight") / LEAF_SHINGLES) / 0.75)
-        ended = staged(rated.where(ends).select("node", "rep", "n", blocks.alias("blocks")), "ended")
-        whole_nodes.append(ended)
-        for turn in (1, 2):
-            block = F.pmod(F.xxhash64("rep", "node", F.lit(turn)), "blocks")
-            out.append(ended.select(F.xxhash64("node", F.lit(turn), block).alias("node"), "rep"))
-        kids = rated.where(~ends).join(classes.select("rep", "tokens"), "rep").select(
-            "tree", "node", "rep", "n_shingles", _branch(level).alias("c"))
-        members = staged(kids.select("tree", F.xxhash64("node", "c.k", "c.value").alias("node"), "rep", "n_shingles"),
-                         "children")
-        level += 1
-    return reduce(DataFrame.union, out), whole_nodes
-
-
-def outside(ended: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Leaves (node, rep) that hold each member of an ended node's lesser components against all its members,
-    and (rep) those members. ``comp``: (rep, component), staged."""
-    named = staged(ended.join(small(comp), "rep", "left").select(
-        "node", "rep", "n", "blocks", F.coalesce("component", "rep").alias("component")), "outside")
-    sizes = named.groupBy("node", "component").agg(F.count("*").alias("c"))
-    most = staged(sizes.groupBy("node").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("all"))
-                  .where("m.c < all").select("node", F.col("m.component").alias("main"),
-                                             (F.col("all") - F.col("m.c")).alias("n_out")), "most")
-    held = named.join(small(most), "node").withColumn("parts", F.ceil(F.col("n_out") * F.col("blocks") / F.col("n")))
-    block = F.pmod(F.xxhash64("rep", "node", F.lit(3)), "blocks")
-    part = F.pmod(F.xxhash64("rep", "node", F.lit(4)), "parts")
-    out = held.where("component <> main")
-    every = held.select("node", "rep", block.alias("block"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"))
-    each = out.select("node", "rep", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), part.alias("part"))
-    leaf = every.union(each).select(F.xxhash64("node", F.lit(3), "block", "part").alias("node"), "rep")
-    return leaf, staged(out.select("rep").distinct(), "apart")
+        comp = staged(_named(components(links)), "settled") if links is not None else None
+        nodes, main = _strays(large, comp)
+        asked = main.where(F.col("strays") > STRAYS)
+        if before is not None:
+            asked = asked.join(before, "node").where(F.col("strays") <= (1 - SETTLED) * F.col("before"))
+        asked = staged(asked.select("node", "main", "strays"), "asked")
+        if asked.limit(1).count() == 0:
+            discard(nodes, main, asked, *([comp] if comp is not None else []))
+            return links
+        before = asked.select("node", F.col("strays").alias("before"))
+        todo = nodes.join(small(asked), "node").where("component <> main")
+        held = staged(todo.select("node", "rep", "strays").join(classes.select("rep", "tokens", "n_shingles"), "rep"), "held")
+        sample = held.where(F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("strays") / SAMPLE)) == 0)
+        modes = staged(sample.groupBy("node").agg(F.collect_list("tokens")).mapInArrow(
+            _modes, "node bigint, modes array<int>"), "modes")
+        scored = held.join(small(modes), "node").select("node", "rep", "tokens", _equal_tokens("tokens", "modes").alias("near"))
+        pivots = staged(scored.groupBy("node").agg(F.max(F.struct("near", "rep", "tokens")).alias("p")).select(
+            "node", F.col("p.rep").alias("pivot"), F.col("p.tokens").alias("pivot_tokens")), "pivots")
+        near = held.join(small(pivots), "node").where(
+            (F.col("rep") != F.col("pivot")) & (_equal_tokens("tokens", "pivot_tokens") >= PIVOT_SHARE * COORDS))
+        near = staged(near.select("pivot", "rep", "n_shingles").distinct(), "near")
+        blocks = near.groupBy("pivot").agg(F.ceil(F.greatest(
+            F.count("*") / LEAF, F.sum("n_shingles") / LEAF_SHINGLES)).alias("blocks"))
+        dealt = near.join(small(staged(blocks, "blocks")), "pivot").groupBy(
+            "pivot", F.pmod(F.xxhash64("rep"), "blocks").alias("block"))
+        records = dealt.agg(F.array_sort(F.array_union(F.collect_set("rep"), F.array(F.col("pivot")))).alias("members"))
+        found = staged(_verified(docs, classes, records.select("members")), "pivot_links")
+        links = found if links is None else links.union(found)
+        discard(held, modes, pivots, near, nodes, main, *([comp] if comp is not None else []))
+
+
+def _named(comp: DataFrame) -> DataFrame:
+    return comp.withColumnsRenamed({"id": "rep"})
+
+
+# ---------------------------------------------------------------------- trees
+
+def _mean_share(tokens: np.ndarray) -> float:
+    """Mean share of equal tokens over all pairs of a sample."""
+    m = len(tokens)
+    same = sum(int((n * (n - 1)).sum()) for n in (np.unique(c, return_counts=True)[1] for c in tokens.T))
+    return same / (tokens.shape[1] * m * (m - 1)) if m > 1 else 0.0
+
+
+def _second(s: float) -> float:
+    """Share of nodes of mean similarity ``s`` that branch by a second token."""
+    return min(1.5, GROWTH / max(s, 4 / 9) ** 0.5) - 1
+
+
+def _rare(tokens: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the members that hold the same rare value of a token, for each such value."""
+    for column in tokens.T:
+        order = np.argsort(column, kind="stable")
+        yield from (g for g in np.split(order, np.flatnonzero(np.diff(column[order])) + 1) if 2 <= len(g) <= RARE)
+
+
+def branch_in_task(tree: int, level: int, seed: int, tokens: np.ndarray, component: np.ndarray, weight: np.ndarray
+                   ) -> Iterator[np.ndarray]:
+    """Leaves (places of members) of one gathered node; each holds two components at least."""
+    todo = [(np.arange(len(tokens)), level, np.random.default_rng(seed), level > 0)]
+    while todo:
+        idx, level, rng, spread = todo.pop()
+        values, place, counts = np.unique(component[idx], return_inverse=True, return_counts=True)
+        if len(values) < 2:
+            continue
+        if len(idx) <= 8 or len(idx) <= LEAF and weight[idx].sum() <= LEAF_SHINGLES:
+            yield idx
+            continue
+        apart = place != np.argmax(counts)
+        few = int(apart.sum()) <= STRAYS
+        if few or level >= LEVELS:
+            # each stray with every member, in blocks that hold few enough shingles
+            size = max(2, min(LEAF, int(LEAF_SHINGLES / max(1.0, weight[idx].mean()))) // 2)
+            strays, rest = idx[apart], (idx[~apart] if few else idx)
+            for one in np.array_split(strays, -(-len(strays) // size)):
+                if few and len(strays) > 1:
+                    yield strays
+                for other in np.array_split(rest, -(-len(rest) // size)):
+                    yield np.union1d(one, other)
+            continue
+        s = _mean_share(tokens[idx[::max(1, len(idx) // SAMPLE)], TREES:])
+        if s >= DENSE and not spread:
+            spread = True
+            todo += [(np.sort(idx[g]), level, rng, True) for g in _rare(tokens[idx, TREES:])]
+        for k in range(1 + (rng.random() < _second(s))):
+            column = tokens[idx, PLACES[tree, 2 * level + k]]
+            order = np.argsort(column, kind="stable")
+            kids = [g for g in np.split(idx[order], np.flatnonzero(np.diff(column[order])) + 1) if len(g) > 1]
+            todo += [(np.sort(g), level + 1, own, spread) for g, own in zip(kids, rng.spawn(len(kids)))]
 
 
 def _groups(linked: np.ndarray) -> list[np.ndarray]:
@@ -189,40 +252,113 @@ def _groups(linked: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def candidates(tokens: np.ndarray, component: np.ndarray) -> list[np.ndarray]:
+    """Groups of a leaf's members that hang together by equal tokens across components."""
+    equal = np.zeros((len(tokens), len(tokens)), np.uint16)
+    for t in tokens.T:
+        equal += t[:, None] == t[None, :]
+    return _groups((equal >= TOKEN_SHARE * COORDS) & (component[:, None] != component[None, :]))
+
+
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaves (lists of documents with their tokens) to records that hang together by tokens."""
+    """Nodes (tree, level, seed, members) to records that hang together by tokens."""
     for b in batches:
-        col = b.column(0)
+        col = b.column(3)
         off = col.offsets.to_numpy()
         inner = col.flatten()
-        first = int(off[0])
-        reps = inner.field(0).to_numpy(zero_copy_only=False)
-        tokens = inner.field(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
+        reps, comp, weight = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+        tokens = inner.field(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
         out = []
-        off = off - first
+        off = off - int(off[0])
         n = np.diff(off)
         two = np.flatnonzero(n == 2)
         if len(two):
             at = off[two]
-            near = (tokens[at] == tokens[at + 1]).sum(1) >= TOKEN_SHARE * COORDS
-            pairs = np.sort(np.stack([reps[at], reps[at + 1]], 1)[near], 1)
-            out += pairs[pairs[:, 0] < pairs[:, 1]].tolist()
+            near = ((tokens[at] == tokens[at + 1]).sum(1) >= TOKEN_SHARE * COORDS) & (comp[at] != comp[at + 1])
+            out += np.sort(np.stack([reps[at], reps[at + 1]], 1)[near], 1).tolist()
+        tree, level, seed = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
         for i in np.flatnonzero(n > 2):
-            r, where = np.unique(reps[off[i]:off[i + 1]], return_index=True)
-            t = tokens[off[i]:off[i + 1]][where]
-            equal = np.zeros((len(r), len(r)), np.uint16)
-            for k in range(COORDS):
-                equal += t[:, k][:, None] == t[:, k][None, :]
-            out += [r[g].tolist() for g in _groups(equal >= TOKEN_SHARE * COORDS)]
+            own = slice(off[i], off[i + 1])
+            order = np.argsort(reps[own])
+            r, c, t, w = reps[own][order], comp[own][order], tokens[own][order], weight[own][order]
+            for leaf in branch_in_task(int(tree[i]), int(level[i]), int(seed[i]) & (2**63 - 1), t, c, w):
+                out += [r[leaf[g]].tolist() for g in candidates(t[leaf], c[leaf])]
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], names=["members"])
 
 
+def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How each sample's node (a list of token lists) branches."""
+    for b in batches:
+        s = [_mean_share(x.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)[:, TREES:])
+             for x in b.column(1)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([_second(x) for x in s], pa.float64()), pa.array([x >= DENSE for x in s], pa.bool_())],
+            names=["node", "second", "dense"])
+
+
+def _sized(members: DataFrame, most: int | None = None) -> DataFrame:
+    """Members (tree, node, rep) of nodes of two at least (and ``most`` at most), with their number ``n``, staged."""
+    sizes = members.groupBy("node").agg(F.count("*").alias("n")).where("n > 1" + (f" and n <= {most}" if most else ""))
+    sizes = staged(sizes, "sizes")
+    # stored, so that the join's two sides are dealt as they are and AQE can split a hot node
+    out = staged(members.join(small(sizes), "node"), "members")
+    discard(sizes)
+    return out
+
+
+def fitting_nodes(members: DataFrame, comp: DataFrame | None, classes: DataFrame) -> DataFrame:
+    """(tree, node, level, rep) of nodes of at most about FIT members that hold what is left to compare."""
+    out, level = [], 0
+    places = F.array(*(F.array(*(F.lit(int(p)) for p in row)) for row in PLACES))
+    while True:
+        out.append(members.where(F.col("n") <= FIT).select("tree", "node", F.lit(level).alias("level"), "rep"))
+        big = members.where(F.col("n") > FIT)
+        if big.limit(1).count() == 0:
+            return reduce(DataFrame.union, out)
+        nodes, main = _strays(big.select("tree", "node", "rep", "n"), comp)
+        nodes = nodes.join(small(main), "node")                       # nodes of one component are gone
+        few = (F.col("strays") <= STRAYS) | F.lit(level >= LEVELS)
+        # blocks of all members, each with each block of those outside of the main component
+        apart = nodes.where(few & (F.col("component") != F.col("main")))
+        blocks, parts = F.ceil(2 * F.col("n") / FIT), F.ceil(2 * F.col("strays") / FIT)
+        own, part = F.pmod(F.xxhash64("rep", "node"), blocks), F.pmod(F.xxhash64("rep", F.lit(1)), parts)
+        every = nodes.where(few).select("tree", "node", "rep", own.alias("block"), F.explode(
+            F.sequence(F.lit(0), parts - 1)).alias("part"))
+        each = apart.select("tree", "node", "rep", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+                            part.alias("part"))
+        held = every.union(each).distinct()
+        out.append(held.select("tree", F.xxhash64("node", "block", "part").alias("node"), F.lit(level).alias("level"), "rep"))
+        if level >= LEVELS:
+            return reduce(DataFrame.union, out)
+        kids = staged(nodes.where(~few).join(classes.select("rep", "tokens"), "rep").select(
+            "tree", "node", "rep", "n", "tokens"), "branching")
+        sample = kids.where(F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / SAMPLE)) == 0)
+        alike = staged(sample.groupBy("node").agg(F.collect_list("tokens")).mapInArrow(
+            _shares, "node bigint, second double, dense boolean"), "alike")
+        kids = kids.join(small(alike), "node", "left")
+        if level == 0:
+            rare = kids.where("dense").select("tree", "node", "rep", F.posexplode("tokens").alias("k", "value")).where(
+                F.col("k") >= TREES).select("tree", F.xxhash64("node", F.lit("rare"), "k", "value").alias("node"), "rep")
+            out.append(_sized(rare, RARE).select("tree", "node", F.lit(level).alias("level"), "rep"))
+        chosen = [F.struct(F.lit(k).alias("k"), F.element_at("tokens", F.element_at(
+            F.element_at(places, F.col("tree") + 1), 2 * level + k + 1) + 1).alias("value")) for k in (0, 1)]
+        second = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1000)) < 1000 * F.coalesce("second", F.lit(_second(0.0)))
+        kids = kids.select("tree", "node", "rep", F.explode(
+            F.when(second, F.array(*chosen)).otherwise(F.array(chosen[0]))).alias("c"))
+        members = _sized(kids.select("tree", F.xxhash64("node", "c.k", "c.value").alias("node"), "rep"))
+        level += 1
+
+
+# --------------------------------------------------------------- verification
+
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in chunked(batches, 1 << 20):
         words, _, _, per_row = words_of(*string_buffers(b.column(1)), lower=True)
-        sets = [np.unique(s).tobytes() for s in shingle_rows(words, per_row)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"])
-
+        sets = [np.unique(s) for s in shingle_rows(words, per_row)]
+        prints = np.array([_prints(s) for s in sets], U).reshape(-1, 2).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()),
+             pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", *_PRINTS, "shingles"])
 
 def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections."""
@@ -269,58 +405,81 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def _links(docs: DataFrame, classes: DataFrame, leaf: DataFrame, among: DataFrame | None = None) -> DataFrame:
-    """(a, b): verified links that span what the leaves hold; only of records that hold one of ``among``."""
-    held = leaf.join(classes.select("rep", "tokens"), "rep")
-    lists = held.groupBy("node").agg(F.collect_list(F.struct("rep", "tokens")).alias("members")).select("members")
-    records = staged(lists.mapInArrow(_records, "members array<bigint>").distinct()
-                     .withColumn("record", F.xxhash64("members")), "records")
+def _verified(docs: DataFrame, classes: DataFrame, records: DataFrame) -> DataFrame:
+    """(a, b): true links that span what each record (members) holds."""
+    records = staged(records.distinct().withColumn("record", F.xxhash64("members")), "records")
     members = records.select("record", F.size("members").alias("n"), F.explode("members").alias("rep"))
-    if among is not None:
-        asked = staged(members.join(small(among), "rep", "left_semi").select("record").distinct(), "asked")
-        members = members.join(small(asked), "record", "left_semi")
-    active = staged(members.select(F.col("rep").alias("doc_id")).distinct(), "active")
-    texts = docs.join(small(active), "doc_id", "left_semi").select("doc_id", "text")
-    sets = texts.mapInArrow(_full_sets, "rep bigint, shingles binary").dropDuplicates(["rep"])
+    active = staged(members.select("rep").distinct().join(classes.select("rep", "doc_id", *_PRINTS), "rep"), "active")
+    ids = staged(active.select("doc_id").distinct(), "active_ids")
+    texts = docs.join(small(ids), "doc_id", "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(_full_sets, "doc_id bigint, print_a bigint, print_b bigint, shingles binary")
+    # rows that repeat an id are told apart by what they hold
+    sets = sets.join(small(active), ["doc_id", *_PRINTS]).select("rep", "shingles").dropDuplicates(["rep"])
     full = members.join(sets, "rep").groupBy("record", "n").agg(
         F.collect_list(F.struct("rep", "shingles")).alias("members")).select("members")
-    return full.mapInArrow(_verify, "a bigint, b bigint").distinct()
+    out = staged(full.mapInArrow(_verify, "a bigint, b bigint").distinct(), "links")
+    discard(records, active, ids)
+    return out
 
 
 def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): verified links that span the components of the representatives. Inputs: doc_id, text; staged classes."""
-    leaf, ended = leaves(classes)
-    leaf = staged(leaf, "leaves")
-    links = staged(_links(docs, classes, leaf), "links")
-    discard(leaf)
-    if ended and any(nodes.limit(1).count() for nodes in ended):
-        comp = staged(components(links).withColumnsRenamed({"id": "rep"}), "linked")
-        again, apart = outside(reduce(DataFrame.union, ended), comp)
-        if apart.limit(1).count():
-            links = links.union(_links(docs, classes, again, apart))
-    return links
+    """(a, b): verified links that span the components of the classes.
+
+    ``docs``: doc_id, text. ``classes``, staged: rep (its number), doc_id, prints, tokens, n_shingles.
+    """
+    roots = classes.select("rep", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "value"))
+    members = _sized(roots.select("tree", F.xxhash64("tree", "value").alias("node"), "rep"))
+    large = members.where((F.col("n") > LEAF) & (F.col("tree") < PIVOT_TREES)).select("node", "rep")
+    links = pivot_links(docs, classes, large)
+    comp = staged(_named(components(links)), "linked") if links is not None else None
+    nodes = fitting_nodes(members, comp, classes)
+    if comp is not None:
+        nodes = nodes.join(small(comp), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    else:
+        nodes = nodes.withColumn("component", F.col("rep"))
+    held = nodes.join(classes.select("rep", "n_shingles", "tokens"), "rep")
+    lists = held.groupBy("tree", "level", "node").agg(
+        F.collect_list(F.struct("rep", "component", "n_shingles", "tokens")).alias("members"))
+    found = _verified(docs, classes, lists.select("tree", "level", "node", "members").mapInArrow(
+        _records, "members array<bigint>"))
+    discard(members, *([comp] if comp is not None else []))
+    return found if links is None else links.union(found)
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, h (of the text), n_shingles, component_id of every row."""
+    two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    thin = staged(two.select("doc_id", text_hash("text").alias("h"), "text").mapInArrow(_describe, _SETS), "sets")
+    known = thin.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy(*_PRINTS).agg(
+        F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("n_shingles").alias("n_shingles"))
+    # numbered once and stored: ids can repeat, numbers cannot
+    classes = staged(classes.select(F.monotonically_increasing_id().alias("rep"), "*"), "classes")
+    comp = staged(_named(components(near_links(two, classes))), "components")
+    named = classes.select(*_PRINTS, "rep", "doc_id").join(small(comp), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
+    named = staged(named.select(*_PRINTS, "component", "doc_id"), "named")
+    # the smallest id of a component, which only groups of several classes need a shuffle for
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = staged(named.join(least, "component").select(*_PRINTS, "component_id"), "least")
+    linked = known.join(least, _PRINTS).select("doc_id", "h", "n_shingles", "component_id")
+    alone = thin.where("n_shingles = 0 or doc_id is null").select(
+        "doc_id", "h", "n_shingles", F.col("doc_id").alias("component_id"))
+    discard(classes, comp, named)
+    return linked.union(alone)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    thin = staged(two.mapInArrow(_describe, _SETS), "sets")
-    known = thin.where("n_shingles > 0 and doc_id is not null")
-    prints = ["print_a", "print_b"]
-    classes = staged(known.groupBy(*prints).agg(
-        F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"), F.first("n_shingles").alias("n_shingles")),
-        "classes")
-    comp = components(near_links(two, classes)).withColumnsRenamed({"id": "rep"})
-    named = staged(classes.select(*prints, "rep").join(small(comp), "rep", "left").select(
-        *prints, F.coalesce("component", "rep").alias("component_id")), "named")
-    linked = known.join(named, prints).select("doc_id", "n_shingles", "component_id")
-    alone = thin.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = linked.union(alone)
-    return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
+    return _decided(docs, id_col, text_col).select(
+        "doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents of a component but its first; all columns stay."""
-    gone = staged(near_dedup(docs).where("not kept").select("doc_id").distinct(), "dropped")
-    return without(docs, gone)
+    rows = staged(_decided(docs.select("doc_id", "text"), "doc_id", "text"), "decided")
+    # of rows that repeat the component's id with different texts, one stays; an empty set is linked with nothing
+    first = rows.where("doc_id = component_id and n_shingles > 0").groupBy("component_id").agg(F.min("h").alias("first"))
+    gone = rows.where("doc_id is not null and n_shingles > 0").join(first, "component_id").where(
+        "doc_id <> component_id or h <> first").select("doc_id", "h").distinct()
+    return without(docs, staged(gone, "dropped"), rows)
