@@ -13,10 +13,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.session import cut_lineage, shared_path
+from siglake.session import shared_path
 
 #: Largest thin table (ids, spans) that is broadcast, as stored, and most rows of
 #: one that is not stored. Beyond them the same join runs as a shuffle join.
@@ -102,6 +102,27 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
+    """``df``, staged, with the number ``name`` of each row from 0 without gaps, in the order of its tasks and rows.
+
+    Only one count for each task comes to the driver, and goes back as a broadcast.
+    """
+    kept = staged(df.withColumn(name, F.monotonically_increasing_id()), f"{label}-rows")
+    # a task's rows are numbered in the low 33 bits
+    task = F.shiftrightunsigned(name, 33)
+    counts = {r["task"]: r["n"] for r in kept.groupBy(task.alias("task")).agg(F.count("*").alias("n")).collect()}
+    total, offsets = 0, []
+    for t in sorted(counts):
+        offsets.append((t, total))
+        total += counts[t]
+    before = df.sparkSession.createDataFrame(offsets, "task bigint, before bigint")
+    low = F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
+    out = kept.withColumn("task", task).join(F.broadcast(before), "task").withColumn(name, F.col("before") + low)
+    out = staged(out.select(*df.columns, name), label)
+    discard(kept)
+    return out
+
+
 def columns_of(docs: DataFrame) -> list[Column]:
     """All columns of ``docs`` in order, whatever characters their names hold."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
@@ -267,15 +288,16 @@ def components(links: DataFrame, label: str = "cc", max_rounds: int = 60) -> Dat
 
     Alternates the large-star and small-star steps. Each step is a minimum per
     vertex (combined before the shuffle) joined back to the edges, so a vertex
-    with very many neighbours is never gathered; AQE splits its join. Every
-    round is checkpointed in the shared folder, and only a count and a
-    checksum come to the driver. Ids must not be null; self-links are ignored.
+    with very many neighbours is never gathered; AQE splits its join. A round is
+    one job that writes its edges to the shared folder, and only a count and a
+    checksum, observed while they are written, come to the driver. Ids must not
+    be null; self-links are ignored.
     """
     def stars(edges: DataFrame, large: bool) -> DataFrame:
         # edges hold (u, v) with v < u; the large star looks at them from both ends
         near = edges.union(edges.select("v", "u")).toDF("u", "v") if large else edges
-        low = cut_lineage(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
-        joined = near.join(small(low), "u")
+        low = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        joined = near.join(low, "u")
         if large:
             out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
@@ -283,15 +305,18 @@ def components(links: DataFrame, label: str = "cc", max_rounds: int = 60) -> Dat
             out = out.union(low.select("u", F.col("m").alias("v")))
         return out.where("u <> v").distinct()
 
-    def state(df: DataFrame):
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def stored(df: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        out = staged(df.observe(seen, F.count(F.lit(1)).alias("n"),
+                                F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("check")), label)
+        return out, (seen.get["n"], seen.get["check"])
 
-    edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .distinct())
-    seen = state(edges)
+    edges, seen = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                         .distinct())
     for _ in range(max_rounds if seen[0] else 0):
-        edges = cut_lineage(stars(stars(edges, True), False))
-        now = state(edges)
+        after, now = stored(stars(stars(edges, True), False))
+        discard(edges)
+        edges = after
         if now == seen:
             break
         seen = now

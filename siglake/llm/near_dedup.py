@@ -9,10 +9,10 @@ least 0.75, and the links are closed to components.
    representative of each goes on, and its tokens are all that is shuffled.
 2. Each of ``TREES`` independent trees branches the representatives by one
    minwise token. Nodes of one document end.
-3. Dense nodes are settled by pivots. A large node's pivot is the member that
-   shares most tokens with the commonest ones of a sample; members near it are
-   verified against it on full sets and linked. A node has further rounds, with
-   pivots from those left, while each settles a quarter of them.
+3. Dense nodes of more than ``FIT`` members are settled by pivots. A node's pivot
+   is the member that shares most tokens with the commonest ones of a sample;
+   members near it are verified against it on full sets and linked. A node has
+   further rounds, with pivots from those left, while each settles a quarter.
 4. Only pairs of different components are still of interest. A node that lies in
    one component ends. A small node is a leaf. In a large one with few members
    outside of its main component these are compared with all, block by block.
@@ -429,8 +429,8 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """
     roots = classes.select("rep", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "value"))
     members = _sized(roots.select("tree", F.xxhash64("tree", "value").alias("node"), "rep"))
-    large = members.where((F.col("n") > LEAF) & (F.col("tree") < PIVOT_TREES)).select("node", "rep")
-    links = pivot_links(docs, classes, large)
+    large = members.where((F.col("n") > FIT) & (F.col("tree") < PIVOT_TREES)).select("node", "rep")
+    links = pivot_links(docs, classes, large) if large.limit(1).count() else None
     comp = staged(_named(components(links)), "linked") if links is not None else None
     nodes = fitting_nodes(members, comp, classes)
     if comp is not None:
