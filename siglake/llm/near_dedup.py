@@ -201,8 +201,8 @@ def _rare(tokens: np.ndarray) -> Iterator[np.ndarray]:
         yield from (g for g in np.split(order, np.flatnonzero(np.diff(column[order])) + 1) if 2 <= len(g) <= RARE)
 
 
-def branch_in_task(tree: int, level: int, seed: int, tokens: np.ndarray, component: np.ndarray, weight: np.ndarray
-                   ) -> Iterator[np.ndarray]:
+def branch_in_task(tree: int, level: int, seed: int, tokens: np.ndarray, component: np.ndarray, weight: np.ndarray,
+                   leaf: int = LEAF, strays: int = STRAYS) -> Iterator[np.ndarray]:
     """Leaves (places of members) of one gathered node; each holds two components at least."""
     todo = [(np.arange(len(tokens)), level, np.random.default_rng(seed), level > 0)]
     while todo:
@@ -210,18 +210,18 @@ def branch_in_task(tree: int, level: int, seed: int, tokens: np.ndarray, compone
         values, place, counts = np.unique(component[idx], return_inverse=True, return_counts=True)
         if len(values) < 2:
             continue
-        if len(idx) <= 8 or len(idx) <= LEAF and weight[idx].sum() <= LEAF_SHINGLES:
+        if len(idx) <= 8 or len(idx) <= leaf and weight[idx].sum() <= LEAF_SHINGLES:
             yield idx
             continue
         apart = place != np.argmax(counts)
-        few = int(apart.sum()) <= STRAYS
+        few = int(apart.sum()) <= strays
         if few or level >= LEVELS:
             # each stray with every member, in blocks that hold few enough shingles
-            size = max(2, min(LEAF, int(LEAF_SHINGLES / max(1.0, weight[idx].mean()))) // 2)
-            strays, rest = idx[apart], (idx[~apart] if few else idx)
-            for one in np.array_split(strays, -(-len(strays) // size)):
-                if few and len(strays) > 1:
-                    yield strays
+            size = max(2, min(leaf, int(LEAF_SHINGLES / max(1.0, weight[idx].mean()))) // 2)
+            outer, rest = idx[apart], (idx[~apart] if few else idx)
+            for one in np.array_split(outer, -(-len(outer) // size)):
+                if few and len(outer) > 1:
+                    yield outer
                 for other in np.array_split(rest, -(-len(rest) // size)):
                     yield np.union1d(one, other)
             continue
@@ -260,30 +260,34 @@ def candidates(tokens: np.ndarray, component: np.ndarray) -> list[np.ndarray]:
     return _groups((equal >= TOKEN_SHARE * COORDS) & (component[:, None] != component[None, :]))
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _records(leaf_size: int, strays: int):
     """Nodes (tree, level, seed, members) to records that hang together by tokens."""
-    for b in batches:
-        col = b.column(3)
-        off = col.offsets.to_numpy()
-        inner = col.flatten()
-        reps, comp, weight = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-        tokens = inner.field(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
-        out = []
-        off = off - int(off[0])
-        n = np.diff(off)
-        two = np.flatnonzero(n == 2)
-        if len(two):
-            at = off[two]
-            near = ((tokens[at] == tokens[at + 1]).sum(1) >= TOKEN_SHARE * COORDS) & (comp[at] != comp[at + 1])
-            out += np.sort(np.stack([reps[at], reps[at + 1]], 1)[near], 1).tolist()
-        tree, level, seed = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        for i in np.flatnonzero(n > 2):
-            own = slice(off[i], off[i + 1])
-            order = np.argsort(reps[own])
-            r, c, t, w = reps[own][order], comp[own][order], tokens[own][order], weight[own][order]
-            for leaf in branch_in_task(int(tree[i]), int(level[i]), int(seed[i]) & (2**63 - 1), t, c, w):
-                out += [r[leaf[g]].tolist() for g in candidates(t[leaf], c[leaf])]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], names=["members"])
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column(3)
+            off = col.offsets.to_numpy()
+            inner = col.flatten()
+            reps, comp, weight = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            tokens = inner.field(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
+            out = []
+            off = off - int(off[0])
+            n = np.diff(off)
+            two = np.flatnonzero(n == 2)
+            if len(two):
+                at = off[two]
+                near = ((tokens[at] == tokens[at + 1]).sum(1) >= TOKEN_SHARE * COORDS) & (comp[at] != comp[at + 1])
+                out += np.sort(np.stack([reps[at], reps[at + 1]], 1)[near], 1).tolist()
+            tree, level, seed = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            for i in np.flatnonzero(n > 2):
+                own = slice(off[i], off[i + 1])
+                order = np.argsort(reps[own])
+                r, c, t, w = reps[own][order], comp[own][order], tokens[own][order], weight[own][order]
+                for leaf in branch_in_task(int(tree[i]), int(level[i]), int(seed[i]) & (2**63 - 1), t, c, w,
+                                           leaf_size, strays):
+                    out += [r[leaf[g]].tolist() for g in candidates(t[leaf], c[leaf])]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], names=["members"])
+
+    return apply
 
 
 def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,7 +445,7 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     lists = held.groupBy("tree", "level", "node").agg(
         F.collect_list(F.struct("rep", "component", "n_shingles", "tokens")).alias("members"))
     found = _verified(docs, classes, lists.select("tree", "level", "node", "members").mapInArrow(
-        _records, "members array<bigint>"))
+        _records(LEAF, STRAYS), "members array<bigint>"))
     discard(members, *([comp] if comp is not None else []))
     return found if links is None else links.union(found)
 

@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import bpe, exact_dedup, langid, near_dedup, packing, quality, quotes, rules, substring, token_files
+from siglake.llm import (bpe, exact_dedup, langid, license_scan, near_dedup, packing, phrases, prefix_trie, quality, quotes,
+                         rules, substring, token_files)
 from siglake.llm.common import documents
 from siglake.session import shared_path
 
@@ -67,9 +68,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(documents(spark, sf_dir, "conversations"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_exact_dedup, op3_quality_classifier, op4_quotation_linking, op5_substring_dedup,
-    op6_quality_rules, op7_minhash_near_dedup, op8_best_fit_packing, op9_token_files, op10_byte_bpe)}
+    op6_quality_rules, op7_minhash_near_dedup, op8_best_fit_packing, op9_token_files, op10_byte_bpe,
+    op11_phrase_collocations, op12_conversation_trie, op13_license_scan)}
 
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -150,4 +164,80 @@ ORACLES = {
         c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
         SELECT c.doc_id, coalesce(n_shingles, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
         FROM c LEFT JOIN n ON n.doc_id = c.doc_id""",
+    "op11_phrase_collocations": r"""
+        WITH t AS (
+          SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+          FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+        g AS (
+          SELECT lang, words[i:i + k - 1] AS gram
+          FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+                FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+        f AS (SELECT lang, gram, count(*) AS a FROM g GROUP BY ALL),
+        s AS (SELECT lang, sum(a) AS n FROM f WHERE len(gram) = 1 GROUP BY lang),
+        c AS (SELECT lang, gram, a FROM f WHERE a >= 10 AND len(gram) > 1),
+        cut AS (
+          SELECT c.lang, c.gram, c.a, k, x.a AS l, y.a AS r,
+                 1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a) AS score
+          FROM (SELECT *, unnest(range(1, len(gram))) AS k FROM c) c
+          JOIN f x ON x.lang = c.lang AND x.gram = c.gram[1:k]
+          JOIN f y ON y.lang = c.lang AND y.gram = c.gram[k + 1:]),
+        best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+        inside AS (
+          SELECT lang, part, max(a) AS longest
+          FROM (SELECT lang, unnest([gram[1:2], gram[2:3]]) AS part, a FROM c WHERE len(gram) = 3) GROUP BY ALL),
+        kept AS (
+          SELECT best.lang, array_to_string(gram, ' ') AS phrase, a, l, r, score
+          FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.part = best.gram
+          WHERE longest IS NULL OR 100 * longest < 50 * a),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked JOIN s USING (lang) WHERE rank <= 2000""",
+    "op12_conversation_trie": r"""
+        WITH t AS (
+          SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                    sha256(coalesce(text, ''))) AS pos
+          FROM conversations WHERE conv_id IS NOT NULL),
+        crc AS (  -- the usual table-less form: 8 shifts for each byte
+          SELECT c AS conv_id, c - c % 100 AS base, own,
+                 xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                   lambda v, x: list_reduce(list_prepend(xor(v, x), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+                     lambda u, i: CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END)), 4294967295) % 6 AS h
+          FROM (SELECT conv_id AS c, max(pos) AS own FROM t GROUP BY conv_id)),
+        m AS (SELECT a.conv_id, a.base, a.own, a.h, least(a.h, coalesce(b.own, 0)) AS taken
+              FROM crc a LEFT JOIN crc b ON b.conv_id = a.base),
+        r AS (
+          SELECT m.conv_id, t.pos, role, text FROM m JOIN t ON t.conv_id = m.base AND t.pos <= m.taken
+          UNION ALL
+          SELECT m.conv_id, t.pos - m.h + m.taken, role, text FROM m JOIN t ON t.conv_id = m.conv_id AND t.pos > m.h),
+        size AS (SELECT conv_id, taken + greatest(own - h, 0) AS size FROM m),
+        k AS (
+          SELECT conv_id, pos, length(text) AS chars,
+                 list(sha256(role || chr(31) || sha256(text))) OVER (PARTITION BY conv_id ORDER BY pos) AS path
+          FROM r UNION ALL SELECT conv_id, 0, 0, []::VARCHAR[] FROM size),
+        n AS (
+          SELECT sha256(array_to_string(path, '')) AS node, sha256(array_to_string(path[:len(path) - 1], '')) AS up,
+                 k.conv_id, pos, chars, size = pos AS last
+          FROM k JOIN size USING (conv_id)),
+        v AS (
+          SELECT node, pos, any_value(up) AS up, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+          FROM n GROUP BY node, pos),
+        kids AS (SELECT up AS node, pos - 1 AS pos, count(*) AS n_children FROM v WHERE pos > 0 GROUP BY ALL),
+        above AS (  -- each node with itself and the nodes above it, by its smallest member's path
+          SELECT n.node AS top, n.pos AS top_pos, v.chars * (v.n_convs - 1) AS saved, kids.node IS NULL AS leaf
+          FROM v JOIN n ON n.conv_id = v.conv_id AND n.pos <= v.pos
+          LEFT JOIN kids ON kids.node = v.node AND kids.pos = v.pos),
+        sums AS (SELECT top AS node, top_pos AS pos, sum(saved) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves
+                 FROM above GROUP BY ALL)
+        SELECT v.conv_id, v.pos::BIGINT AS depth, CASE WHEN v.pos > 0 THEN u.conv_id END AS parent_conv_id, v.n_convs,
+               coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+               saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+        FROM v JOIN sums ON sums.node = v.node AND sums.pos = v.pos
+        LEFT JOIN kids ON kids.node = v.node AND kids.pos = v.pos
+        LEFT JOIN v u ON u.node = v.up AND u.pos = v.pos - 1""",
 }
