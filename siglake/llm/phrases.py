@@ -4,9 +4,9 @@ A text (ASCII letters in lower case) is cut into pieces at ``[.,;:!?\\x0A-\\x0D]
 and these into words ``[^\\x20\\x09]+``; a phrase lies within one piece. Everything
 is counted for each language apart.
 
-1. Texts are read once. Each chunk of texts of one language becomes a row of a
-   staged table: its distinct words with their numbers of occurrences, and its
-   tokens as places in that list (0 ends a piece).
+1. Texts are read once. A chunk of texts of one language becomes rows of a staged
+   table: one for each distinct word, with its place and its number of occurrences,
+   and one with the chunk's tokens as places in that list (0 ends a piece).
 2. The words of all chunks are summed. Those that occur ``LEAST`` times get ids
    without gaps, since a phrase that is frequent enough holds no other; the
    others end a run of tokens as a piece does.
@@ -34,6 +34,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ from siglake.llm.common import _LOWER, U, chunked, discard, mix, numbered, small
 LEAST = 10               # occurrences of a phrase
 INSIDE = 50              # percent of a phrase's occurrences inside a longer one, from which it is dropped
 TOP = 2000               # phrases of each language
-CHUNK_BYTES = 2 << 20    # text of a chunk
+CHUNK_BYTES = 8 << 20    # text of the chunks that a task makes at once, one for each language
 SHARD_KEYS = 1 << 20     # keys that a task gathers before it writes a filter
 BLOCK_KEYS = 1 << 20     # keys of a merged block
 ROUNDS = 4
@@ -150,7 +151,7 @@ class QuotientFilter:
         small_counts = np.minimum(self.count, 256).astype(np.uint16)
         small_counts[large] = 0                                          # a count is never 0: see the list
         return b"".join([head, np.packbits(runs).tobytes(),
-                         _bytes(place & U((1 << rest) - 1), rest), _bytes(self.right, self.half),
+                         _bytes(place & U((1 << rest) - 1), self.right, rest, self.half),
                          small_counts.astype(np.uint8).tobytes(), self.count[large].astype("<i8").tobytes()])
 
     @classmethod
@@ -162,24 +163,36 @@ class QuotientFilter:
         at += size
         ones = np.flatnonzero(runs)
         quotient = (ones - np.arange(n)).astype(U)                       # zeros before a key's one
-        low, at = _from_bytes(raw, at, n, rest)
-        right, at = _from_bytes(raw, at, n, half)
+        low, right, at = _from_bytes(raw, at, n, rest, half)
         count = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
         count[count == 0] = np.frombuffer(raw, "<i8", n_large, at + n)
         left = (U(block) << U(half - bits)) | (quotient << U(rest)) | low
         return cls(half, left, right, count)
 
 
-def _bytes(x: np.ndarray, bits: int) -> bytes:
-    """Numbers of ``bits`` bits in as many whole bytes as they need."""
-    return np.ascontiguousarray(x.astype("<u8")[:, None].view(np.uint8)[:, :-(-bits // 8)]).tobytes()
+def _bytes(low: np.ndarray, right: np.ndarray, rest: int, half: int) -> bytes:
+    """Remainders, ``rest`` bits above ``half`` bits, in as many whole bytes as they need together."""
+    if rest + half <= 64:
+        right, parts = (low << U(half)) | right if rest else right, [rest + half]
+    else:
+        parts = [half, rest]
+    columns = [x.astype("<u8")[:, None].view(np.uint8)[:, :-(-bits // 8)] for x, bits in zip((right, low), parts)]
+    return np.ascontiguousarray(np.concatenate(columns, 1)).tobytes()
 
 
-def _from_bytes(raw: memoryview, at: int, n: int, bits: int) -> tuple[np.ndarray, int]:
-    width = -(-bits // 8)
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(n, width)
-    return out.view("<u8")[:, 0].astype(U), at + n * width
+def _from_bytes(raw: memoryview, at: int, n: int, rest: int, half: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(low, right, the byte after them) of ``n`` remainders."""
+    parts = [rest + half] if rest + half <= 64 else [half, rest]
+    widths = [-(-bits // 8) for bits in parts]
+    held, out, k = np.frombuffer(raw, np.uint8, n * sum(widths), at).reshape(n, sum(widths)), [], 0
+    for w in widths:
+        whole = np.zeros((n, 8), np.uint8)
+        whole[:, :w] = held[:, k:k + w]
+        out.append(whole.view("<u8")[:, 0].astype(U))
+        k += w
+    if len(out) == 1:
+        out = [out[0] & U((1 << half) - 1), (out[0] >> U(half)) if rest else np.zeros(n, U)]
+    return out[1], out[0], at + n * sum(widths)
 
 
 # ------------------------------------------------------------------- words
@@ -220,37 +233,62 @@ def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return at, place
 
 
-_CHUNKS = "chunk string, lang string, words array<struct<word: string, place: int, n: bigint>>, tokens binary, n bigint"
+#: Rows of a chunk: one of its tokens (``n`` its distinct words, ``total`` all words), one for each word (``n`` times).
+_CHUNKS = "chunk bigint, lang string, word string, place int, n bigint, tokens binary, total bigint"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together until they hold CHUNK_BYTES."""
+    held, size = [], 0
+    for b in chunked(batches, CHUNK_BYTES):
+        held.append(b)
+        size += b.nbytes
+        if size >= CHUNK_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import uuid
-    word_type = pa.list_(pa.struct([("word", pa.string()), ("place", pa.int32()), ("n", pa.int64())]))
-    for whole in chunked(batches, CHUNK_BYTES):
-        langs = whole.column(0).to_pylist()
-        rows = []
-        for lang in sorted(set(langs)):
-            own = whole.column(1).take(pa.array([i for i, x in enumerate(langs) if x == lang]))
-            data, off = string_buffers(own)
+    names = [f.split(" ")[0] for f in _CHUNKS.split(", ")]
+    for whole in _gathered(batches):
+        langs = whole.column(0).combine_chunks().dictionary_encode()
+        if isinstance(langs, pa.ChunkedArray):
+            langs = langs.combine_chunks()
+        kind = langs.indices.to_numpy()
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            data, off = string_buffers(whole.column(1).take(pa.array(np.flatnonzero(kind == k))).combine_chunks())
             data = _LOWER[data]
             starts, ends, last = words_in(data, off)
             if not len(starts):
                 continue
             at, place = _distinct(data, starts, ends)
-            raw, counts = data.tobytes(), np.bincount(place, minlength=len(at)).tolist()
-            words = [{"word": raw[s:e].decode(), "place": i + 1, "n": n}
-                     for i, (s, e, n) in enumerate(zip(starts[at].tolist(), ends[at].tolist(), counts))]
-            tokens = np.zeros(len(place) + int(last.sum()), "<u4")
+            size = (ends - starts)[at]
+            cut = np.cumsum(size)
+            raw = data[np.repeat(starts[at] - (cut - size), size) + np.arange(int(cut[-1]))].tobytes()
+            # places of two bytes where they are enough
+            tokens = np.zeros(len(place) + int(last.sum()), "<u2" if len(at) < 1 << 16 else "<u4")
             tokens[np.arange(len(place)) + np.cumsum(last) - last] = place + 1
-            rows.append((uuid.uuid4().hex, lang, words, tokens.tobytes(), len(place)))
-        cols = list(zip(*rows)) if rows else [()] * 5
-        kinds = (pa.string(), pa.string(), word_type, pa.binary(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         names=["chunk", "lang", "words", "tokens", "n"])
+            chunk = uuid.uuid4().int >> 65
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([lang], pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()),
+                 pa.array([len(at)], pa.int64()), pa.array([tokens.tobytes()], pa.binary()), pa.array([len(place)], pa.int64())],
+                names=names)
+            words = pa.Array.from_buffers(pa.string(), len(at), [
+                None, pa.py_buffer(np.append(0, cut).astype(np.int32)), pa.py_buffer(raw)])
+            n = np.bincount(place, minlength=len(at))
+            for lo in range(0, len(at), 10_000):
+                some = words[lo:lo + 10_000]
+                m = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(m, chunk)), pa.DictionaryArray.from_arrays(pa.array(np.zeros(m, np.int32)), [lang]).cast(
+                        pa.string()), some, pa.array(np.arange(lo + 1, lo + m + 1, dtype=np.int32)), pa.array(n[lo:lo + m]),
+                     pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())], names=names)
 
 
 def chunk_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Staged chunks: chunk, lang, words (word, place, n), tokens (places, 0 ends a piece), n (words)."""
+    """Staged rows of the chunks."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     return staged(rows.mapInArrow(_chunks, _CHUNKS), "chunks")
 
@@ -261,11 +299,11 @@ def count_phrases(chunks: DataFrame, vocabulary: DataFrame, n_ids: int, n_words:
     """(w1, w2, w3, a): phrases of three word ids (w1 is 0 in one of two) that occur at least ``least`` times."""
     keys = Keys(max(1, int(n_ids).bit_length()))
     bits = max(0, min(keys.half - 1, (2 * n_words // BLOCK_KEYS).bit_length()))
-    named = chunks.select("chunk", "lang", F.explode("words").alias("w")).select(
-        "chunk", "lang", F.col("w.word").alias("word"), F.col("w.place").alias("place")).join(
+    named = chunks.where("word is not null").select("chunk", "lang", "word", "place").join(
         vocabulary.select("lang", "word", "id"), ["lang", "word"])
     ids = named.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("ids"))
-    coded = ids.join(chunks.select("chunk", "tokens"), "chunk").select("tokens", "ids")
+    tokens = chunks.where("tokens is not null").select("chunk", "tokens", "n")
+    coded = ids.join(tokens, "chunk").select("tokens", "ids", "n")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -289,9 +327,9 @@ def count_phrases(chunks: DataFrame, vocabulary: DataFrame, n_ids: int, n_words:
                                                      names=["block", "filter"])
 
         for b in batches:
-            for raw, own in zip(b.column(0), b.column(1)):
-                tokens = np.frombuffer(raw.as_buffer(), "<u4")
-                table = np.zeros(int(tokens.max()) + 1, np.int64)
+            for raw, own, n in zip(b.column(0), b.column(1), b.column(2).to_pylist()):
+                tokens = np.frombuffer(raw.as_buffer(), "<u2" if n < 1 << 16 else "<u4")
+                table = np.zeros(n + 1, np.int64)
                 table[own.values.field(0).to_numpy()] = own.values.field(1).to_numpy()
                 t = table[tokens]                                   # 0: the end of a piece, or a rare word
                 two = np.flatnonzero((t[:-1] > 0) & (t[1:] > 0))
@@ -336,11 +374,8 @@ def count_phrases(chunks: DataFrame, vocabulary: DataFrame, n_ids: int, n_words:
                     fold()
         yield from frequent()
 
-    stored = staged(coded.mapInArrow(shards, "block bigint, filter binary"), "filters")
-    dealt = stored.repartition("block").sortWithinPartitions("block")
-    out = staged(dealt.mapInArrow(merged, "w1 bigint, w2 bigint, w3 bigint, a bigint"), "phrases")
-    discard(stored)
-    return out
+    dealt = coded.mapInArrow(shards, "block bigint, filter binary").repartition("block").sortWithinPartitions("block")
+    return staged(dealt.mapInArrow(merged, "w1 bigint, w2 bigint, w3 bigint, a bigint"), "phrases")
 
 
 def _score() -> Column:
@@ -354,10 +389,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of each language."""
     chunks = chunk_texts(docs, text_col, lang_col)
-    totals = staged(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    totals = staged(chunks.where("total is not null").groupBy("lang").agg(F.sum("total").alias("n")), "totals")
     n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    words = chunks.select("lang", F.explode("words").alias("w")).groupBy("lang", F.col("w.word").alias("word")).agg(
-        F.sum("w.n").alias("f")).where(F.col("f") >= least)
+    words = chunks.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     vocabulary = numbered(words, "id", "vocabulary")
     vocabulary = _as(vocabulary, vocabulary.withColumn("id", F.col("id") + 1))
     n_ids = vocabulary.count()
@@ -397,7 +431,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     best = scored.select("lang", text.alias("phrase"), "a", "l", "r", "score").withColumn(
         "rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return best.join(F.broadcast(totals), "lang").select(
+    return best.join(small(totals), "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
