@@ -10,14 +10,18 @@ key (hash function, least token).
 
 1. Windows of ``HASHES`` functions are written as a thin table; keys that only
    one document has are dropped by an aggregation of ids alone.
-2. The first document of a key stands for it: each other document is joined to
-   its window there, so a key of n documents gives n - 1 rows, not their square.
+2. Each window is held against two others of its key, so a key of n documents
+   gives 2 n rows at most, not their square: that of the first document, and the
+   one before it in the order of a context, the least token of the run around it
+   under the next function. Documents that share the passage follow each other in
+   that order even if very many others hold the token alone. A key's windows are
+   sorted by range, so those of a very common token are dealt over many tasks.
 3. Matches of the same two documents are joined as intervals: windows that
    overlap in both documents form one candidate, and candidates with at least
    ``ENOUGH`` matching functions, or one exact alignment of full length, go on.
 4. Candidates are verified on the tokens themselves: a passage is reported if it
    has at least ``MIN_WORDS`` words and a Jaccard similarity of at least 0.75 to
-   a passage of the earlier document.
+   a passage of the earlier document, and lies in no other reported one.
 5. Runs of ``MIN_WORDS`` words whose least tokens under ``FILTERS`` functions
    other documents have too are hashed whole. A run that reported passages do
    not cover is reported with the first document that holds this very run; runs
@@ -25,9 +29,9 @@ key (hash function, least token).
    left over, only a document that the passage was reported with counts.
 
 A passage that repeats word for word is found whatever else the earlier documents
-hold of it, since (5) compares it with holders of the whole run only. One that
-repeats with changes is held by (2) against the first document of each of its
-keys; an earlier document that has these tokens but not the passage can hide it.
+hold of it, since (5) compares it with holders of the whole run only. For one that
+repeats with changes the tests measure recall where earlier documents hold its
+lines without the passage.
 
 Defined cases: null, empty and short texts hold no passage; repeats within one
 document are not reported, nor between rows that repeat an id; such rows are
@@ -43,11 +47,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siglake.llm.common import U, chunked, columns_of, discard, mix, ngram_hashes, small, staged, string_buffers, words_of
+from siglake.llm.common import (U, chunked, columns_of, discard, mix, ngram_hashes, numbered, small, staged, string_buffers,
+                                text_hash, words_of)
 
 SHINGLE = 5
 MIN_WORDS = 50
@@ -93,7 +98,11 @@ def compact_windows(tokens: np.ndarray, sizes: np.ndarray, salt: np.uint64, leng
 
     Ties take the first place. A window is kept if its runs reach ``length``.
     """
-    value, least, stops = least_of_runs(tokens, sizes, salt, length)
+    return _windows_of(*least_of_runs(tokens, sizes, salt, length), length)
+
+
+def _windows_of(value: np.ndarray, least: np.ndarray, stops: np.ndarray, length: int
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(value)
     if n < length:
         z = np.zeros(0, np.int64)
@@ -118,7 +127,7 @@ def compact_windows(tokens: np.ndarray, sizes: np.ndarray, salt: np.uint64, leng
     return np.array(before)[used] + 1, places[used], np.array(after)[used] - 1
 
 
-_WINDOWS = "doc_id bigint, key bigint, l int, c int, r int"
+_WINDOWS = "doc_id bigint, key bigint, l int, c int, r int, ctx int"
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +143,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = np.concatenate([grams[e - c:e - SHINGLE + 1] for e, c in zip(ends[use].tolist(), per_row[use].tolist())])
         begins = np.cumsum(sizes + 1) - sizes - 1             # places count a stop after each row
         token_at = np.cumsum(sizes) - sizes
+        functions = [least_of_runs(tokens, sizes, salt) for salt in _SALT]
         for j in range(HASHES):
-            left, centre, right = compact_windows(tokens, sizes, _SALT[j])
+            left, centre, right = _windows_of(*functions[j], LENGTH)
             row = np.searchsorted(begins, centre, "right") - 1
+            # the run around the centre that lies in the row, and its least token under the next function
+            around = np.clip(centre - LENGTH // 2, begins[row], begins[row] + sizes[row] - LENGTH)
+            context = (functions[(j + 1) % HASHES][1][around] >> U(32)).astype(np.uint32).view(np.int32)
             token = tokens[centre - begins[row] + token_at[row]]
             key = (mix(token ^ _SALT[j]) & ~U(HASHES - 1)) | U(j)
             # where a text repeats itself, equal keys follow closely: one for each half length stands for them
@@ -149,8 +162,55 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = begins[row][s]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[use][row[s]].astype(np.int64)), pa.array(key[s].view(np.int64)),
-                 *(pa.array((x[s] - base).astype(np.int32)) for x in (left, centre, right))],
-                names=["doc_id", "key", "l", "c", "r"])
+                 *(pa.array((x[s] - base).astype(np.int32)) for x in (left, centre, right)), pa.array(context[s])],
+                names=["doc_id", "key", "l", "c", "r", "ctx"])
+
+
+_MATCHES = "first bigint, doc_id bigint, key bigint, l int, c int, r int, al int, ac int, ar int"
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows in order to matches of each with the one before it; ``task`` marks the first and last window of a task."""
+    from pyspark import TaskContext
+    task = TaskContext.get().partitionId()
+    names = [*(f.split(" ")[0] for f in _MATCHES.split(", ")), "task"]
+    kinds = [pa.int64()] * 3 + [pa.int32()] * 6
+    before = first = None
+    for b in batches:
+        doc, key, left, centre, right = (b.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+        if not len(doc):
+            continue
+        if first is None:
+            first = (doc[0], doc[0], key[0], left[0], centre[0], right[0], left[0], centre[0], right[0])
+        else:
+            doc, key, left, centre, right = (np.append(x, y) for x, y in zip(before, (doc, key, left, centre, right)))
+        hit = np.flatnonzero((key[1:] == key[:-1]) & (doc[1:] != doc[:-1]))
+        # the earlier document is the first of a match
+        turn = doc[hit] > doc[hit + 1]
+        lo, hi = np.where(turn, hit + 1, hit), np.where(turn, hit, hit + 1)
+        cols = [doc[lo], doc[hi], key[hi], left[hi], centre[hi], right[hi], left[lo], centre[lo], right[lo]]
+        yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(cols, kinds)),
+                                          pa.nulls(len(hit), pa.int32())], names=names)
+        before = [x[-1:] for x in (doc, key, left, centre, right)]
+    if first is not None:
+        d, k, lo, c, r = (x[0] for x in before)
+        rows = [first, (d, d, k, lo, c, r, lo, c, r)]
+        yield pa.RecordBatch.from_arrays([*(pa.array([int(x) for x in col], t) for col, t in zip(zip(*rows), kinds)),
+                                          pa.array([task, task], pa.int32())], names=names)
+
+
+def neighbours(shared: DataFrame) -> DataFrame:
+    """Matches of each window with the one before it in the order of key, context and document."""
+    ordered = shared.repartitionByRange("key", "ctx", "doc_id").sortWithinPartitions("key", "ctx", "doc_id", "c")
+    found = staged(ordered.select("doc_id", "key", "l", "c", "r").mapInArrow(_neighbours, _MATCHES + ", task int"),
+                   "neighbours")
+    # the first and the last window of each task come to the driver, to meet those of the tasks beside it
+    edges = sorted(found.where("task is not null").collect(), key=lambda r: r["task"])
+    between = [sorted([one, other], key=lambda r: r["doc_id"]) for one, other in zip(edges[1::2], edges[2::2])
+               if one["key"] == other["key"] and one["doc_id"] != other["doc_id"]]
+    rows = [(a["doc_id"], b["doc_id"], b["key"], b["l"], b["c"], b["r"], a["l"], a["c"], a["r"]) for a, b in between]
+    inside = found.where("task is null").drop("task")
+    return inside.union(shared.sparkSession.createDataFrame(rows, _MATCHES)) if rows else inside
 
 
 _CANDIDATES = "a bigint, b bigint, a_lo int, a_hi int, b_lo int, b_hi int, shift int"
@@ -208,22 +268,21 @@ def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "a_lo", "a_hi", "b_lo", "shift", "tokens"])
 
 
-def align(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int]]:
-    """(place in b, place in a) of matching tokens in order, along the diagonal ``shift`` if it explains them."""
-    place = np.arange(len(b))
-    inside = (place + shift >= 0) & (place + shift < len(a))
-    same = np.zeros(len(b), bool)
-    same[inside] = a[place[inside] + shift] == b[inside]
-    held = np.isin(b, a)
-    if same.sum() >= 0.95 * held.sum():
-        hits = np.flatnonzero(same)
-        return list(zip(hits.tolist(), (hits + shift).tolist()))
+def align(a: np.ndarray, b: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in b, and in a, of matching tokens in order, along the diagonal ``shift`` if it explains them."""
+    lo, hi = max(0, -shift), min(len(b), len(a) - shift)
+    same = np.flatnonzero(a[lo + shift:hi + shift] == b[lo:hi]) + lo if hi > lo else np.zeros(0, np.int64)
+    if len(same) == len(b):
+        return same, same + shift
+    held = np.flatnonzero(np.isin(b, a))
+    if len(same) >= 0.95 * len(held):
+        return same, same + shift
     places: dict[int, list[int]] = {}
     for i, t in enumerate(a.tolist()):
         places.setdefault(t, []).append(i)
     out, last = [], -1
-    for i in np.flatnonzero(held).tolist():
-        found = places[int(b[i])]
+    for t in b[held].tolist():
+        found = places[t]
         k = bisect_right(found, last)
         if last >= 0 and k < len(found) and found[k] - last <= GAP:
             last = found[k]                          # the next place after the last match
@@ -231,35 +290,40 @@ def align(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int]]:
             last = found[k - 1]                      # a text that repeats itself longer than the earlier one
         else:
             last = found[0]
-        out.append((i, last))
-    return out
+        out.append(last)
+    return held, np.array(out, np.int64)
 
 
 def passages(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int, int, int, float]]:
     """Passages of ``b`` like a passage of ``a``: (start, end, start in a, end in a, similarity) in tokens."""
-    hits = align(a, b, shift)
-    out = []
-    todo, start = [], 0
-    for i in range(1, len(hits) + 1):
-        if i == len(hits) or hits[i][0] - hits[i - 1][0] > GAP + 1 or abs(hits[i][1] - hits[i - 1][1]) > GAP + 1:
-            todo.append((start, i))
-            start = i
+    hit_b, hit_a = align(a, b, shift)
+    out: list[tuple[int, int, int, int, float]] = []
+    if not len(hit_b):
+        return out
+    steps = np.diff(hit_b)
+    cut = (np.flatnonzero((steps > GAP + 1) | (np.abs(np.diff(hit_a)) > GAP + 1)) + 1).tolist()
+    todo = list(zip([0, *cut], [*cut, len(hit_b)]))
     while todo:
         s, e = todo.pop()
-        b0, b1 = hits[s][0], hits[e - 1][0] + 1
-        if e <= s or b1 - b0 < LENGTH:
+        if e <= s:
+            continue
+        b0, b1 = int(hit_b[s]), int(hit_b[e - 1]) + 1
+        if b1 - b0 < LENGTH:
+            continue
+        a0, a1 = int(hit_a[s:e].min()), int(hit_a[s:e].max()) + 1
+        if e - s == b1 - b0 == a1 - a0:              # the same tokens in the same order
+            out.append((b0, b1, a0, a1, 1.0))
             continue
-        a0, a1 = min(h[1] for h in hits[s:e]), max(h[1] for h in hits[s:e]) + 1
         own, other = np.unique(b[b0:b1]), np.unique(a[a0:a1])
         both = len(np.intersect1d(own, other, assume_unique=True))
         share = both / (len(own) + len(other) - both)
         if share >= SHARE:
             out.append((b0, b1, a0, a1, share))
             continue
-        gaps = [hits[i][0] - hits[i - 1][0] for i in range(s + 1, e)]
-        cut = s + 1 + int(np.argmax(gaps))
-        if max(gaps) > 1:
-            todo += [(s, cut), (cut, e)]
+        gaps = steps[s:e - 1]
+        if gaps.max(initial=0) > 1:
+            at = s + 1 + int(np.argmax(gaps))
+            todo += [(s, at), (at, e)]
     return sorted(out)
 
 
@@ -285,6 +349,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "match_id", "start_word", "end_word", "match_start", "match_end", "similarity"])
 
 
+def _maximal(found: DataFrame) -> DataFrame:
+    """Passages that lie in no other one of their document; of equal ones that of the first matching document."""
+    order = Window.partitionBy("doc_id").orderBy("start_word", F.desc("end_word"), "match_id", "match_start", "match_end")
+    reached = F.max("end_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return found.withColumn("reached", reached).where("reached is null or end_word > reached").drop("reached")
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, match_id, start_word, end_word, match_start, match_end, similarity.
 
@@ -300,7 +371,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stands = staged(shared.where("doc_id = first").groupBy("key").agg(F.min(F.struct("c", "l", "r")).alias("w"))
                     .select("key", F.col("w.c").alias("ac"), F.col("w.l").alias("al"), F.col("w.r").alias("ar")),
                     "stands")
-    matches = shared.where("doc_id > first").join(small(stands), "key")
+    matches = shared.where("doc_id > first").join(small(stands), "key").select(
+        "first", "doc_id", "key", "l", "c", "r", "al", "ac", "ar")
+    matches = matches.union(neighbours(shared))
     pairs = matches.groupBy("first", "doc_id").agg(
         F.collect_list(F.struct("key", "l", "c", "r", "al", "ac", "ar")).alias("matches"))
     candidates = staged(pairs.select("first", "doc_id", "matches").mapInArrow(_intervals, _CANDIDATES), "candidates")
@@ -312,7 +385,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = two.join(small(earlier), "doc_id", "left_semi")
     found = carried.join(first.withColumnRenamed("doc_id", "a"), "a").select(
         "a", "b", "a_lo", "a_hi", "b_lo", "shift", "tokens", "text")
-    found = staged(found.mapInArrow(_verify, _FOUND).distinct(), "found")
+    found = staged(_maximal(found.mapInArrow(_verify, _FOUND)), "found")
     discard(keys, stands, candidates, later, carried, earlier)
     return found.union(_equal_runs(two, shared, found))
 
@@ -432,19 +505,34 @@ def _cut(spans: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray, raw
     return b"".join([*out, raw[at:]])
 
 
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a number ``key`` for each id and text, in the order of the ids: the id itself where none repeats."""
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if repeated.limit(1).count() == 0:
+        return docs.withColumn(key, F.col("doc_id").cast("bigint"))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").alias("known_id"), text_hash("text").alias("known_h"))
+    rows = numbered(rows.distinct().orderBy("known_id", "known_h"), key, "rows")
+    same = (docs["doc_id"] == rows["known_id"]) & (text_hash("text") == rows["known_h"])
+    return docs.join(small(rows), same, "left").select(*columns_of(docs), key)
+
+
 def cut_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with each passage left in the earliest document that holds it.
 
     Later copies are cut out of their texts (``n_chars``, if there, follows);
-    a document without a word left is dropped. All columns stay.
+    a document without a word left is dropped. All columns stay. Rows that repeat
+    an id with different texts are documents of their own.
     """
-    own = "spans"
-    while own in docs.columns:                       # a name that the documents do not have
+    own, key = "spans", "row"
+    while own in docs.columns:                       # names that the documents do not have
         own = f"_{own}"
-    spans = repeated_passages(docs).groupBy("doc_id").agg(
+    while key in docs.columns:
+        key = f"_{key}"
+    keyed = _keyed(docs, key)
+    spans = repeated_passages(keyed, key).groupBy(F.col("doc_id").alias(key)).agg(
         F.collect_set(F.struct("start_word", "end_word")).alias(own))
     spans = staged(spans, "spans")
-    joined = docs.join(small(spans), "doc_id", "left")
+    joined = keyed.join(small(spans), key, "left")
     hit = joined.where(F.col(own).isNotNull()).select(*columns_of(docs), own)
     place = docs.columns.index("text")
     # plain names on the way through Python, which takes no others

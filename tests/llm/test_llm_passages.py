@@ -149,3 +149,53 @@ def test_passages_of_lines_that_earlier_documents_hold_singly_are_found(spark):
     missed, total = missed_runs(rows, found)
     assert total >= 12 * 11 and missed == 0
     assert {(300 + k, 200 + k) for k in range(12)} <= {(r.doc_id, r.match_id) for r in found}
+
+
+def changed(words_, share, rng):
+    """A copy with single words replaced, at least ``share`` alike in its shingles of five words."""
+    shingles = {tuple(words_[i:i + 5]) for i in range(len(words_) - 4)}
+    out, best = list(words_), list(words_)
+    while True:
+        out[int(rng.integers(len(out)))] = f"c{rng.integers(1 << 40)}"
+        own = {tuple(out[i:i + 5]) for i in range(len(out) - 4)}
+        if len(own & shingles) < share * len(own | shingles):
+            return best
+        best = list(out)
+
+
+def test_changed_passages_of_lines_that_earlier_documents_hold_are_found(spark):
+    """Each line, and each two that follow each other, are held by earlier documents and by some between the two."""
+    rng, rows, pairs = np.random.default_rng(3), [], []
+    for k in range(200):
+        lines = [[f"p{k}l{j}w{i}" for i in range(int(rng.integers(12, 18)))] for j in range(5)]
+        for j, line in enumerate(lines):
+            rows.append((10 * k + j, prose(40, 10 * k + j) + " " + " ".join(line)))
+            if j < 4:
+                rows.append((100_000 + 10 * k + j, " ".join(line + lines[j + 1]) + " " + prose(30, 5000 + 10 * k + j)))
+        passage = [w for line in lines for w in line]
+        rows.append((50_000 + k, prose(60, 20_000 + k) + " " + " ".join(passage) + " " + prose(30, 30_000 + k)))
+        other = changed(passage, rng.uniform(0.75, 1.0), rng)
+        head = int(rng.integers(0, 60))
+        rows.append((200_000 + k, prose(head, 40_000 + k) + " " + " ".join(other) + " " + prose(40, 60_000 + k)))
+        pairs.append((200_000 + k, head, len(other)))
+    found = S.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    covered = {}
+    for r in found:
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    hit = [len(covered.get(i, set()) & set(range(head, head + n))) >= 0.7 * n for i, head, n in pairs]
+    assert np.mean(hit) >= 0.95
+
+
+def test_neighbours_meet_across_tasks(spark):
+    rows = [(d, k, 0, 5, 9, 0) for k in range(3) for d in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, key bigint, l int, c int, r int, ctx int")
+    got = {(r["key"], r["first"], r["doc_id"]) for r in S.neighbours(df).collect()}
+    assert got == {(k, d, d + 1) for k in range(3) for d in range(39)}
+
+
+def test_rows_that_repeat_an_id_are_cut_apart(spark):
+    passage, own = prose(60, 3), prose(80, 4)
+    rows = [(1, passage + " " + prose(20, 5)), (2, prose(15, 6) + " " + passage), (2, own), (2, own), (3, own + " end"), (None, own)]
+    got = sorted(((r.doc_id, len(words(r.text))) for r in S.cut_passages(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=str)
+    assert got == sorted([(1, 80), (2, 15), (2, 80), (2, 80), (3, 1), (None, 80)], key=str)
