@@ -10,28 +10,26 @@ key (hash function, least token).
 
 1. Windows of ``HASHES`` functions are written as a thin table; keys that only
    one document has are dropped by an aggregation of ids alone.
-2. Each window is held against two others of its key, so a key of n documents
-   gives 2 n rows at most, not their square: that of the first document, and the
-   one before it in the order of a context, the least token of the run around it
-   under the next function. Documents that share the passage follow each other in
-   that order even if very many others hold the token alone. A key's windows are
-   sorted by range, so those of a very common token are dealt over many tasks.
+2. The first document of a key stands for it: each other document is joined to
+   its window there, so a key of n documents gives n - 1 rows, not their square.
 3. Matches of the same two documents are joined as intervals: windows that
    overlap in both documents form one candidate, and candidates with at least
    ``ENOUGH`` matching functions, or one exact alignment of full length, go on.
 4. Candidates are verified on the tokens themselves: a passage is reported if it
    has at least ``MIN_WORDS`` words and a Jaccard similarity of at least 0.75 to
    a passage of the earlier document, and lies in no other reported one.
-5. Runs of ``MIN_WORDS`` words whose least tokens under ``FILTERS`` functions
-   other documents have too are hashed whole. A run that reported passages do
-   not cover is reported with the first document that holds this very run; runs
-   that follow each other are one passage. Where fewer words than a token has are
-   left over, only a document that the passage was reported with counts.
-
-A passage that repeats word for word is found whatever else the earlier documents
-hold of it, since (5) compares it with holders of the whole run only. For one that
-repeats with changes the tests measure recall where earlier documents hold its
-lines without the passage.
+5. An earlier document that has a key but not the passage can hide it so. What
+   reported passages do not cover is therefore cut into segments: runs of the
+   shortest length whose least tokens under two functions stay the same. Segments
+   of one key, now of two tokens, are sorted by range, by key, then by the least
+   tokens under the other functions, then by document, and each is held against
+   the one before it, so a key of n segments gives n - 1 rows. Documents that share
+   the passage follow each other in that order, even if very many others hold its
+   lines. What (3) and (4) make of these matches is reported too.
+
+Word for word repeats have equal least tokens under all functions, so only
+documents alike in all of them stand between. The tests count such runs and measure
+recall of changed passages where earlier documents hold their lines.
 
 Defined cases: null, empty and short texts hold no passage; repeats within one
 document are not reported, nor between rows that repeat an id; such rows are
@@ -59,7 +57,9 @@ MIN_WORDS = 50
 LENGTH = MIN_WORDS - SHINGLE + 1      # tokens of the shortest passage
 HASHES = 4
 ENOUGH = 2
-FILTERS = 2                           # functions whose keys choose the runs that are hashed whole
+FILTERS = 2                           # functions whose shared keys choose the runs of segments
+#: Pairs of functions that key segments; those of the first pair also end where any function's least token changes.
+PAIRS = ((0, 1), (0, 2), (1, 3))
 SHARE = 0.75
 GAP = 3 * SHINGLE                     # tokens without a match that a passage may contain in a row
 
@@ -98,11 +98,7 @@ def compact_windows(tokens: np.ndarray, sizes: np.ndarray, salt: np.uint64, leng
 
     Ties take the first place. A window is kept if its runs reach ``length``.
     """
-    return _windows_of(*least_of_runs(tokens, sizes, salt, length), length)
-
-
-def _windows_of(value: np.ndarray, least: np.ndarray, stops: np.ndarray, length: int
-                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    value, least, stops = least_of_runs(tokens, sizes, salt, length)
     n = len(value)
     if n < length:
         z = np.zeros(0, np.int64)
@@ -127,7 +123,7 @@ def _windows_of(value: np.ndarray, least: np.ndarray, stops: np.ndarray, length:
     return np.array(before)[used] + 1, places[used], np.array(after)[used] - 1
 
 
-_WINDOWS = "doc_id bigint, key bigint, l int, c int, r int, ctx int"
+_WINDOWS = "doc_id bigint, key bigint, l int, c int, r int"
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,13 +139,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = np.concatenate([grams[e - c:e - SHINGLE + 1] for e, c in zip(ends[use].tolist(), per_row[use].tolist())])
         begins = np.cumsum(sizes + 1) - sizes - 1             # places count a stop after each row
         token_at = np.cumsum(sizes) - sizes
-        functions = [least_of_runs(tokens, sizes, salt) for salt in _SALT]
         for j in range(HASHES):
-            left, centre, right = _windows_of(*functions[j], LENGTH)
+            left, centre, right = compact_windows(tokens, sizes, _SALT[j])
             row = np.searchsorted(begins, centre, "right") - 1
-            # the run around the centre that lies in the row, and its least token under the next function
-            around = np.clip(centre - LENGTH // 2, begins[row], begins[row] + sizes[row] - LENGTH)
-            context = (functions[(j + 1) % HASHES][1][around] >> U(32)).astype(np.uint32).view(np.int32)
             token = tokens[centre - begins[row] + token_at[row]]
             key = (mix(token ^ _SALT[j]) & ~U(HASHES - 1)) | U(j)
             # where a text repeats itself, equal keys follow closely: one for each half length stands for them
@@ -162,15 +154,15 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = begins[row][s]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[use][row[s]].astype(np.int64)), pa.array(key[s].view(np.int64)),
-                 *(pa.array((x[s] - base).astype(np.int32)) for x in (left, centre, right)), pa.array(context[s])],
-                names=["doc_id", "key", "l", "c", "r", "ctx"])
+                 *(pa.array((x[s] - base).astype(np.int32)) for x in (left, centre, right))],
+                names=["doc_id", "key", "l", "c", "r"])
 
 
 _MATCHES = "first bigint, doc_id bigint, key bigint, l int, c int, r int, al int, ac int, ar int"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows in order to matches of each with the one before it; ``task`` marks the first and last window of a task."""
+    """Segments in order to matches of each with the one before it; ``task`` marks the first and last segment of a task."""
     from pyspark import TaskContext
     task = TaskContext.get().partitionId()
     names = [*(f.split(" ")[0] for f in _MATCHES.split(", ")), "task"]
@@ -199,49 +191,53 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([task, task], pa.int32())], names=names)
 
 
-def neighbours(shared: DataFrame) -> DataFrame:
-    """Matches of each window with the one before it in the order of key, context and document."""
-    ordered = shared.repartitionByRange("key", "ctx", "doc_id").sortWithinPartitions("key", "ctx", "doc_id", "c")
+def neighbours(segments: DataFrame) -> DataFrame:
+    """Matches of each segment with the one before it in the order of key, context and document."""
+    ordered = segments.repartitionByRange("key", "ctx", "doc_id").sortWithinPartitions("key", "ctx", "doc_id", "c")
     found = staged(ordered.select("doc_id", "key", "l", "c", "r").mapInArrow(_neighbours, _MATCHES + ", task int"),
                    "neighbours")
-    # the first and the last window of each task come to the driver, to meet those of the tasks beside it
+    # the first and the last segment of each task come to the driver, to meet those of the tasks beside it
     edges = sorted(found.where("task is not null").collect(), key=lambda r: r["task"])
     between = [sorted([one, other], key=lambda r: r["doc_id"]) for one, other in zip(edges[1::2], edges[2::2])
                if one["key"] == other["key"] and one["doc_id"] != other["doc_id"]]
     rows = [(a["doc_id"], b["doc_id"], b["key"], b["l"], b["c"], b["r"], a["l"], a["c"], a["r"]) for a, b in between]
     inside = found.where("task is null").drop("task")
-    return inside.union(shared.sparkSession.createDataFrame(rows, _MATCHES)) if rows else inside
+    return inside.union(segments.sparkSession.createDataFrame(rows, _MATCHES)) if rows else inside
 
 
 _CANDIDATES = "a bigint, b bigint, a_lo int, a_hi int, b_lo int, b_hi int, shift int"
 
 
-def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches of two documents to candidates: windows that overlap in both, from enough functions."""
-    for batch in batches:
-        out: list[tuple] = []
-        for a, b, matches in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            open_: list[list] = []
-            rows = sorted((m["c"], m["ac"], m["l"], m["r"], m["al"], m["ar"], m["key"]) for m in matches)
-            for c, ac, left, right, a_left, a_right, key in rows:
-                back, on = min(c - left, ac - a_left), min(right - c, a_right - ac)
-                b_lo, b_hi, a_lo, a_hi = c - back, c + on, ac - back, ac + on
-                if b_hi - b_lo + 1 < SHARE * LENGTH:
-                    continue
-                full = b_hi - b_lo + 1 >= LENGTH
-                for o in open_:
-                    if b_lo <= o[1] and b_hi >= o[0] and a_lo <= o[3] and a_hi >= o[2]:
-                        o[0], o[1], o[2], o[3] = min(o[0], b_lo), max(o[1], b_hi), min(o[2], a_lo), max(o[3], a_hi)
-                        o[4].add(key & (HASHES - 1))
-                        o[5] |= full
-                        break
-                else:
-                    open_.append([b_lo, b_hi, a_lo, a_hi, {key & (HASHES - 1)}, full, ac - c])
-            out += [(a, b, o[2], o[3], o[0], o[1], o[6]) for o in open_ if o[5] or len(o[4]) >= ENOUGH]
-        kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
-        cols = list(zip(*out)) if out else [()] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         names=["a", "b", "a_lo", "a_hi", "b_lo", "b_hi", "shift"])
+def _intervals(enough: int, beyond: int = 0):
+    """Matches of two documents to candidates: windows that overlap in both, from enough functions, and ``beyond`` tokens."""
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for a, b, matches in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                open_: list[list] = []
+                rows = sorted((m["c"], m["ac"], m["l"], m["r"], m["al"], m["ar"], m["key"]) for m in matches)
+                for c, ac, left, right, a_left, a_right, key in rows:
+                    back, on = min(c - left, ac - a_left), min(right - c, a_right - ac)
+                    b_lo, b_hi, a_lo, a_hi = c - back, c + on, ac - back, ac + on
+                    if b_hi - b_lo + 1 < SHARE * LENGTH:
+                        continue
+                    full = b_hi - b_lo + 1 >= LENGTH
+                    for o in open_:
+                        if b_lo <= o[1] and b_hi >= o[0] and a_lo <= o[3] and a_hi >= o[2]:
+                            o[0], o[1], o[2], o[3] = min(o[0], b_lo), max(o[1], b_hi), min(o[2], a_lo), max(o[3], a_hi)
+                            o[4].add(key & (HASHES - 1))
+                            o[5] |= full
+                            break
+                    else:
+                        open_.append([b_lo, b_hi, a_lo, a_hi, {key & (HASHES - 1)}, full, ac - c])
+                out += [(a, b, max(0, o[2] - beyond), o[3] + beyond, max(0, o[0] - beyond), o[1] + beyond, o[6])
+                        for o in open_ if o[5] or len(o[4]) >= enough]
+            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
+            cols = list(zip(*out)) if out else [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             names=["a", "b", "a_lo", "a_hi", "b_lo", "b_hi", "shift"])
+
+    return apply
 
 
 def _tokens_of(arr: pa.Array) -> list[np.ndarray]:
@@ -371,12 +367,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stands = staged(shared.where("doc_id = first").groupBy("key").agg(F.min(F.struct("c", "l", "r")).alias("w"))
                     .select("key", F.col("w.c").alias("ac"), F.col("w.l").alias("al"), F.col("w.r").alias("ar")),
                     "stands")
-    matches = shared.where("doc_id > first").join(small(stands), "key").select(
-        "first", "doc_id", "key", "l", "c", "r", "al", "ac", "ar")
-    matches = matches.union(neighbours(shared))
+    matches = shared.where("doc_id > first").join(small(stands), "key")
+    found = staged(_verified(two, matches, _intervals(ENOUGH)), "found")
+    discard(keys, stands)
+    segments = staged(_segments_of(two, shared, found), "segments")
+    discard(shared)
+    hidden = _verified(two, neighbours(segments), _intervals(1, LENGTH))
+    return _maximal(found.union(hidden))
+
+
+def _verified(two: DataFrame, matches: DataFrame, intervals) -> DataFrame:
+    """Passages of documents like a passage of an earlier one, from matches of their windows."""
     pairs = matches.groupBy("first", "doc_id").agg(
         F.collect_list(F.struct("key", "l", "c", "r", "al", "ac", "ar")).alias("matches"))
-    candidates = staged(pairs.select("first", "doc_id", "matches").mapInArrow(_intervals, _CANDIDATES), "candidates")
+    candidates = staged(pairs.select("first", "doc_id", "matches").mapInArrow(intervals, _CANDIDATES), "candidates")
     later = staged(candidates.groupBy(F.col("b").alias("doc_id")).agg(
         F.collect_list(F.struct("a", "a_lo", "a_hi", "b_lo", "b_hi", "shift")).alias("wanted")), "later")
     texts = two.join(small(later), "doc_id").select("doc_id", "text", "wanted")
@@ -385,108 +389,82 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = two.join(small(earlier), "doc_id", "left_semi")
     found = carried.join(first.withColumnRenamed("doc_id", "a"), "a").select(
         "a", "b", "a_lo", "a_hi", "b_lo", "shift", "tokens", "text")
-    found = staged(_maximal(found.mapInArrow(_verify, _FOUND)), "found")
-    discard(keys, stands, candidates, later, carried, earlier)
-    return found.union(_equal_runs(two, shared, found))
+    found = staged(_maximal(found.mapInArrow(_verify, _FOUND)), "verified")
+    discard(candidates, later, carried, earlier)
+    return found
 
 
-# ---------------------------------------------------- word for word
+# ---------------------------------------------------------- segments
 
-_RUNS = "run bigint, doc_id bigint, place int, bare int"
+_SEGMENTS = "doc_id bigint, key bigint, l int, c int, r int, ctx int"
 
 
-def run_hashes(words: np.ndarray) -> np.ndarray:
-    """A hash of each run of MIN_WORDS words (runs may cross rows), from halves that overlap."""
-    h, n = words, 1
-    while 2 * n <= MIN_WORDS:
-        h, n = mix(h[:-n] * U(0xD6E8FEB86659FD93) + mix(h[n:])) if len(h) > n else h[:0], 2 * n
-    rest = MIN_WORDS - n
-    return mix(h[:len(h) - rest] * U(0xD6E8FEB86659FD93) + mix(h[rest:])) if len(h) > rest else h[:0]
+def _bare(n_words: int, spans: list[dict] | None, place: np.ndarray) -> np.ndarray:
+    """Words of each run of MIN_WORDS words that lie in no span."""
+    left = np.ones(n_words, bool)
+    for span in spans or []:
+        left[span["start_word"]:span["end_word"]] = False
+    left = np.concatenate([[0], np.cumsum(left)])
+    return left[place + MIN_WORDS] - left[place]
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of MIN_WORDS words whose least tokens are shared; ``bare`` of their words lie in no reported passage."""
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments of runs whose least tokens under a filter function are shared and that reported passages do not cover."""
     for b in chunked(batches, 1 << 19):
         words, _, _, per_row = words_of(*string_buffers(b.column(1)), lower=True)
         use = np.flatnonzero(per_row >= MIN_WORDS)
         if not len(use):
             continue
-        grams, whole = ngram_hashes(words, SHINGLE), run_hashes(words)
+        grams = ngram_hashes(words, SHINGLE)
         first = (np.cumsum(per_row) - per_row)[use]
         sizes = per_row[use] - SHINGLE + 1
         tokens = np.concatenate([grams[f:f + n] for f, n in zip(first.tolist(), sizes.tolist())])
         begins = np.cumsum(sizes + 1) - sizes - 1             # places count a stop after each row
         token_at = np.cumsum(sizes) - sizes
+        least = [least_of_runs(tokens, sizes, salt)[1] for salt in _SALT]
+        run = np.flatnonzero(least[0] > _MASK)
+        row = np.searchsorted(begins, run, "right") - 1
+        edge = np.searchsorted(row, np.arange(len(use) + 1))
+        bare = np.concatenate([_bare(int(per_row[use[i]]), b.column(3)[int(use[i])].as_py(), run[lo:hi] - begins[i])
+                               for i, (lo, hi) in enumerate(zip(edge.tolist(), edge[1:].tolist()))])
+        run, row = run[bare > 0], row[bare > 0]
+        centre = [(x[run] & _MASK).astype(np.int64) for x in least]
+        key = [mix(tokens[c - begins[row] + token_at[row]] ^ salt) for c, salt in zip(centre, _SALT)]
         lists = b.column(2).take(pa.array(use))
         wanted = lists.flatten().to_numpy(zero_copy_only=False).view(U)
         wanted = mix(wanted ^ mix(np.repeat(np.arange(len(use)), np.diff(lists.offsets.to_numpy())).astype(U)))
-        run = None
-        for j in range(FILTERS):
-            least = least_of_runs(tokens, sizes, _SALT[j])[1]
-            run = np.flatnonzero(least > _MASK) if run is None else run
-            centre = (least[run] & _MASK).astype(np.int64)
-            fresh = np.concatenate([[True], centre[1:] != centre[:-1]])[:len(centre)]
-            one = centre[fresh]
-            row = np.searchsorted(begins, one, "right") - 1
-            key = (mix(tokens[one - begins[row] + token_at[row]] ^ _SALT[j]) & ~U(HASHES - 1)) | U(j)
-            run = run[np.isin(mix(key ^ mix(row.astype(U))), wanted)[np.cumsum(fresh) - 1]]
-        row = np.searchsorted(begins, run, "right") - 1
-        place = run - begins[row]
-        bare = np.full(len(run), MIN_WORDS)
-        for i, lo, hi in zip(range(len(use)), *(np.searchsorted(row, np.arange(len(use)), s).tolist() for s in ("left", "right"))):
-            spans = b.column(3)[int(use[i])].as_py() if hi > lo else None
-            if spans:
-                left = np.ones(per_row[use[i]], bool)
-                for span in spans:
-                    left[span["start_word"]:span["end_word"]] = False
-                left = np.concatenate([[0], np.cumsum(left)])
-                bare[lo:hi] = left[place[lo:hi] + MIN_WORDS] - left[place[lo:hi]]
+        held = [np.isin(mix(((key[j] & ~U(HASHES - 1)) | U(j)) ^ mix(row.astype(U))), wanted) for j in range(FILTERS)]
         ids = b.column(0).to_numpy(zero_copy_only=False)[use]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(whole[first[row] + place].view(np.int64)), pa.array(ids[row].astype(np.int64)),
-             pa.array(place.astype(np.int32)), pa.array(bare.astype(np.int32))], names=["run", "doc_id", "place", "bare"])
-
-
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal runs of two documents to passages: those that follow each other in both."""
-    for batch in batches:
-        out: list[tuple] = []
-        for a, b, runs in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            first = len(out)
-            for at, other in sorted((r["place"], r["other"]) for r in runs):
-                if len(out) > first:
-                    _, _, lo, hi, a_lo, a_hi, _ = out[-1]
-                    # the earlier side stays one stretch, so both sides hold the same tokens
-                    if at + MIN_WORDS <= hi + 1 and other <= a_hi - SHINGLE + 1 and other + LENGTH >= a_lo:
-                        out[-1] = (b, a, lo, max(hi, at + MIN_WORDS), min(a_lo, other), max(a_hi, other + MIN_WORDS), 1.0)
-                        continue
-                out.append((b, a, at, at + MIN_WORDS, other, other + MIN_WORDS, 1.0))
-        cols = list(zip(*out)) if out else [()] * 7
-        kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.float64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(cols, kinds)],
-            names=["doc_id", "match_id", "start_word", "end_word", "match_start", "match_end", "similarity"])
+        for kind, (i, j) in enumerate(PAIRS):
+            chosen = held[i] & (held[j] if j < FILTERS else True)
+            at, own = run[chosen], row[chosen]
+            if not len(at):
+                continue
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (np.diff(at) != 1) | (own[1:] != own[:-1])
+            for k in range(HASHES) if kind == 0 else (i, j):
+                c = centre[k][chosen]
+                fresh[1:] |= c[1:] != c[:-1]
+            lo = np.flatnonzero(fresh)
+            hi = np.append(lo[1:], len(at)) - 1
+            middle = (lo + hi) // 2
+            other = [key[k][chosen][middle] for k in range(HASHES) if k not in (i, j)]
+            both = (mix(key[i][chosen][lo] ^ mix(key[j][chosen][lo])) & ~U(HASHES - 1)) | U(kind)
+            context = (mix(other[0] ^ mix(other[1])) >> U(32)).astype(np.uint32).view(np.int32)
+            base = begins[own[lo]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[own[lo]].astype(np.int64)), pa.array(both.view(np.int64)),
+                 *(pa.array((x - base).astype(np.int32)) for x in (at[lo], centre[i][chosen][lo], at[hi] + LENGTH - 1)),
+                 pa.array(context)], names=["doc_id", "key", "l", "c", "r", "ctx"])
 
 
-def _equal_runs(two: DataFrame, shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Passages that repeat word for word and that ``found`` does not cover, each with the first that holds it."""
+def _segments_of(two: DataFrame, shared: DataFrame, found: DataFrame) -> DataFrame:
     keys = shared.where((F.col("key").bitwiseAND(F.lit(HASHES - 1))) < FILTERS).groupBy("doc_id").agg(
         F.collect_set("key").alias("keys"))
     spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
-    asked = staged(keys.join(spans, "doc_id", "left"), "asked")      # grows with the texts: shuffled at every size
-    discard(shared)
+    asked = keys.join(spans, "doc_id", "left")
     texts = two.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "keys", "spans")
-    runs = staged(texts.mapInArrow(_runs, _RUNS), "runs")
-    discard(asked)
-    firsts = staged(runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("f"),
-                                            F.max(F.when(F.col("bare") > 0, F.col("doc_id"))).alias("last"))
-                    .where("f.doc_id < last").select("run", F.col("f.doc_id").alias("first"),
-                                                     F.col("f.place").alias("other")), "firsts")
-    known = staged(found.select("doc_id", F.col("match_id").alias("first"), F.lit(True).alias("known")).distinct(), "known")
-    later = runs.where("bare > 0").join(small(firsts), "run").where("doc_id > first").join(
-        small(known), ["doc_id", "first"], "left").where(F.col("known") | (F.col("bare") >= SHINGLE))
-    pairs = later.groupBy("first", "doc_id").agg(F.collect_set(F.struct("place", "other")).alias("runs"))
-    return pairs.select("first", "doc_id", "runs").mapInArrow(_joined, _FOUND)
+    return texts.mapInArrow(_segments, _SEGMENTS)
 
 
 # ------------------------------------------------------------- removal

@@ -92,7 +92,8 @@ def test_near_passages_are_found_and_others_left_alone(spark):
 
 def test_one_passage_in_many_documents_gives_rows_in_proportion(spark):
     passage = prose(60, 3)
-    rows = [(i, prose(40, 50 + i) + " " + passage + " " + prose(40, 5000 + i)) for i in range(150)]
+    # words of their own beside the passage, so that none is longer between two documents
+    rows = [(i, prose(40, 50 + i) + f" a{i} {passage} z{i} " + prose(40, 5000 + i)) for i in range(150)]
     found = S.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id for r in found} == set(range(1, 150)) and {r.match_id for r in found} == {0}
     assert len(found) == 149
