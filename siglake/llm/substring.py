@@ -328,13 +328,16 @@ _FOUND = ("doc_id bigint, match_id bigint, start_word int, end_word int, match_s
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chunked(batches, 1 << 20):
         out: list[tuple] = []
-        held: tuple[int | None, np.ndarray] = (None, np.zeros(0, U))
-        for i, (a, b, a_lo, a_hi, b_lo, shift) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(6)))):
-            if held[0] != a:                        # rows of one earlier document often follow each other
-                held = (a, _tokens_of(batch.column(7).slice(i, 1))[0])
-            own = held[1][a_lo:a_hi + 1]
+        # rows of one earlier document often follow each other: its text is split once
+        earlier = batch.column(0).to_numpy(zero_copy_only=False)
+        fresh = np.concatenate([[True], earlier[1:] != earlier[:-1]])
+        held = _tokens_of(batch.column(7).take(pa.array(np.flatnonzero(fresh))))
+        which = (np.cumsum(fresh) - 1).tolist()
+        for i, (k, a, b, a_lo, a_hi, b_lo, shift) in enumerate(zip(
+                which, *(batch.column(c).to_pylist() for c in range(6)))):
+            own = held[k][a_lo:a_hi + 1]
             later = np.frombuffer(batch.column(6)[i].as_buffer(), U)
             for b0, b1, a0, a1, share in passages(own, later, b_lo + shift - a_lo):
                 out.append((b, a, b_lo + b0, b_lo + b1 + SHINGLE - 1, a_lo + a0, a_lo + a1 + SHINGLE - 1, share))
@@ -421,19 +424,30 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = np.concatenate([grams[f:f + n] for f, n in zip(first.tolist(), sizes.tolist())])
         begins = np.cumsum(sizes + 1) - sizes - 1             # places count a stop after each row
         token_at = np.cumsum(sizes) - sizes
+        lists = b.column(2).take(pa.array(use))
+        wanted = lists.flatten().to_numpy(zero_copy_only=False).view(U)
+        wanted = mix(wanted ^ mix(np.repeat(np.arange(len(use)), np.diff(lists.offsets.to_numpy())).astype(U)))
         least = [least_of_runs(tokens, sizes, salt)[1] for salt in _SALT]
         run = np.flatnonzero(least[0] > _MASK)
+
+        def key_of(j: int, c: np.ndarray, row: np.ndarray) -> np.ndarray:
+            return mix(tokens[c - begins[row] + token_at[row]] ^ _SALT[j])
+
+        held = []
+        for j in range(FILTERS):
+            c = (least[j][run] & _MASK).astype(np.int64)
+            fresh = np.concatenate([[True], c[1:] != c[:-1]])[:len(c)]
+            row = np.searchsorted(begins, c[fresh], "right") - 1
+            key = (key_of(j, c[fresh], row) & ~U(HASHES - 1)) | U(j)
+            held.append(np.isin(mix(key ^ mix(row.astype(U))), wanted)[np.cumsum(fresh) - 1])
         row = np.searchsorted(begins, run, "right") - 1
-        edge = np.searchsorted(row, np.arange(len(use) + 1))
-        bare = np.concatenate([_bare(int(per_row[use[i]]), b.column(3)[int(use[i])].as_py(), run[lo:hi] - begins[i])
-                               for i, (lo, hi) in enumerate(zip(edge.tolist(), edge[1:].tolist()))])
-        run, row = run[bare > 0], row[bare > 0]
+        chosen = held[0] | held[1]
+        spans = b.column(3)
+        for i in np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)[use]).tolist():
+            lo, hi = np.searchsorted(row, [i, i + 1])
+            chosen[lo:hi] &= _bare(int(per_row[use[i]]), spans[int(use[i])].as_py(), run[lo:hi] - begins[i]) > 0
+        run, row, held = run[chosen], row[chosen], [h[chosen] for h in held]
         centre = [(x[run] & _MASK).astype(np.int64) for x in least]
-        key = [mix(tokens[c - begins[row] + token_at[row]] ^ salt) for c, salt in zip(centre, _SALT)]
-        lists = b.column(2).take(pa.array(use))
-        wanted = lists.flatten().to_numpy(zero_copy_only=False).view(U)
-        wanted = mix(wanted ^ mix(np.repeat(np.arange(len(use)), np.diff(lists.offsets.to_numpy())).astype(U)))
-        held = [np.isin(mix(((key[j] & ~U(HASHES - 1)) | U(j)) ^ mix(row.astype(U))), wanted) for j in range(FILTERS)]
         ids = b.column(0).to_numpy(zero_copy_only=False)[use]
         for kind, (i, j) in enumerate(PAIRS):
             chosen = held[i] & (held[j] if j < FILTERS else True)
@@ -448,9 +462,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo = np.flatnonzero(fresh)
             hi = np.append(lo[1:], len(at)) - 1
             middle = (lo + hi) // 2
-            other = [key[k][chosen][middle] for k in range(HASHES) if k not in (i, j)]
-            both = (mix(key[i][chosen][lo] ^ mix(key[j][chosen][lo])) & ~U(HASHES - 1)) | U(kind)
-            context = (mix(other[0] ^ mix(other[1])) >> U(32)).astype(np.uint32).view(np.int32)
+            key = {k: key_of(k, centre[k][chosen][lo if k in (i, j) else middle], own[lo]) for k in range(HASHES)}
+            both = (mix(key[i] ^ mix(key[j])) & ~U(HASHES - 1)) | U(kind)
+            context = mix(np.bitwise_xor.reduce([mix(key[k] + U(k)) for k in range(HASHES) if k not in (i, j)]))
+            context = (context >> U(32)).astype(np.uint32).view(np.int32)
             base = begins[own[lo]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[own[lo]].astype(np.int64)), pa.array(both.view(np.int64)),
