@@ -6,11 +6,13 @@ neighbours are joined by encoding a window around their border anew. The window
 grows until the tokens outside it provably do not change: a token sequence is
 the encoding of its bytes exactly when each two neighbouring tokens are the
 encoding of their own bytes, so it is enough that the tokens at both window
-edges are compatible with what lies beside them. Decoding concatenates up the
-same kind of tree.
+edges are compatible with what lies beside them. The leaves are single bytes, at
+every length of the string; decoding concatenates the tokens' bytes in pairs, up
+the same kind of tree.
 
 Text is first split by the vocabulary's pattern; each match is a string of its
-own, and matches seen before keep their tokens.
+own, and matches and short halves seen before keep their tokens. A match that is a
+token itself is that token.
 
 Defined cases: a null or empty text has no tokens; texts of any length and
 pieces of any length work (a long piece costs O(n log^2 n)); other columns are
@@ -33,8 +35,9 @@ from pyspark.sql import functions as F
 from siglake.llm.common import chunked, string_buffers
 from siglake.llm.tokens import BatchEncoder
 
-LEAF_BYTES = 16          # strings up to this length are merged directly
-LEAF_IDS = 1 << 18       # id sequences up to this length are decoded directly
+HEAP_BYTES = 64          # windows beyond this length are re-encoded with a heap
+KNOWN_BYTES = 12         # halves up to this length are remembered
+KNOWN = 300_000          # of them before the memory starts afresh
 
 
 class TreeBpe:
@@ -44,12 +47,8 @@ class TreeBpe:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.known: dict[bytes, list[int]] = {}
         self.batch = BatchEncoder(pattern, self.encode_bytes)
-        # bytes of all tokens, for decoding
-        size = np.zeros(max(self.tokens, default=0) + 1, np.int64)
-        size[list(self.tokens)] = [len(t) for t in self.tokens.values()]
-        self.size, self.at = size, np.cumsum(size) - size
-        self.bytes = np.frombuffer(b"".join(self.tokens[i] for i in sorted(self.tokens)), np.uint8)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> "TreeBpe":
@@ -58,10 +57,8 @@ class TreeBpe:
 
     # -- the monoid -------------------------------------------------------
     def _merge(self, text: bytes) -> list[int]:
-        """Tokens of a string by merging its lowest-ranked pair, leftmost first, until none is left."""
-        if text in self.ranks:
-            return [self.ranks[text]]
-        if len(text) > 4 * LEAF_BYTES:
+        """Tokens of a border window by merging its lowest-ranked pair, leftmost first, until none is left."""
+        if len(text) > HEAP_BYTES:
             return self._merge_long(text)
         parts = [text[i:i + 1] for i in range(len(text))]
         get = self.ranks.get
@@ -126,10 +123,21 @@ class TreeBpe:
         """Tokens of one piece: halves, recursively, joined up the tree."""
         if text in self.ranks:
             return [self.ranks[text]]
-        if len(text) <= LEAF_BYTES:
-            return self._merge(text)
         half = len(text) // 2
-        return self.join(self.encode_bytes(text[:half]), self.encode_bytes(text[half:]))
+        return self.join(self._half(text[:half]), self._half(text[half:]))
+
+    def _half(self, text: bytes) -> list[int]:
+        if len(text) == 1:
+            return [self.ranks[text]]
+        got = self.known.get(text)
+        if got is None:
+            half = len(text) // 2
+            got = self.join(self._half(text[:half]), self._half(text[half:]))
+            if len(text) <= KNOWN_BYTES:
+                if len(self.known) >= KNOWN:
+                    self.known.clear()
+                self.known[text] = got
+        return got
 
     # -- texts ------------------------------------------------------------
     def encode(self, text: str) -> np.ndarray:
@@ -137,15 +145,12 @@ class TreeBpe:
         return self.batch(raw, np.array([0, len(raw)]))[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of a sequence of ids: its halves' bytes one after the other."""
-        if len(ids) > LEAF_IDS:
-            half = len(ids) // 2
-            return self.decode(ids[:half]) + self.decode(ids[half:])
-        if not len(ids):
-            return b""
-        n = self.size[ids]
-        ends = np.cumsum(n)
-        return self.bytes[np.repeat(self.at[ids] - (ends - n), n) + np.arange(int(ends[-1]))].tobytes()
+        """Bytes of a sequence of ids: neighbours are put together, level by level, until one string is left."""
+        parts = [self.tokens[i] for i in ids.tolist()]
+        while len(parts) > 1:
+            last = parts[-1:] if len(parts) % 2 else []
+            parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + last
+        return parts[0] if parts else b""
 
 
 @lru_cache(maxsize=2)

@@ -16,7 +16,7 @@ to the first language in sorted order; other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, has_letter, hash_threshold, staged, string_buffers, text_hash, without
+from siglake.llm.common import (bounded, chunked, has_letter, hash_sample, hash_threshold, staged, string_buffers,
+                                text_hash, without)
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16            # per width
@@ -195,9 +196,39 @@ def training_windows(labelled: DataFrame, id_col: str = "doc_id", text_col: str
     return out
 
 
-def train(labelled: DataFrame, seed: int = 7, **sample) -> ByteConvNet:
-    """Fit the network on a bounded sample of ``labelled`` (doc_id, text, lang)."""
+#: First and last letters of scripts that noise is drawn from where no training text uses them.
+SCRIPTS = ((0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x627, 0x64A), (0x905, 0x939), (0xE01, 0xE2E),
+           (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
+
+
+def noise_windows(windows: list[tuple[str, bytes]], rng: np.random.Generator) -> list[tuple[str, bytes]]:
+    """Windows of no language, as many as a language has: shuffled bytes, random ASCII and letters of unused scripts."""
+    used = np.zeros(0x110000, bool)
+    for _, w in windows:
+        used[np.frombuffer(w.decode(errors="ignore").encode("utf-32-le"), np.uint32)] = True
+    free = [(a, b) for a, b in SCRIPTS if not used[a:b + 1].any()]
+    out = []
+    for i in range(max(1, len(windows) // max(1, len({label for label, _ in windows})))):
+        if i % 3 == 0:
+            raw = rng.permutation(np.frombuffer(windows[int(rng.integers(len(windows)))][1], np.uint8)).tobytes()
+        elif i % 3 == 1 or not free:
+            points = rng.integers(33, 127, WINDOW)
+            points[rng.random(WINDOW) < rng.uniform(0, 0.3)] = 32
+            raw = bytes(points.tolist())
+        else:
+            a, b = free[int(rng.integers(len(free)))]
+            points = rng.integers(a, b + 1, WINDOW)
+            points[rng.random(WINDOW) < 0.15] = 32
+            raw = "".join(map(chr, points.tolist())).encode()[:WINDOW]
+        out.append((UNKNOWN, raw.ljust(WINDOW, b"\0")))
+    return out
+
+
+def train(labelled: DataFrame, seed: int = 7, noise: bool = False, **sample) -> ByteConvNet:
+    """Fit the network on a bounded sample of ``labelled`` (doc_id, text, lang); ``noise`` adds a class UNKNOWN."""
     windows = training_windows(labelled, **sample)
+    if noise and windows:
+        windows = windows + noise_windows(windows, np.random.default_rng(seed + 1))
     labels = sorted({label for label, _ in windows})
     rng = np.random.default_rng(seed)
     net = ByteConvNet(labels, {w: rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS},
@@ -254,21 +285,38 @@ def label_languages(docs: DataFrame) -> DataFrame:
     return predict(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-#: Least score of a document that the filter keeps; a guess between four languages alone scores 0.25.
+#: Least score that the filter ever asks for; a guess between four languages alone scores 0.25.
 LEAST_SCORE = 0.3
+LOST = 0.001             # share of the held-out texts recognised rightly that the threshold may lose
+SCORED = 2000            # bound on the held-out texts that it comes from
 
 
-def drop_unknown(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """``docs`` without those of no known language (no letter, or a score below ``least``); all columns stay.
+def least_score(docs: DataFrame, net: ByteConvNet, lost: float = LOST, bound: int = SCORED) -> float:
+    """The score that all but a share ``lost`` of rightly recognised held-out texts reach, LEAST_SCORE at least."""
+    known = docs.where(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sample = hash_sample(known.select("doc_id", "text", "lang"), F.struct("doc_id", "text"), bound)
+    keyed = sample.select(F.struct("lang", "h").alias("doc_id"), "text")
+    right = predict(keyed, net).where(F.col("lang_pred") == F.col("doc_id.lang")).select("doc_id.h", "score")
+    scores = [r["score"] for r in bounded(right, bound).collect()]
+    return max(LEAST_SCORE, float(np.quantile(scores, lost))) if scores else LEAST_SCORE
 
-    Learns from the documents given that have a language and are not held out; if
-    there are none, nothing is known and only texts without a letter go.
+
+def drop_unknown(docs: DataFrame, least: float | None = None, languages: Collection[str] | None = None) -> DataFrame:
+    """``docs`` without those of no known language, or of none of ``languages``; all columns stay.
+
+    A text goes if it has no letter, is recognised as noise (the network of this
+    filter has a class for it) or scores below ``least``, which is ``least_score``
+    unless given. Learns from the documents given that have a language and are not
+    held out; if there are none, nothing is known and only texts without a letter go.
+    Rows are told apart by id and text; the verdict is the same for those that repeat both.
     """
-    net = train(docs.where(~held_out() & F.col("lang").isNotNull()))
+    net = train(docs.where(~held_out() & F.col("lang").isNotNull()), noise=True)
     if not net.labels:
         return docs.where(has_letter(F.col("text")))
+    least = least_score(docs, net) if least is None else least
     keyed = docs.select(F.struct("doc_id", text_hash("text").alias("h")).alias("doc_id"), "text")
     verdict = staged(predict(keyed, net).select("doc_id.doc_id", "doc_id.h", "lang_pred", "score"), "languages")
-    gone = staged(verdict.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id", "h")
-                  .distinct(), "unknown")
-    return without(docs, gone)
+    bad = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)
+    if languages is not None:
+        bad = bad | ~F.col("lang_pred").isin(list(languages))
+    return without(docs, staged(verdict.where(bad).select("doc_id", "h").distinct(), "unknown"))

@@ -36,7 +36,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.link_quotations(documents(spark, sf_dir, "conversations"))
+    # the given messages hold no quotes: each is sent with those before it quoted
+    return quotes.link_quotations(quotes.quoting(documents(spark, sf_dir, "conversations")))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

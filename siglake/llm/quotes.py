@@ -7,7 +7,9 @@ normalised (case, punctuation and white space do not count) and hashed, and the
 hashes are joined to the earliest message of the conversation that holds the
 passage among its own words, as a whole, a paragraph or a line. The shallowest
 passage that finds an earlier message gives the message that is answered; if
-none does, a whole passage may still match line by line.
+none does, a whole passage may still match line by line. Passages of one or two
+words recur by chance: quoted whole, they are linked to the nearest earlier message
+that is nothing else.
 
 Answers form trees; pointer jumping finds each message's thread in as many
 rounds as the logarithm of its depth. A message never precedes what it answers,
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siglake.llm.common import chunked, staged
@@ -37,7 +39,7 @@ from siglake.session import cut_lineage
 _MARKS = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 _WROTE = re.compile(r"(?:\bwrote|\ba écrit|\bschrieb|\bescribió)\s*:\s*$", re.I)
 _WORD = re.compile(r"\w+")
-MIN_WORDS = 3            # shorter passages and lines link nothing: they recur by chance
+MIN_WORDS = 3            # shorter passages match whole messages only, the nearest one: they recur by chance
 
 
 def passages(text: str) -> list[tuple[int, list[str]]]:
@@ -73,6 +75,12 @@ def _key(text: str) -> int | None:
     return xxhash.xxh64_intdigest(" ".join(words)) - (1 << 63) if len(words) >= MIN_WORDS else None
 
 
+def _short(text: str) -> int | None:
+    """The hash of a whole text of fewer than MIN_WORDS words."""
+    words = _WORD.findall(text.lower())
+    return xxhash.xxh64_intdigest(" ".join(words), seed=1) - (1 << 63) if 0 < len(words) < MIN_WORDS else None
+
+
 def _parts_of(text: str) -> set[int]:
     """Hashes of a text as a whole, of its paragraphs and of its lines."""
     pieces = [text, *re.split(r"\n\s*\n", text), *text.split("\n")]
@@ -80,32 +88,34 @@ def _parts_of(text: str) -> set[int]:
 
 
 _PARSED = ("conv_id bigint, turn bigint, role string, text string, n_quotes int, max_level int, "
-           "held array<bigint>, quoted array<struct<key: bigint, level: int, whole: boolean>>")
+           "held array<bigint>, short bigint, quoted array<struct<key: bigint, level: int, whole: boolean, short: boolean>>")
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    quoted_type = pa.list_(pa.struct([("key", pa.int64()), ("level", pa.int32()), ("whole", pa.bool_())]))
+    quoted_type = pa.list_(pa.struct([("key", pa.int64()), ("level", pa.int32()), ("whole", pa.bool_()),
+                                      ("short", pa.bool_())]))
     for b in chunked(batches, 2 << 20):
-        text, n, deep, held, quoted = [], [], [], [], []
+        text, n, deep, held, short, quoted = [], [], [], [], [], []
         for t in b.column(3).to_pylist():
             parts = passages(t or "")
             own = own_text(parts)
             quotes = [(level, "\n".join(lines)) for level, lines in parts if level]
-            found: dict[tuple[int, bool], int] = {}
+            found: dict[tuple[int, bool, bool], int] = {}
             for level, q in quotes:
-                if (k := _key(q)) is not None:
-                    found[k, True] = min(level, found.get((k, True), level))
-                for k in _parts_of(q):
-                    found[k, False] = min(level, found.get((k, False), level))
+                for k, whole, brief in [(_key(q), True, False), (_short(q), True, True), *((k, False, False) for k in _parts_of(q))]:
+                    if k is not None:
+                        found[k, whole, brief] = min(level, found.get((k, whole, brief), level))
             text.append(own)
             n.append(len(quotes))
             deep.append(max((level for level, _ in quotes), default=0))
             held.append(sorted(_parts_of(own)))
-            quoted.append([{"key": k, "level": lv, "whole": w} for (k, w), lv in sorted(found.items())])
+            short.append(_short(own))
+            quoted.append([{"key": k, "level": lv, "whole": w, "short": brief} for (k, w, brief), lv in sorted(found.items())])
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), b.column(2), pa.array(text, pa.string()), pa.array(n, pa.int32()),
-             pa.array(deep, pa.int32()), pa.array(held, pa.list_(pa.int64())), pa.array(quoted, quoted_type)],
-            names=["conv_id", "turn", "role", "text", "n_quotes", "max_level", "held", "quoted"])
+             pa.array(deep, pa.int32()), pa.array(held, pa.list_(pa.int64())), pa.array(short, pa.int64()),
+             pa.array(quoted, quoted_type)],
+            names=["conv_id", "turn", "role", "text", "n_quotes", "max_level", "held", "short", "quoted"])
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -117,13 +127,24 @@ def parse(messages: DataFrame) -> DataFrame:
 def reply_links(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to): the message that each quoting message answers."""
     known = parsed.where("conv_id is not null and turn is not null")
-    asked = known.where("n_quotes > 0").select("conv_id", "turn", F.explode("quoted").alias("q")).select(
-        "conv_id", "turn", F.col("q.key").alias("key"), F.col("q.level").alias("level"), F.col("q.whole").alias("whole"))
+    quoted = known.where("n_quotes > 0").select("conv_id", "turn", F.explode("quoted").alias("q")).select(
+        "conv_id", "turn", F.col("q.key").alias("key"), F.col("q.level").alias("level"), F.col("q.whole").alias("whole"),
+        F.col("q.short").alias("short"))
+    asked = quoted.where("not short").drop("short")
     # only hashes that some message of the conversation quotes are looked for, and one row for each remains
     wanted = asked.select("conv_id", "key").distinct()
     origin = (known.select("conv_id", "turn", F.explode("held").alias("key"))
               .groupBy("conv_id", "key").agg(F.min("turn").alias("origin")).join(wanted, ["conv_id", "key"], "left_semi"))
     found = asked.join(origin, ["conv_id", "key"]).where("origin < turn")
+    # short messages and their quotes in one order: a quote sees the message last before it
+    both = known.where("short is not null").select("conv_id", "turn", F.col("short").alias("key"), F.lit(None).cast("int").alias(
+        "level"), F.col("turn").alias("held")).union(quoted.where("short").select(
+            "conv_id", "turn", "key", "level", F.lit(None).cast("bigint").alias("held")))
+    order = Window.partitionBy("conv_id", "key").orderBy("turn", F.col("held").isNotNull())
+    nearest = F.last("held", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    brief = both.withColumn("origin", nearest).where("held is null and origin < turn").select(
+        "conv_id", "key", "turn", "level", F.lit(True).alias("whole"), "origin")
+    found = found.select(*brief.columns).union(brief)
     best = F.min(F.struct((~F.col("whole")).alias("part"), "level", (-F.col("origin")).alias("later")))
     return found.groupBy("conv_id", "turn").agg(best.alias("b")).select(
         "conv_id", "turn", (-F.col("b.later")).alias("reply_to"))
@@ -156,12 +177,32 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         tree = links.join(threads(links), ["conv_id", "turn"])
     else:
         tree = links.select("*", F.col("reply_to").alias("thread"), F.lit(0).alias("depth"))
-    rows = parsed.drop("held", "quoted")
+    rows = parsed.drop("held", "short", "quoted")
     out = rows.join(tree, ["conv_id", "turn"], "left")
     return out.select("conv_id", "turn", "role", "text", "n_quotes", "max_level", "reply_to",
                       F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"))
 
 
+def quoting(messages: DataFrame) -> DataFrame:
+    """``messages`` as mail programs would send them: each quotes the one before it in its conversation, whole.
+
+    Every third message also quotes the one before that, a level deeper. Columns:
+    conv_id, turn, role, text.
+    """
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = messages.select("conv_id", "turn", "role", text.alias("text")).select(
+        "*", F.lag("text").over(order).alias("one"), F.lag("text", 2).over(order).alias("two"),
+        F.row_number().over(order).alias("n"))
+
+    def quote(name: str, mark: str) -> Column:
+        return F.concat(F.lit(mark), F.replace(F.col(name), F.lit("\n"), F.lit("\n" + mark)), F.lit("\n"))
+
+    deeper = F.when(F.col("two").isNotNull() & (F.col("n") % 3 == 0), quote("two", "> > ")).otherwise("")
+    whole = F.concat(deeper, quote("one", "> "), F.lit("\n"), F.col("text"))
+    return rows.select("conv_id", "turn", "role", F.when(F.col("one").isNull(), F.col("text")).otherwise(whole).alias("text"))
+
+
 def chat_rows(linked: DataFrame) -> DataFrame:
     """One formatted chat message per row: ``<|role|>`` header and text, with its place in the reply order."""
     header = F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, hash_sample, ngram_hashes, span_hashes, string_buffers, words_of
+from siglake.llm.common import bounded, chunked, hash_sample, ngram_hashes, span_hashes, string_buffers, words_of
 
 MIN_WORDS = 50
 SAMPLE_ROWS = 500        # bound on the texts that rules are measured on
@@ -53,6 +53,13 @@ class Texts:
         self.data, self.off = data, off
         self.words, self.starts, self.ends, self.n_words = words_of(data, off)
         self.word_off = np.concatenate([[0], np.cumsum(self.n_words)])
+        self.known: dict[str, tuple[np.ndarray, ...]] = {}
+
+    def once(self, name: str, count: Callable[[], tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        """Statistics of each row, counted at the first use."""
+        if name not in self.known:
+            self.known[name] = count()
+        return self.known[name]
 
     def part(self, rows: np.ndarray) -> "Texts":
         """The given rows alone, without hashing their words again."""
@@ -64,6 +71,7 @@ class Texts:
         shift = np.repeat(out.off[:-1] - self.off[:-1][rows], n)
         out.words, out.starts, out.ends = self.words[word], self.starts[word] + shift, self.ends[word] + shift
         out.n_words, out.word_off = n, np.concatenate([[0], np.cumsum(n)])
+        out.known = {name: tuple(x[rows] for x in arrays) for name, arrays in self.known.items()}
         return out
 
 
@@ -76,6 +84,10 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------- base statistics
 
 def word_chars(t: Texts) -> np.ndarray:
+    return t.once("word_chars", lambda: (_word_chars(t),))[0]
+
+
+def _word_chars(t: Texts) -> np.ndarray:
     heads = np.zeros(len(t.data) + 1, np.int64)
     np.cumsum((t.data & 0xC0) != 0x80, out=heads[1:])
     total = np.concatenate([[0], np.cumsum(heads[t.ends] - heads[t.starts])])
@@ -83,11 +95,15 @@ def word_chars(t: Texts) -> np.ndarray:
 
 
 def symbols(t: Texts) -> np.ndarray:
-    return _per_row(_SYMBOL[t.data], t.off)
+    return t.once("symbols", lambda: (_per_row(_SYMBOL[t.data], t.off),))[0]
 
 
 def lines(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """(lines with a word, such lines equal to an earlier one) of each row."""
+    return t.once("lines", lambda: _lines(t))
+
+
+def _lines(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     breaks = np.flatnonzero(t.data == 10)
     n = len(t.off) - 1
     # ends: every line feed and every end of row; a line starts after the end before it or at the row start
@@ -127,6 +143,10 @@ def repeated_words(t: Texts, size: int = 3) -> np.ndarray:
     return out
 
 
+def base_statistics(t: Texts) -> list[np.ndarray]:
+    return [t.n_words, word_chars(t), symbols(t), lines(t)[1], repeated_words(t)]
+
+
 # -------------------------------------------------------------------- rules
 
 Rule = Callable[[Texts], np.ndarray]
@@ -183,6 +203,7 @@ def measure(texts: list[str], rules: dict[str, Rule] = RULES) -> list[tuple[str,
     """(rule, seconds for each text, share rejected), most rejections per second first."""
     arr = pa.array(texts, pa.string())
     t = Texts(*string_buffers(arr))
+    base_statistics(t)                       # rules find them, as in the cascade
     out = []
     for name, rule in rules.items():
         began = time.perf_counter()
@@ -191,11 +212,14 @@ def measure(texts: list[str], rules: dict[str, Rule] = RULES) -> list[tuple[str,
     return sorted(out, key=lambda r: -r[2] / max(r[1], 1e-12)) if texts else out
 
 
-def sample_texts(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
-    """At most ``rows`` texts, chosen by a hash over the whole table; of a very long one its first part is timed."""
-    known = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"))
-    picked = hash_sample(known, F.col("t"), rows).select("h", F.substring("t", 1, TIMED_CHARS).alias("t")).collect()
-    return [r["t"] for r in sorted(picked, key=lambda r: (r["h"], r["t"]))[:rows]]
+def sample_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
+    """At most ``rows`` texts, chosen by a hash of id and text over the whole table; the first TIMED_CHARS of each are timed.
+
+    Each task keeps at most ``rows`` of them, so that of a text which very many rows hold no more travel.
+    """
+    known = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    picked = hash_sample(known, F.struct("i", "t"), rows).select("h", F.substring("t", 1, TIMED_CHARS).alias("t"))
+    return [r["t"] for r in bounded(picked, rows).collect()]
 
 
 def cascade(docs: DataFrame, rules: dict[str, Rule] = RULES, id_col: str = "doc_id", text_col: str = "text"
@@ -204,7 +228,7 @@ def cascade(docs: DataFrame, rules: dict[str, Rule] = RULES, id_col: str = "doc_
 
     ``n_rules`` is the number of rules that a text was shown.
     """
-    order = [name for name, _, _ in measure(sample_texts(docs, text_col), rules)]
+    order = [name for name, _, _ in measure(sample_texts(docs, id_col, text_col), rules)]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -212,7 +236,7 @@ def cascade(docs: DataFrame, rules: dict[str, Rule] = RULES, id_col: str = "doc_
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunked(batches, 1 << 20):
             t = Texts(*string_buffers(b.column(1)))
-            base = [t.n_words, word_chars(t), symbols(t), lines(t)[1], repeated_words(t)]
+            base = base_statistics(t)
             failed = (t.n_words < MIN_WORDS) | (100 * base[4] > 50 * t.n_words)
             left, shown = np.flatnonzero(~failed), np.zeros(b.num_rows, np.int32)
             for name in order:

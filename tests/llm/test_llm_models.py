@@ -263,3 +263,84 @@ def test_quotes_edge_cases(spark):
     assert all(r.reply_to is None for r in got if r.turn != 2)
     assert max(r.max_level for r in got) == 40
     assert quotes.link_quotations(chat(spark, [])).count() == 0
+
+
+def test_hash_thresholds_at_any_size():
+    from siglake.llm.common import hash_threshold
+    for n in (1000, 10**6, 10**11, 10**15):
+        share = (hash_threshold(700, n) + 2**63) / 2**64
+        assert abs(share - min(1, 1.3 * 700 / n)) <= 1e-15 + 1e-6 * share
+    assert hash_threshold(700, 0) == hash_threshold(700, 700) == 2**63 - 1
+
+
+def test_timing_sample_is_bounded_whatever_repeats(spark):
+    rows = [(i, "hot text of many rows" if i % 3 == 0 else f"text {i}") for i in range(6000)] + [(7, "row seven again")] * 900
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = rules.sample_texts(df, rows=500)
+    assert len(got) <= 500 and got.count("hot text of many rows") < 250
+    assert len(set(got)) > 200
+
+
+def test_language_filter_drops_foreign_and_junk_texts(spark):
+    import random
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = random.Random(1)
+    planted = [" ".join("".join(chr(r.randint(0x430, 0x44F)) for _ in range(r.randint(2, 9))) for _ in range(60)) for _ in range(10)]
+    planted += ["".join(chr(r.randint(33, 126)) for _ in range(600)) for _ in range(10)]
+    planted += ["".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(200)) for _ in range(10)] + ["12 34 -- 56"] * 3
+    more = spark.createDataFrame([(10**6 + i, t, None, "x", len(t)) for i, t in enumerate(planted)], docs.schema)
+    both = docs.union(more)
+    kept = [x[0] for x in L.drop_unknown(both).select("doc_id").collect()]
+    assert sum(i >= 10**6 for i in kept) <= 2                      # of 33
+    assert sum(i < 10**6 for i in kept) >= 0.995 * docs.count()
+    english = L.drop_unknown(both, languages=["en"]).groupBy("lang").count().collect()
+    assert sum(x["count"] for x in english if x["lang"] == "en") >= 0.98 * sum(x["count"] for x in english)
+
+
+def brute_replies(rows):
+    """(conv, turn) -> message answered; a message quotes the one before it, and every third the two before."""
+    def words(t):
+        return tuple(re.findall(r"\w+", t.lower()))
+    out = {}
+    convs = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        convs[conv].append((turn, text or ""))
+    for conv, messages in convs.items():
+        messages.sort()
+        held = [(t, words(x), {words(p) for p in [x, *re.split(r"\n\s*\n", x), *x.split("\n")]}) for t, x in messages]
+        for k in range(1, len(held)):
+            turn, quoted = held[k][0], held[k - 1][1]
+            if len(quoted) >= 3:
+                out[conv, turn] = next(t for t, _, parts in held[:k] if quoted in parts)
+            elif quoted:
+                out[conv, turn] = max(t for t, whole, _ in held[:k] if whole == quoted)
+            elif k > 1 and (k + 1) % 3 == 0 and held[k - 2][1]:
+                deeper = held[k - 2][1]
+                out[conv, turn] = (next(t for t, _, parts in held[:k] if deeper in parts) if len(deeper) >= 3
+                                   else max(t for t, whole, _ in held[:k] if whole == deeper))
+    return out
+
+
+def check_quoting(df):
+    rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+    expected = brute_replies(rows)
+    got = {(r.conv_id, r.turn): r for r in quotes.link_quotations(quotes.quoting(df)).collect()}
+    assert {k: r.reply_to for k, r in got.items() if r.reply_to is not None} == expected
+    for (conv, turn), r in got.items():
+        at, depth = turn, 0
+        while (conv, at) in expected:
+            at, depth = expected[conv, at], depth + 1
+        assert (r.thread, r.depth) == (at, depth)
+    assert {k: r.text for k, r in got.items()} == {(c, t): (x or "").strip() for c, t, _, x in rows}
+    return len(expected)
+
+
+def test_quoting_messages_of_the_conversations_are_linked(spark):
+    assert check_quoting(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")) > 300
+
+
+def test_short_answers_are_linked_to_the_nearest_equal_message(spark):
+    rows = [(1, 0, "user", "Yes, please"), (1, 1, "a", "OK"), (1, 2, "user", "What is the price of it?"), (1, 3, "a", "OK"),
+            (1, 4, "user", "ok"), (1, 5, "a", "Yes, please"), (1, 6, "user", "..."), (1, 7, "a", "It is ten"), (2, 0, "user", "OK"),
+            (2, 1, "a", None), (2, 2, "user", "A longer message of words"), (2, 3, "a", "A longer message of words")]
+    assert check_quoting(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")) >= 8

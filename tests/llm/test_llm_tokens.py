@@ -270,3 +270,18 @@ def test_packing_edge_cases(spark):
 def test_rank_file_is_read(tree):
     first = open(RANKS, "rb").readline().split()
     assert tree.ranks[base64.b64decode(first[0])] == int(first[1])
+
+
+def test_pieces_are_built_by_joins_and_decoding_by_pairs(monkeypatch):
+    """No piece of two tokens or more comes from one direct merge of it."""
+    tree, joined = bpe.TreeBpe.load(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), []
+    join = bpe.TreeBpe.join
+    monkeypatch.setattr(bpe.TreeBpe, "join", lambda self, a, b: joined.append((len(a), len(b))) or join(self, a, b))
+    for piece in (b" thtionoues", b"xq", b"zzqk", " ünïcödé".encode(), b"x" * 300, b" 1234567890123"):
+        joined.clear()
+        tree.known.clear()
+        ids = tree.encode_bytes(piece)
+        assert len(ids) >= 2 and len(joined) >= 1
+        assert (1, 1) in joined                       # up from single bytes
+        assert tree.decode(np.array(ids)) == piece
+    assert tree.decode(np.zeros(0, np.int64)) == b""
