@@ -105,7 +105,8 @@ def run_compact(args) -> int:
     from siglake.sinks.tables import compact
 
     spark = _session("siglake-compact", args.master)
-    print(json.dumps({t: compact(spark, args.serving, t) for t in args.tables or PANELS}))
+    print(json.dumps({t: compact(spark, args.serving, t, f"{args.table_prefix}{t}" if args.table_prefix else None)
+                      for t in args.tables or PANELS}))
     return 0
 
 
@@ -113,7 +114,7 @@ def run_panel(args) -> int:
     from siglake.plans import dashboards
 
     spark = _session("siglake-panel", args.master)
-    dashboards.register_serving(spark, args.serving)
+    dashboards.register_serving(spark, args.serving, args.since, args.until)
     df = spark.sql(args.sql) if args.sql else dashboards.run_panel(spark, args.name)
     if args.output:
         df.write.mode("overwrite").format(args.format).save(args.output)
@@ -159,15 +160,18 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--tables", nargs="*", default=None)
     m.set_defaults(fn=run_materialize)
 
-    c = sub.add_parser("compact", help="fold the stored batches of serving tables into one each")
+    c = sub.add_parser("compact", help="fold the dates that new batches of serving tables touch")
     c.add_argument("--serving", required=True)
     c.add_argument("--tables", nargs="*", default=None)
+    c.add_argument("--table-prefix", default=None, help="catalog tables that the stream registered, e.g. ops.")
     c.set_defaults(fn=run_compact)
 
     q = sub.add_parser("panel", help="dashboard SQL over serving tables")
     q.add_argument("--serving", required=True, help="folder written by `materialize` or `stream`")
     q.add_argument("--name", default="total_alarms", help="panel name (see plans/dashboards.py)")
     q.add_argument("--sql", default=None, help="any SQL over alarms, tickets, network_events, ...")
+    q.add_argument("--since", default=None, help="first event time, e.g. 2024-01-02 00:00:00")
+    q.add_argument("--until", default=None, help="event time before which the panel ends")
     q.add_argument("--output", default=None, help="write the rows here instead of printing them")
     q.add_argument("--format", default="parquet", choices=["parquet", "json", "csv"])
     q.set_defaults(fn=run_panel)

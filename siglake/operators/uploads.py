@@ -32,9 +32,8 @@ _HEADERS = "path string, columns array<string>"
 
 
 def _path(col) -> F.Column:
-    """File readers write the same path as ``file:/x`` or ``file:///x``."""
-    return F.regexp_replace(col, r"^([A-Za-z0-9]+):/+(?=[^/])(?![^/]*@)", "$1:/") if not isinstance(col, str) \
-        else _path(F.col(col))
+    """File readers write a local path as ``file:/x`` or ``file:///x``; paths of other stores keep bucket and host."""
+    return F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"^file:/+", "file:/")
 
 
 def unique_names(names: list[str]) -> list[str]:
@@ -146,10 +145,10 @@ class Uploads:
                             F.col("filename"), F.col("row_idx"), ["record"], path=F.col("path"))
         return out.withColumn("payload", F.get_json_object("payload", "$.record"))
 
-    def history(self, topic: str = UPLOAD_TOPIC) -> DataFrame:
-        """One history row per file. ``id`` is the digest of the path (the platform used a database
-        sequence, which a distributed writer cannot share)."""
-        m = self.metadata()
+    def history(self, topic: str = UPLOAD_TOPIC, metadata: DataFrame | None = None) -> DataFrame:
+        """One history row per file, from its ``metadata`` row. ``id`` is the digest of the path (the
+        platform used a database sequence, which a distributed writer cannot share)."""
+        m = self.metadata() if metadata is None else metadata
         ok = F.col("status") == "ACCEPTED"
         return m.select(
             F.sha2("path", 256).alias("id"), "filename",

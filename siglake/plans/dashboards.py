@@ -44,12 +44,13 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def register_serving(spark: SparkSession, output: str) -> list[str]:
+def register_serving(spark: SparkSession, output: str, since=None, until=None) -> list[str]:
     """Register the tables that ``materialize`` or the streams wrote under ``output``; their names.
 
+    With ``since`` / ``until`` the views hold the events of that time alone, and only ids of its dates are folded.
     It is an error if there is none. A table that nothing has been written to yet is left out.
     """
-    found = {t: read_serving(spark, output, t) for t in PANELS if has_table(spark, output, t)}
+    found = {t: read_serving(spark, output, t, since=since, until=until) for t in PANELS if has_table(spark, output, t)}
     if not found:
         raise FileNotFoundError(f"no serving table under {output}")
     register_views(found)

@@ -27,6 +27,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def make(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.mkdirs(p)
+
+
 def publish(spark: SparkSession, staged: str, target: str) -> bool:
     """Move a staged folder to its place unless something stands there; whether it moved."""
     fs, to = _at(spark, target)

@@ -8,7 +8,7 @@ Serving tables have one layout, whoever writes them:
 micro-batch, named by its source, its query's id and the batch id, so a retry
 replaces its own folder and a new query never writes into an old one's.
 ``read_serving`` gives a table with the newest row of each id over all batches;
-``compact`` folds all batches into one.
+``compact`` folds the dates that new batches touch, and leaves the others as they are.
 
 Writes raise on failure (the platform logged and swallowed them, which lost
 rows while the stream checkpoint advanced).
@@ -22,11 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siglake.operators.dedup import newest_events
+from siglake.operators.aggregates import time_slice
+from siglake.operators.dedup import event_key, newest_events
 from siglake.schemas import CANONICAL_EVENT
 from siglake.sinks import fs
 
-BASE = "base"            # the batch that ``materialize`` and ``compact`` write
+BASE = "base"            # the batch that ``materialize`` writes
+FOLDED = "folded-"       # batches that ``compact`` writes; together they hold each id once
+_REPLACES = "_replaces"  # in such a batch: what it stands for and is still to be removed
+NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 _STORED = T.StructType([*CANONICAL_EVENT.fields, T.StructField("batch", T.StringType())])
 
 
@@ -64,39 +68,113 @@ def read_stored(spark: SparkSession, output: str, table: str) -> DataFrame:
     return spark.read.schema(_STORED).option("basePath", path).parquet(path)
 
 
-def read_serving(spark: SparkSession, output: str, table: str, columns: list[str] | None = None) -> DataFrame:
+def _folded(spark: SparkSession, path: str, names: list[str]) -> bool:
+    """Whether the batches hold each id once: a single one, or those of finished compactions."""
+    if len(names) == 1:
+        return not fs.exists(spark, f"{path}/{names[0]}/{_REPLACES}")
+    return all(n.startswith(f"batch={FOLDED}") and not fs.exists(spark, f"{path}/{n}/{_REPLACES}") for n in names)
+
+
+def read_serving(spark: SparkSession, output: str, table: str, columns: list[str] | None = None,
+                 since=None, until=None) -> DataFrame:
     """A serving table: the newest row of each id over all batches, by the same rule as in batch.
 
-    A table of a single batch is read as it is, since a batch holds each id once.
+    With ``since`` / ``until`` only events of that time are returned, and only ids
+    that some batch holds within these dates are folded: the ids come from a scan of
+    the dates' folders and reduce the scan of all batches by a semi-join. Batches
+    that hold each id once are read as they are, the dates' folders alone.
     """
+    path = table_path(output, table)
     stored = read_stored(spark, output, table).drop("batch")
-    wanted = CANONICAL_EVENT.fieldNames() if columns is None else columns
-    if len(fs.folders(spark, table_path(output, table))) == 1:
-        return stored.select(*wanted)
-    return newest_events(stored, wanted)
+    wanted = CANONICAL_EVENT.fieldNames() if columns is None else list(columns)
+    bounded = since is not None or until is not None
+    if _folded(spark, path, fs.folders(spark, path)):
+        return time_slice(stored, since, until).select(*wanted)
+    if not bounded:
+        return newest_events(stored, wanted)
+    key = "__id"
+    keyed = stored.withColumn(key, event_key(stored))
+    asked = time_slice(keyed, since, until)
+    ids = asked.where(F.col(key).isNotNull()).select(key).distinct()
+    keep = list(dict.fromkeys([*wanted, "event_timestamp", "event_date"]))
+    folded = newest_events(keyed.join(ids, key, "left_semi").drop(key), keep)
+    # a row without an id is an event of its own
+    alone = asked.where(F.col(key).isNull()).select(*keep)
+    return time_slice(folded, since, until).unionByName(alone).select(*wanted)
 
 
 def has_table(spark: SparkSession, output: str, table: str) -> bool:
     return bool(fs.folders(spark, table_path(output, table)))
 
 
-def compact(spark: SparkSession, output: str, table: str) -> int:
-    """Fold all batches of a table into one; returns how many there were.
+def compact(spark: SparkSession, output: str, table: str, name: str | None = None) -> int:
+    """Fold the dates that new batches touch; returns how many new batches there were.
 
-    Run it while no stream writes the table. The new batch is staged, then
-    published, then the old ones go, so a reader in between sees repeats (which
-    ``read_serving`` folds) and never misses rows; a rerun finishes the work.
+    Touched are the dates of the new batches and those where earlier compactions
+    keep an older row of an id that occurs in them; the files of other dates stay.
+    Run it while no stream writes the table. The folded dates are staged and
+    published as one batch, with a list of the folders that it stands for; these go
+    only then, so a reader in between sees repeats (which ``read_serving`` folds)
+    and never misses rows, and a rerun after a crash first finishes the list.
+
+    ``name``: the catalog table over these folders (``register_batch``). It gets the
+    new partitions before it loses the old ones.
     """
     path = table_path(output, table)
-    old = fs.folders(spark, path)
-    if len(old) < 2:
-        return len(old)
+    for done in [n for n in fs.folders(spark, path) if fs.exists(spark, f"{path}/{n}/{_REPLACES}")]:
+        _settle(spark, output, table, done, name)
+    names = fs.folders(spark, path)
+    new = [n for n in names if not n.startswith(f"batch={FOLDED}")]
+    if not new or len(names) == 1:
+        return len(new)
+    stored = read_stored(spark, output, table)
+    fresh = F.col("batch").isin([n.split("=", 1)[1] for n in new])
+    dates = {r[0] for r in stored.where(fresh).select("event_date").distinct().collect()}
+    if len(new) < len(names):
+        key = "__id"
+        keyed = stored.select("batch", "event_date", event_key(stored).alias(key))
+        ids = keyed.where(fresh & F.col(key).isNotNull()).select(key).distinct()
+        older = keyed.where(~fresh).join(ids, key, "left_semi").select("event_date").distinct()
+        dates |= {r[0] for r in older.collect()}                     # a row for each date
+    days = sorted(d for d in dates if d is not None)
+    touched = F.col("event_date").isin(days) | (F.col("event_date").isNull() if None in dates else F.lit(False))
+    rows = newest_events(stored.drop("batch").where(touched), CANONICAL_EVENT.fieldNames())
     staging = f"{output.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    write_partitioned(read_serving(spark, output, table), staging, mode="overwrite")
-    fs.publish(spark, staging, f"{path}/batch={BASE}-{uuid.uuid4().hex}")
-    for name in old:
-        fs.delete(spark, f"{path}/{name}")
-    return len(old)
+    write_partitioned(rows, staging, mode="overwrite")
+    gone = list(new)
+    folders = {f"event_date={d}" for d in days} | ({f"event_date={NULL_DATE}"} if None in dates else set())
+    for n in names:
+        if n not in new:
+            gone += [f"{n}/{d}" for d in fs.folders(spark, f"{path}/{n}") if d in folders]
+    spark.createDataFrame([(g,) for g in gone], "value string").coalesce(1).write.text(f"{staging}/{_REPLACES}")
+    batch = f"batch={FOLDED}{uuid.uuid4().hex}"
+    fs.publish(spark, staging, f"{path}/{batch}")
+    _settle(spark, output, table, batch, name)
+    return len(new)
+
+
+def _settle(spark: SparkSession, output: str, table: str, batch: str, name: str | None) -> None:
+    """Register a published compaction and remove what it stands for."""
+    path = table_path(output, table)
+    listed = f"{path}/{batch}/{_REPLACES}"
+    gone = [r["value"] for r in spark.read.text(listed).collect()]   # a row for each folder
+    if name is not None:
+        register_batch(spark, name, output, table, batch.split("=", 1)[1])
+        old = [g if "/" in g else f"{g}/{d}" for g in gone for d in ([""] if "/" in g else fs.folders(spark, f"{path}/{g}"))]
+        for part in sorted({g for g in old if "/event_date=" in g}):
+            held, date = part.split("/", 1)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch='{held.split('=', 1)[1]}', {_date_spec(date)})")
+    for g in gone:
+        fs.delete(spark, f"{path}/{g}")
+    for held in sorted({g.split("/", 1)[0] for g in gone if "/" in g}):
+        if not fs.folders(spark, f"{path}/{held}"):
+            fs.delete(spark, f"{path}/{held}")
+    fs.delete(spark, listed)
+
+
+def _date_spec(folder: str) -> str:
+    date = folder.split("=", 1)[1]
+    return "event_date=NULL" if date == NULL_DATE else f"event_date='{date}'"
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
@@ -147,9 +225,9 @@ def register_batch(spark: SparkSession, name: str, output: str, table: str, batc
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _STORED.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY (batch, event_date) LOCATION '{path}'")
-    dates = [d.split("=", 1)[1] for d in fs.folders(spark, f"{path}/batch={batch}") if d.startswith("event_date=")]
+    dates = [d for d in fs.folders(spark, f"{path}/batch={batch}") if d.startswith("event_date=")]
     if dates:
-        spec = " ".join(f"PARTITION (batch='{batch}', event_date='{d}')" for d in dates)
+        spec = " ".join(f"PARTITION (batch='{batch}', {_date_spec(d)})" for d in dates)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec}")
 
 

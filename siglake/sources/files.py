@@ -137,7 +137,7 @@ class SourceSpec:
     path: str          # relative to the landing root
     category: str
     table: str
-    fmt: str           # "json" | "csv"
+    fmt: str           # "json" | "csv"; of uploads also "excel" | "pdf", which are typed, sized and hashed
     multiline: bool = True   # JSON: one document per file (True) or JSON lines (False)
     kind: str = "events"     # "events" (unified rows) | "envelopes" (REST collector files)
                              # | "uploads" (uploaded files, any columns)
@@ -156,6 +156,8 @@ SOURCES = (
     SourceSpec("raw/rest", "rest", "network_events", "json", True, "envelopes"),
     SourceSpec("raw/uploads/csv", "uploads_csv", "network_events", "csv", True, "uploads"),
     SourceSpec("raw/uploads/json", "uploads_json", "network_events", "json", True, "uploads"),
+    SourceSpec("raw/uploads/excel", "uploads_excel", "network_events", "excel", True, "uploads"),
+    SourceSpec("raw/uploads/pdf", "uploads_pdf", "network_events", "pdf", True, "uploads"),
     SourceSpec("raw/csv", "events_csv", "network_events", "csv"),
 )
 

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -80,21 +80,25 @@ def refuse_second_start(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec
         return
     stored = [b for b in fs.folders(spark, table_path(cfg.output_root, spec.table))
               if b.startswith(f"batch={spec.category}--")]
-    if stored:
-        raise RuntimeError(f"{spec.category}: the output holds {len(stored)} batches but the checkpoint is new; "
+    if stored or fs.exists(spark, source_mark(cfg, spec)):
+        raise RuntimeError(f"{spec.category}: the output holds batches of it but the checkpoint is new; "
                            "name the checkpoint they were written with, or another output")
 
 
-def audit_row(spark: SparkSession, spec: SourceSpec, batch: str, path: str, files: DataFrame, began: float) -> DataFrame:
-    """One row for a written batch; the counts come from the files just written."""
-    return files.agg(F.count("*").alias("records_count"),
-                     F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("payload_size_bytes")).select(
-        F.lit(batch).alias("id"), F.lit(spec.category).alias("source_type"),
-        F.lit(f"query_{spec.category}").alias("source_name"), F.lit("SUCCESS").alias("status"),
-        F.lit(path).alias("minio_path"), F.col("payload_size_bytes").cast("bigint"), "records_count",
-        F.lit((time.time() - began) * 1000).alias("processing_time_ms"), F.lit(None).cast("string").alias("error_message"),
-        F.to_json(F.struct(F.lit(spec.table).alias("table"))).alias("metadata_json"),
-        F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
+def source_mark(cfg: StreamConfig, spec: SourceSpec) -> str:
+    """A folder that says that the output holds rows of a source, also after its batches were compacted."""
+    return f"{cfg.output_root.rstrip('/')}/_sources/{spec.category}"
+
+
+def audit_row(spark: SparkSession, spec: SourceSpec, batch: str, path: str, began: float, records: int | None,
+              payload_bytes: int | None, error: str | None = None) -> DataFrame:
+    """One row for a batch: what was observed while it was written, or why it failed."""
+    rows = [(batch, spec.category, f"query_{spec.category}", "FAILED" if error else "SUCCESS", path, payload_bytes, records,
+             (time.time() - began) * 1000, error, json.dumps({"table": spec.table}))]
+    return spark.createDataFrame(
+        rows, "id string, source_type string, source_name string, status string, minio_path string, "
+              "payload_size_bytes bigint, records_count bigint, processing_time_ms double, error_message string, "
+              "metadata_json string").withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
 def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
@@ -108,13 +112,28 @@ def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
 
     def store(spark: SparkSession, events: DataFrame, batch: str) -> None:
         began = time.time()
-        path = write_batch(clean_batch(events, spec.category), out, spec.table, batch)      # B1, exactly once
+        fs.make(spark, source_mark(cfg, spec))
+        seen = Observation()
+        rows = clean_batch(events, spec.category).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("bytes"))
+        path = write_batch(rows, out, spec.table, batch)                                 # B1, exactly once
         if cfg.table_prefix:                                                             # B2 over the same files
             register_batch(spark, f"{cfg.table_prefix}{spec.table}", out, spec.table, batch)
-        written = spark.read.schema("payload string").parquet(path)
-        append_rows(audit_row(spark, spec, batch, path, written, began), f"{out}/audit_log", batch)
+        append_rows(audit_row(spark, spec, batch, path, began, seen.get["n"], seen.get["bytes"]), f"{out}/audit_log", batch)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
+        spark, began = batch_df.sparkSession, time.time()
+        try:
+            work(batch_df, batch_id)
+        except Exception as e:
+            batch = f"{spec.category}--{query_id(spark, checkpoint)}--{batch_id}"
+            path = f"{table_path(out, spec.table)}/batch={batch}"
+            # beside the row of a later success, which does not undo it
+            append_rows(audit_row(spark, spec, batch, path, began, None, None, f"{type(e).__name__}: {e}"[:4000]),
+                        f"{out}/audit_log", f"{batch}--failed")
+            raise
+
+    def work(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.category)  # I4
         batch = f"{spec.category}--{query_id(spark, checkpoint)}--{batch_id}"
@@ -128,7 +147,8 @@ def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
                 try:
                     store(spark, events.withColumn("file_modified_at", F.try_to_timestamp("timestamp")), batch)
                     append_rows(files.metadata(), f"{out}/upload_files", batch)
-                    append_rows(files.history(), f"{out}/upload_history", batch)
+                    stored = spark.read.parquet(f"{out}/upload_files/batch={batch}")
+                    append_rows(files.history(metadata=stored), f"{out}/upload_history", batch)
                     if cfg.publish:
                         cfg.publish(events.withColumn("topic", F.lit(UPLOAD_TOPIC)))
                 finally:
@@ -165,7 +185,8 @@ def source_frame(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig, schem
     """The stream of one source: events, REST envelopes, or the files of an upload folder (without their content)."""
     path = f"{cfg.landing_root.rstrip('/')}/{spec.path}"
     if spec.kind == "uploads":
-        return stream_binary(spark, path, f"*.{spec.fmt}", cfg.max_files_per_trigger).drop("content")
+        # every file of the folder, so that one of another type leaves a row that says so
+        return stream_binary(spark, path, None, cfg.max_files_per_trigger).drop("content")
     schema = REST_ENVELOPE if spec.kind == "envelopes" else schema
     return open_source(spark, spec, cfg.landing_root, schema, streaming=True,
                        max_files=cfg.max_files_per_trigger, multiline=cfg.json_multiline)

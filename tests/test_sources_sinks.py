@@ -128,7 +128,7 @@ def test_catalog_table_create_once(spark, scratch):
 
 
 def test_source_registry(spark, scratch):
-    assert len(SOURCES) == 9 and {s.table for s in SOURCES} == {
+    assert len(SOURCES) == 11 and {s.table for s in SOURCES} == {
         "alarms", "tickets", "network_events", "security_events", "performance_metrics"}
     df = open_source(spark, SOURCES[0], scratch, UNIFIED_EVENT, streaming=False)
     assert df.count() == 0
@@ -197,3 +197,11 @@ def test_no_upload_content_breaks_the_batch(spark, scratch):
     assert len(meta) == 20 and up.history().count() == 20
     assert up.events().count() == up.records().count()
     assert meta["f7.csv"]["columns"] == ["x", "y"] and meta["f3.json"]["status"] == "REJECTED"
+
+
+def test_upload_paths_keep_bucket_and_host(spark):
+    from siglake.operators.uploads import _path
+    paths = ["s3a://bucket/k/a.csv", "hdfs://nn:8020/up/a.csv", "file:///tmp/a.csv", "file:/tmp/a.csv",
+             "abfss://box@account.host/x/a.json", "gs://b/x//y.csv"]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "path string").select(_path("path")).collect()]
+    assert got == [paths[0], paths[1], "file:/tmp/a.csv", "file:/tmp/a.csv", paths[4], paths[5]]

@@ -96,7 +96,102 @@ def test_repeats_in_later_batches_are_folded_on_reading(spark, scratch):
     assert compact(spark, cfg.output_root, "alarms") == 2
     assert _stored(spark, cfg).count() == 3
     assert {r["event_id"]: r["severity_clean"] for r in read_serving(spark, cfg.output_root, "alarms").collect()} == rows
-    assert compact(spark, cfg.output_root, "alarms") == 1
+    assert compact(spark, cfg.output_root, "alarms") == 0
+
+
+def _batches(spark, cfg, land, *days):
+    """One micro-batch for each list of (event number, time, severity)."""
+    for i, events in enumerate(days):
+        _land(land, f"b{i}-{len(events)}-{events[0][1][:10]}", [_event(n, at, sev=sev) for n, at, sev in events])
+        _run(spark, cfg)
+
+
+def _content(df):
+    return sorted((r["event_id"], r["severity_clean"], str(r["event_timestamp"]), r["event_date"]) for r in df.collect())
+
+
+THREE = ([(1, "2024-03-01T10:00:00Z", "p1"), (2, "2024-03-01T11:00:00Z", "p2"), (3, "2024-03-05T09:00:00Z", "p1")],
+         [(1, "2024-03-02T10:00:00Z", "p3"), (4, "2024-03-02T11:00:00Z", "p1")],
+         [(4, "2024-03-01T08:00:00Z", "p2"), (2, "2024-03-03T11:00:00Z", "p1"), (5, "2024-03-03T00:00:00Z", "p1")])
+
+
+def test_bounded_reading_folds_the_ids_of_its_dates(spark, scratch):
+    from siglake.operators.aggregates import time_slice
+    cfg, land = _cfg(scratch), os.path.join(scratch, "land")
+    _batches(spark, cfg, land, *THREE)
+    everything = read_serving(spark, cfg.output_root, "alarms")
+    assert everything.count() == 5
+    for since, until in (("2024-03-01", "2024-03-02"), ("2024-03-02", "2024-03-03"), ("2024-03-03", None), (None, "2024-03-02"),
+                         ("2024-03-01 10:30:00", "2024-03-03 00:00:01"), ("2025-01-01", None)):
+        got = read_serving(spark, cfg.output_root, "alarms", since=since, until=until)
+        assert _content(got) == _content(time_slice(everything, since, until)), (since, until)
+    # 1, 2 and 4 were on the first of March once, and moved or have a newer row elsewhere
+    assert _content(read_serving(spark, cfg.output_root, "alarms", since="2024-03-01", until="2024-03-02")) == []
+    got = read_serving(spark, cfg.output_root, "alarms", ["event_id"], since="2024-03-02", until="2024-03-03")
+    p = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in p and p.index("Aggregate") < p.index("LeftSemi")      # the fold stands above the semi-join
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in physical
+
+
+def test_compaction_by_date_keeps_other_files_and_the_catalog(spark, scratch):
+    from siglake.operators.dedup import newest_events
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS ops_compact")
+    cfg, land = _cfg(scratch, table_prefix="ops_compact."), os.path.join(scratch, "land")
+    name = "ops_compact.alarms"
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(os.path.join(cfg.output_root, "table=alarms")) for f in fs
+                if f.endswith(".parquet")}
+
+    _batches(spark, cfg, land, *THREE)
+    before = _content(read_serving(spark, cfg.output_root, "alarms"))
+    assert _content(newest_events(spark.table(name).drop("batch"))) == before and spark.table(name).count() == 8
+    assert compact(spark, cfg.output_root, "alarms", name) == 3
+    assert _content(read_serving(spark, cfg.output_root, "alarms")) == before == _content(spark.table(name))
+    # a new batch moves 5 from the third to the fourth of March: other dates keep their files
+    old = files()
+    _batches(spark, cfg, land, [(5, "2024-03-04T00:00:00Z", "p2")])
+    assert compact(spark, cfg.output_root, "alarms", name) == 1
+    kept = {f for f in old if "event_date=2024-03-03" not in f}
+    assert kept <= files() and len(files()) > len(kept)
+    after = _content(read_serving(spark, cfg.output_root, "alarms"))
+    assert after == _content(spark.table(name)) and len(after) == 5 and ("ALM-5", "MAJOR", "2024-03-04 00:00:00", "2024-03-04") in after
+    # folded batches are read as they are, the asked dates alone
+    plan = read_serving(spark, cfg.output_root, "alarms", since="2024-03-02", until="2024-03-03")
+    assert "Aggregate" not in plan._jdf.queryExecution().optimizedPlan().toString() and plan.count() == 1 + 1
+    # a new checkpoint is still refused
+    cfg.checkpoint_root = os.path.join(scratch, "another")
+    with pytest.raises(RuntimeError, match="checkpoint is new"):
+        job.start_source(spark, SOURCES[0], cfg)
+
+
+def test_a_compaction_that_was_cut_off_is_finished(spark, scratch, monkeypatch):
+    from siglake.sinks import tables
+    cfg, land = _cfg(scratch), os.path.join(scratch, "land")
+    _batches(spark, cfg, land, *THREE)
+    before = _content(read_serving(spark, cfg.output_root, "alarms"))
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_settle", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            compact(spark, cfg.output_root, "alarms")
+    assert _content(read_serving(spark, cfg.output_root, "alarms")) == before            # repeats are folded
+    assert compact(spark, cfg.output_root, "alarms") == 0
+    assert _content(read_serving(spark, cfg.output_root, "alarms")) == before and _stored(spark, cfg).count() == 5
+
+
+def test_a_failing_batch_leaves_its_row(spark, scratch, monkeypatch):
+    cfg, land = _cfg(scratch), os.path.join(scratch, "land")
+    _land(land, "f1", [_event(1, "2024-03-01T10:00:00Z"), _event(2, "2024-03-01T10:00:00Z")])
+    with monkeypatch.context() as m:
+        m.setattr(job, "write_batch", lambda *a: (_ for _ in ()).throw(OSError("disk is full")))
+        q = job.start_source(spark, SOURCES[0], cfg)
+        with pytest.raises(Exception, match="disk is full"):
+            q.awaitTermination(120)
+    _run(spark, cfg)
+    rows = {r["status"]: r for r in spark.read.parquet(os.path.join(cfg.output_root, "audit_log")).collect()}
+    assert "disk is full" in rows["FAILED"]["error_message"] and rows["FAILED"]["records_count"] is None
+    assert rows["SUCCESS"]["records_count"] == 2 and rows["SUCCESS"]["payload_size_bytes"] > 0
 
 
 def test_rows_without_an_id_stay_apart(spark, scratch):
