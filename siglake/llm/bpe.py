@@ -123,6 +123,8 @@ class TreeBpe:
         """Tokens of one piece: halves, recursively, joined up the tree."""
         if text in self.ranks:
             return [self.ranks[text]]
+        if not text:
+            return []
         half = len(text) // 2
         return self.join(self._half(text[:half]), self._half(text[half:]))
 

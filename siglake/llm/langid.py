@@ -202,16 +202,14 @@ SCRIPTS = ((0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x627, 0x64A), (0x90
 
 
 def noise_windows(windows: list[tuple[str, bytes]], rng: np.random.Generator) -> list[tuple[str, bytes]]:
-    """Windows of no language, as many as a language has: shuffled bytes, random ASCII and letters of unused scripts."""
+    """Windows of no language, as many as a language has: random ASCII and letters of unused scripts."""
     used = np.zeros(0x110000, bool)
     for _, w in windows:
         used[np.frombuffer(w.decode(errors="ignore").encode("utf-32-le"), np.uint32)] = True
     free = [(a, b) for a, b in SCRIPTS if not used[a:b + 1].any()]
     out = []
     for i in range(max(1, len(windows) // max(1, len({label for label, _ in windows})))):
-        if i % 3 == 0:
-            raw = rng.permutation(np.frombuffer(windows[int(rng.integers(len(windows)))][1], np.uint8)).tobytes()
-        elif i % 3 == 1 or not free:
+        if i % 2 == 0 or not free:
             points = rng.integers(33, 127, WINDOW)
             points[rng.random(WINDOW) < rng.uniform(0, 0.3)] = 32
             raw = bytes(points.tolist())
@@ -288,25 +286,29 @@ def label_languages(docs: DataFrame) -> DataFrame:
 #: Least score that the filter ever asks for; a guess between four languages alone scores 0.25.
 LEAST_SCORE = 0.3
 LOST = 0.001             # share of the held-out texts recognised rightly that the threshold may lose
+NOISE_SCORE = 0.9        # score from which a text recognised as noise goes
 SCORED = 2000            # bound on the held-out texts that it comes from
 
 
 def least_score(docs: DataFrame, net: ByteConvNet, lost: float = LOST, bound: int = SCORED) -> float:
-    """The score that all but a share ``lost`` of rightly recognised held-out texts reach, LEAST_SCORE at least."""
+    """The score that all but a share ``lost`` of rightly recognised held-out texts reach, LEAST_SCORE at least.
+
+    Too few texts to tell that share give LEAST_SCORE.
+    """
     known = docs.where(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sample = hash_sample(known.select("doc_id", "text", "lang"), F.struct("doc_id", "text"), bound)
     keyed = sample.select(F.struct("lang", "h").alias("doc_id"), "text")
     right = predict(keyed, net).where(F.col("lang_pred") == F.col("doc_id.lang")).select("doc_id.h", "score")
     scores = [r["score"] for r in bounded(right, bound).collect()]
-    return max(LEAST_SCORE, float(np.quantile(scores, lost))) if scores else LEAST_SCORE
+    return max(LEAST_SCORE, float(np.quantile(scores, lost))) if len(scores) * lost >= 1 else LEAST_SCORE
 
 
 def drop_unknown(docs: DataFrame, least: float | None = None, languages: Collection[str] | None = None) -> DataFrame:
     """``docs`` without those of no known language, or of none of ``languages``; all columns stay.
 
-    A text goes if it has no letter, is recognised as noise (the network of this
-    filter has a class for it) or scores below ``least``, which is ``least_score``
-    unless given. Learns from the documents given that have a language and are not
+    A text goes if it has no letter, is recognised as noise with a score of
+    NOISE_SCORE (the network of this filter has a class for it) or as a language with
+    one below ``least``, which is ``least_score`` unless given. Learns from the documents given that have a language and are not
     held out; if there are none, nothing is known and only texts without a letter go.
     Rows are told apart by id and text; the verdict is the same for those that repeat both.
     """
@@ -316,7 +318,8 @@ def drop_unknown(docs: DataFrame, least: float | None = None, languages: Collect
     least = least_score(docs, net) if least is None else least
     keyed = docs.select(F.struct("doc_id", text_hash("text").alias("h")).alias("doc_id"), "text")
     verdict = staged(predict(keyed, net).select("doc_id.doc_id", "doc_id.h", "lang_pred", "score"), "languages")
-    bad = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)
+    noise, score = F.col("lang_pred") == UNKNOWN, F.col("score")
+    bad = (noise & ((score == 0) | (score >= NOISE_SCORE))) | (~noise & (score < least))
     if languages is not None:
         bad = bad | ~F.col("lang_pred").isin(list(languages))
     return without(docs, staged(verdict.where(bad).select("doc_id", "h").distinct(), "unknown"))

@@ -201,6 +201,23 @@ def _rare(tokens: np.ndarray) -> Iterator[np.ndarray]:
         yield from (g for g in np.split(order, np.flatnonzero(np.diff(column[order])) + 1) if 2 <= len(g) <= RARE)
 
 
+def _around_pivots(idx: np.ndarray, tokens: np.ndarray, weight: np.ndarray, leaf: int) -> Iterator[np.ndarray]:
+    """Blocks of the members near a pivot, each with the pivot; further pivots while each has a quarter of those left."""
+    left = idx
+    while len(left) > 1:
+        sample = tokens[left[::max(1, len(left) // SAMPLE)]]
+        modes = np.array([v[np.argmax(n)] for v, n in (np.unique(c, return_counts=True) for c in sample.T)])
+        pivot = left[np.argmax((tokens[left] == modes).sum(1))]
+        near = (tokens[left] == tokens[pivot]).sum(1) >= PIVOT_SHARE * COORDS
+        held = left[near & (left != pivot)]
+        size = max(1, min(leaf, int(LEAF_SHINGLES / max(1.0, weight[idx].mean()))) - 1)
+        for at in range(0, len(held), size):
+            yield np.sort(np.append(held[at:at + size], pivot))
+        if near.sum() < SETTLED * len(left):
+            return
+        left = left[~near]
+
+
 def branch_in_task(tree: int, level: int, seed: int, tokens: np.ndarray, component: np.ndarray, weight: np.ndarray,
                    leaf: int = LEAF, strays: int = STRAYS) -> Iterator[np.ndarray]:
     """Leaves (places of members) of one gathered node; each holds two components at least."""
@@ -228,6 +245,8 @@ def branch_in_task(tree: int, level: int, seed: int, tokens: np.ndarray, compone
         s = _mean_share(tokens[idx[::max(1, len(idx) // SAMPLE)], TREES:])
         if s >= DENSE and not spread:
             spread = True
+            if tree < PIVOT_TREES:
+                yield from _around_pivots(idx, tokens, weight, leaf)
             todo += [(np.sort(idx[g]), level, rng, True) for g in _rare(tokens[idx, TREES:])]
         for k in range(1 + (rng.random() < _second(s))):
             column = tokens[idx, PLACES[tree, 2 * level + k]]
