@@ -3,7 +3,7 @@
 Each function takes ``(spark, sf_dir)`` and returns a DataFrame; the
 matching SQL lives in ``siglake.plans.oracle_ops``. Every query reads whole
 tables (and whole document texts); the only limits are the operators' own
-(top-k panels, the 500-record upload cap, a history page).
+(top-k panels, a cap per group that a caller asks for, a history page).
 """
 
 from __future__ import annotations
