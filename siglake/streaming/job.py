@@ -18,7 +18,8 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -101,6 +102,14 @@ def audit_row(spark: SparkSession, spec: SourceSpec, batch: str, path: str, bega
               "metadata_json string").withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
+def observed(seen: Observation) -> dict:
+    """What a finished write observed; nothing where its plan turned out to be empty, since Spark then drops the metrics."""
+    try:
+        return seen.get
+    except (Py4JError, PySparkException):
+        return {}
+
+
 def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
     """The ``foreachBatch`` callback for one source.
 
@@ -119,7 +128,8 @@ def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
         path = write_batch(rows, out, spec.table, batch)                                 # B1, exactly once
         if cfg.table_prefix:                                                             # B2 over the same files
             register_batch(spark, f"{cfg.table_prefix}{spec.table}", out, spec.table, batch)
-        append_rows(audit_row(spark, spec, batch, path, began, seen.get["n"], seen.get["bytes"]), f"{out}/audit_log", batch)
+        got = observed(seen)
+        append_rows(audit_row(spark, spec, batch, path, began, got.get("n", 0), got.get("bytes", 0)), f"{out}/audit_log", batch)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         spark, began = batch_df.sparkSession, time.time()

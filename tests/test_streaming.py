@@ -276,7 +276,7 @@ def test_start_all_json_and_csv_sources(spark, scratch):
         assert q.exception() is None
     job.stop_all(qs)
     assert sorted(q.name for q in qs) == ["query_alarms", "query_events_csv", "query_uploads_csv"]
-    assert {s.category for s in waiting} == {"tickets", "network", "security", "performance", "rest", "uploads_json"}
+    assert {s.category for s in waiting} == {"tickets", "network", "security", "performance", "rest", "uploads_json", "uploads_excel", "uploads_pdf"}
     up = _stored(spark, cfg, "network_events")
     one = up.where("filename = 'test_alarms.csv'").orderBy("event_id").collect()
     assert [r["event_id"][-2:] for r in one] == ["-0", "-1"] and one[0]["event_id"].startswith("UPLOAD-")
@@ -295,7 +295,7 @@ def test_start_all_json_and_csv_sources(spark, scratch):
     # the folders that were missing start once they are there
     write_file(land, "raw/kafka/category=tickets/t.json", json.dumps([_event(5, "2026-08-06T10:00:00Z")]))
     more, still = job.start_all(spark, waiting, cfg)
-    assert [q.name for q in more] == ["query_tickets"] and len(still) == 5
+    assert [q.name for q in more] == ["query_tickets"] and len(still) == 7
     more[0].awaitTermination(120)
 
 
