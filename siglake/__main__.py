@@ -37,20 +37,23 @@ def _session(app: str, master: str | None, extra: dict | None = None):
 
 
 def run_stream(args) -> int:
-    from siglake.sinks.landing import publish
+    from siglake.sinks.landing import send
     from siglake.sources.files import SOURCES
-    from siglake.streaming import job, monitor
+    from siglake.streaming import follow, job, monitor
 
     spark = _session("siglake-stream", args.master, STREAM_CONF)
     cfg = job.StreamConfig(landing_root=args.landing, output_root=args.output,
                            checkpoint_root=args.checkpoints,
                            trigger_seconds=None if args.once else args.trigger_seconds,
                            max_files_per_trigger=args.max_files, table_prefix=args.table_prefix,
-                           publish=(lambda df: publish(df, args.bootstrap)) if args.bootstrap else None)
+                           publish=(lambda df: send(df, args.bootstrap)) if args.bootstrap else None,
+                           hourly=args.hourly)
     waiting = [s for s in SOURCES if not args.sources or s.category in args.sources]
     log_path = args.run_log or f"{args.output.rstrip('/')}/run_log"
     listener = monitor.attach(spark)
+    tables = [s.table for s in waiting]
     queries: list = []
+    followers: list = []
     stopping = {"flag": False}
 
     def stop(*_):
@@ -67,13 +70,20 @@ def run_stream(args) -> int:
             listener.flush(spark, log_path, FLUSH_ROWS)
             if not any(q.isActive for q in queries) and (args.once or queries):
                 break
+            if not args.once:
+                followers += follow.start_followers(spark, cfg, tables, followers)
             time.sleep(args.monitor_seconds)
+        if args.once:                              # what the sources brought is there now
+            followers += follow.start_followers(spark, cfg, tables)
+            for q in followers:
+                while q.isActive and not stopping["flag"]:
+                    q.awaitTermination(1)
     finally:
-        job.stop_all(queries)                                                   # I6
+        job.stop_all(queries + followers)                                       # I6
         time.sleep(min(args.monitor_seconds, 2.0))       # the last progress events arrive
         listener.flush(spark, log_path)
         spark.streams.removeListener(listener)
-    failed = [q.name for q in queries if q.exception() is not None]
+    failed = [q.name for q in queries + followers if q.exception() is not None]
     return 1 if failed else 0
 
 
@@ -139,6 +149,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files", type=int, default=50)
     s.add_argument("--table-prefix", default=None, help="also register catalog tables, e.g. ops.")
     s.add_argument("--bootstrap", default=None, help="publish upload and REST events to these Kafka servers")
+    s.add_argument("--hourly", action="store_true", help="keep hourly counts of each table")
     s.add_argument("--monitor-seconds", type=float, default=30.0)
     s.add_argument("--run-log", default=None, help="default: run_log under the output")
     s.add_argument("--once", action="store_true", help="drain what is there and stop")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from siglake.functions.files import source_slug
 from siglake.functions.timeparse import event_date
 
+MESSAGE = "key string, topic string, value string"
+
 
 def file_prefix(source, event_id) -> F.Column:
     """``kafka_<source slug>_<event id>`` (the platform's object prefix)."""
@@ -32,8 +34,12 @@ def encode_messages(df: DataFrame, topic: str | None = None, topic_col: str | No
                      F.to_json(F.struct(*[F.col(c) for c in body])).alias("value"))
 
 
+def send(messages: DataFrame, bootstrap_servers: str) -> None:
+    """Write encoded messages to Kafka (needs the spark-sql-kafka package)."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).save()
+
+
 def publish(df: DataFrame, bootstrap_servers: str, topic: str | None = None,
             topic_col: str | None = "topic") -> None:
-    """Write rows to Kafka as JSON (needs the spark-sql-kafka package)."""
-    (encode_messages(df, topic=topic, topic_col=topic_col)
-     .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).save())
+    """Write rows to Kafka as JSON."""
+    send(encode_messages(df, topic=topic, topic_col=topic_col), bootstrap_servers)

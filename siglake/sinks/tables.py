@@ -6,7 +6,7 @@ Serving tables have one layout, whoever writes them:
 
 ``materialize`` writes the batch ``base``; a stream writes one batch per
 micro-batch, named by its source, its query's id and the batch id, so a retry
-replaces its own folder and a new query never writes into an old one's.
+finds its own folder and a new query never writes into an old one's.
 ``read_serving`` gives a table with the newest row of each id over all batches;
 ``compact`` folds the dates that new batches touch, and leaves the others as they are.
 
@@ -52,12 +52,28 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "append",
 
 
 def write_batch(df: DataFrame, output: str, table: str, batch: str) -> str:
-    """Exactly-once form of B1: the folder of ``batch`` holds ``df`` and nothing else. Returns it."""
-    path = f"{table_path(output, table)}/batch={batch}"
-    write_partitioned(df, path, mode="overwrite")
+    """Exactly-once form of B1: ``df`` is staged and moved to the folder of ``batch`` once. Returns it.
+
+    A retry leaves what is there, so files that others follow never change their names.
+    """
+    spark, path = df.sparkSession, f"{table_path(output, table)}/batch={batch}"
+    staging = f"{output.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    write_partitioned(df, staging, mode="overwrite")
+    if not fs.publish(spark, staging, path):
+        fs.delete(spark, staging)
     return path
 
 
+def stream_stored(spark: SparkSession, output: str, table: str, max_files: int) -> DataFrame:
+    """The stored rows of a table as a stream, repeats included.
+
+    A file that a compaction took away since it was listed is passed over: its rows
+    come with the folded batch.
+    """
+    return (spark.readStream.schema(_STORED).option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
+            .option("ignoreMissingFiles", True).parquet(table_path(output, table)))
+
+
 def read_stored(spark: SparkSession, output: str, table: str) -> DataFrame:
     """All stored rows of a table with their ``batch``, repeats of later batches included.
 

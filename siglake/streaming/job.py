@@ -2,7 +2,7 @@
 
 One Structured Streaming query per registry source (A3). Each micro-batch is
 cleaned with the batch transforms and written to a folder of its own, named by
-source, query id and batch id, so a retry replaces its own output. The query's
+source, query id and batch id, so a retry finds its own output. The query's
 id lives in its checkpoint, whose place is the same in every application; a
 query that would start anew beside the output of an older one is refused.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,6 +33,7 @@ from siglake.operators.uploads import UPLOAD_TOPIC, Uploads
 from siglake.schemas import REST_ENVELOPE, UNIFIED_EVENT
 from siglake.session import stable_checkpoint_root
 from siglake.sinks import fs
+from siglake.sinks.landing import encode_messages
 from siglake.sinks.tables import append_rows, register_batch, table_path, write_batch
 from siglake.sources.files import CORRUPT, SourceSpec, open_source, stream_binary
 
@@ -45,7 +47,9 @@ class StreamConfig:
     max_files_per_trigger: int = 50
     table_prefix: str | None = None        # e.g. "ops." to also expose catalog tables
     json_multiline: bool | None = None     # override the per-source JSON mode
-    publish: Callable[[DataFrame], None] | None = None   # gets upload and REST events with their topic (B6)
+    # gets the (key, topic, value) messages of upload and REST events from the outbox (``follow.start_outbox``, B6)
+    publish: Callable[[DataFrame], None] | None = None
+    hourly: bool = False                   # keep hourly counts of each table (``follow.start_hourly``)
 
 
 def clean_batch(df: DataFrame, category: str) -> DataFrame:
@@ -61,13 +65,22 @@ def clean_batch(df: DataFrame, category: str) -> DataFrame:
 
 def checkpoint_location(spark: SparkSession, cfg: StreamConfig, spec: SourceSpec) -> str:
     """One checkpoint per source, at the same place in every application."""
+    return f"{_checkpoints(spark, cfg)}/{spec.category}"
+
+
+def follower_checkpoint(spark: SparkSession, cfg: StreamConfig, name: str) -> str:
+    """The checkpoint of a query that follows the stored batches, beside those of the sources."""
+    return f"{_checkpoints(spark, cfg)}/_follow/{name}"
+
+
+def _checkpoints(spark: SparkSession, cfg: StreamConfig) -> str:
     root = cfg.checkpoint_root
     if root is None:
         shared = stable_checkpoint_root(spark)
         if not shared:
             raise ValueError("name a checkpoint folder, or set spark.checkpoint.dir to a shared one")
         root = f"{shared.rstrip('/')}/streams"
-    return f"{root.rstrip('/')}/{spec.category}"
+    return root.rstrip("/")
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -91,6 +104,19 @@ def source_mark(cfg: StreamConfig, spec: SourceSpec) -> str:
     return f"{cfg.output_root.rstrip('/')}/_sources/{spec.category}"
 
 
+def outbox_path(output: str) -> str:
+    return f"{output.rstrip('/')}/outbox"
+
+
+def put_in_outbox(events: DataFrame, output: str, batch: str) -> None:
+    """The batch's messages, staged and moved to their place once: a retry sends nothing again."""
+    spark = events.sparkSession
+    staging = f"{output.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    encode_messages(events).write.parquet(staging)
+    if not fs.publish(spark, staging, f"{outbox_path(output)}/batch={batch}"):
+        fs.delete(spark, staging)
+
+
 def audit_row(spark: SparkSession, spec: SourceSpec, batch: str, path: str, began: float, records: int | None,
               payload_bytes: int | None, error: str | None = None) -> DataFrame:
     """One row for a batch: what was observed while it was written, or why it failed."""
@@ -113,9 +139,9 @@ def observed(seen: Observation) -> dict:
 def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
     """The ``foreachBatch`` callback for one source.
 
-    Writes the batch's serving rows, its catalog partitions, its audit row and,
-    for uploads, the files' metadata and history rows, each in a folder of the
-    batch, so a retry replaces them all.
+    Writes the batch's serving rows, its catalog partitions, its audit row, the
+    messages to publish and, for uploads, the files' metadata and history rows, each
+    in a folder of the batch, so a retry writes nothing twice.
     """
     out = cfg.output_root.rstrip("/")
 
@@ -160,14 +186,14 @@ def make_batch_handler(spec: SourceSpec, cfg: StreamConfig, checkpoint: str):
                     stored = spark.read.parquet(f"{out}/upload_files/batch={batch}")
                     append_rows(files.history(metadata=stored), f"{out}/upload_history", batch)
                     if cfg.publish:
-                        cfg.publish(events.withColumn("topic", F.lit(UPLOAD_TOPIC)))
+                        put_in_outbox(events.withColumn("topic", F.lit(UPLOAD_TOPIC)), out, batch)
                 finally:
                     events.unpersist()
             else:
                 events = envelope_events(rows) if spec.kind == "envelopes" else rows
                 store(spark, events, batch)
                 if cfg.publish and spec.kind == "envelopes":
-                    cfg.publish(events.drop("file_modified_at", "ingest_file"))
+                    put_in_outbox(events.drop("file_modified_at", "ingest_file"), out, batch)
         finally:
             rows.unpersist()
 

@@ -95,7 +95,7 @@ def test_partitioned_and_idempotent_writes(spark, scratch):
     assert spark.read.parquet(out).where("event_date = '2026-01-02'").count() == 1   # partition pruning
     b = os.path.join(scratch, "b")
     write_batch(df, b, "alarms", "q--7")
-    write_batch(df, b, "alarms", "q--7")       # a retried batch replaces itself
+    write_batch(df, b, "alarms", "q--7")       # a retried batch finds itself
     write_batch(df.limit(1), b, "alarms", "q--8")
     assert spark.read.parquet(table_path(b, "alarms")).count() == 3
 
