@@ -124,3 +124,15 @@ def test_a_retried_batch_publishes_each_event_once(spark, scratch, monkeypatch):
     assert len(sent) == 2 and len({r["key"] for r in sent}) == 2
     assert all(json.loads(r["value"])["event_id"] == r["key"] for r in sent)
     assert read_serving(spark, cfg.output_root, "network_events").count() == 2
+
+
+def test_command_line_keeps_hourly_counts_in_rocksdb(spark, scratch):
+    from siglake.__main__ import main
+    cfg = _cfg(scratch)
+    for i in (1, 2):
+        _land(cfg.landing_root, f"f{i}", [_event(n, at, sev=sev) for n, at, sev in THREE[i - 1]])
+    rc = main(["stream", "--landing", cfg.landing_root, "--output", cfg.output_root, "--checkpoints", cfg.checkpoint_root,
+               "--sources", "alarms", "--once", "--hourly", "--monitor-seconds", "0.5", "--run-log", os.path.join(scratch, "runlog")])
+    assert rc == 0
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    _same_as_the_panel(spark, cfg)
