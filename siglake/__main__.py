@@ -47,7 +47,7 @@ def run_stream(args) -> int:
                            trigger_seconds=None if args.once else args.trigger_seconds,
                            max_files_per_trigger=args.max_files, table_prefix=args.table_prefix,
                            publish=(lambda df: send(df, args.bootstrap)) if args.bootstrap else None,
-                           hourly=args.hourly)
+                           hourly=args.hourly, drop_repeats=args.drop_repeats)
     waiting = [s for s in SOURCES if not args.sources or s.category in args.sources]
     log_path = args.run_log or f"{args.output.rstrip('/')}/run_log"
     listener = monitor.attach(spark)
@@ -149,6 +149,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-files", type=int, default=50)
     s.add_argument("--table-prefix", default=None, help="also register catalog tables, e.g. ops.")
     s.add_argument("--bootstrap", default=None, help="publish upload and REST events to these Kafka servers")
+    s.add_argument("--drop-repeats", default=None, help="drop equal events that arrive again within this delay, e.g. '2 days'")
     s.add_argument("--hourly", action="store_true", help="keep hourly counts of each table")
     s.add_argument("--monitor-seconds", type=float, default=30.0)
     s.add_argument("--run-log", default=None, help="default: run_log under the output")

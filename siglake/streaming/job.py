@@ -36,6 +36,7 @@ from siglake.sinks import fs
 from siglake.sinks.landing import encode_messages
 from siglake.sinks.tables import append_rows, register_batch, table_path, write_batch
 from siglake.sources.files import CORRUPT, SourceSpec, open_source, stream_binary
+from siglake.streaming.repeats import drop_repeats
 
 
 @dataclass
@@ -49,6 +50,8 @@ class StreamConfig:
     json_multiline: bool | None = None     # override the per-source JSON mode
     # gets the (key, topic, value) messages of upload and REST events from the outbox (``follow.start_outbox``, B6)
     publish: Callable[[DataFrame], None] | None = None
+    # drop equal events that arrive again within this delay, e.g. "2 days"; set it from a source's first start on
+    drop_repeats: str | None = None
     hourly: bool = False                   # keep hourly counts of each table (``follow.start_hourly``)
 
 
@@ -233,7 +236,10 @@ def start_source(spark: SparkSession, spec: SourceSpec, cfg: StreamConfig,
     """A1/A2 + I1-I4: start one named query with its checkpoint and trigger."""
     checkpoint = checkpoint_location(spark, cfg, spec)
     refuse_second_start(spark, cfg, spec)
-    w = (source_frame(spark, spec, cfg, schema).writeStream
+    rows = source_frame(spark, spec, cfg, schema)
+    if cfg.drop_repeats and spec.kind == "events":
+        rows = drop_repeats(rows, cfg.drop_repeats)
+    w = (rows.writeStream
          .queryName(f"query_{spec.category}")
          .foreachBatch(make_batch_handler(spec, cfg, checkpoint))
          .option("checkpointLocation", checkpoint))
