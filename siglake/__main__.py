@@ -5,6 +5,8 @@
   materialize  batch build of all serving tables from the driver tables
   compact      fold the stored batches of serving tables into one
   panel        run a dashboard statement (or any SQL) over serving tables
+  lookup       the newest version of one event of a serving table
+  settle       write the files anew that hold deleted rows of a history
 
 Settings the cluster owns (``spark.checkpoint.dir``, shuffle width, memory)
 come from the spark-submit configuration; the streaming commands add FAIR
@@ -135,6 +137,23 @@ def run_panel(args) -> int:
     return 0
 
 
+def run_lookup(args) -> int:
+    from siglake.sinks.tables import lookup_event
+
+    spark = _session("siglake-lookup", args.master)
+    rows = lookup_event(spark, args.serving, args.table, args.id).toJSON().collect()     # one row, or none
+    print("\n".join(rows))
+    return 0 if rows else 1
+
+
+def run_settle(args) -> int:
+    from siglake.sinks.history import settle_deletes
+
+    spark = _session("siglake-settle", args.master)
+    print(json.dumps({"files": settle_deletes(spark, args.history, args.tombstones, args.id_column)}))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="siglake")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
@@ -188,6 +207,18 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--format", default="parquet", choices=["parquet", "json", "csv"])
     q.set_defaults(fn=run_panel)
 
+    k = sub.add_parser("lookup", help="one event of a serving table, as JSON; exit code 1 if there is none")
+    k.add_argument("--serving", required=True)
+    k.add_argument("--table", required=True)
+    k.add_argument("--id", required=True)
+    k.set_defaults(fn=run_lookup)
+
+    d = sub.add_parser("settle", help="take deleted rows out of the files of a history")
+    d.add_argument("--history", required=True)
+    d.add_argument("--tombstones", required=True)
+    d.add_argument("--id-column", default="id")
+    d.set_defaults(fn=run_settle)
+
     args = p.parse_args(argv)
     return args.fn(args)
 

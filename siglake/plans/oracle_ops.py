@@ -265,4 +265,8 @@ SELECT source, event_type, topic, COUNT(*) AS n FROM u GROUP BY 1, 2, 3""",
             "SELECT id, filename, file_type, file_size_bytes, minio_path, kafka_topic, records_count, "
             "status, created_at FROM hist ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST "
             "LIMIT 50 OFFSET 50"),
+        "uploads_deep_page": _w(FILES, HISTORY) + (
+            "SELECT id, filename, file_type, file_size_bytes, minio_path, kafka_topic, records_count, "
+            "status, created_at FROM hist ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST "
+            "LIMIT 50 OFFSET 150"),
     }

@@ -29,6 +29,7 @@ from siglake.sources.kafka import decode_messages
 LOOKUP_ID = 42
 CAP_EXAMPLE = 500      # the platform's own bound on records per upload; no job applies one by itself
 UPLOADS_PAGE_OFFSET = 50
+UPLOADS_DEEP_OFFSET = 150
 UPLOADS_PAGE_SIZE = 50
 RECENT_AUDIT_ROWS = 50
 
@@ -273,6 +274,14 @@ def q_uploads_page(spark, sf_dir):
     return summaries.recent_rows(driver.upload_history(spark, sf_dir, docs), UPLOADS_PAGE_SIZE, columns=cols)
 
 
+def q_uploads_deep_page(spark, sf_dir):
+    """A page further down the history, by the page index of its ids."""
+    cols = ["id", "filename", "file_type", "file_size_bytes", "minio_path", "kafka_topic",
+            "records_count", "status", "created_at"]
+    docs = driver.deep_documents(spark, sf_dir, UPLOADS_PAGE_SIZE, UPLOADS_DEEP_OFFSET)
+    return summaries.recent_rows(driver.upload_history(spark, sf_dir, docs), UPLOADS_PAGE_SIZE, columns=cols)
+
+
 def operator_queries():
     return {
         "severity_clean": q_severity_clean,
@@ -307,4 +316,5 @@ def operator_queries():
         "fan_in_union": q_fan_in_union,
         "recent_audit": q_recent_audit,
         "uploads_page": q_uploads_page,
+        "uploads_deep_page": q_uploads_deep_page,
     }

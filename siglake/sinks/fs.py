@@ -27,6 +27,21 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the Parquet files right under a folder, sorted; none if there is no such folder."""
+    fs, p = _at(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().endswith(".parquet"))
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename one file."""
+    fs, to = _at(spark, target)
+    if not fs.rename(_at(spark, source)[1], to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def make(spark: SparkSession, path: str) -> None:
     fs, p = _at(spark, path)
     fs.mkdirs(p)

@@ -31,6 +31,8 @@ BASE = "base"            # the batch that ``materialize`` writes
 FOLDED = "folded-"       # batches that ``compact`` writes; together they hold each id once
 _REPLACES = "_replaces"  # in such a batch: what it stands for and is still to be removed
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
+# Point lookups (D6): a Parquet Bloom filter of the ids in each row group, no larger than they need.
+_BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true"}
 _STORED = T.StructType([*CANONICAL_EVENT.fields, T.StructField("batch", T.StringType())])
 
 
@@ -38,17 +40,27 @@ def table_path(output: str, table: str) -> str:
     return f"{output.rstrip('/')}/table={table}"
 
 
+def id_options(df: DataFrame, id_col: str) -> dict[str, str]:
+    """Write options that index ``id_col`` for point lookups; none if there is no such column."""
+    return {**_BLOOM, f"parquet.bloom.filter.enabled#{id_col}": "true"} if id_col in df.columns else {}
+
+
 def write_partitioned(df: DataFrame, path: str, mode: str = "append",
-                      partition_col: str = "event_date") -> None:
+                      partition_col: str = "event_date", id_col: str = "event_id") -> None:
     """B1: parquet partitioned by ``event_date``.
 
     Rows are clustered by the partition column first so each task writes
     few, large files per date instead of one small file per (task, date).
     The REBALANCE hint (not a plain hash repartition) lets AQE split a date
     that holds a large share of the rows across several tasks.
+
+    The sort that partitioned writes need anyway goes on to the id, so row groups hold
+    narrow ranges of ids; with their Bloom filters a lookup skips nearly all of them.
     """
-    (df.hint("rebalance", partition_col)
-       .write.mode(mode).partitionBy(partition_col).parquet(path))
+    rows = df.hint("rebalance", partition_col)
+    if id_col in df.columns:
+        rows = rows.sortWithinPartitions(partition_col, id_col)
+    rows.write.mode(mode).partitionBy(partition_col).options(**id_options(df, id_col)).parquet(path)
 
 
 def write_batch(df: DataFrame, output: str, table: str, batch: str) -> str:
@@ -119,6 +131,26 @@ def read_serving(spark: SparkSession, output: str, table: str, columns: list[str
     return time_slice(folded, since, until).unionByName(alone).select(*wanted)
 
 
+def stored_with_id(spark: SparkSession, output: str, table: str, value: str) -> DataFrame:
+    """The stored rows of one event, all versions.
+
+    Two scans, each with a filter that Parquet can test by row group: rows of that
+    ``event_id`` (ranges, Bloom filters), and rows without one (null counts) whose
+    payload names the id. As one OR neither index could rule a row group out.
+    """
+    stored = read_stored(spark, output, table)
+    named = (F.col("event_id") == F.lit(value)) & (F.col("event_id") != "")
+    unnamed = (F.col("event_id").isNull() | (F.col("event_id") == "")) & (event_key(stored) == F.lit(value))
+    return stored.where(named).unionByName(stored.where(unnamed))
+
+
+def lookup_event(spark: SparkSession, output: str, table: str, value: str,
+                 columns: list[str] | None = None) -> DataFrame:
+    """D6 on a serving table: the newest version of one event, or no row ("not found")."""
+    wanted = CANONICAL_EVENT.fieldNames() if columns is None else list(columns)
+    return newest_events(stored_with_id(spark, output, table, value).drop("batch"), wanted)
+
+
 def has_table(spark: SparkSession, output: str, table: str) -> bool:
     return bool(fs.folders(spark, table_path(output, table)))
 
@@ -247,15 +279,16 @@ def register_batch(spark: SparkSession, name: str, output: str, table: str, batc
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec}")
 
 
-def append_rows(df: DataFrame, path: str, batch: str | None = None) -> None:
-    """History rows (audit log, upload history) as parquet.
+def append_rows(df: DataFrame, path: str, batch: str | None = None, id_col: str = "id") -> None:
+    """History rows (audit log, upload history) as parquet, their ids indexed for lookups.
 
     With ``batch`` they go to a folder of their own, which a retry replaces.
     """
+    options = id_options(df, id_col)
     if batch is None:
-        df.write.mode("append").parquet(path)
+        df.write.mode("append").options(**options).parquet(path)
     else:
-        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+        df.write.mode("overwrite").options(**options).parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
 def delete_by_id(spark: SparkSession, path: str, tombstone_path: str, ids: list,
@@ -275,8 +308,8 @@ def delete_by_id(spark: SparkSession, path: str, tombstone_path: str, ids: list,
 
 
 def read_live(spark: SparkSession, path: str, tombstone_path: str, id_col: str = "id") -> DataFrame:
-    """History rows minus tombstoned ids (the anti-join side is id-only)."""
+    """History rows minus tombstoned ids (the anti-join side is id-only; none once ``settle_deletes`` has run)."""
     hist = spark.read.parquet(path)
-    if not fs.exists(spark, tombstone_path):
+    if not fs.files(spark, tombstone_path):
         return hist
     return hist.join(spark.read.parquet(tombstone_path).select(id_col), id_col, "left_anti")

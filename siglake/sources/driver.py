@@ -17,6 +17,8 @@ library's own operators applied to these frames.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ from siglake.functions.files import file_type_of, sha256_hex
 from siglake.operators.normalize import connector_normalize
 from siglake.operators.reshape import fan_in
 from siglake.operators.summaries import recent_rows
+from siglake.session import shared_path
+from siglake.sinks import fs
+from siglake.sinks.pages import build_page_index, read_page
 
 # ---------------------------------------------------------------------------
 # Fixed values (fixture mapping)
@@ -174,6 +179,16 @@ def newest_documents(spark: SparkSession, sf_dir: str, n: int, offset: int = 0)
     return d.join(F.broadcast(page), "doc_id", "left_semi")      # n ids
 
 
+def deep_documents(spark: SparkSession, sf_dir: str, n: int, offset: int) -> DataFrame:
+    """The documents of a page far down, through a page index of the ids; no task orders ``offset`` rows."""
+    path = shared_path(spark, "pages", uuid.uuid4().hex)
+    d = table(spark, sf_dir, "documents")
+    build_page_index(d.select("doc_id", _created_at(F.col("doc_id")).alias("created_at")), path, tie="doc_id")
+    ids = [r["doc_id"] for r in read_page(spark, path, n, offset, tie="doc_id").select("doc_id").collect()]   # n at most
+    fs.delete(spark, path)
+    return d.where(F.col("doc_id").isin(ids))
+
+
 def uploaded_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """One row per uploaded file: id, filename, file_type, size, content, created_at."""
     d = table(spark, sf_dir, "documents") if docs is None else docs
