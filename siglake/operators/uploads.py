@@ -1,19 +1,23 @@
 """Uploaded-file inspection and ingestion.
 
-Uploads are read with Spark's own readers: ``binaryFile`` for size and hash,
-the CSV reader (quoted fields and line breaks, one pass for all files of equal
-header) and JSON functions. A file that does not parse is reported with a
-reason and gives no records; it never fails the job. Workbooks and PDFs are
-typed, sized and hashed, not read. Spark's ``binaryFile`` reader gives no row for
-a 0-byte file.
+Every figure comes from one scan of ``binaryFile``: size and hash, and the records of a
+file as an array cut from its text, the first of a CSV file being its header. So header
+and rows need no join, files of any number of headers share one plan, and a record's
+place is its place in the array: nothing is shuffled. A file is a row here, as its hash
+needs it to be (Spark's limit is 2 GB), and its records are an array in one task; Spark's
+multi-line CSV reader gives a file to one task as well. A file that does not parse is
+reported with a reason and gives no records; it never fails the job. Workbooks and PDFs
+are typed, sized and hashed, not read. ``binaryFile`` gives no row for a 0-byte file.
+
+CSV: a cell that starts with a quote runs to its closing quote, line breaks and commas
+included, a doubled quote being one; a quote elsewhere is a character; one that never
+closes takes the rest of the file. Empty lines are no records, and nothing before the first
+visible character is; cells beyond the header are dropped, missing ones are NULL; CR LF counts as LF.
 """
 
 from __future__ import annotations
 
-import csv
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +30,10 @@ UPLOAD_TOPIC = "network-events"
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
-RECORDS = T.StructType([T.StructField("path", T.StringType()), T.StructField("row_idx", T.LongType()),
-                        T.StructField("record", T.StringType())])
-_HEADERS = "path string, columns array<string>"
+# possessive throughout, so a long text is matched in a loop, without backtracking
+_CELL = r'(?:"(?:[^"]++|"")*+(?:"|\z)[^,\n]*+|[^,\n]*+)'
+_RECORD = f"{_CELL}(?:,{_CELL})*+"
+_QUOTED = r'^"(?:[^"]++|"")*+"\z'
 
 
 def _path(col) -> F.Column:
@@ -36,51 +41,36 @@ def _path(col) -> F.Column:
     return F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"^file:/+", "file:/")
 
 
-def unique_names(names: list[str]) -> list[str]:
+def unique_names(names: Column) -> Column:
     """Column names made distinct: a repeat gets the first free ``.1``, ``.2`` ...; case does not tell them apart."""
-    out, taken = [], {n.lower() for n in names}
-    seen: set[str] = set()
-    for n in names:
-        name, i = n, 0
-        while name.lower() in seen or (i and name.lower() in taken):
-            i += 1
-            name = f"{n}.{i}"
-        seen.add(name.lower())
-        out.append(name)
-    return out
-
-
-def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header: the first line of each, read in one job."""
-    if not paths:
-        return {}
-    lines = spark.read.text(paths).select(_path(F.col("_metadata.file_path")).alias("path"), "value",
-                                          F.monotonically_increasing_id().alias("at"))
-    first = lines.where(F.length(F.trim("value")) > 0).groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in first.collect():                              # a row per uploaded file of the batch
-        names = next(csv.reader([r["line"].lstrip("﻿")]), [])
-        out.setdefault(tuple(unique_names([n.strip() or "column" for n in names])), []).append(r["path"])
-    return out
-
-
-def csv_records(spark: SparkSession, headers: dict[tuple[str, ...], list[str]]) -> DataFrame:
-    """(path, row_idx, record) of CSV files, each row a JSON object under its own file's header."""
-    parts = []
-    for names, paths in headers.items():
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        rows = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-                .option("mode", "PERMISSIVE").csv(paths))
-        cells = [F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")).alias(n) for i, n in enumerate(names)]
-        parts.append(rows.select(_path(F.col("_metadata.file_path")).alias("path"),
-                                 F.monotonically_increasing_id().alias("at"),
-                                 F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias("record")))
-    if not parts:
-        return spark.createDataFrame([], RECORDS)
-    rows = reduce(DataFrame.unionAll, parts)
-    # a file is read by one task, in order; the numbers within it are the record's places
-    place = F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1
-    return rows.select("path", place.cast("bigint").alias("row_idx"), "record")
+    low = F.transform(names, F.lower)
+
+    def name(n, i):
+        before = F.size(F.filter(F.slice(low, 1, i), lambda x: x == F.lower(n)))
+        free = F.filter(F.sequence(F.lit(1), 2 * F.size(names)),
+                        lambda k: ~F.array_contains(low, F.concat(F.lower(n), F.lit("."), k.cast("string"))))
+        return F.when(before == 0, n).otherwise(F.concat(n, F.lit("."), F.get(free, before - 1).cast("string")))
+    return F.transform(names, name)
+
+
+def csv_lines(text: Column) -> Column:
+    """The records of a CSV text as text, header first."""
+    plain = F.replace(F.regexp_replace(text, "^\ufeff", ""), F.lit("\r\n"), F.lit("\n"))
+    headed = F.regexp_replace(plain, r"^\s*(?:\n|\z)", "")
+    return F.filter(F.regexp_extract_all(headed, F.lit(_RECORD), F.lit(0)), lambda r: r != "")
+
+
+def csv_cells(record: Column) -> Column:
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_CELL})"), F.lit(1))
+    return F.transform(raw, lambda c: F.when(
+        c.rlike(_QUOTED), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def csv_object(names: Column, record: Column) -> Column:
+    """A record as a JSON object under its file's header; cells read as missing are NULL."""
+    cells = F.slice(csv_cells(record), F.lit(1), F.size(names))
+    values = F.zip_with(names, cells, lambda n, c: F.when(~c.isin(*NA_TOKENS), c))
+    return F.to_json(F.map_from_arrays(names, values), {"ignoreNullFields": "false"})
 
 
 def _json(text: F.Column) -> tuple[F.Column, F.Column]:
@@ -96,35 +86,37 @@ class Uploads:
     """The files of one upload batch (a static ``binaryFile`` frame): metadata, records, events, history."""
 
     def __init__(self, files: DataFrame):
-        self.spark = files.sparkSession
-        self.files = files.withColumn("path", _path("path"))
-        typed = self.files.select("path", file_type_of(F.element_at(F.split("path", "/"), -1)).alias("t"))
-        csvs = [r["path"] for r in typed.where("t = 'csv'").collect()]      # bounded by the files of a batch
-        self.headers = csv_headers(self.spark, csvs)
-
-    def records(self) -> DataFrame:
-        """(path, row_idx, record) of every parsed file, the record as JSON text."""
-        text = F.col("content").cast("string")
-        kind = file_type_of(F.element_at(F.split("path", "/"), -1))
-        parsed = self.files.where(kind == "json").select("path", F.posexplode(_json(text)[1]).alias("row_idx", "record"))
-        return csv_records(self.spark, self.headers).unionByName(
-            parsed.select("path", F.col("row_idx").cast("bigint").alias("row_idx"), "record"))
+        named = files.withColumn("path", _path("path"))
+        self.files = named.withColumn("filename", F.element_at(F.split("path", "/"), -1))
+
+    def _parsed(self) -> DataFrame:
+        """One row per file: facts of its bytes, ``names`` and ``lines`` of CSV, ``text`` of JSON."""
+        kind, text = file_type_of("filename"), F.col("content").cast("string")
+        typed = self.files.select(
+            "path", "filename", kind.alias("file_type"), "length", "modificationTime", sha256_hex("content").alias("sha256_hash"),
+            F.when(kind == "csv", csv_lines(text)).alias("lines"), F.when(kind == "json", text).alias("text"))
+        heads = F.transform(csv_cells(F.get("lines", F.lit(0))), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
+        typed = typed.withColumn("heads", F.transform(heads, lambda c: F.when(c == "", "column").otherwise(c)))
+        return typed.withColumn("names", unique_names(F.col("heads"))).drop("heads")
+
+    def records(self, keep: list[str] | None = None) -> DataFrame:
+        """(path, row_idx, record) of every parsed file, the record as JSON text; ``keep``: facts of its file."""
+        items = F.when(F.col("file_type") == "csv", F.filter("lines", lambda r, i: i > 0)).otherwise(_json(F.col("text"))[1])
+        rows = self._parsed().select("path", *(keep or []), "names", F.posexplode(items).alias("row_idx", "item"))
+        record = F.when(F.col("names").isNotNull(), csv_object(F.col("names"), F.col("item"))).otherwise(F.col("item"))
+        return rows.select("path", *(keep or []), F.col("row_idx").cast("bigint").alias("row_idx"), record.alias("record"))
 
     def metadata(self) -> DataFrame:
         """E12 + D4: one row per file: type, size, hash, row count, columns or JSON structure, status, reason."""
-        name = F.element_at(F.split("path", "/"), -1)
-        text, kind = F.col("content").cast("string"), file_type_of(name)
+        text = F.col("text")
         structure, _ = _json(text)
-        counts = self.records().groupBy("path").agg(F.count("*").alias("row_count"))
-        headers = self.spark.createDataFrame(
-            [(p, list(names)) for names, paths in self.headers.items() for p in paths], _HEADERS)
-        facts = self.files.select(
-            "path", name.alias("filename"), kind.alias("file_type"), content_type_of(kind).alias("content_type"),
-            F.col("length").alias("file_size_bytes"), sha256_hex("content").alias("sha256_hash"),
-            F.col("modificationTime").alias("uploaded_at"),
-            F.when(kind == "json", structure).alias("structure"),
-            F.when((kind == "json") & (structure == "object"), F.json_object_keys(text)).alias("json_keys"))
-        out = facts.join(counts, "path", "left").join(headers, "path", "left")
+        count = (F.when(F.col("lines").isNotNull(), F.greatest(F.size("lines") - 1, F.lit(0)))
+                 .when(F.col("structure") == "array", F.json_array_length(text)).when(F.col("structure") == "object", 1))
+        out = self._parsed().withColumn("structure", structure).select(
+            "path", "filename", "file_type", content_type_of(F.col("file_type")).alias("content_type"),
+            F.col("length").alias("file_size_bytes"), "sha256_hash", F.col("modificationTime").alias("uploaded_at"),
+            "structure", F.when(F.col("structure") == "object", F.json_object_keys(text)).alias("json_keys"),
+            count.cast("bigint").alias("row_count"), F.col("names").alias("columns"))
         reason = (F.when(F.col("file_size_bytes") == 0, "empty file")
                   .when(F.col("file_type").isNull(), "unsupported extension")
                   .when((F.col("file_type") == "json") & F.col("structure").isNull(), "invalid JSON")
@@ -136,12 +128,10 @@ class Uploads:
 
     def events(self, cap: int | None = None) -> DataFrame:
         """C14: an upload event for every record (D5: the first ``cap`` of each file, if a cap is given)."""
-        meta = self.files.select("path", sha256_hex("content").alias("sha256_hash"),
-                                 F.col("modificationTime").alias("uploaded_at"))
-        name = F.element_at(F.split("path", "/"), -1)
-        recs = self.records() if cap is None else self.records().where(F.col("row_idx") < cap)
-        recs = recs.join(meta, "path").withColumns({"filename": name, "file_type": file_type_of(name)})
-        out = upload_events(recs, F.col("file_type"), F.col("sha256_hash"), F.col("uploaded_at").cast("string"),
+        recs = self.records(["filename", "file_type", "sha256_hash", "modificationTime"])
+        if cap is not None:
+            recs = recs.where(F.col("row_idx") < cap)
+        out = upload_events(recs, F.col("file_type"), F.col("sha256_hash"), F.col("modificationTime").cast("string"),
                             F.col("filename"), F.col("row_idx"), ["record"], path=F.col("path"))
         return out.withColumn("payload", F.get_json_object("payload", "$.record"))
 

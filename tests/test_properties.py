@@ -135,4 +135,5 @@ def test_csv_quoted_line_breaks_and_awkward_headers(spark, scratch):
     assert recs == {("q.csv", 0): {"id": "1", "say, what": "two\nlines"}, ("q.csv", 1): {"id": "2", "say, what": 'he said "hi"'},
                     ("h.csv", 0): {"a": "1", "a.2": "2", "a.1": "3", "A.3": "4"}}
     assert {r["row_count"] for r in up.metadata().collect()} == {1, 2}
-    assert unique_names(["x", "x", "x.1", "X"]) == ["x", "x.2", "x.1", "X.3"]
+    names = spark.createDataFrame([(["x", "x", "x.1", "X"],)], "n array<string>")
+    assert names.select(unique_names(F.col("n"))).first()[0] == ["x", "x.2", "x.1", "X.3"]

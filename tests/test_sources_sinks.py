@@ -199,6 +199,35 @@ def test_no_upload_content_breaks_the_batch(spark, scratch):
     assert meta["f7.csv"]["columns"] == ["x", "y"] and meta["f3.json"]["status"] == "REJECTED"
 
 
+def test_files_of_many_headers_are_read_once_in_one_plan(spark, scratch):
+    for i in range(200):
+        write_file(scratch, f"up/f{i:03d}.csv", f"id,c{i},note\n{i},007,\"a\nb, \"\"{i}\"\"\"\n{i},,5\" pipe,extra\n")
+    up = Uploads(read_binary(spark, os.path.join(scratch, "up")))
+    recs, meta = up.records(), up.metadata()
+    got = {(r["path"][-8:-4], r["row_idx"]): json.loads(r["record"]) for r in recs.collect()}
+    assert len(got) == 400
+    assert got["f042", 0] == {"id": "42", "c42": "007", "note": 'a\nb, "42"'}
+    assert got["f199", 1] == {"id": "199", "c199": None, "note": '5" pipe'}
+    assert {(r["columns"][1], r["row_count"]) for r in meta.collect()} == {(f"c{i}", 2) for i in range(200)}
+    for df in (recs, meta):
+        plan = df._jdf.queryExecution().executedPlan()
+        assert plan.toString().count("FileScan") == 1 and "Exchange" not in plan.toString()
+        while plan.children().size():
+            plan = plan.children().apply(0)
+        assert plan.metrics().apply("numOutputRows").value() == 200          # each file once
+
+
+def test_long_csv_texts_match_without_recursion(spark, scratch):
+    write_file(scratch, "up/a.csv", "a,b\n" + '"' + "x\n" * 200_000 + '",' + '""' * 100_001 + "\r\n" + "1,2\r\n" * 1000)
+    write_file(scratch, "up/wide.csv", ",".join(f"c{i}" for i in range(3000)) + "\n" + "," * 5000 + "\n")
+    up = Uploads(read_binary(spark, os.path.join(scratch, "up")))
+    meta = {r["filename"]: r for r in up.metadata().collect()}
+    assert meta["a.csv"]["row_count"] == 1001 and len(meta["wide.csv"]["columns"]) == 3000
+    first = [json.loads(r["record"]) for r in up.records().where("row_idx = 0 AND path LIKE '%a.csv'").collect()][0]
+    assert first["a"] == "x\n" * 200_000 and first["b"] == '"' * 100_000
+    assert up.records().count() == 1002
+
+
 def test_upload_paths_keep_bucket_and_host(spark):
     from siglake.operators.uploads import _path
     paths = ["s3a://bucket/k/a.csv", "hdfs://nn:8020/up/a.csv", "file:///tmp/a.csv", "file:/tmp/a.csv",
