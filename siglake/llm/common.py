@@ -22,6 +22,8 @@ from siglake.session import shared_path
 #: one that is not stored. Beyond them the same join runs as a shuffle join.
 BROADCAST_BYTES = 12 << 20
 BROADCAST_ROWS = 200_000
+#: Bins that ``value_at`` counts at a time.
+BINS = 4096
 #: Session settings for tables of long texts, changed only where they stand at Spark's default: rows and
 #: bytes that go to a Python worker at once, rows that a Parquet reader decodes at once, and plain reads
 #: instead of vectored ones, which keep a column chunk of direct memory for each reading thread.
@@ -347,6 +349,27 @@ def bounded(rows: DataFrame, bound: int) -> DataFrame:
     return rows.orderBy("h").limit(bound)
 
 
+def value_at(rows: DataFrame, column: str, place: int) -> float:
+    """The number at ``place`` (from 0) of ``column`` in ascending order, over all rows of a staged table.
+
+    Rows are counted in bins between the least and the largest value, then in bins of
+    the one that holds the place, until one value is left: exact, and no task
+    or driver holds more than the counts of one pass. Nulls have no place.
+    """
+    at = F.col(column)
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    while low < high:
+        share = (at - F.lit(low)) / F.lit(high - low)
+        bins = (rows.where(at.between(low, high)).groupBy(F.floor(share * BINS).alias("bin"))
+                .agg(F.count("*").alias("n"), F.min(at).alias("low"), F.max(at).alias("high")).orderBy("bin").collect())
+        for b in bins:
+            if place < b["n"]:
+                low, high = b["low"], b["high"]
+                break
+            place -= b["n"]
+    return low
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 

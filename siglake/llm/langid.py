@@ -4,7 +4,8 @@ The network reads fixed-length windows of UTF-8 bytes. Filters of several
 widths slide over the bytes (one weight per byte value, place and filter), the
 largest response of each filter over the window is kept, and a softmax over
 these features gives the languages. It is trained in numpy by gradient descent
-(Adam) on a bounded sample of labelled texts. Prediction tiles every text whole
+(Adam) on a bounded sample of labelled texts; the filter ``drop_unknown`` refines
+it on every window of all of them, shard by shard. Prediction tiles every text whole
 into overlapping windows and averages the window probabilities by bytes.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
@@ -22,11 +23,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import (bounded, chunked, has_letter, hash_sample, hash_threshold, staged, string_buffers,
-                                text_hash, without)
+from siglake.llm.common import (chunked, has_letter, hash_threshold, staged, string_buffers, text_hash, value_at,
+                                without)
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16            # per width
@@ -49,17 +51,23 @@ class ByteConvNet:
     # -- training ---------------------------------------------------------
     def _responses(self, x: np.ndarray, w: int) -> np.ndarray:
         taps = self.taps[w]
-        out = taps[0][x[:, :POSITIONS]]
+        out = taps[0].take(x[:, :POSITIONS], axis=0)
         for k in range(1, w):
-            out = out + taps[k][x[:, k:k + POSITIONS]]
+            out += taps[k].take(x[:, k:k + POSITIONS], axis=0)
         return out
 
+    def params(self) -> list[np.ndarray]:
+        return [*self.taps.values(), self.dense, self.bias]
+
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 5, rate: float = 0.02, batch: int = 64,
-            seed: int = 7) -> "ByteConvNet":
+            seed: int = 7, moments: dict | None = None) -> "ByteConvNet":
+        """Adam over the windows ``x``; ``moments`` carries its state from one call to the next."""
         rng = np.random.default_rng(seed)
-        params = [*self.taps.values(), self.dense, self.bias]
-        m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        step = 0
+        params = self.params()
+        state = {} if moments is None else moments
+        if not state:
+            state.update(m=[np.zeros_like(p) for p in params], v=[np.zeros_like(p) for p in params], step=0)
+        m, v, step = state["m"], state["v"], state["step"]
         for _ in range(epochs):
             order = rng.permutation(len(x))
             for at in range(0, len(x), batch):
@@ -92,6 +100,7 @@ class ByteConvNet:
                     a += 0.1 * (g - a)
                     b += 0.001 * (g * g - b)
                     q -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
+        state["step"] = step
         return self
 
     # -- prediction -------------------------------------------------------
@@ -201,14 +210,10 @@ SCRIPTS = ((0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x627, 0x64A), (0x90
            (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
 
 
-def noise_windows(windows: list[tuple[str, bytes]], rng: np.random.Generator) -> list[tuple[str, bytes]]:
-    """Windows of no language, as many as a language has: random ASCII and letters of unused scripts."""
-    used = np.zeros(0x110000, bool)
-    for _, w in windows:
-        used[np.frombuffer(w.decode(errors="ignore").encode("utf-32-le"), np.uint32)] = True
-    free = [(a, b) for a, b in SCRIPTS if not used[a:b + 1].any()]
+def noise_windows(count: int, free: list[tuple[int, int]], rng: np.random.Generator) -> list[bytes]:
+    """Windows of no language: random ASCII, and letters of the scripts ``free`` that no training text uses."""
     out = []
-    for i in range(max(1, len(windows) // max(1, len({label for label, _ in windows})))):
+    for i in range(count):
         if i % 2 == 0 or not free:
             points = rng.integers(33, 127, WINDOW)
             points[rng.random(WINDOW) < rng.uniform(0, 0.3)] = 32
@@ -218,16 +223,20 @@ def noise_windows(windows: list[tuple[str, bytes]], rng: np.random.Generator) ->
             points = rng.integers(a, b + 1, WINDOW)
             points[rng.random(WINDOW) < 0.15] = 32
             raw = "".join(map(chr, points.tolist())).encode()[:WINDOW]
-        out.append((UNKNOWN, raw.ljust(WINDOW, b"\0")))
+        out.append(raw.ljust(WINDOW, b"\0"))
     return out
 
 
-def train(labelled: DataFrame, seed: int = 7, noise: bool = False, **sample) -> ByteConvNet:
-    """Fit the network on a bounded sample of ``labelled`` (doc_id, text, lang); ``noise`` adds a class UNKNOWN."""
-    windows = training_windows(labelled, **sample)
-    if noise and windows:
-        windows = windows + noise_windows(windows, np.random.default_rng(seed + 1))
-    labels = sorted({label for label, _ in windows})
+def _with_short(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Half of the windows also appear cut short, as short texts do."""
+    short = rng.permutation(len(x))[: len(x) // 2]
+    cut = x[short].copy()
+    for r, n in zip(cut, np.exp(rng.uniform(np.log(12), np.log(WINDOW), len(cut))).astype(int)):
+        r[n:] = 0
+    return np.concatenate([x, cut]), np.concatenate([y, y[short]])
+
+
+def _fitted(windows: list[tuple[str, bytes]], labels: list[str], seed: int) -> ByteConvNet:
     rng = np.random.default_rng(seed)
     net = ByteConvNet(labels, {w: rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS},
                       rng.normal(0, 0.1, (FILTERS * len(WIDTHS), len(labels))).astype(np.float32),
@@ -236,12 +245,114 @@ def train(labelled: DataFrame, seed: int = 7, noise: bool = False, **sample) ->
         return net
     x = np.frombuffer(b"".join(w for _, w in windows), np.uint8).reshape(-1, WINDOW).copy()
     y = np.array([labels.index(label) for label, _ in windows])
-    # half of the windows also appear cut short, as short texts do
-    short = rng.permutation(len(x))[: len(x) // 2]
-    cut = x[short].copy()
-    for r, n in zip(cut, np.exp(rng.uniform(np.log(12), np.log(WINDOW), len(cut))).astype(int)):
-        r[n:] = 0
-    return net.fit(np.concatenate([x, cut]), np.concatenate([y, y[short]]))
+    return net.fit(*_with_short(x, y, rng))
+
+
+def train(labelled: DataFrame, seed: int = 7, **sample) -> ByteConvNet:
+    """Fit the network on a bounded sample of ``labelled`` (doc_id, text, lang)."""
+    windows = training_windows(labelled, **sample)
+    return _fitted(windows, sorted({label for label, _ in windows}), seed)
+
+
+#: Text bytes of a shard, the part of the training texts that one task learns from, and the windows it cuts at once.
+SHARD_BYTES = 8 << 20
+CUT = 512
+BLOCK = 128             # parameters that are averaged together
+
+
+def _scripts_of(data: np.ndarray) -> int:
+    """Bits of the SCRIPTS that have letters in the UTF-8 bytes."""
+    bits = 0
+    if (data > 127).any():
+        points = np.frombuffer(data.tobytes().decode(errors="ignore").encode("utf-32-le"), np.uint32)
+        points = points[points > 127]
+        for i, (a, b) in enumerate(SCRIPTS):
+            bits |= int(((points >= a) & (points <= b)).any()) << i
+    return bits
+
+
+def train_whole(labelled: DataFrame, seed: int = 7) -> ByteConvNet:
+    """Fit the network, with a class UNKNOWN for noise, on every window of every text of ``labelled``.
+
+    It starts from a fit on a bounded sample. Then the texts are dealt over shards by a hash of
+    id and text, each shard refines the start on all its windows, and the mean of the shards'
+    parameters, weighted by their windows, is the network. Languages and scripts come from all texts too.
+    """
+    rows = labelled.select(F.xxhash64("doc_id", "text").alias("h"), "text", F.col("lang").cast("string").alias("label")
+                           ).where("text is not null and label is not null")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunked(batches, 1 << 20):
+            data, _ = string_buffers(b.column(0))
+            labels = b.column(1).unique()
+            yield pa.RecordBatch.from_arrays(
+                [labels, pa.array([_scripts_of(data)] * len(labels), pa.int64()),
+                 pa.array([len(data) * (not i) for i in range(len(labels))], pa.int64())], names=["label", "scripts", "size"])
+
+    found = (rows.select("text", "label").mapInArrow(scan, "label string, scripts bigint, size bigint").groupBy("label")
+             .agg(F.bit_or("scripts").alias("scripts"), F.sum("size").alias("size")).collect())
+    if not found:
+        return _fitted([], [], seed)
+    languages = {r["label"] for r in found}
+    used = 0
+    for r in found:
+        used |= r["scripts"]
+    free = [s for i, s in enumerate(SCRIPTS) if not used >> i & 1]
+    windows = training_windows(labelled)
+    noise = noise_windows(max(1, len(windows) // len(languages)), free, np.random.default_rng(seed + 1))
+    start = _fitted(windows + [(UNKNOWN, w) for w in noise], sorted(languages | {UNKNOWN}), seed)
+    shards = -(-sum(r["size"] for r in found) // SHARD_BYTES) or 1
+    dealt = rows.repartition(shards, "h").sortWithinPartitions("h", "label")
+    return _refined(dealt, start, free, len(languages), seed)
+
+
+def _refined(dealt: DataFrame, start: ByteConvNet, free: list[tuple[int, int]], languages: int, seed: int) -> ByteConvNet:
+    """``start`` after a pass over all windows of ``dealt`` (h, text, label), averaged over its partitions."""
+    place = {label: i for i, label in enumerate(start.labels)}
+
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, seen, moments = TaskContext.get().partitionId(), 0, {}
+        rng = np.random.default_rng([seed, shard])
+        net = ByteConvNet(start.labels, {w: t.copy() for w, t in start.taps.items()}, start.dense.copy(), start.bias.copy())
+        for b in batches:
+            data, off = string_buffers(b.column(1))
+            row, first, end = _tile(off)
+            y = np.array([place[label] for label in b.column(2).to_pylist()], np.int64)[row]
+            order = rng.permutation(len(row))
+            for at in range(0, len(order), CUT):
+                s = order[at:at + CUT]
+                x = _cut(data, first[s], end[s])
+                noise = noise_windows(-(-len(s) // languages), free, rng)
+                x = np.concatenate([x, np.frombuffer(b"".join(noise), np.uint8).reshape(-1, WINDOW)])
+                x, at_y = _with_short(x, np.concatenate([y[s], np.full(len(noise), place[UNKNOWN])]), rng)
+                net.fit(x, at_y, epochs=1, seed=int(rng.integers(1 << 31)), moments=moments)
+                seen += len(s)
+        if seen:
+            flat = np.concatenate([p.ravel() for p in net.params()]).astype(np.float32)
+            blocks = [flat[i:i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(blocks)), pa.int32()), pa.array([shard] * len(blocks), pa.int32()),
+                 pa.array([seen] * len(blocks), pa.int64()), pa.array(blocks, pa.binary())],
+                names=["block", "shard", "windows", "part"])
+
+    def mean(table: pa.Table) -> pa.Table:
+        order = table["shard"].to_numpy().argsort()
+        parts = np.stack([np.frombuffer(p, np.float32) for p in table["part"].to_pylist()])[order]
+        weights = table["windows"].to_numpy()[order]
+        part = np.average(parts.astype(np.float64), axis=0, weights=weights).astype(np.float32)
+        return pa.table({"block": table["block"][:1], "windows": pa.array([int(weights.sum())], pa.int64()),
+                         "part": pa.array([part.tobytes()], pa.binary())})
+
+    refined = dealt.mapInArrow(refine, "block int, shard int, windows bigint, part binary")
+    blocks = (refined.groupBy("block").applyInArrow(mean, "block int, windows bigint, part binary")
+              .orderBy("block").collect())
+    flat = np.frombuffer(b"".join(bytes(r["part"]) for r in blocks), np.float32)
+    shapes, at, parts = [p.shape for p in start.params()], 0, []
+    for shape in shapes:
+        n = int(np.prod(shape))
+        parts.append(flat[at:at + n].reshape(shape).copy())
+        at += n
+    return ByteConvNet(start.labels, dict(zip(WIDTHS, parts)), parts[-2], parts[-1])
 
 
 def predict(docs: DataFrame, net: ByteConvNet, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,20 +398,22 @@ def label_languages(docs: DataFrame) -> DataFrame:
 LEAST_SCORE = 0.3
 LOST = 0.001             # share of the held-out texts recognised rightly that the threshold may lose
 NOISE_SCORE = 0.9        # score from which a text recognised as noise goes
-SCORED = 2000            # bound on the held-out texts that it comes from
 
 
-def least_score(docs: DataFrame, net: ByteConvNet, lost: float = LOST, bound: int = SCORED) -> float:
-    """The score that all but a share ``lost`` of rightly recognised held-out texts reach, LEAST_SCORE at least.
+def least_score(scored: DataFrame, lost: float = LOST) -> float:
+    """The ``lost`` quantile of the scores of all held-out texts recognised rightly, LEAST_SCORE at least.
 
-    Too few texts to tell that share give LEAST_SCORE.
+    ``scored`` is staged and holds ``known``, the language of a held-out text (null for other rows),
+    ``lang_pred`` and ``score``. Too few texts to tell that share give LEAST_SCORE.
     """
-    known = docs.where(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = hash_sample(known.select("doc_id", "text", "lang"), F.struct("doc_id", "text"), bound)
-    keyed = sample.select(F.struct("lang", "h").alias("doc_id"), "text")
-    right = predict(keyed, net).where(F.col("lang_pred") == F.col("doc_id.lang")).select("doc_id.h", "score")
-    scores = [r["score"] for r in bounded(right, bound).collect()]
-    return max(LEAST_SCORE, float(np.quantile(scores, lost))) if len(scores) * lost >= 1 else LEAST_SCORE
+    right = scored.where(F.col("known") == F.col("lang_pred"))
+    n = right.count()
+    if n * lost < 1:
+        return LEAST_SCORE
+    place = (n - 1) * lost
+    low = value_at(right, "score", int(place))
+    high = value_at(right, "score", min(int(place) + 1, n - 1))
+    return max(LEAST_SCORE, low + (high - low) * (place - int(place)))
 
 
 def drop_unknown(docs: DataFrame, least: float | None = None, languages: Collection[str] | None = None) -> DataFrame:
@@ -308,16 +421,17 @@ def drop_unknown(docs: DataFrame, least: float | None = None, languages: Collect
 
     A text goes if it has no letter, is recognised as noise with a score of
     NOISE_SCORE (the network of this filter has a class for it) or as a language with
-    one below ``least``, which is ``least_score`` unless given. Learns from the documents given that have a language and are not
-    held out; if there are none, nothing is known and only texts without a letter go.
+    one below ``least``, which is ``least_score`` unless given. Learns from all documents given that have a language
+    and are not held out (``train_whole``); if there are none, nothing is known and only texts without a letter go.
     Rows are told apart by id and text; the verdict is the same for those that repeat both.
     """
-    net = train(docs.where(~held_out() & F.col("lang").isNotNull()), noise=True)
+    net = train_whole(docs.where(~held_out() & F.col("lang").isNotNull()))
     if not net.labels:
         return docs.where(has_letter(F.col("text")))
-    least = least_score(docs, net) if least is None else least
-    keyed = docs.select(F.struct("doc_id", text_hash("text").alias("h")).alias("doc_id"), "text")
-    verdict = staged(predict(keyed, net).select("doc_id.doc_id", "doc_id.h", "lang_pred", "score"), "languages")
+    known = F.when(held_out() & F.col("text").isNotNull(), F.col("lang").cast("string"))
+    keyed = docs.select(F.struct("doc_id", text_hash("text").alias("h"), known.alias("known")).alias("doc_id"), "text")
+    verdict = staged(predict(keyed, net).select("doc_id.*", "lang_pred", "score"), "languages")
+    least = least_score(verdict) if least is None else least
     noise, score = F.col("lang_pred") == UNKNOWN, F.col("score")
     bad = (noise & ((score == 0) | (score >= NOISE_SCORE))) | (~noise & (score < least))
     if languages is not None:

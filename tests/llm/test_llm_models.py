@@ -297,6 +297,62 @@ def test_language_filter_drops_foreign_and_junk_texts(spark):
     assert sum(x["count"] for x in english if x["lang"] == "en") >= 0.98 * sum(x["count"] for x in english)
 
 
+def test_language_filter_threshold_comes_from_all_held_out_texts(spark, monkeypatch):
+    rows = [(i, f"{(0.3 + 0.6 * zlib.crc32(b'%d' % i) / 2**32):.9f}", "en" if i % 5 else None) for i in range(24_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    net = L.ByteConvNet(["en"], {}, np.zeros((0, 1)), np.zeros(1))
+    for name in ("train", "train_whole"):
+        monkeypatch.setattr(L, name, lambda *a, **k: net, raising=False)
+    monkeypatch.setattr(L, "predict", lambda d, net: d.select("doc_id", F.lit("en").alias("lang_pred"),
+                                                              F.col("text").cast("double").alias("score")))
+    held = [float(t) for i, t, lang in rows if lang and zlib.crc32(str(i).encode()) % 3 == 1]
+    least = np.quantile(held, L.LOST)
+    kept = {x[0] for x in L.drop_unknown(docs).select("doc_id").collect()}
+    assert len(held) > 6000 and kept == {i for i, t, _ in rows if float(t) >= least}
+
+
+def test_language_filter_learns_from_texts_outside_the_starting_sample(spark):
+    import random
+    from siglake.llm.common import hash_threshold
+    r = random.Random(3)
+
+    def greek():
+        return " ".join("".join(chr(r.randint(0x3B1, 0x3C9)) for _ in range(r.randint(2, 9))) for _ in range(60))
+
+    ids = spark.range(3000).select("id", (~L.held_out("id")).alias("train"),
+                                   (F.xxhash64("id") > hash_threshold(L.PER_LANGUAGE, 1900)).alias("outside")).collect()
+    late = {i for i, train, outside in ids if train and outside}
+    late = set(sorted(late)[:120])                                 # Greek is met in none of the sampled texts
+    rows = [(i, greek() if i in late else prose(60, i), "xx", "a", 1) for i, *_ in ids]
+    rows += [(10**6 + i, greek(), None, "a", 1) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert not any(b"\xce" in w or b"\xcf" in w for _, w in L.training_windows(docs.where(~L.held_out() & (F.col("lang") == "xx"))))
+    kept = {x[0] for x in L.drop_unknown(docs, least=L.LEAST_SCORE).select("doc_id").collect()}
+    assert len(late) == 120 and len(late & kept) >= 114 and sum(i >= 10**6 for i in kept) >= 19
+
+
+def test_whole_training_is_the_same_however_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(L, "SHARD_BYTES", 1 << 14)
+    rows = [(i, prose(r, i) if r else ("" if i % 2 else None), ["en", "fr", None][i % 3]) for i, r in
+            enumerate([40, 0, 200, 700, 90, 0] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    a, b = L.train_whole(docs), L.train_whole(docs.repartition(5))
+    start = L._fitted(L.training_windows(docs), a.labels, 7)
+    assert a.labels == b.labels == ["en", "fr", "und"]
+    assert all((p == q).all() for p, q in zip(a.params(), b.params()))
+    assert not any((p == q).all() for p, q in zip(a.params(), start.params()))
+    assert L.train_whole(docs.where("lang is null")).labels == []
+
+
+def test_value_at_any_place(spark):
+    from siglake.llm.common import value_at
+    for values in ([0.5], [1.0] * 900 + [5e-324] * 100, [x / 7 for x in range(-5000, 5000)], [0.25, 1.0, 1.0, 1.0, None]):
+        df = spark.createDataFrame([(x,) for x in values], "x double").repartition(3)
+        known = sorted(x for x in values if x is not None)
+        for place in {0, len(known) // 3, len(known) - 1}:
+            assert value_at(df, "x", place) == known[place]
+
+
 def brute_replies(rows):
     """(conv, turn) -> message answered; a message quotes the one before it, and every third the two before."""
     def words(t):
