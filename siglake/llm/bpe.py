@@ -25,14 +25,13 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, string_buffers
+from siglake.llm.common import chunked, per_stage, string_buffers
 from siglake.llm.tokens import BatchEncoder
 
 HEAP_BYTES = 64          # windows beyond this length are re-encoded with a heap
@@ -155,7 +154,7 @@ class TreeBpe:
         return parts[0] if parts else b""
 
 
-@lru_cache(maxsize=2)
+@per_stage
 def tree_encoder(path: str, pattern: str) -> TreeBpe:
     return TreeBpe.load(path, pattern)
 

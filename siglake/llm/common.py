@@ -10,11 +10,15 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from siglake.session import shared_path
 
@@ -104,6 +108,15 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of the driver's few rows, handed over as Arrow: from plain rows Spark would make a Python RDD,
+    for which each executor starts a daemon and workers of their own and keeps them."""
+    kind = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), kind)
+
+
 def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     """``df``, staged, with the number ``name`` of each row from 0 without gaps, in the order of its tasks and rows.
 
@@ -117,7 +130,7 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     for t in sorted(counts):
         offsets.append((t, total))
         total += counts[t]
-    before = df.sparkSession.createDataFrame(offsets, "task bigint, before bigint")
+    before = local_rows(df.sparkSession, offsets, "task bigint, before bigint")
     low = F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
     out = kept.withColumn("task", task).join(F.broadcast(before), "task").withColumn(name, F.col("before") + low)
     out = staged(out.select(*df.columns, name), label)
@@ -167,8 +180,39 @@ def _sized_as(df: DataFrame, stored: DataFrame) -> DataFrame:
     return small(df)
 
 
+_kept = {"stage": None, "tables": []}
+
+
+def begin_stage() -> None:
+    """In a worker's first task of a stage: drop the tables of other stages, give freed memory back to the system."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if stage != _kept["stage"]:
+        _kept["stage"] = stage
+        for made in _kept["tables"]:
+            made.cache_clear()
+        pa.default_memory_pool().release_unused()
+
+
+def per_stage(make: Callable) -> Callable:
+    """``make`` with its results kept in a worker for the tasks of one stage; the worker outlives it."""
+    made = lru_cache(maxsize=2)(make)
+    _kept["tables"].append(made)
+
+    @wraps(make)
+    def get(*args):
+        begin_stage()
+        return made(*args)
+
+    return get
+
+
 def chunked(batches: Iterator[pa.RecordBatch], max_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Re-cut batches so that each holds about ``max_bytes`` of text (one row at least)."""
+    """Re-cut batches so that each holds about ``max_bytes`` of text (one row at least).
+
+    Gives back to the system what other stages left in the worker before them, and freed memory after them.
+    """
+    begin_stage()
     for b in batches:
         if not b.num_rows:
             continue
@@ -179,6 +223,7 @@ def chunked(batches: Iterator[pa.RecordBatch], max_bytes: int, text: str = "text
             to = min(max(to, at + 1), b.num_rows)
             yield b.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()
 
 
 def string_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglake.llm.common import _SPACE, chunked, staged, string_buffers, text_hash, without
+from siglake.llm.common import _SPACE, chunked, local_rows, staged, string_buffers, text_hash, without
 
 #: Counters of a Misra-Gries summary: the bound on the broadcast table.
 COUNTERS = 1024
@@ -84,7 +84,7 @@ def frequent(keys: DataFrame, key: str, k: int = COUNTERS) -> DataFrame:
     # at most k+1 rows reach the driver; the same reduction merges the summaries
     rows = {r["key"]: r["n"] for r in merged.collect()}
     kept = _summarise(rows, k)
-    return keys.sparkSession.createDataFrame([(bytearray(d),) for d in kept], f"{key} binary")
+    return local_rows(keys.sparkSession, [(bytes(d),) for d in kept], f"{key} binary")
 
 
 def _groups(rows: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglake.llm.common import chunked, staged, string_buffers
+from siglake.llm.common import chunked, local_rows, staged, string_buffers
 from siglake.llm.tokens import END, library_encoder
 
 CAPACITY = 2048
@@ -152,13 +152,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}   # <= capacity rows
     runs = plan(counts, capacity)
-    table = F.broadcast(spark.createDataFrame(
-        [tuple(r) for r in runs], "r_length bigint, r_rank bigint, r_n bigint, r_sequence bigint, offset bigint"))
+    table = F.broadcast(local_rows(
+        spark, [tuple(r) for r in runs], "r_length bigint, r_rank bigint, r_n bigint, r_sequence bigint, offset bigint"))
     # a length that many pieces have is dealt to several tasks
     even = sum(counts.values()) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     per_bucket = min(BUCKET_ROWS, max(LEAST_BUCKET, even))
-    buckets = F.broadcast(spark.createDataFrame(
-        [(s, -(-n // per_bucket)) for s, n in counts.items()], "length bigint, r_buckets bigint"))
+    buckets = F.broadcast(local_rows(
+        spark, [(s, -(-n // per_bucket)) for s, n in counts.items()], "length bigint, r_buckets bigint"))
     rows = pieces.join(buckets, "length").withColumn("r_bucket", F.pmod(F.xxhash64("doc_id", "piece"), "r_buckets"))
     # ranks within (length, bucket); the buckets of a length follow each other
     sizes = rows.groupBy("length", "r_bucket").count()

@@ -49,8 +49,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siglake.llm.common import (U, chunked, columns_of, discard, mix, ngram_hashes, numbered, small, staged, string_buffers,
-                                text_hash, words_of)
+from siglake.llm.common import (U, chunked, columns_of, discard, local_rows, mix, ngram_hashes, numbered, small, staged,
+                                string_buffers, text_hash, words_of)
 
 SHINGLE = 5
 MIN_WORDS = 50
@@ -202,7 +202,7 @@ def neighbours(segments: DataFrame) -> DataFrame:
                if one["key"] == other["key"] and one["doc_id"] != other["doc_id"]]
     rows = [(a["doc_id"], b["doc_id"], b["key"], b["l"], b["c"], b["r"], a["l"], a["c"], a["r"]) for a, b in between]
     inside = found.where("task is null").drop("task")
-    return inside.union(segments.sparkSession.createDataFrame(rows, _MATCHES)) if rows else inside
+    return inside.union(local_rows(segments.sparkSession, rows, _MATCHES)) if rows else inside
 
 
 _CANDIDATES = "a bigint, b bigint, a_lo int, a_hi int, b_lo int, b_hi int, shift int"

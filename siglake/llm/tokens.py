@@ -4,7 +4,7 @@ Byte-level vocabularies split a text by a fixed pattern and encode each match on
 its own, so a piece seen before needs no second encoding. A batch is split as
 arrays of code points, its pieces are looked up by a 64-bit hash and their length
 in a bounded table, and only unknown pieces go to the encoder (the ``tokenizers``
-library, or the tree encoder of ``bpe``). Tables live as long as the worker.
+library, or the tree encoder of ``bpe``). Tables live as long as a worker's tasks of one stage.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from siglake.llm.common import U, span_hashes
+from siglake.llm.common import U, per_stage, span_hashes
 
 END = array("I", [0]).tobytes()   # id 0 ends a document
 SLOTS = 1 << 21                   # pieces a worker remembers: 40 MB of table, and their ids
@@ -142,7 +142,7 @@ class BatchEncoder:
         return ids, row
 
 
-@lru_cache(maxsize=2)
+@per_stage
 def library_encoder(path: str, pattern: str) -> BatchEncoder:
     """The ``tokenizers`` library's ids without special tokens, for the vocabulary file at ``path``."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task owns one core

@@ -4,9 +4,14 @@ import collections
 import re
 
 import corpus_pipeline as C
+import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from llm_data import edge_docs, no_docs, prose
 
+from siglake.llm import common
+from siglake.llm.common import chunked
+from siglake.llm.packing import pack, pieces_of
 from siglake.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -95,3 +100,43 @@ def test_query_matches_its_sql(spark, name):
     at = [[c[0] for c in want.description].index(c) for c in columns]
     assert sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=str) == sorted(
         map(tuple, got.select(*columns).collect()), key=str)
+
+
+def test_tables_of_a_stage_leave_the_workers_with_it(spark):
+    docs = spark.createDataFrame([(i, prose(60, i)) for i in range(40)], "doc_id bigint, text string").repartition(8)
+    assert pieces_of(docs, P.path(C.TOKENIZER), P.PATTERN).count() >= 40
+
+    def left(batches):
+        import gc
+
+        from siglake.llm.tokens import BatchEncoder
+        for _ in chunked(batches, 1 << 20):
+            pass
+        yield pa.RecordBatch.from_pydict({"n": [sum(isinstance(x, BatchEncoder) for x in gc.get_objects())]})
+
+    assert {r.n for r in docs.select("text").mapInArrow(left, "n bigint").collect()} == {0}
+
+
+def test_tables_are_made_once_a_stage(monkeypatch):
+    made, stage = [], [1]
+    monkeypatch.setattr(common, "_kept", {"stage": None, "tables": []})
+    monkeypatch.setattr(common.TaskContext, "get", classmethod(lambda cls: cls.__new__(cls)))
+    monkeypatch.setattr(common.TaskContext, "stageId", lambda self: stage[0])
+    table = common.per_stage(lambda name: made.append(name) or object())
+    first = table("a")
+    assert table("a") is first and made == ["a"]
+    stage[0] = 2
+    assert table("a") is not first and made == ["a", "a"]
+
+
+def test_local_rows_need_no_python_worker(spark, scratch):
+    rows = [(1, b"x", None), (-(1 << 63), None, 3)]
+    schema = "a bigint, b binary, c int"
+    for given in (rows, []):
+        got, usual = common.local_rows(spark, given, schema), spark.createDataFrame(given, schema)
+        assert got.schema == usual.schema and got.collect() == usual.collect()
+    pieces = spark.range(20).selectExpr("id doc_id", "0 piece", "id % 5 + 1 length")
+    numbers = common.numbered(spark.range(9), "n", "test")
+    for df in (common.local_rows(spark, rows, schema), pack(pieces), numbers):
+        assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+    assert sorted(r.n for r in numbers.collect()) == list(range(9))
